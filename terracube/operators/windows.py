@@ -103,22 +103,27 @@ def shift_time(df: DataFrame, cols: Sequence[str], n: int, time: str = "time") -
     return df.withColumns({c: f(c) for c in cols})
 
 
-def flip_lat(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Reverse the values along the latitude axis, coordinates unchanged.
-
-    The lat axis (distinct values, tiny) gets rank r and reverse rank; the
-    cube is re-keyed from lat at rank r to lat at reverse rank r by a
-    broadcast equi join.  No shuffle of the cube beyond the join itself.
+def flip_lat(df: DataFrame, cols: Sequence[str], time: str = "time") -> DataFrame:
+    """Reverse ``cols`` along the latitude axis, coordinates unchanged.
+
+    The lat axis (distinct values; its size is the grid resolution, not the
+    data volume) gets rank r and reverse rank; values at the lat of rank r
+    move to the lat of reverse rank r through a broadcast equi join.  Other
+    variables stay in place (left join on the cube keys); a value whose
+    mirrored cell does not exist becomes NULL.
     """
+    cols = list(cols)
     axis = df.select("lat").distinct()
     ranked = axis.select(
         "lat",
         F.row_number().over(Window.orderBy("lat")).alias("r"),
         F.row_number().over(Window.orderBy(F.col("lat").desc())).alias("rr"))
-    mapping = ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
-        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst"))
-    src = df.select(*[c for c in df.columns if c not in cols],
-                    *[F.col(c) for c in cols])
-    moved = (src.join(F.broadcast(mapping), src["lat"] == mapping["__src"])
-                .drop("lat", "__src").withColumnRenamed("__dst", "lat"))
-    return moved.select(*df.columns)
+    mapping = F.broadcast(ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
+        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst")))
+    moved = (df.select("lat", "lon", time, *cols)
+               .join(mapping, F.col("lat") == F.col("__src"))
+               .select(F.col("__dst").alias("lat"), "lon", time, *cols))
+    others = [c for c in df.columns if c not in cols and c not in ("lat", "lon", time)]
+    if not others:
+        return moved.select(*df.columns)
+    return df.drop(*cols).join(moved, ["lat", "lon", time], "left").select(*df.columns)

@@ -101,3 +101,367 @@ FROM scaled"""
 
 ORACLES["pixel_year_examples"] = "WITH " + EXAMPLES + """
 SELECT lat, lon, gb_year, split, step, """ + r6(VALUE_COLS) + """, y FROM steps"""
+
+GV = ["lst_day", "lst_night", "precip", "sm", "ndvi", "evi"]
+
+MASKED = GRID + """,
+mg AS (
+  SELECT lat, lon, time,
+         CASE WHEN lst_day < 200 THEN lst_day END AS lst_day,
+         CASE WHEN lst_night < 200 THEN lst_night END AS lst_night,
+         precip, sm, ndvi, evi
+  FROM grid)"""
+
+ORACLES["climatology"] = "WITH " + GRID + """
+SELECT lat, lon, month(time) AS month,
+       round(avg(CASE WHEN year(time) < 2001 THEN ndvi END), 6) AS ndvi_clim
+FROM grid GROUP BY lat, lon, month(time)"""
+
+ORACLES["anomaly"] = "WITH " + GRID + """,
+clim AS (SELECT lat, lon, month(time) AS month,
+                avg(CASE WHEN year(time) < 2001 THEN ndvi END) AS c
+         FROM grid GROUP BY 1, 2, 3)
+SELECT g.lat, g.lon, g.time, round(g.ndvi - clim.c, 6) AS ndvi_anomaly
+FROM grid g LEFT JOIN clim ON g.lat = clim.lat AND g.lon = clim.lon AND month(g.time) = clim.month"""
+
+ORACLES["seasonal_max"] = "WITH " + GRID + """,
+m AS (SELECT lat, lon, month(time) AS month, avg(ndvi) AS m FROM grid GROUP BY 1, 2, 3)
+SELECT month, round(max(m), 6) AS ndvi_max_monthly_mean FROM m GROUP BY month"""
+
+ORACLES["time_mean"] = "WITH " + MASKED + """
+SELECT lat, lon, """ + ", ".join(f"round(sum({c}), 6) / count({c}) AS {c}" for c in GV) + """
+FROM mg GROUP BY lat, lon"""
+
+ORACLES["describe"] = "WITH " + MASKED + """,
+long AS (UNPIVOT mg ON """ + ", ".join(GV) + """ INTO NAME variable VALUE value)
+SELECT variable, count(value) AS count, round(sum(value), 6) / count(value) AS mean,
+       round(stddev_samp(value), 6) AS std, round(min(value), 6) AS min,
+       round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.5), 6) AS q50,
+       round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max
+FROM long WHERE value IS NOT NULL GROUP BY variable"""
+
+ORACLES["quantiles"] = "WITH " + GRID + """
+SELECT q, round(quantile_cont(ndvi, q), 6) AS quantile
+FROM grid, (VALUES (0.1), (0.2), (0.4), (0.6), (0.8), (0.9)) qs(q) GROUP BY q"""
+ORACLES["quantiles"] = "WITH " + GRID + """
+SELECT * FROM (""" + " UNION ALL ".join(
+    f"SELECT CAST({q} AS DOUBLE) AS q, round(quantile_cont(ndvi, {q}), 6) AS quantile FROM grid"
+    for q in (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)) + ")"
+
+ORACLES["histogram"] = "WITH " + GRID + """,
+b AS (SELECT min(ndvi) AS lo, max(ndvi) AS hi FROM grid),
+k AS (SELECT CAST(CASE WHEN hi = lo THEN 1
+                  ELSE least(floor((ndvi - lo) / (hi - lo) * 40) + 1, 40) END AS INTEGER) AS bucket, lo, hi
+      FROM grid, b WHERE ndvi IS NOT NULL)
+SELECT bucket, count(*) AS count, round(first(lo) + (bucket - 1) * (first(hi) - first(lo)) / 40, 6) AS edge_lo
+FROM k GROUP BY bucket"""
+
+ORACLES["distinct_counts"] = "WITH " + GRID + """
+SELECT count(DISTINCT lat) AS n_lat, count(DISTINCT lon) AS n_lon,
+       count(DISTINCT (lat, lon)) AS n_pixels, count(DISTINCT time) AS n_times,
+       count(DISTINCT year(time)) AS n_years
+FROM grid"""
+
+ORACLES["percentile_normalise"] = "WITH " + GRID + """,
+s AS (SELECT avg(ndvi) AS m, quantile_cont(ndvi, 0.025) AS plo, quantile_cont(ndvi, 0.975) AS phi FROM grid)
+SELECT lat, lon, time, round((ndvi - m) / nullif(phi - plo, 0), 6) AS ndvi_pn FROM grid, s"""
+
+ORACLES["unit_convert"] = "WITH " + MASKED + """
+SELECT lat, lon, time, round((lst_day + lst_night) / 2, 6) AS lst_mean,
+       round(precip / 30.417, 6) AS precip_mm_day, round(evi / 28.0, 6) AS evi_mm_day,
+       round(sm / 10.0, 6) AS sm_rescaled
+FROM mg"""
+
+ORACLES["resample_median"] = """
+SELECT user_id, date_trunc('month', date_trunc('day', ts)) AS time, round(median(value), 6) AS value
+FROM events WHERE value IS NOT NULL GROUP BY 1, 2"""
+
+ORACLES["resample_first"] = """
+SELECT user_id, last_day(ts) AS time, arg_min(value, ts) FILTER (WHERE value IS NOT NULL) AS value
+FROM events GROUP BY 1, 2"""
+
+ORACLES["calendar_densify"] = "WITH " + GRID + """,
+b AS (SELECT min(time) AS lo, max(time) AS hi FROM grid),
+cal AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS TIMESTAMP) AS time FROM b),
+px AS (SELECT DISTINCT lat, lon FROM grid)
+SELECT px.lat, px.lon, cal.time, g.ndvi
+FROM px CROSS JOIN cal
+LEFT JOIN grid g ON g.lat = px.lat AND g.lon = px.lon AND g.time = cal.time"""
+
+ORACLES["infer_freq"] = "WITH " + GRID + """,
+d AS (SELECT date_trunc('day', ts) AS time FROM events)
+SELECT 'grid' AS source, 'MS' AS freq, count(DISTINCT time) AS n_steps FROM grid
+UNION ALL SELECT 'events_daily', 'D', count(DISTINCT time) FROM d
+UNION ALL SELECT 'grid_month_end', 'M', count(DISTINCT time) FROM grid"""
+
+AXES = GRID + """,
+slat AS (SELECT DISTINCT lat AS v FROM grid),
+slon AS (SELECT DISTINCT lon AS v FROM grid),
+dlat AS (SELECT v + 0.125 AS d FROM slat),
+dlon AS (SELECT v + 0.1 AS d FROM slon),
+nlat AS (SELECT d, (SELECT max(v) FROM slat WHERE v <= d) AS a, (SELECT min(v) FROM slat WHERE v > d) AS a1 FROM dlat),
+nlon AS (SELECT d, (SELECT max(v) FROM slon WHERE v <= d) AS a, (SELECT min(v) FROM slon WHERE v > d) AS a1 FROM dlon)"""
+
+ORACLES["regrid_nearest"] = "WITH " + AXES + """,
+mlat AS (SELECT d, CASE WHEN a IS NULL THEN a1 WHEN a1 IS NULL THEN a
+                        WHEN d - a <= a1 - d THEN a ELSE a1 END AS s FROM nlat),
+mlon AS (SELECT d, CASE WHEN a IS NULL THEN a1 WHEN a1 IS NULL THEN a
+                        WHEN d - a <= a1 - d THEN a ELSE a1 END AS s FROM nlon)
+SELECT round(mlat.d, 6) AS lat, round(mlon.d, 6) AS lon, g.time, g.ndvi, g.precip
+FROM grid g JOIN mlat ON g.lat = mlat.s JOIN mlon ON g.lon = mlon.s"""
+
+ORACLES["regrid_bilinear"] = "WITH " + AXES + """,
+wl AS (
+  SELECT d, a AS s, CASE WHEN d = a THEN 1.0 ELSE (a1 - d) / (a1 - a) END AS w FROM nlat
+   WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL)
+  UNION ALL
+  SELECT d, a1, 1.0 - CASE WHEN d = a THEN 1.0 ELSE (a1 - d) / (a1 - a) END FROM nlat
+   WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL) AND a1 IS NOT NULL),
+wl2 AS (SELECT *, count(*) OVER (PARTITION BY d) AS nw FROM wl WHERE w <> 0),
+wo AS (
+  SELECT d, a AS s, CASE WHEN d = a THEN 1.0 ELSE (a1 - d) / (a1 - a) END AS w FROM nlon
+   WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL)
+  UNION ALL
+  SELECT d, a1, 1.0 - CASE WHEN d = a THEN 1.0 ELSE (a1 - d) / (a1 - a) END FROM nlon
+   WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL) AND a1 IS NOT NULL),
+wo2 AS (SELECT *, count(*) OVER (PARTITION BY d) AS nw FROM wo WHERE w <> 0),
+j AS (SELECT wl2.d AS lat, wo2.d AS lon, g.time, wl2.w * wo2.w AS w, wl2.nw * wo2.nw AS need, g.ndvi, g.sm
+      FROM grid g JOIN wl2 ON g.lat = wl2.s JOIN wo2 ON g.lon = wo2.s),
+agg AS (SELECT lat, lon, time, count(*) AS rows_, first(need) AS need,
+               sum(w * ndvi) AS ndvi, count(ndvi) AS n_ndvi, sum(w * sm) AS sm, count(sm) AS n_sm
+        FROM j GROUP BY lat, lon, time)
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, time,
+       round(CASE WHEN rows_ = need AND n_ndvi = need THEN ndvi END, 6) AS ndvi,
+       round(CASE WHEN rows_ = need AND n_sm = need THEN sm END, 6) AS sm
+FROM agg"""
+
+ORACLES["merge_cubes"] = "WITH " + GRID + """,
+a AS (SELECT lat, lon, time, lst_day, lst_night FROM grid WHERE time < TIMESTAMP '2000-01-01'),
+b AS (SELECT lat, lon, time, precip, ndvi FROM grid WHERE time >= TIMESTAMP '1998-01-01')
+SELECT coalesce(a.lat, b.lat) AS lat, coalesce(a.lon, b.lon) AS lon, coalesce(a.time, b.time) AS time,
+       lst_day, lst_night, precip, ndvi,
+       CASE WHEN lst_day IS NOT NULL AND precip IS NOT NULL AND ndvi IS NOT NULL THEN ndvi END AS ndvi_all_valid
+FROM a FULL OUTER JOIN b ON a.lat = b.lat AND a.lon = b.lon AND a.time = b.time"""
+
+ORACLES["bbox_slice"] = "WITH " + GRID + """,
+ref AS (SELECT lat, lon FROM grid WHERE lat BETWEEN 0.25 AND 0.75 AND lon BETWEEN 1.0 AND 3.0),
+b AS (SELECT min(lat) la0, max(lat) la1, min(lon) lo0, max(lon) lo1 FROM ref)
+SELECT lat, lon, time, ndvi FROM grid, b
+WHERE lat BETWEEN la0 AND la1 AND lon BETWEEN lo0 AND lo1"""
+
+ORACLES["time_slice"] = "WITH " + GRID + """,
+b AS (SELECT min(time) t0, max(time) + INTERVAL 1 MONTH AS t1 FROM grid
+      WHERE time BETWEEN TIMESTAMP '1999-01-01' AND TIMESTAMP '1999-12-31')
+SELECT lat, lon, time, precip FROM grid, b WHERE time BETWEEN t0 AND t1"""
+
+ORACLES["drop_last_step"] = "WITH " + GRID + """
+SELECT lat, lon, time, evi FROM grid WHERE time < (SELECT max(time) FROM grid)"""
+
+ORACLES["isel_time"] = "WITH " + GRID + """,
+b AS (SELECT min(time) AS t0 FROM grid)
+SELECT lat, lon, time, ndvi FROM grid, b
+WHERE (year(time) * 12 + month(time)) - (year(t0) * 12 + month(t0)) = 5"""
+
+LAND = GRID + """,
+t1 AS (SELECT min(time) + INTERVAL 1 MONTH AS t FROM grid),
+at1 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t1 WHERE grid.time = t1.t GROUP BY 1, 2),
+px AS (SELECT DISTINCT lat, lon FROM grid),
+land AS (SELECT px.lat, px.lon, coalesce(at1.has, false) AS land
+         FROM px LEFT JOIN at1 ON px.lat = at1.lat AND px.lon = at1.lon)"""
+
+ORACLES["land_mask"] = "WITH " + LAND + " SELECT lat, lon, land FROM land"
+ORACLES["sea_pixels"] = "WITH " + LAND + " SELECT lat, lon FROM land WHERE NOT land"
+
+ORACLES["reference_mask"] = "WITH " + GRID + """,
+t0 AS (SELECT min(time) AS t FROM grid),
+at0 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t0 WHERE grid.time = t0.t GROUP BY 1, 2),
+px AS (SELECT DISTINCT lat, lon FROM grid),
+m AS (SELECT px.lat, px.lon, NOT coalesce(at0.has, false) AS masked
+      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon)
+SELECT g.lat, g.lon, g.time, CASE WHEN m.masked = false THEN g.precip END AS precip
+FROM grid g LEFT JOIN m ON g.lat = m.lat AND g.lon = m.lon"""
+
+DROUGHT_IDX = GRID + """,
+di AS (
+  SELECT *,
+    round((precip - avg(precip) OVER pm) / nullif(stddev_pop(precip) OVER pm, 0), 9) AS spi,
+    round(((precip - lst_day) - avg(precip - lst_day) OVER pm)
+          / nullif(stddev_pop(precip - lst_day) OVER pm, 0), 9) AS spei
+  FROM grid WINDOW pm AS (PARTITION BY lat, lon, month(time)))"""
+
+ORACLES["drought_masks"] = "WITH " + DROUGHT_IDX + """,
+f AS (
+  SELECT *,
+    coalesce(ndvi < round(avg(ndvi) OVER (PARTITION BY lat, lon, month(time))
+                          - stddev_pop(ndvi) OVER (PARTITION BY lat, lon, month(time)), 9), false) AS drought_ndvi_month,
+    coalesce(ndvi < round(avg(ndvi) OVER (PARTITION BY lat, lon)
+                          - stddev_pop(ndvi) OVER (PARTITION BY lat, lon), 9), false) AS drought_ndvi_series
+  FROM di)
+SELECT lat, lon, time, round(spi, 6) AS spi, round(spei, 6) AS spei,
+       coalesce(spi < -1, false) AS drought_spi, coalesce(spei < -1, false) AS drought_spei,
+       drought_ndvi_month, drought_ndvi_series, NOT drought_ndvi_month AS not_drought
+FROM f"""
+
+_LAG_VARS = GV
+ORACLES["drought_lags"] = "WITH " + LAND + """,
+flags AS (
+  SELECT g.lat, g.lon, g.time,
+         coalesce(l.land AND coalesce(g.ndvi < round(avg(g.ndvi) OVER (PARTITION BY g.lat, g.lon)
+                  - stddev_pop(g.ndvi) OVER (PARTITION BY g.lat, g.lon), 9), false), false) AS in_drought
+  FROM grid g LEFT JOIN land l ON g.lat = l.lat AND g.lon = l.lon),
+tmax AS (SELECT max(time) AS t FROM grid),
+ds0 AS (SELECT g.* FROM grid g, tmax WHERE g.time < tmax.t),
+latax AS (SELECT lat, row_number() OVER (ORDER BY lat) AS r, row_number() OVER (ORDER BY lat DESC) AS rr
+          FROM (SELECT DISTINCT lat FROM ds0)),
+mirror AS (SELECT a.lat AS src, b.lat AS dst FROM latax a JOIN latax b ON a.r = b.rr),
+fl AS (SELECT m.dst AS lat, d.lon, d.time, d.precip FROM ds0 d JOIN mirror m ON d.lat = m.src),
+ds1 AS (SELECT d.lat, d.lon, d.time, d.lst_day, d.lst_night, f.precip, d.sm, d.ndvi, d.evi
+        FROM ds0 d LEFT JOIN fl f ON d.lat = f.lat AND d.lon = f.lon AND d.time = f.time),
+ds2 AS (SELECT d.lat, d.lon, d.time, """ + ", ".join(
+    (f"CASE WHEN coalesce(l.land, false) AND d.{v} < 200 THEN d.{v} END AS {v}" if v.startswith("lst")
+     else f"CASE WHEN coalesce(l.land, false) THEN d.{v} END AS {v}") for v in GV) + """
+        FROM ds1 d LEFT JOIN land l ON d.lat = l.lat AND d.lon = l.lon),
+t0 AS (SELECT min(time) AS t FROM ds2),
+ix AS (SELECT d.*, (year(d.time) * 12 + month(d.time)) AS mi,
+              (year(d.time) * 12 + month(d.time)) - (year(t0.t) * 12 + month(t0.t)) AS t_idx
+       FROM ds2 d, t0)
+SELECT x.lat, x.lon, x.time, """ + ",\n       ".join(
+    f"x.{v} AS {v}_t0, " + ", ".join(f"p{k}.{v} AS {v}_t{k}" for k in (1, 2, 3)) for v in _LAG_VARS) + """,
+       coalesce(f.in_drought, false) AS in_drought
+FROM ix x
+LEFT JOIN ix p1 ON p1.lat = x.lat AND p1.lon = x.lon AND p1.mi = x.mi - 1
+LEFT JOIN ix p2 ON p2.lat = x.lat AND p2.lon = x.lon AND p2.mi = x.mi - 2
+LEFT JOIN ix p3 ON p3.lat = x.lat AND p3.lon = x.lon AND p3.mi = x.mi - 3
+LEFT JOIN flags f ON f.lat = x.lat AND f.lon = x.lon AND f.time = x.time
+WHERE x.t_idx >= 4"""
+
+ORACLES["shift"] = "WITH " + GRID + """
+SELECT lat, lon, time, precip,
+       lag(precip, 1) OVER (PARTITION BY lat, lon ORDER BY time) AS precip_prev,
+       lead(precip, 1) OVER (PARTITION BY lat, lon ORDER BY time) AS precip_next
+FROM grid"""
+
+ORACLES["flip_lat"] = "WITH " + GRID + """,
+latax AS (SELECT lat, row_number() OVER (ORDER BY lat) AS r, row_number() OVER (ORDER BY lat DESC) AS rr
+          FROM (SELECT DISTINCT lat FROM grid)),
+mirror AS (SELECT a.lat AS src, b.lat AS dst FROM latax a JOIN latax b ON a.r = b.rr)
+SELECT m.dst AS lat, g.lon, g.time, g.precip FROM grid g JOIN mirror m ON g.lat = m.src"""
+
+ORACLES["band_unpivot"] = "WITH " + GRID + """,
+tx AS (SELECT time, row_number() OVER (ORDER BY time) AS idx FROM (SELECT DISTINCT time FROM grid)),
+px AS (SELECT DISTINCT lat, lon FROM grid)
+SELECT px.lat, px.lon, tx.time, g.precip
+FROM px CROSS JOIN tx LEFT JOIN grid g ON g.lat = px.lat AND g.lon = px.lon AND g.time = tx.time
+WHERE tx.idx <= 3"""
+
+
+def _landcover_values():
+    from terracube.functions.lookup import CLASS_IDS, LANDCOVER
+    ids = dict(CLASS_IDS)
+
+    def q(s):
+        return "'" + s.replace("'", "''") + "'"
+    rows = [f"({i}, {c}, {q(l)}, {q(s)}, {q(k)}, {ids[k]})" for i, (c, l, s, k) in enumerate(LANDCOVER)]
+    return "VALUES " + ", ".join(rows)
+
+
+ORACLES["class_lookup"] = """
+WITH dim(pos, code, label, short_label, class, class_id) AS (""" + _landcover_values() + """)
+SELECT p.p_partkey, dim.code, dim.label, dim.short_label, dim.class, dim.class_id
+FROM part p LEFT JOIN dim ON dim.pos = p.p_size % 23"""
+
+
+def _clip_sql():
+    from terracube.queries import REGIONS
+    parts = []
+    for name, ring in REGIONS:
+        n = len(ring)
+        edges = []
+        for i in range(n):
+            j = (i - 1) % n
+            xi, yi = ring[i]
+            xj, yj = ring[j]
+            edges.append(
+                f"CASE WHEN ((CAST({yi} AS DOUBLE) > lat) <> (CAST({yj} AS DOUBLE) > lat)) AND "
+                f"(lon < (CAST({xj} AS DOUBLE) - CAST({xi} AS DOUBLE)) * (lat - CAST({yi} AS DOUBLE)) / "
+                f"(CAST({yj} AS DOUBLE) - CAST({yi} AS DOUBLE)) + CAST({xi} AS DOUBLE)) THEN 1 ELSE 0 END")
+        xs = [x for x, _ in ring]
+        ys = [y for _, y in ring]
+        parts.append(
+            f"SELECT lat, lon, '{name}' AS country FROM px WHERE lon BETWEEN {min(xs)} AND {max(xs)} "
+            f"AND lat BETWEEN {min(ys)} AND {max(ys)} AND ({' + '.join(edges)}) % 2 = 1")
+    return "WITH " + GRID + ", px AS (SELECT DISTINCT lat, lon FROM grid)\n" + "\nUNION ALL\n".join(parts)
+
+
+VERIF = GRID + """,
+pred AS (SELECT g.lat, g.lon, g.time, p.ndvi AS prediction FROM grid g JOIN grid p
+         ON p.lat = g.lat AND p.lon = g.lon AND p.time = g.time - INTERVAL 1 MONTH WHERE p.ndvi IS NOT NULL),
+vf AS (SELECT pred.lat, pred.lon, pred.time, pred.prediction, g.ndvi AS y FROM pred JOIN grid g
+       ON g.lat = pred.lat AND g.lon = pred.lon AND g.time = pred.time WHERE g.ndvi IS NOT NULL)"""
+
+MET = """count(*) AS n,
+       round(sqrt(avg((y - prediction) * (y - prediction))), 6) AS rmse,
+       round(sum(abs(y - prediction)), 6) / count(*) AS mae,
+       round(1 - var_pop(y - prediction) / nullif(var_pop(y), 0), 6) AS explained_variance,
+       round(1 - sum((y - prediction) * (y - prediction)) / nullif(var_pop(y) * count(*), 0), 6) AS r2,
+       round((round(sum(prediction), 6) / count(*) - round(sum(y), 6) / count(*)) / nullif(round(sum(y), 6) / count(*), 0) * 100, 6) AS pct_bias"""
+
+ORACLES["verification"] = "WITH " + VERIF + " SELECT " + MET + " FROM vf"
+
+ORACLES["band_metrics"] = "WITH " + VERIF + """,
+q AS (SELECT quantile_cont(y, 0.2) q20, quantile_cont(y, 0.4) q40, quantile_cont(y, 0.6) q60,
+             quantile_cont(y, 0.8) q80 FROM vf),
+b AS (SELECT vf.*, CASE WHEN y < q20 THEN 'low' WHEN y > q80 THEN 'high'
+                        WHEN y > q40 AND y < q60 THEN 'mid' END AS band FROM vf, q)
+SELECT band, """ + MET + " FROM b WHERE band IS NOT NULL GROUP BY band"
+
+ORACLES["error_mask"] = "WITH " + VERIF + """,
+e AS (SELECT *, y - prediction AS difference FROM vf),
+t AS (SELECT quantile_cont(abs(difference), 0.9) AS thr FROM e)
+SELECT lat, lon, time, round(difference, 6) AS difference FROM e, t WHERE abs(difference) > thr"""
+
+
+def _late():
+    ORACLES["clip_polygon"] = _clip_sql()
+
+
+try:
+    _late()
+except ImportError:  # circular import during package init; filled on first access
+    pass
+
+
+def _positive_zero(sql: str) -> str:
+    """Wrap every ``round(x, 6)`` as ``(round(x, 6) + 0.0)``: DuckDB returns
+    -0.0 for tiny negatives, Spark returns 0.0."""
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while True:
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        inner = _positive_zero(sql[j + 6:k])
+        call = f"round({inner})"
+        out.append(sql[i:j])
+        out.append(f"({call} + 0.0)" if inner.replace(" ", "").endswith(",6") else call)
+        i = k + 1
+
+
+def oracles() -> dict:
+    if "clip_polygon" not in ORACLES:
+        _late()
+    return {k: _positive_zero(v) for k, v in ORACLES.items()}

@@ -32,7 +32,8 @@ def register(name: str):
 
 
 def r6(*cols: str) -> list:
-    return [F.round(c, 6).alias(c) for c in cols]
+    # + 0.0 turns a rounded -0.0 into 0.0 so engines agree bit for bit
+    return [(F.round(c, 6) + F.lit(0.0)).alias(c) for c in cols]
 
 
 def _steps(spark, sf_dir):
@@ -68,3 +69,302 @@ def q_zscore(spark, sf_dir):
 def q_pixel_year_examples(spark, sf_dir):
     s = _steps(spark, sf_dir)
     return s.select("lat", "lon", "gb_year", "split", "step", *r6(*VALUE_COLS), "y")
+
+
+# ---------------------------------------------------------------- statistics
+from terracube.functions.lookup import LANDCOVER  # noqa: E402
+from terracube.operators import stats as S  # noqa: E402
+from terracube.operators.clean import climatology, mask_sentinel, subtract_climatology  # noqa: E402
+from terracube.schema import GRID_VARS  # noqa: E402
+
+CLIM_YEAR = 2001
+
+
+def _masked_grid(spark, sf_dir):
+    return mask_sentinel(load_grid(spark, sf_dir))
+
+
+@register("climatology")
+def q_climatology(spark, sf_dir):
+    c = climatology(load_grid(spark, sf_dir), "ndvi", CLIM_YEAR)
+    return c.select("lat", "lon", "month", *r6("ndvi_clim"))
+
+
+@register("anomaly")
+def q_anomaly(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    a = subtract_climatology(g, climatology(g, "ndvi", CLIM_YEAR), "ndvi")
+    return a.select("lat", "lon", "time", *r6("ndvi_anomaly"))
+
+
+@register("seasonal_max")
+def q_seasonal_max(spark, sf_dir):
+    return S.seasonal_max(load_grid(spark, sf_dir), "ndvi").select("month", *r6("ndvi_max_monthly_mean"))
+
+
+@register("time_mean")
+def q_time_mean(spark, sf_dir):
+    return S.time_mean(_masked_grid(spark, sf_dir), GRID_VARS, sum_decimals=6)
+
+
+@register("describe")
+def q_describe(spark, sf_dir):
+    d = S.describe(_masked_grid(spark, sf_dir), GRID_VARS, sum_decimals=6)
+    return d.select("variable", "count", "mean", *r6("std", "min", "q25", "q50", "q75", "max"))
+
+
+@register("quantiles")
+def q_quantiles(spark, sf_dir):
+    return S.quantiles(load_grid(spark, sf_dir), "ndvi").select("q", *r6("quantile"))
+
+
+@register("histogram")
+def q_histogram(spark, sf_dir):
+    return S.histogram(load_grid(spark, sf_dir), "ndvi", 40).select("bucket", "count", *r6("edge_lo"))
+
+
+@register("distinct_counts")
+def q_distinct_counts(spark, sf_dir):
+    return S.distinct_counts(load_grid(spark, sf_dir))
+
+
+@register("percentile_normalise")
+def q_percentile_normalise(spark, sf_dir):
+    pn = S.percentile_normalise(load_grid(spark, sf_dir), "ndvi", 95.0)
+    return pn.select("lat", "lon", "time", *r6("ndvi_pn"))
+
+
+@register("unit_convert")
+def q_unit_convert(spark, sf_dir):
+    from terracube.operators.units import convert_units, mean_of
+    g = mean_of(_masked_grid(spark, sf_dir), "lst_mean", "lst_day", "lst_night")
+    g = convert_units(g)
+    return g.select("lat", "lon", "time", *r6("lst_mean", "precip_mm_day", "evi_mm_day", "sm_rescaled"))
+
+
+# ----------------------------------------------------------------- resample
+from terracube.operators.resample import (densify, infer_freq, resample_first,  # noqa: E402
+                                          resample_median)
+from terracube.sources.grid import daily_series  # noqa: E402
+
+
+@register("resample_median")
+def q_resample_median(spark, sf_dir):
+    m = resample_median(daily_series(spark, sf_dir), ["user_id"], "value")
+    return m.select("user_id", "time", *r6("value"))
+
+
+@register("resample_first")
+def q_resample_first(spark, sf_dir):
+    from terracube.sources.tables import read_table
+    ev = read_table(spark, sf_dir, "events").select("user_id", F.col("ts").alias("time"), "value")
+    return resample_first(ev, ["user_id"], "value")
+
+
+@register("calendar_densify")
+def q_calendar_densify(spark, sf_dir):
+    return densify(load_grid(spark, sf_dir).select("lat", "lon", "time", "ndvi"))
+
+
+@register("infer_freq")
+def q_infer_freq(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    a = infer_freq(g).withColumn("source", F.lit("grid"))
+    b = infer_freq(daily_series(spark, sf_dir)).withColumn("source", F.lit("events_daily"))
+    c = infer_freq(g.select(F.last_day("time").cast("timestamp").alias("time"))).withColumn("source", F.lit("grid_month_end"))
+    return a.unionByName(b).unionByName(c).select("source", "freq", "n_steps")
+
+
+# ------------------------------------------------------------------- regrid
+from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest  # noqa: E402
+
+
+def _target_axes(g):
+    return (axis(g, "lat").select((F.col("v") + 0.125).alias("v")),
+            axis(g, "lon").select((F.col("v") + 0.1).alias("v")))
+
+
+@register("regrid_nearest")
+def q_regrid_nearest(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    la, lo = _target_axes(g)
+    return regrid_nearest(g, la, lo, ["ndvi", "precip"]).select(
+        *r6("lat", "lon"), "time", "ndvi", "precip")
+
+
+@register("regrid_bilinear")
+def q_regrid_bilinear(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    la, lo = _target_axes(g)
+    return regrid_bilinear(g, la, lo, ["ndvi", "sm"]).select(
+        *r6("lat", "lon"), "time", *r6("ndvi", "sm"))
+
+
+# -------------------------------------------------------------------- merge
+from terracube.operators.masks import all_valid  # noqa: E402
+from terracube.operators.merge import merge_cubes  # noqa: E402
+
+
+@register("merge_cubes")
+def q_merge_cubes(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    a = g.where(F.col("time") < F.lit("2000-01-01").cast("timestamp")).select("lat", "lon", "time", "lst_day", "lst_night")
+    b = g.where(F.col("time") >= F.lit("1998-01-01").cast("timestamp")).select("lat", "lon", "time", "precip", "ndvi")
+    m = merge_cubes(a, b)
+    return all_valid(m, ["lst_day", "precip", "ndvi"], "ndvi", "ndvi_all_valid")
+
+
+# ------------------------------------------------------------------ slicing
+from terracube.operators import slicing as SL  # noqa: E402
+
+
+@register("bbox_slice")
+def q_bbox_slice(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    ref = SL.bbox(g, 0.25, 0.75, 1.0, 3.0).select("lat", "lon")
+    return SL.bbox_from_reference(ref, g).select("lat", "lon", "time", "ndvi")
+
+
+@register("time_slice")
+def q_time_slice(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    ref = SL.time_slice(g, "1999-01-01", "1999-12-31").select("time")
+    return SL.time_slice_from_reference(ref, g).select("lat", "lon", "time", "precip")
+
+
+@register("drop_last_step")
+def q_drop_last_step(spark, sf_dir):
+    return SL.drop_last_step(load_grid(spark, sf_dir)).select("lat", "lon", "time", "evi")
+
+
+@register("isel_time")
+def q_isel_time(spark, sf_dir):
+    return SL.isel_time(load_grid(spark, sf_dir), 5).select("lat", "lon", "time", "ndvi")
+
+
+# -------------------------------------------------------------------- masks
+from terracube.operators import masks as MK  # noqa: E402
+
+
+@register("land_mask")
+def q_land_mask(spark, sf_dir):
+    return MK.land_mask(load_grid(spark, sf_dir), "sm", 1)
+
+
+@register("sea_pixels")
+def q_sea_pixels(spark, sf_dir):
+    return MK.sea_pixels(MK.land_mask(load_grid(spark, sf_dir), "sm", 1))
+
+
+@register("reference_mask")
+def q_reference_mask(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    m = MK.reference_mask(g, "sm", t_index=0)
+    out = MK.apply_mask(g.select("lat", "lon", "time", "precip"), m, ["precip"], "masked", keep_when=False)
+    return out
+
+
+@register("drought_masks")
+def q_drought_masks(spark, sf_dir):
+    from terracube.plans.drought import with_drought_indices
+    g = with_drought_indices(load_grid(spark, sf_dir))
+    g = MK.monthly_drought(g, "ndvi", "drought_ndvi_month")
+    g = MK.series_drought(g, "ndvi", "drought_ndvi_series")
+    g = g.withColumns({"drought_spi": MK.threshold_flag("spi"), "drought_spei": MK.threshold_flag("spei"),
+                       "not_drought": MK.invert("drought_ndvi_month")})
+    return g.select("lat", "lon", "time", *r6("spi", "spei"), "drought_spi", "drought_spei",
+                    "drought_ndvi_month", "drought_ndvi_series", "not_drought")
+
+
+@register("drought_lags")
+def q_drought_lags(spark, sf_dir):
+    from terracube.plans.drought import drought_lag_sets
+    return drought_lag_sets(load_grid(spark, sf_dir))
+
+
+# ------------------------------------------------------------ shift and flip
+from terracube.operators.windows import flip_lat, shift_time  # noqa: E402
+
+
+@register("shift")
+def q_shift(spark, sf_dir):
+    g = load_grid(spark, sf_dir).select("lat", "lon", "time", "precip")
+    g = g.withColumn("precip_prev", F.col("precip")).withColumn("precip_next", F.col("precip"))
+    g = shift_time(g, ["precip_prev"], 1)
+    return shift_time(g, ["precip_next"], -1)
+
+
+@register("flip_lat")
+def q_flip_lat(spark, sf_dir):
+    return flip_lat(load_grid(spark, sf_dir).select("lat", "lon", "time", "precip"), ["precip"])
+
+
+# ------------------------------------------------------------ bands, lookup
+from terracube.operators.lookup import (bands_to_time, classify_landcover,  # noqa: E402
+                                        clip_to_regions, time_axis)
+
+
+@register("band_unpivot")
+def q_band_unpivot(spark, sf_dir):
+    g = load_grid(spark, sf_dir)
+    times = time_axis(g).where(F.col("idx") <= 3)
+    g3 = g.join(F.broadcast(times), "time")
+    wide = (g3.groupBy("lat", "lon").pivot("idx", [1, 2, 3]).agg(F.first("precip"))
+              .withColumnsRenamed({"1": "Band1", "2": "Band2", "3": "Band3"}))
+    return bands_to_time(wide, times, ["lat", "lon"], "precip")
+
+
+@register("class_lookup")
+def q_class_lookup(spark, sf_dir):
+    from terracube.sources.tables import read_table
+    codes = F.array(*[F.lit(c[0]) for c in LANDCOVER])
+    part = read_table(spark, sf_dir, "part").select(
+        "p_partkey", F.element_at(codes, (F.col("p_size") % len(LANDCOVER)) + 1).alias("code"))
+    return classify_landcover(part)
+
+
+# Fixed test polygons over the derived grid (lon, lat rings).
+REGIONS = [
+    ("north", [(0.1, -0.1), (8.0, 0.4), (0.1, 1.1)]),
+    ("south", [(3.0, 0.3), (9.9, -0.2), (9.9, 1.2), (5.0, 0.9)]),
+]
+
+
+def regions_frame(spark):
+    return spark.createDataFrame(
+        [(n, [{"lon": x, "lat": y} for x, y in ring]) for n, ring in REGIONS],
+        "country string, ring array<struct<lon:double,lat:double>>")
+
+
+@register("clip_polygon")
+def q_clip_polygon(spark, sf_dir):
+    from terracube.functions.geo import with_point
+    pts = with_point(load_grid(spark, sf_dir).select("lat", "lon").distinct())
+    c = clip_to_regions(pts, regions_frame(spark))
+    return c.select("lat", "lon", "country")
+
+
+# ------------------------------------------------------------- verification
+from terracube.operators import metrics as MT  # noqa: E402
+from terracube.plans.verify import verification_frame  # noqa: E402
+
+METRICS = ["rmse", "explained_variance", "r2", "pct_bias"]
+
+
+@register("verification")
+def q_verification(spark, sf_dir):
+    v = MT.verify(verification_frame(load_grid(spark, sf_dir)), sum_decimals=6)
+    return v.select("n", "mae", *r6(*METRICS))
+
+
+@register("band_metrics")
+def q_band_metrics(spark, sf_dir):
+    b = MT.quantile_bands(verification_frame(load_grid(spark, sf_dir))).where(F.col("band").isNotNull())
+    return MT.verify(b, by=["band"], sum_decimals=6).select("band", "n", "mae", *r6(*METRICS))
+
+
+@register("error_mask")
+def q_error_mask(spark, sf_dir):
+    e = MT.error_map(verification_frame(load_grid(spark, sf_dir)))
+    m = MT.error_quantile_mask(e, 0.9, above=True)
+    return m.select("lat", "lon", "time", *r6("difference"))
