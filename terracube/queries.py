@@ -368,3 +368,58 @@ def q_error_mask(spark, sf_dir):
     e = MT.error_map(verification_frame(load_grid(spark, sf_dir)))
     m = MT.error_quantile_mask(e, 0.9, above=True)
     return m.select("lat", "lon", "time", *r6("difference"))
+
+
+# ------------------------------------------------------------------- models
+# Rows-only checks (no SQL oracle): fitted models are iterative.
+from terracube.plans import models as ML  # noqa: E402
+from terracube.plans.engineer import engineer_arrays  # noqa: E402
+
+
+def _examples(spark, sf_dir):
+    scaled, stats = clean_and_scale(load_grid(spark, sf_dir), PARAMS)
+    return engineer_arrays(scaled, TEST_YEAR), stats
+
+
+@register("linear_fit_score")
+def q_linear_fit_score(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    preds, _, _ = ML.linear_fit_score(ex)
+    return ML.evaluate(preds).select("split", "n", *r6("rmse", "mae", "r2"))
+
+
+@register("ablation")
+def q_ablation(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    return ML.ablation(ex).select("variant", "split", "n", *r6("rmse"))
+
+
+@register("coef_top10")
+def q_coef_top10(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    _, model, feats = ML.linear_fit_score(ex)
+    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10)
+
+
+@register("nonlinear_fit_score")
+def q_nonlinear_fit_score(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    return ML.evaluate(ML.nonlinear_fit_score(ex)).select("split", "n", *r6("rmse", "mae"))
+
+
+@register("linear_attribution")
+def q_linear_attribution(spark, sf_dir):
+    ex, stats = _examples(spark, sf_dir)
+    return ML.linear_attribution(ex, stats)
+
+
+@register("ffn_score")
+def q_ffn_score(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    return ML.score_network(ex, "ffn", len(VALUE_COLS))
+
+
+@register("rnn_score")
+def q_rnn_score(spark, sf_dir):
+    ex, _ = _examples(spark, sf_dir)
+    return ML.score_network(ex, "rnn", len(VALUE_COLS))
