@@ -67,3 +67,20 @@ def densify(df: DataFrame, keys: Sequence[str] = ("lat", "lon"), time: str = "ti
     cells = (df.select(*keys).distinct().crossJoin(F.broadcast(b))
                .select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias(time)))
     return cells.join(df, [*keys, time], "left")
+
+
+def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time") -> DataFrame:
+    """A22 ``ensure_same_time``: the i-th distinct time of ``df`` becomes the
+    reference's first month + i months (month-start labels).
+
+    The time axis is calendar-sized (one row per step), so ranking it in
+    one window and broadcasting the (old, new) map is bounded.
+    """
+    from pyspark.sql import Window
+    start = reference.agg(F.min(F.date_trunc("month", time)).alias("__t0"))
+    axis = df.select(F.col(time).alias("__old")).distinct()
+    axis = axis.select("__old", (F.row_number().over(Window.orderBy("__old")) - 1).alias("__i"))
+    m = axis.crossJoin(F.broadcast(start)).select(
+        "__old", F.add_months(F.col("__t0"), F.col("__i").cast("int")).cast("timestamp").alias("__new"))
+    j = df.join(F.broadcast(m), F.col(time) == F.col("__old"))
+    return j.drop(time, "__old").withColumnRenamed("__new", time).select(*df.columns)

@@ -68,3 +68,18 @@ def time_index(df: DataFrame, time: str = "time", out: str = "t_idx") -> DataFra
 def isel_time(df: DataFrame, i: int, time: str = "time") -> DataFrame:
     """Positional selection on the monthly calendar."""
     return time_index(df, time, "__ti").where(F.col("__ti") == i).drop("__ti")
+
+
+def time_slice_exact(reference: DataFrame, df: DataFrame, time: str = "time") -> DataFrame:
+    """Keep ``[min, max]`` of the reference and require equal step counts.
+
+    [deviation] the lower bound is the reference's own minimum instead of a
+    hard-coded date.  The step-count check compares two one-row aggregates.
+    """
+    b = reference.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
+    out = df.crossJoin(F.broadcast(b)).where(F.col(time).between(F.col("__t0"), F.col("__t1"))).drop("__t0", "__t1")
+    n_ref = reference.agg(F.count_distinct(time)).collect()[0][0]
+    n_out = out.agg(F.count_distinct(time)).collect()[0][0]
+    if n_ref != n_out:
+        raise ValueError(f"time steps differ after slicing: {n_out} vs reference {n_ref}")
+    return out

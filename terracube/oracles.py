@@ -431,6 +431,93 @@ except ImportError:  # circular import during package init; filled on first acce
     pass
 
 
+DAILY = """
+dp AS (
+  SELECT CAST(o_custkey % 6 AS DOUBLE) * 2e-1 AS lat,
+         CAST((o_custkey // 6) % 50 AS DOUBLE) * 2e-1 AS lon,
+         o_orderdate AS time, round(sum(o_totalprice), 2) / 1e3 AS value
+  FROM orders GROUP BY 1, 2, 3)"""
+
+
+def _neighbours(src: str, tag: str) -> str:
+    """Axis CTEs for source frame ``src`` onto the grid's axes."""
+    return f"""
+s{tag}lat AS (SELECT DISTINCT lat AS v FROM {src}),
+s{tag}lon AS (SELECT DISTINCT lon AS v FROM {src}),
+d{tag}lat AS (SELECT DISTINCT lat AS d FROM grid),
+d{tag}lon AS (SELECT DISTINCT lon AS d FROM grid),
+n{tag}lat AS (SELECT d, (SELECT max(v) FROM s{tag}lat WHERE v <= d) AS a,
+                        (SELECT min(v) FROM s{tag}lat WHERE v > d) AS a1 FROM d{tag}lat),
+n{tag}lon AS (SELECT d, (SELECT max(v) FROM s{tag}lon WHERE v <= d) AS a,
+                        (SELECT min(v) FROM s{tag}lon WHERE v > d) AS a1 FROM d{tag}lon)"""
+
+
+def _bilinear(src: str, tag: str, var: str, out: str) -> str:
+    w = []
+    for ax in ("lat", "lon"):
+        n = f"n{tag}{ax}"
+        w0 = "CASE WHEN d = a THEN 1.0 ELSE (a1 - d) / (a1 - a) END"
+        w.append(f"""
+w{tag}{ax}0 AS (
+  SELECT d, a AS s, {w0} AS w FROM {n} WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL)
+  UNION ALL
+  SELECT d, a1, 1.0 - {w0} FROM {n} WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL) AND a1 IS NOT NULL),
+w{tag}{ax} AS (SELECT *, count(*) OVER (PARTITION BY d) AS nw FROM w{tag}{ax}0 WHERE w <> 0)""")
+    return _neighbours(src, tag) + "," + ",".join(w) + f""",
+j{tag} AS (SELECT wl.d AS lat, wo.d AS lon, x.time, wl.w * wo.w AS w, wl.nw * wo.nw AS need, x.{var} AS v
+          FROM {src} x JOIN w{tag}lat wl ON x.lat = wl.s JOIN w{tag}lon wo ON x.lon = wo.s),
+{out} AS (SELECT lat, lon, time,
+                 CASE WHEN count(*) = first(need) AND count(v) = first(need) THEN sum(w * v) END AS {var}
+          FROM j{tag} GROUP BY lat, lon, time)"""
+
+
+def _nearest(src: str, tag: str, var: str, out: str) -> str:
+    pick = "CASE WHEN a IS NULL THEN a1 WHEN a1 IS NULL THEN a WHEN d - a <= a1 - d THEN a ELSE a1 END"
+    return _neighbours(src, tag) + f""",
+m{tag}lat AS (SELECT d, {pick} AS s FROM n{tag}lat),
+m{tag}lon AS (SELECT d, {pick} AS s FROM n{tag}lon),
+{out} AS (SELECT ml.d AS lat, mo.d AS lon, x.time, x.{var}
+          FROM {src} x JOIN m{tag}lat ml ON x.lat = ml.s JOIN m{tag}lon mo ON x.lon = mo.s)"""
+
+
+ORACLES["harmonise_script"] = "WITH " + GRID + "," + DAILY + """,
+fm AS (SELECT lat, lon, last_day(time) AS t, arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value
+       FROM dp GROUP BY 1, 2, 3),
+ax AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM (SELECT DISTINCT t FROM fm)),
+t0 AS (SELECT min(date_trunc('month', time)) AS t0 FROM grid),
+rl AS (SELECT fm.lat, fm.lon, CAST(t0.t0 + to_months(CAST(ax.i AS INTEGER)) AS TIMESTAMP) AS time, fm.value
+       FROM fm JOIN ax ON fm.t = ax.t, t0),
+sl AS (SELECT * FROM rl WHERE time BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-06-01'),""" + \
+    _nearest("sl", "h", "value", "p") + """
+SELECT coalesce(g.lat, p.lat) AS lat, coalesce(g.lon, p.lon) AS lon, coalesce(g.time, p.time) AS time,
+       g.precip, g.ndvi, p.value
+FROM grid g FULL OUTER JOIN p ON g.lat = p.lat AND g.lon = p.lon AND g.time = p.time"""
+
+ORACLES["harmonise_bilinear"] = "WITH " + GRID + "," + DAILY + """,
+md AS (SELECT lat, lon, date_trunc('month', time) AS time, median(value) AS evap FROM dp GROUP BY 1, 2, 3),
+b AS (SELECT min(time) AS t0, max(time) + INTERVAL 1 MONTH AS t1 FROM grid),
+sl AS (SELECT md.* FROM md, b WHERE md.time BETWEEN b.t0 AND b.t1),""" + \
+    _bilinear("sl", "b", "evap", "p") + """
+SELECT coalesce(g.lat, p.lat) AS lat, coalesce(g.lon, p.lon) AS lon, coalesce(g.time, p.time) AS time,
+       g.ndvi, round((g.lst_day + g.lst_night) / 2, 6) AS lst_mean,
+       floor(floor(p.evap * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evap
+FROM grid g FULL OUTER JOIN p ON g.lat = p.lat AND g.lon = p.lon AND g.time = p.time"""
+
+ORACLES["harmonise_rainfall"] = "WITH " + GRID + "," + DAILY + """,
+fm AS (SELECT lat, lon, CAST(date_trunc('month', last_day(time)) AS TIMESTAMP) AS time,
+              arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value FROM dp GROUP BY 1, 2, 3),
+b AS (SELECT min(time) AS t0, max(time) AS t1 FROM grid WHERE time <= TIMESTAMP '2001-06-01'),
+sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 30.417 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
+    _bilinear("sl0", "r", "value", "p") + """,
+t0 AS (SELECT min(time) AS t FROM grid),
+at0 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t0 WHERE grid.time = t0.t GROUP BY 1, 2),
+px AS (SELECT DISTINCT lat, lon FROM grid),
+m AS (SELECT px.lat, px.lon, NOT coalesce(at0.has, false) AS masked
+      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon)
+SELECT p.lat, p.lon, p.time, round(CASE WHEN m.masked = false THEN p.value END, 6) AS precip
+FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
+
+
 def _positive_zero(sql: str) -> str:
     """Wrap every ``round(x, 6)`` as ``(round(x, 6) + 0.0)``: DuckDB returns
     -0.0 for tiny negatives, Spark returns 0.0."""

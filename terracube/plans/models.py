@@ -27,6 +27,18 @@ def feature_labels(features: Sequence[str] = VALUE_COLS, months: int = 11) -> li
     return [f"{v}_{m}" for m in range(1, months + 1) for v in features]
 
 
+def materialise(examples: DataFrame) -> DataFrame:
+    """Reliable checkpoint of a model input in the shared checkpoint folder.
+
+    Iterative fits scan their input several times; without this every pass
+    would recompute scan -> clean -> windows -> arrays, and a lost executor
+    mid-fit would rerun that lineage.  The example set is one row per
+    pixel-year, far smaller than the cube it came from.
+    """
+    from terracube.session import cut_lineage
+    return cut_lineage(examples)
+
+
 def prepare(examples: DataFrame, hide_vegetation: bool = False,
             features: Sequence[str] = VALUE_COLS) -> tuple[DataFrame, list[str]]:
     """P25 + W9: optional vegetation hiding, then the flattened vector."""

@@ -36,6 +36,14 @@ def r6(*cols: str) -> list:
     return [(F.round(c, 6) + F.lit(0.0)).alias(c) for c in cols]
 
 
+def fixed6(c: str):
+    """Half-up to 6 decimals after snapping to 1e-10, from IEEE operations
+    only (multiply, add, floor, divide), so every engine returns the same
+    bits even for values that sit exactly on a rounding tie.  For |x| < 1e5."""
+    snapped = F.floor(F.col(c) * F.lit(1e10) + F.lit(0.5))
+    return (F.floor(snapped / F.lit(1e4) + F.lit(0.5)) / F.lit(1e6)).alias(c)
+
+
 def _steps(spark, sf_dir):
     scaled, _ = clean_and_scale(load_grid(spark, sf_dir), PARAMS)
     return engineer_steps(scaled, TEST_YEAR)
@@ -378,7 +386,7 @@ from terracube.plans.engineer import engineer_arrays  # noqa: E402
 
 def _examples(spark, sf_dir):
     scaled, stats = clean_and_scale(load_grid(spark, sf_dir), PARAMS)
-    return engineer_arrays(scaled, TEST_YEAR), stats
+    return ML.materialise(engineer_arrays(scaled, TEST_YEAR)), stats
 
 
 @register("linear_fit_score")
@@ -423,3 +431,28 @@ def q_ffn_score(spark, sf_dir):
 def q_rnn_score(spark, sf_dir):
     ex, _ = _examples(spark, sf_dir)
     return ML.score_network(ex, "rnn", len(VALUE_COLS))
+
+
+# ---------------------------------------------------------------- harmonise
+from terracube.plans import harmonise as HM  # noqa: E402
+from terracube.sources.grid import load_daily_product  # noqa: E402
+
+
+@register("harmonise_script")
+def q_harmonise_script(spark, sf_dir):
+    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "precip", "ndvi")
+    return HM.harmonise_script(ref, load_daily_product(spark, sf_dir))
+
+
+@register("harmonise_bilinear")
+def q_harmonise_bilinear(spark, sf_dir):
+    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "lst_day", "lst_night", "ndvi")
+    h = HM.harmonise_to_reference(ref, load_daily_product(spark, sf_dir), check=False)
+    return h.select("lat", "lon", "time", "ndvi", *r6("lst_mean"), fixed6("evap"))
+
+
+@register("harmonise_rainfall")
+def q_harmonise_rainfall(spark, sf_dir):
+    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
+    h = HM.rainfall_cleaner(ref, load_daily_product(spark, sf_dir))
+    return h.select("lat", "lon", "time", *r6("precip"))

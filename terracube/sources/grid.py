@@ -55,3 +55,24 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily observations for resampling: pixel = user_id, time = day."""
     ev = read_table(spark, sf_dir, "events")
     return ev.select("user_id", F.date_trunc("day", "ts").alias("time"), "value")
+
+
+def daily_product(orders: DataFrame) -> DataFrame:
+    """A second, differently shaped product for harmonisation.
+
+    Daily time step, a 0.2-degree grid offset from the monthly cube, long
+    coordinate names and a generic variable name (``latitude``,
+    ``longitude``, ``time``, ``value``): the shape the harmonise step has
+    to bring onto the reference grid.  ``value`` is the day's order total
+    (rounded to cents, so it is exact) in thousands.
+    """
+    o = orders.select("o_custkey", "o_orderdate", "o_totalprice")
+    g = (o.groupBy(F.expr("CAST(o_custkey % 6 AS DOUBLE) * 2e-1").alias("latitude"),
+                   F.expr("CAST((o_custkey div 6) % 50 AS DOUBLE) * 2e-1").alias("longitude"),
+                   F.col("o_orderdate").alias("time"))
+          .agg(F.round(F.sum("o_totalprice"), 2).alias("__s")))
+    return g.select("latitude", "longitude", "time", (F.col("__s") / 1e3).alias("value"))
+
+
+def load_daily_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return daily_product(read_table(spark, sf_dir, "orders"))
