@@ -1,20 +1,26 @@
 """Exact quantiles (linear interpolation) without an unbounded buffer.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer, which is a whole column in one task for a global
-quantile.  Here the exact answer is found in two bounded passes:
+aggregation buffer: for a global quantile that is a whole column in one
+task.  Here the exact answer comes from two bounded passes:
 
 1. per group: ``count`` and a ``percentile_approx`` sketch (fixed memory,
-   partial aggregation) at ``q -/+ margin`` bracket each target rank;
-2. per group and quantile: ``count(v < lo)`` plus the *distinct* values in
-   ``[lo, hi]`` with their multiplicities (ties collapse, so a value that
-   holds a third of the rows is one row).  A running sum over that small
-   band locates the rows at ranks ``floor(h)`` and ``ceil(h)``,
-   ``h = q * (n - 1)``, and the result is ``v_lo + (h - floor h) * (v_hi - v_lo)``
-   (the numpy ``linear`` rule, same as DuckDB ``quantile_cont``).
+   partial aggregation).  For ``h = q * (n - 1)`` the rows at ranks
+   ``floor(h)`` and ``ceil(h)`` are bracketed by the sketch values at
+   ``q -/+ m`` with ``m = 3/accuracy + 2/small``: the sketch's rank error is
+   at most ``n/accuracy`` and the rank convention differs from ``h`` by at
+   most ``2`` rows, so for ``n > small`` the bracket provably holds both
+   ranks.  Groups with ``n <= small`` use ``[min, max]`` (at most ``small``
+   distinct values).
+2. per group and quantile: values below the bracket collapse to one count,
+   values inside collapse to (distinct value, multiplicity) during the
+   map-side partial aggregate, so a value that holds a third of all rows
+   is one row after the shuffle.  A running sum over that band finds the
+   two ranks; the result is ``v_lo + (h - floor h) * (v_hi - v_lo)`` (the
+   numpy ``linear`` rule, DuckDB ``quantile_cont``, Spark ``percentile``).
 
-If a bracket ever misses its rank (the sketch bound is documented, so this
-is a safety net) that group/quantile is recomputed with an open bracket.
+A violated bracket raises (``assert_true``) instead of returning a wrong
+value.
 """
 
 from __future__ import annotations
@@ -24,70 +30,57 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+SMALL_GROUP = 100_000
+
 
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
-                    keys: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
+                    keys: Sequence[str] = (), accuracy: int = 100_000,
+                    small: int = SMALL_GROUP) -> DataFrame:
     """Long result ``(keys..., q, quantile)``; NULL values are ignored."""
     keys = list(keys)
     qs = [float(q) for q in qs]
-    margin = 3.0 / accuracy
+    margin = 3.0 / accuracy + 2.0 / small
     src = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
 
     pcts = []
     for q in qs:
         pcts += [max(0.0, q - margin), min(1.0, q + margin)]
-    sk = (src.groupBy(*keys) if keys else src.groupBy())
-    sketch = sk.agg(F.count(F.lit(1)).alias("__n"),
-                    F.percentile_approx("__v", pcts, accuracy).alias("__a"),
-                    F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    qarr = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(2 * i).alias("i")) for i, q in enumerate(qs)])
+    g = src.groupBy(*keys) if keys else src.groupBy()
+    sketch = g.agg(F.count(F.lit(1)).alias("__n"),
+                   F.percentile_approx("__v", pcts, accuracy).alias("__a"),
+                   F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    qarr = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(2 * i + 1).alias("i")) for i, q in enumerate(qs)])
+    whole = F.col("__n") <= small
     bands = (sketch.select(*keys, "__n", "__a", "__min", "__max", F.explode(qarr).alias("__qq"))
-             .select(*keys, "__n",
-                     F.col("__qq.q").alias("q"),
-                     F.when(F.col("__qq.q") - margin <= 0, F.col("__min"))
-                      .otherwise(F.element_at("__a", F.col("__qq.i") + 1)).alias("__lo"),
-                     F.when(F.col("__qq.q") + margin >= 1, F.col("__max"))
-                      .otherwise(F.element_at("__a", F.col("__qq.i") + 2)).alias("__hi"),
-                     "__min", "__max"))
-    bands = bands.withColumns({
-        "__h": F.col("q") * (F.col("__n") - 1),
-    }).withColumns({
-        "__rlo": F.floor("__h").cast("long"),
-        "__rhi": F.ceil("__h").cast("long"),
-    })
-
-    def locate(b: DataFrame) -> DataFrame:
-        # global: the band table has one row per quantile -> broadcast;
-        # grouped: one row per (group, quantile) -> shuffle join on the keys
-        j = src.crossJoin(F.broadcast(b)) if not keys else src.join(b, keys, "inner")
-        gk = [*keys, "q", "__n", "__h", "__rlo", "__rhi", "__lo", "__hi"]
-        below = j.groupBy(*gk).agg(F.count_if(F.col("__v") < F.col("__lo")).alias("__below"))
-        band = (j.where((F.col("__v") >= F.col("__lo")) & (F.col("__v") <= F.col("__hi")))
-                 .groupBy(*keys, "q", "__v").agg(F.count(F.lit(1)).alias("__c")))
-        w = Window.partitionBy(*keys, "q").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-        band = band.withColumn("__cum", F.sum("__c").over(w))
-        m = band.join(below, [*keys, "q"], "inner")
-        # value covering rank r: first distinct value whose last rank >= r
-        last_rank = F.col("__below") + F.col("__cum") - 1
-        agg = m.groupBy(*keys, "q", "__h", "__rlo", "__rhi", "__below").agg(
-            F.min(F.when(last_rank >= F.col("__rlo"), F.col("__v"))).alias("__vlo"),
-            F.min(F.when(last_rank >= F.col("__rhi"), F.col("__v"))).alias("__vhi"),
-            F.min(F.col("__below") + F.col("__cum") - F.col("__c")).alias("__first"))
-        ok = ((F.col("__below") <= F.col("__rlo")) & F.col("__vhi").isNotNull())
-        return agg.withColumn("__ok", ok)
+             .select(*keys, "__n", F.col("__qq.q").alias("q"),
+                     F.when(whole | (F.col("__qq.q") - margin <= 0), F.col("__min"))
+                      .otherwise(F.element_at("__a", F.col("__qq.i"))).alias("__lo"),
+                     F.when(whole | (F.col("__qq.q") + margin >= 1), F.col("__max"))
+                      .otherwise(F.element_at("__a", F.col("__qq.i") + 1)).alias("__hi"))
+             .withColumn("__h", F.col("q") * (F.col("__n") - 1)))
+    bands = bands.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long")})
 
-    found = locate(bands)
-    res = found.where("__ok").select(
-        *keys, "q",
-        (F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))).alias("quantile"))
-    # safety net: widen the bracket to the whole group where the sketch missed
-    missed = found.where(~F.col("__ok")).select(*keys, "q")
-    wide = (bands.join(missed, [*keys, "q"], "left_semi")
-                 .withColumn("__lo", F.col("__min")).withColumn("__hi", F.col("__max")))
-    res2 = locate(wide).select(
+    # global: one band row per quantile -> broadcast; grouped: shuffle join on keys
+    j = src.crossJoin(F.broadcast(bands)) if not keys else src.join(bands, keys, "inner")
+    gk = [*keys, "q", "__h", "__rlo", "__rhi"]
+    is_below = F.col("__v") < F.col("__lo")
+    counted = (j.where(F.col("__v") <= F.col("__hi"))
+                .groupBy(*gk, is_below.alias("__isb"), F.when(~is_below, F.col("__v")).alias("__vb"))
+                .agg(F.count(F.lit(1)).alias("__c")))
+    part = Window.partitionBy(*keys, "q")
+    counted = counted.withColumn("__below", F.sum(F.when(F.col("__isb"), F.col("__c")).otherwise(0)).over(part))
+    band = counted.where(~F.col("__isb"))
+    band = band.withColumn("__cum", F.sum("__c").over(part.orderBy("__vb").rowsBetween(Window.unboundedPreceding, 0)))
+    last_rank = F.col("__below") + F.col("__cum") - 1
+    agg = band.groupBy(*gk, "__below").agg(
+        F.min(F.when(last_rank >= F.col("__rlo"), F.col("__vb"))).alias("__vlo"),
+        F.min(F.when(last_rank >= F.col("__rhi"), F.col("__vb"))).alias("__vhi"))
+    ok = (F.col("__below") <= F.col("__rlo")) & F.col("__vhi").isNotNull()
+    return agg.select(
         *keys, "q",
-        (F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))).alias("quantile"))
-    return res.unionByName(res2)
+        F.when(F.assert_true(ok, "quantile bracket missed its rank").isNull(),
+               F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))
+               ).alias("quantile"))
 
 
 def quantile_row(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str],

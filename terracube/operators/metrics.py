@@ -41,10 +41,13 @@ def verify(df: DataFrame, y: str = "y", p: str = "prediction", by: Sequence[str]
     return g.agg(*metric_columns(y, p, sum_decimals))
 
 
-def smooth_l1(y: str = "y", p: str = "prediction") -> Column:
+def smooth_l1(y: str = "y", p: str = "prediction", sum_decimals: int | None = None) -> Column:
     """Mean smooth-L1 loss (beta 1)."""
     e = F.abs(F.col(y) - F.col(p))
-    return F.avg(F.when(e < 1, 0.5 * e * e).otherwise(e - 0.5)).alias("smooth_l1")
+    loss = F.when(e < 1, 0.5 * e * e).otherwise(e - 0.5)
+    if sum_decimals is None:
+        return F.avg(loss).alias("smooth_l1")
+    return F.try_divide(F.round(F.sum(loss), sum_decimals), F.count(loss)).alias("smooth_l1")
 
 
 def error_map(df: DataFrame, y: str = "y", p: str = "prediction") -> DataFrame:

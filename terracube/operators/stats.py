@@ -113,3 +113,19 @@ def percentile_normalise(df: DataFrame, var: str, pct: float = 95.0, out: str |
 def quantiles(df: DataFrame, var: str, qs: Sequence[float] = (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)) -> DataFrame:
     """Exact quantiles with linear interpolation, long form (q, quantile)."""
     return exact_quantiles(df, var, qs)
+
+
+def head_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """The first ``n`` rows under an explicit order (a limit is the
+    feature here; Spark plans a TakeOrderedAndProject, i.e. per-task top-n
+    then a merge of n rows per task)."""
+    return df.orderBy(*order).limit(n)
+
+
+def stack_labelled(frames: dict, label: str = "data") -> DataFrame:
+    """Concatenate frames with the same columns, tagging each with its label."""
+    out = None
+    for name, f in frames.items():
+        t = f.withColumn(label, F.lit(name))
+        out = t if out is None else out.unionByName(t)
+    return out

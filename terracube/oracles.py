@@ -518,6 +518,39 @@ SELECT p.lat, p.lon, p.time, round(CASE WHEN m.masked = false THEN p.value END,
 FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
 
 
+ORACLES["pixel_year_counts"] = "WITH " + CLEAN + """,
+n AS (SELECT lat, lon, gb_year, count(*) AS n FROM cleaned GROUP BY 1, 2, 3)
+SELECT gb_year, count_if(n = 12) AS processed, count_if(n <> 12) AS skipped FROM n GROUP BY gb_year"""
+
+ORACLES["min_max"] = "WITH " + MASKED + " SELECT " + ", ".join(
+    f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in GV) + " FROM mg"
+
+ORACLES["lst_mask_by_mean"] = "WITH " + GRID + """
+SELECT lat, lon, time,
+       CASE WHEN (lst_day + lst_night) / 2 < 100 THEN lst_day END AS lst_day,
+       CASE WHEN (lst_day + lst_night) / 2 < 100 THEN lst_night END AS lst_night
+FROM grid"""
+
+ORACLES["labelled_stack"] = "WITH " + VERIF + """
+SELECT g.lat, g.lon, g.time, p.ndvi, 'prediction' AS data FROM grid g JOIN grid p
+  ON p.lat = g.lat AND p.lon = g.lon AND p.time = g.time - INTERVAL 1 MONTH WHERE p.ndvi IS NOT NULL
+UNION ALL
+SELECT lat, lon, time, ndvi, 'truth' FROM grid WHERE ndvi IS NOT NULL"""
+
+ORACLES["first_rows"] = "WITH " + GRID + " SELECT * FROM grid ORDER BY time, lat, lon LIMIT 10"
+
+ORACLES["month_names"] = "WITH " + GRID + """,
+m AS (SELECT lat, lon, month(time) AS month, avg(ndvi) AS m FROM grid GROUP BY 1, 2, 3)
+SELECT month, monthname(make_date(2000, month, 1)) AS month_name,
+       round(max(m), 6) AS ndvi_max_monthly_mean FROM m GROUP BY month"""
+
+ORACLES["smooth_l1"] = "WITH " + VERIF + """,
+e AS (SELECT year(time) AS year, abs(y - prediction) AS e FROM vf),
+s AS (SELECT year, count(*) AS n,
+             round(sum(CASE WHEN e < 1 THEN 0.5 * e * e ELSE e - 0.5 END), 7) / count(*) AS l FROM e GROUP BY year)
+SELECT year, n, floor(floor(l * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS smooth_l1 FROM s"""
+
+
 def _positive_zero(sql: str) -> str:
     """Wrap every ``round(x, 6)`` as ``(round(x, 6) + 0.0)``: DuckDB returns
     -0.0 for tiny negatives, Spark returns 0.0."""

@@ -456,3 +456,133 @@ def q_harmonise_rainfall(spark, sf_dir):
     ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
     h = HM.rainfall_cleaner(ref, load_daily_product(spark, sf_dir))
     return h.select("lat", "lon", "time", *r6("precip"))
+
+
+# ------------------------------------------------------- small report queries
+from terracube.operators.windows import count_pixel_years  # noqa: E402
+
+
+@register("pixel_year_counts")
+def q_pixel_year_counts(spark, sf_dir):
+    """A5/A23 on the cleaned rows: processed and skipped pixel-years."""
+    c = clean_cube(load_grid(spark, sf_dir), PARAMS)
+    return count_pixel_years(c)
+
+
+@register("min_max")
+def q_min_max(spark, sf_dir):
+    return S.min_max(_masked_grid(spark, sf_dir), GRID_VARS)
+
+
+@register("lst_mask_by_mean")
+def q_lst_mask_by_mean(spark, sf_dir):
+    """P26 then P6: every LST variable kept only where lst_mean < 100."""
+    from terracube.operators.clean import mask_by_other
+    from terracube.operators.units import mean_of
+    g = mean_of(load_grid(spark, sf_dir), "lst_mean", "lst_day", "lst_night")
+    g = mask_by_other(g, "lst_mean", 100.0, ["lst_day", "lst_night"])
+    return g.select("lat", "lon", "time", "lst_day", "lst_night")
+
+
+@register("labelled_stack")
+def q_labelled_stack(spark, sf_dir):
+    """Predictions and truth stacked with a label column."""
+    from terracube.plans.verify import persistence_forecast, truth
+    g = load_grid(spark, sf_dir)
+    p = persistence_forecast(g).withColumnRenamed("prediction", "ndvi")
+    t = truth(g).withColumnRenamed("y", "ndvi")
+    return S.stack_labelled({"prediction": p, "truth": t})
+
+
+@register("first_rows")
+def q_first_rows(spark, sf_dir):
+    """First 10 cube rows in key order."""
+    return S.head_rows(load_grid(spark, sf_dir), 10, ["time", "lat", "lon"])
+
+
+@register("month_names")
+def q_month_names(spark, sf_dir):
+    """F12 with A7: month name next to the seasonal maximum."""
+    from terracube.functions.time import month_name
+    g = load_grid(spark, sf_dir)
+    names = g.select(F.month("time").alias("month"), month_name("time").alias("month_name")).distinct()
+    return S.seasonal_max(g, "ndvi").join(names, "month").select("month", "month_name", *r6("ndvi_max_monthly_mean"))
+
+
+@register("smooth_l1")
+def q_smooth_l1(spark, sf_dir):
+    """Smooth-L1 loss of the persistence forecast per calendar year."""
+    from terracube.operators.metrics import smooth_l1
+    v = verification_frame(load_grid(spark, sf_dir))
+    return v.groupBy(F.year("time").alias("year")).agg(F.count(F.lit(1)).alias("n"), smooth_l1(sum_decimals=7)).select(
+        "year", "n", fixed6("smooth_l1"))
+
+
+# ------------------------------------------------------- sinks and round trips
+# Rows-only: each writes to the shared checkpoint folder and reads back.
+from terracube.sources import io as IO  # noqa: E402
+
+
+@register("round_trip_csv")
+def q_round_trip_csv(spark, sf_dir):
+    """S3 -> S2 on the cleaned rows (explicit schema on read)."""
+    from pyspark.sql import types as T
+    c = clean_cube(load_grid(spark, sf_dir), PARAMS)
+    path = IO.scratch_path(spark, "clean-csv")
+    IO.write_csv(c, path)
+    schema = T.StructType([T.StructField(n, T.TimestampType() if n == "time" else
+                                         T.IntegerType() if n in ("gb_year", "gb_month") else T.DoubleType())
+                           for n in c.columns])
+    return IO.read_csv(spark, path, schema)
+
+
+@register("round_trip_json")
+def q_round_trip_json(spark, sf_dir):
+    """Normalising statistics written as JSON and read back."""
+    st = normalising_stats(clean_cube(load_grid(spark, sf_dir), PARAMS), VALUE_COLS)
+    path = IO.scratch_path(spark, "stats-json")
+    IO.write_stats(st, path)
+    return IO.read_stats(spark, path)
+
+
+@register("guarded_write")
+def q_guarded_write(spark, sf_dir):
+    """The second unforced write is ignored; the forced one replaces."""
+    g = load_grid(spark, sf_dir)
+    path = IO.scratch_path(spark, "guarded")
+    IO.guarded_write(g.where("year(time) = 1999"), path)
+    IO.guarded_write(g.where("year(time) = 2000"), path)            # ignored
+    first = spark.read.parquet(path).agg(F.min(F.year("time"))).collect()[0][0]
+    IO.guarded_write(g.where("year(time) = 2000"), path, force=True)  # replaces
+    return spark.read.parquet(path).withColumn("first_write_year", F.lit(first))
+
+
+@register("examples_round_trip")
+def q_examples_round_trip(spark, sf_dir):
+    """Examples by split, test split read back with pruning,
+    cube written partitioned by year, predictions written keyed."""
+    ex, _ = _examples(spark, sf_dir)
+    path = IO.scratch_path(spark, "examples")
+    IO.write_examples(ex, path)
+    cube_path = IO.scratch_path(spark, "cube")
+    IO.write_cube(load_grid(spark, sf_dir), cube_path)
+    test = IO.read_examples(spark, path, "test")
+    preds, model, _ = ML.linear_fit_score(ex)
+    IO.write_predictions(preds, IO.scratch_path(spark, "preds"))
+    IO.save_model(model, IO.scratch_path(spark, "model"))
+    n_cube = IO.read_cube(spark, cube_path).where("year = 2001").count()
+    return test.select("lat", "lon", "gb_year", "split", "y").withColumn("cube_rows_2001", F.lit(n_cube))
+
+
+@register("stream_monthly_first")
+def q_stream_monthly_first(spark, sf_dir):
+    """A4 as Structured Streaming over the daily product written as files."""
+    from terracube.sources.grid import load_daily_product
+    from terracube.streaming import run_monthly_first
+    from terracube.operators.conform import normalise_coordinate_names
+    daily = normalise_coordinate_names(load_daily_product(spark, sf_dir))
+    src = IO.scratch_path(spark, "daily")
+    daily.write.mode("overwrite").parquet(src)
+    out, ck = IO.scratch_path(spark, "monthly"), IO.scratch_path(spark, "monthly-ckpt")
+    run_monthly_first(spark, src, daily.schema, ["lat", "lon"], "value", out, ck)
+    return spark.read.parquet(out)
