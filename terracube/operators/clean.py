@@ -7,7 +7,20 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.schema import LST_COLS, LST_SENTINEL, PIXEL
+from terracube.schema import LST_COLS, LST_SENTINEL, PIXEL, PIXEL_ID, pixel_keys
+
+
+def cluster_by_pixel(df: DataFrame) -> DataFrame:
+    """Hash-partition a cube by pixel once.
+
+    Every pixel-local operator downstream (anomaly per pixel-month, drought
+    thresholds, lags, 12-month examples per pixel-year) needs its rows
+    clustered by keys that *start with* (lat, lon), which this partitioning
+    satisfies: one exchange instead of one per window.  A pixel's whole
+    series is bounded by the calendar length, so no partition grows with the
+    number of pixels; AQE coalesces small partitions.
+    """
+    return df.withColumn(PIXEL_ID, F.xxhash64(*PIXEL)).repartition(PIXEL_ID)
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
@@ -45,7 +58,7 @@ def anomaly(df: DataFrame, var: str = "ndvi", out: str | None = None,
     """
     out = out or f"{var}_anomaly"
     part = F.month(time) if group == "month" else F.dayofyear(time)
-    w = Window.partitionBy(*PIXEL, part)
+    w = Window.partitionBy(*pixel_keys(df), part)
     clim = F.avg(F.when(F.year(time) < clim_before_year, F.col(var))).over(w)
     return df.withColumn(out, F.col(var) - clim)
 

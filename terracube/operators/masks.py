@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracube.operators.slicing import time_index
-from terracube.schema import PIXEL
+from terracube.schema import PIXEL, pixel_keys
 
 # Thresholds are rounded to 1e-9 before the strict comparison so that
 # engine-dependent last bits of a mean/std cannot flip an exact tie.
@@ -84,7 +84,7 @@ def series_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi")
     One exchange on the pixel; the frame is the whole partition, computed by
     the window operator's spillable buffer.
     """
-    w = Window.partitionBy(*PIXEL)
+    w = Window.partitionBy(*pixel_keys(df))
     thr = F.round(F.avg(var).over(w) - F.stddev_pop(var).over(w), TIE_DECIMALS)
     return df.withColumn(out, F.coalesce(F.col(var) < thr, F.lit(False)))
 
@@ -92,7 +92,7 @@ def series_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi")
 def monthly_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi",
                     time: str = "time") -> DataFrame:
     """Same rule within each (pixel, calendar month)."""
-    w = Window.partitionBy(*PIXEL, F.month(time))
+    w = Window.partitionBy(*pixel_keys(df), F.month(time))
     thr = F.round(F.avg(var).over(w) - F.stddev_pop(var).over(w), TIE_DECIMALS)
     return df.withColumn(out, F.coalesce(F.col(var) < thr, F.lit(False)))
 
@@ -100,6 +100,6 @@ def monthly_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi",
 def pixel_month_zscore(df: DataFrame, expr: F.Column, out: str, time: str = "time") -> DataFrame:
     """Standardised index per (pixel, month) with population std; used to
     build SPI/SPEI stand-ins when the ready-made products are absent."""
-    w = Window.partitionBy(*PIXEL, F.month(time))
+    w = Window.partitionBy(*pixel_keys(df), F.month(time))
     z = F.try_divide(expr - F.avg(expr).over(w), F.stddev_pop(expr).over(w))
     return df.withColumn(out, F.round(z, TIE_DECIMALS))

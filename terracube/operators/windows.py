@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.schema import PIXEL
+from terracube.schema import PIXEL, PIXEL_ID, pixel_keys
 
 EXAMPLE_KEYS = ["lat", "lon", "gb_year"]
 
@@ -23,7 +23,8 @@ def example_steps(df: DataFrame, features: Sequence[str], target: str = "target"
     and the ordered frame; nothing is collected, so a pixel-year of any
     size streams through the sort.
     """
-    part = Window.partitionBy(*EXAMPLE_KEYS)
+    keys = [PIXEL_ID, *EXAMPLE_KEYS] if PIXEL_ID in df.columns else EXAMPLE_KEYS
+    part = Window.partitionBy(*keys)
     ordered = part.orderBy("gb_month", "time")
     df = df.withColumns({
         "n_rows": F.count(F.lit(1)).over(part),
@@ -87,7 +88,7 @@ def lag_stack(df: DataFrame, cols: Sequence[str], lags: int = 3, time: str = "ti
     """
     mi = F.year(time) * 12 + F.month(time)
     df = df.withColumn(index, mi)
-    w = Window.partitionBy(*PIXEL).orderBy(index)
+    w = Window.partitionBy(*pixel_keys(df)).orderBy(index)
     out = {}
     for v in cols:
         out[f"{v}_t0"] = F.col(v)
@@ -98,7 +99,7 @@ def lag_stack(df: DataFrame, cols: Sequence[str], lags: int = 3, time: str = "ti
 
 def shift_time(df: DataFrame, cols: Sequence[str], n: int, time: str = "time") -> DataFrame:
     """``ds.shift(time=n)`` on a dense cube: positive n pulls the past forward."""
-    w = Window.partitionBy(*PIXEL).orderBy(time)
+    w = Window.partitionBy(*pixel_keys(df)).orderBy(time)
     f = (lambda c: F.lag(c, n).over(w)) if n >= 0 else (lambda c: F.lead(c, -n).over(w))
     return df.withColumns({c: f(c) for c in cols})
 

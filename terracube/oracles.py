@@ -297,7 +297,7 @@ f AS (
     coalesce(ndvi < round(avg(ndvi) OVER (PARTITION BY lat, lon)
                           - stddev_pop(ndvi) OVER (PARTITION BY lat, lon), 9), false) AS drought_ndvi_series
   FROM di)
-SELECT lat, lon, time, round(spi, 6) AS spi, round(spei, 6) AS spei,
+SELECT lat, lon, time, spi + 0.0 AS spi, spei + 0.0 AS spei,
        coalesce(spi < -1, false) AS drought_spi, coalesce(spei < -1, false) AS drought_spei,
        drought_ndvi_month, drought_ndvi_series, NOT drought_ndvi_month AS not_drought
 FROM f"""

@@ -12,9 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from terracube.functions.time import with_relative_time
-from terracube.operators.clean import (anomaly, copy_target, drop_incomplete,
+from terracube.operators.clean import (anomaly, cluster_by_pixel, copy_target, drop_incomplete,
                                        mask_lst, normalising_stats, zscore)
-from terracube.schema import KEY_COLS, VALUE_COLS
+from terracube.schema import KEY_COLS, PIXEL_ID, VALUE_COLS
 
 
 @dataclass(frozen=True)
@@ -26,11 +26,12 @@ class CleanParams:
 
 def clean_cube(raw: DataFrame, p: CleanParams = CleanParams()) -> DataFrame:
     """Rows of KEY_COLS + VALUE_COLS that survive the null rule, raw units."""
-    df = with_relative_time(raw, p.pred_month)
+    df = with_relative_time(cluster_by_pixel(raw), p.pred_month)
     df = mask_lst(df)
     df = anomaly(df, "ndvi", "ndvi_anomaly", clim_before_year=p.clim_before_year)
     df = drop_incomplete(df)  # over every merged column, before projection
-    return df.select(*KEY_COLS, *VALUE_COLS)
+    # the pixel hash travels on so later pixel-local windows reuse the exchange
+    return df.select(*KEY_COLS, *VALUE_COLS, *([PIXEL_ID] if PIXEL_ID in df.columns else []))
 
 
 def clean_and_scale(raw: DataFrame, p: CleanParams = CleanParams()) -> tuple[DataFrame, DataFrame]:

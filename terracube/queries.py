@@ -280,7 +280,9 @@ def q_drought_masks(spark, sf_dir):
     g = MK.series_drought(g, "ndvi", "drought_ndvi_series")
     g = g.withColumns({"drought_spi": MK.threshold_flag("spi"), "drought_spei": MK.threshold_flag("spei"),
                        "not_drought": MK.invert("drought_ndvi_month")})
-    return g.select("lat", "lon", "time", *r6("spi", "spei"), "drought_spi", "drought_spei",
+    # spi/spei are already rounded to 1e-9 (tie-safe thresholds); no second rounding
+    return g.select("lat", "lon", "time", (F.col("spi") + 0.0).alias("spi"), (F.col("spei") + 0.0).alias("spei"),
+                    "drought_spi", "drought_spei",
                     "drought_ndvi_month", "drought_ndvi_series", "not_drought")
 
 
