@@ -78,7 +78,7 @@ def hide_features(df: DataFrame, features: Sequence[str], hidden: Iterable[str],
 
 
 def lag_stack(df: DataFrame, cols: Sequence[str], lags: int = 3, time: str = "time",
-              index: str = "t_idx") -> DataFrame:
+              index: str = "__mi") -> DataFrame:
     """``{var}_t{k}`` = value k months earlier, k = 0..lags.
 
     Uses a month-index frame ``rangeBetween(-k, -k)``: on a dense cube this
