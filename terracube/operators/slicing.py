@@ -35,7 +35,7 @@ def select_east_africa(df: DataFrame) -> DataFrame:
 
 def time_slice(df: DataFrame, lo: str, hi: str, time: str = "time") -> DataFrame:
     """Inclusive literal time range."""
-    return df.where(F.col(time).between(F.lit(lo).cast("timestamp"), F.lit(hi).cast("timestamp")))
+    return df.where(F.col(time).between(F.lit(lo).cast("timestamp_ntz"), F.lit(hi).cast("timestamp_ntz")))
 
 
 def time_slice_from_reference(reference: DataFrame, df: DataFrame, time: str = "time",

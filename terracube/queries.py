@@ -179,7 +179,7 @@ def q_infer_freq(spark, sf_dir):
     g = load_grid(spark, sf_dir)
     a = infer_freq(g).withColumn("source", F.lit("grid"))
     b = infer_freq(daily_series(spark, sf_dir)).withColumn("source", F.lit("events_daily"))
-    c = infer_freq(g.select(F.last_day("time").cast("timestamp").alias("time"))).withColumn("source", F.lit("grid_month_end"))
+    c = infer_freq(g.select(F.last_day("time").cast("timestamp_ntz").alias("time"))).withColumn("source", F.lit("grid_month_end"))
     return a.unionByName(b).unionByName(c).select("source", "freq", "n_steps")
 
 
@@ -216,8 +216,8 @@ from terracube.operators.merge import merge_cubes  # noqa: E402
 @register("merge_cubes")
 def q_merge_cubes(spark, sf_dir):
     g = load_grid(spark, sf_dir)
-    a = g.where(F.col("time") < F.lit("2000-01-01").cast("timestamp")).select("lat", "lon", "time", "lst_day", "lst_night")
-    b = g.where(F.col("time") >= F.lit("1998-01-01").cast("timestamp")).select("lat", "lon", "time", "precip", "ndvi")
+    a = g.where(F.col("time") < F.lit("2000-01-01").cast("timestamp_ntz")).select("lat", "lon", "time", "lst_day", "lst_night")
+    b = g.where(F.col("time") >= F.lit("1998-01-01").cast("timestamp_ntz")).select("lat", "lon", "time", "precip", "ndvi")
     m = merge_cubes(a, b)
     return all_valid(m, ["lst_day", "precip", "ndvi"], "ndvi", "ndvi_all_valid")
 
