@@ -15,11 +15,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+# Upper bound on one axis for the broadcast path: a 0.001-degree global grid
+# has 360,000 longitudes; weight tables hold at most 2 rows per target.
+MAX_AXIS = 2_000_000
+
 
 def axis(df: DataFrame, dim: str) -> DataFrame:
     return df.select(F.col(dim).cast("double").alias("v")).distinct()
 
 
+def _side(table: DataFrame, broadcast_axes: bool) -> DataFrame:
+    """Broadcast a per-axis table behind a lazy size check, or leave the
+    choice to AQE's run-time size measurement (sort-merge beyond it)."""
+    if not broadcast_axes:
+        return table
+    guard = F.assert_true(F.count(F.lit(1)).over(Window.partitionBy()) <= MAX_AXIS,
+                          "axis larger than the broadcast bound; use broadcast_axes=False")
+    return F.broadcast(table.withColumn("__guard", guard).drop("__guard"))
+
+
 def _neighbours(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
     """For each target value: the nearest source value below-or-equal (``a``)
     and strictly above (``a1``), found by one sort of the merged axes."""
@@ -65,17 +79,17 @@ def bilinear_weights(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
 
 
 def regrid_nearest(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame,
-                   cols: Sequence[str], time: str = "time") -> DataFrame:
+                   cols: Sequence[str], time: str = "time", broadcast_axes: bool = True) -> DataFrame:
     """Every target cell takes the values of its nearest source cell."""
-    lat_m = F.broadcast(nearest_map(axis(cube, "lat"), dst_lat).withColumnsRenamed({"dst": "__dlat", "src": "__slat"}))
-    lon_m = F.broadcast(nearest_map(axis(cube, "lon"), dst_lon).withColumnsRenamed({"dst": "__dlon", "src": "__slon"}))
+    lat_m = _side(nearest_map(axis(cube, "lat"), dst_lat).withColumnsRenamed({"dst": "__dlat", "src": "__slat"}), broadcast_axes)
+    lon_m = _side(nearest_map(axis(cube, "lon"), dst_lon).withColumnsRenamed({"dst": "__dlon", "src": "__slon"}), broadcast_axes)
     j = (cube.join(lat_m, cube["lat"] == lat_m["__slat"])
              .join(lon_m, F.col("lon") == F.col("__slon")))
     return j.select(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time, *cols)
 
 
 def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame,
-                    cols: Sequence[str], time: str = "time") -> DataFrame:
+                    cols: Sequence[str], time: str = "time", broadcast_axes: bool = True) -> DataFrame:
     """``sum(w_lat * w_lon * v)`` per target cell and time.
 
     A target value is NULL unless every one of its ``nw_lat * nw_lon``
@@ -83,10 +97,10 @@ def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame,
     The cube is joined to the two broadcast weight tables and aggregated
     once on (target lat, target lon, time).
     """
-    lw = F.broadcast(bilinear_weights(axis(cube, "lat"), dst_lat)
-                     .withColumnsRenamed({"dst": "__dlat", "src": "__slat", "w": "__wlat", "nw": "__nlat"}))
-    ow = F.broadcast(bilinear_weights(axis(cube, "lon"), dst_lon)
-                     .withColumnsRenamed({"dst": "__dlon", "src": "__slon", "w": "__wlon", "nw": "__nlon"}))
+    lw = _side(bilinear_weights(axis(cube, "lat"), dst_lat)
+               .withColumnsRenamed({"dst": "__dlat", "src": "__slat", "w": "__wlat", "nw": "__nlat"}), broadcast_axes)
+    ow = _side(bilinear_weights(axis(cube, "lon"), dst_lon)
+               .withColumnsRenamed({"dst": "__dlon", "src": "__slon", "w": "__wlon", "nw": "__nlon"}), broadcast_axes)
     j = (cube.join(lw, cube["lat"] == lw["__slat"])
              .join(ow, F.col("lon") == F.col("__slon")))
     w = F.col("__wlat") * F.col("__wlon")
