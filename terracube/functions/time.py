@@ -25,9 +25,18 @@ def with_relative_time(df, pred_month: int, time: str = "time"):
     return df.withColumns({"gb_month": m.cast("int"), "gb_year": y.cast("int")})
 
 
-def month_start(time: Column | str) -> Column:
+def trunc_ntz(unit: str, time: Column | str) -> Column:
+    """``date_trunc`` kept as a zone-less timestamp.
+
+    Spark's ``date_trunc`` returns a session-zone timestamp even for a
+    ``timestamp_ntz`` input; cube times stay wall-clock (ntz) throughout.
+    """
     t = F.col(time) if isinstance(time, str) else time
-    return F.date_trunc("month", t)
+    return F.date_trunc(unit, t).cast("timestamp_ntz")
+
+
+def month_start(time: Column | str) -> Column:
+    return trunc_ntz("month", time)
 
 
 def month_end(time: Column | str) -> Column:

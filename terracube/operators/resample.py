@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracube.functions.quantile import exact_quantiles
+from terracube.functions.time import trunc_ntz
 
 
 def resample_median(df: DataFrame, keys: Sequence[str], var: str, time: str = "time") -> DataFrame:
     """A3: to month-start labels, median per period (exact, bounded buffers)."""
-    m = df.withColumn("__period", F.date_trunc("month", time))
+    m = df.withColumn("__period", trunc_ntz("month", time))
     q = exact_quantiles(m, var, [0.5], [*keys, "__period"])
     return q.select(*keys, F.col("__period").alias(time), F.col("quantile").alias(var))
 
@@ -40,8 +41,8 @@ def infer_freq(df: DataFrame, time: str = "time") -> DataFrame:
     a = df.agg(F.count_distinct(t).alias("n"), F.min(t).alias("lo"), F.max(t).alias("hi"),
                F.bool_and(F.dayofmonth(t) == 1).alias("all_ms"),
                F.bool_and(F.to_date(t) == F.last_day(t)).alias("all_me"),
-               F.bool_and(F.date_trunc("day", t) == t).alias("all_midnight"))
-    months = F.months_between(F.date_trunc("month", "hi"), F.date_trunc("month", "lo")).cast("long") + 1
+               F.bool_and(trunc_ntz("day", t) == t.cast("timestamp_ntz")).alias("all_midnight"))
+    months = F.months_between(trunc_ntz("month", "hi"), trunc_ntz("month", "lo")).cast("long") + 1
     days = F.datediff(F.to_date("hi"), F.to_date("lo")) + 1
     freq = (F.when(F.col("all_midnight") & F.col("all_ms") & (F.col("n") == months) & (F.col("n") > 1), "MS")
              .when(F.col("all_midnight") & F.col("all_me") & (F.col("n") == months) & (F.col("n") > 1), "M")
@@ -51,7 +52,7 @@ def infer_freq(df: DataFrame, time: str = "time") -> DataFrame:
 
 def month_calendar(df: DataFrame, time: str = "time") -> DataFrame:
     """Every month start between the min and max of ``time``."""
-    b = df.agg(F.min(F.date_trunc("month", time)).alias("lo"), F.max(F.date_trunc("month", time)).alias("hi"))
+    b = df.agg(F.min(trunc_ntz("month", time)).alias("lo"), F.max(trunc_ntz("month", time)).alias("hi"))
     return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(time))
 
 
@@ -77,7 +78,7 @@ def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time")
     one window and broadcasting the (old, new) map is bounded.
     """
     from pyspark.sql import Window
-    start = reference.agg(F.min(F.date_trunc("month", time)).alias("__t0"))
+    start = reference.agg(F.min(trunc_ntz("month", time)).alias("__t0"))
     axis = df.select(F.col(time).alias("__old")).distinct()
     axis = axis.select("__old", (F.row_number().over(Window.orderBy("__old")) - 1).alias("__i"))
     m = axis.crossJoin(F.broadcast(start)).select(

@@ -31,8 +31,8 @@ grid AS (
 # Clean (C8) with pred_month 6, climatology years < 2001, target ndvi.
 CLEAN = GRID + """,
 rel AS (
-  SELECT *, month(time - INTERVAL 6 MONTH) AS gb_month,
-            year(time - INTERVAL 6 MONTH) + 1 AS gb_year,
+  SELECT *, CAST(month(time - INTERVAL 6 MONTH) AS INTEGER) AS gb_month,
+            CAST(year(time - INTERVAL 6 MONTH) + 1 AS INTEGER) AS gb_year,
             CASE WHEN lst_day < 200 THEN lst_day END AS lst_day_m,
             CASE WHEN lst_night < 200 THEN lst_night END AS lst_night_m
   FROM grid),
@@ -70,7 +70,7 @@ full12 AS (
 steps AS (
   SELECT lat, lon, gb_year,
          CASE WHEN gb_year = 2001 THEN 'test' ELSE 'train' END AS split,
-         step, """ + ", ".join(VALUE_COLS) + """, y
+         CAST(step AS INTEGER) AS step, """ + ", ".join(VALUE_COLS) + """, y
   FROM full12 WHERE step < 12 AND gb_year <= 2001)"""
 
 
@@ -113,7 +113,7 @@ mg AS (
   FROM grid)"""
 
 ORACLES["climatology"] = "WITH " + GRID + """
-SELECT lat, lon, month(time) AS month,
+SELECT lat, lon, CAST(month(time) AS INTEGER) AS month,
        round(avg(CASE WHEN year(time) < 2001 THEN ndvi END), 6) AS ndvi_clim
 FROM grid GROUP BY lat, lon, month(time)"""
 
@@ -126,7 +126,7 @@ FROM grid g LEFT JOIN clim ON g.lat = clim.lat AND g.lon = clim.lon AND month(g.
 
 ORACLES["seasonal_max"] = "WITH " + GRID + """,
 m AS (SELECT lat, lon, month(time) AS month, avg(ndvi) AS m FROM grid GROUP BY 1, 2, 3)
-SELECT month, round(max(m), 6) AS ndvi_max_monthly_mean FROM m GROUP BY month"""
+SELECT CAST(month AS INTEGER) AS month, round(max(m), 6) AS ndvi_max_monthly_mean FROM m GROUP BY month"""
 
 ORACLES["time_mean"] = "WITH " + MASKED + """
 SELECT lat, lon, """ + ", ".join(f"round(sum({c}), 6) / count({c}) AS {c}" for c in GV) + """
@@ -520,7 +520,8 @@ FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
 
 ORACLES["pixel_year_counts"] = "WITH " + CLEAN + """,
 n AS (SELECT lat, lon, gb_year, count(*) AS n FROM cleaned GROUP BY 1, 2, 3)
-SELECT gb_year, count_if(n = 12) AS processed, count_if(n <> 12) AS skipped FROM n GROUP BY gb_year"""
+SELECT gb_year, CAST(count_if(n = 12) AS BIGINT) AS processed, CAST(count_if(n <> 12) AS BIGINT) AS skipped
+FROM n GROUP BY gb_year"""
 
 ORACLES["min_max"] = "WITH " + MASKED + " SELECT " + ", ".join(
     f"min({c}) AS {c}_min, max({c}) AS {c}_max" for c in GV) + " FROM mg"
@@ -541,14 +542,14 @@ ORACLES["first_rows"] = "WITH " + GRID + " SELECT * FROM grid ORDER BY time, lat
 
 ORACLES["month_names"] = "WITH " + GRID + """,
 m AS (SELECT lat, lon, month(time) AS month, avg(ndvi) AS m FROM grid GROUP BY 1, 2, 3)
-SELECT month, monthname(make_date(2000, month, 1)) AS month_name,
+SELECT CAST(month AS INTEGER) AS month, monthname(make_date(2000, month, 1)) AS month_name,
        round(max(m), 6) AS ndvi_max_monthly_mean FROM m GROUP BY month"""
 
 ORACLES["smooth_l1"] = "WITH " + VERIF + """,
 e AS (SELECT year(time) AS year, abs(y - prediction) AS e FROM vf),
 s AS (SELECT year, count(*) AS n,
              round(sum(CASE WHEN e < 1 THEN 0.5 * e * e ELSE e - 0.5 END), 7) / count(*) AS l FROM e GROUP BY year)
-SELECT year, n, floor(floor(l * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS smooth_l1 FROM s"""
+SELECT CAST(year AS INTEGER) AS year, n, floor(floor(l * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS smooth_l1 FROM s"""
 
 
 def _positive_zero(sql: str) -> str:

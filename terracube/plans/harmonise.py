@@ -58,7 +58,7 @@ def rainfall_cleaner(reference: DataFrame, product: DataFrame, var: str = "value
     coordinates -> bilinear -> reference null mask -> rename to ``precip``."""
     p = normalise_coordinate_names(product)
     p = resample_first(p, ["lat", "lon"], var)
-    p = p.withColumn("time", F.date_trunc("month", "time").cast("timestamp_ntz"))
+    p = p.withColumn("time", F.date_trunc("month", "time").cast("timestamp_ntz"))  # month-end date -> month start
     p = time_slice_exact(reference.where(F.col("time") <= F.lit("2001-06-01").cast("timestamp_ntz")), p)
     p = p.withColumn(var, F.col(var) / F.lit(MM_MONTH_TO_MM_DAY))
     p = regrid_bilinear(p, axis(reference, "lat"), axis(reference, "lon"), [var])

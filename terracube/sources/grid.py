@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from terracube.functions.time import trunc_ntz
 from terracube.sources.tables import read_table
 
 
@@ -27,7 +28,7 @@ def monthly_grid(lineitem: DataFrame) -> DataFrame:
     c = (li.groupBy(
             (F.col("l_suppkey") % 5).alias("iy"),
             (F.expr("(l_suppkey div 5) * 2 + l_linenumber % 2")).alias("ix"),
-            F.date_trunc("month", "l_shipdate").alias("time"))
+            trunc_ntz("month", "l_shipdate").alias("time"))
          .agg(F.count(F.lit(1)).alias("n"),
               F.sum(F.round("l_quantity").cast("bigint")).alias("q"),
               F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("p"),
@@ -54,7 +55,7 @@ def load_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily observations for resampling: pixel = user_id, time = day."""
     ev = read_table(spark, sf_dir, "events")
-    return ev.select("user_id", F.date_trunc("day", "ts").alias("time"), "value")
+    return ev.select("user_id", trunc_ntz("day", "ts").alias("time"), "value")
 
 
 def daily_product(orders: DataFrame) -> DataFrame:
