@@ -21,6 +21,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # model-input checkpoints are removed once their DataFrame is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Broadcast only what is provably small: the axis, mask and statistics
     # tables are explicitly hinted; everything else goes through AQE.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
