@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracube.operators.clean import mask_sentinel
+from terracube.operators.conform import checked_select
 from terracube.operators.masks import pixel_month_zscore, series_drought, threshold_flag
 from terracube.operators.windows import lag_stack
 from terracube.schema import GRID_VARS, PIXEL_ID
@@ -65,10 +66,8 @@ def read_and_mask(grid: DataFrame, mask_var: str = "sm",
     """C6 in one frame: drought flags (P23, A8; sea -> False) next to the
     cleaned variables (final step dropped, precip latitudes flipped, values
     off land -> NULL, LST sentinels -> NULL).  Keeps ``t_idx``."""
-    missing = [v for v in variables if v not in grid.columns]
-    if missing:
-        raise ValueError(f"parameters not found: {missing}")
-    g = cluster_by_mirror_pair(grid)
+    needed = sorted(set(variables) | {"precip", "lst_day", "ndvi", mask_var})
+    g = cluster_by_mirror_pair(checked_select(grid, needed))  # P3: fail fast, prune
     pix = Window.partitionBy(PIXEL_ID, "lat", "lon")
     # land = mask variable present at calendar position 1
     land = F.coalesce(F.bool_or((F.col("t_idx") == 1) & F.col(mask_var).isNotNull()).over(pix), F.lit(False))

@@ -117,7 +117,9 @@ def q_time_mean(spark, sf_dir):
 
 @register("describe")
 def q_describe(spark, sf_dir):
-    d = S.describe(_masked_grid(spark, sf_dir), GRID_VARS, sum_decimals=6)
+    from terracube.schema import value_columns
+    g = _masked_grid(spark, sf_dir)
+    d = S.describe(g, value_columns(g), sum_decimals=6)  # P34: every variable of the cube
     return d.select("variable", "count", "mean", *r6("std", "min", "q25", "q50", "q75", "max"))
 
 
