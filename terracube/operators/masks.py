@@ -21,12 +21,11 @@ def land_mask(df: DataFrame, var: str = "spi", t_index: int = 1, time: str = "ti
     Output ``(lat, lon, land)`` for every pixel of the cube; a pixel with no
     row at that time is sea, as in a dense cube where the cell is missing.
     """
-    at_t = (time_index(df.select(*PIXEL, time, var), time, "__ti")
-            .where(F.col("__ti") == t_index)
-            .groupBy(*PIXEL).agg(F.bool_or(F.col(var).isNotNull()).alias("__has")))
-    pixels = df.select(*PIXEL).distinct()
-    return (pixels.join(at_t, PIXEL, "left")
-                  .select(*PIXEL, F.coalesce(F.col("__has"), F.lit(False)).alias("land")))
+    # one partial aggregate over the cube: every pixel appears, and its flag
+    # is true iff some row at that calendar position has the variable
+    ti = time_index(df.select(*PIXEL, time, var), time, "__ti")
+    present = (F.col("__ti") == t_index) & F.col(var).isNotNull()
+    return ti.groupBy(*PIXEL).agg(F.coalesce(F.bool_or(present), F.lit(False)).alias("land"))
 
 
 def apply_mask(df: DataFrame, mask: DataFrame, cols: Sequence[str], flag: str = "land",
