@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracube.schema import CUBE_KEYS
+from terracube.schema import CUBE_KEYS, PIXEL_ID
 
 
 def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame:
@@ -30,5 +30,24 @@ def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame
 
 def align_predictions(preds: DataFrame, truth: DataFrame,
                       keys: Sequence[str] = ("lat", "lon", "gb_year")) -> DataFrame:
-    """Predictions, truth and locations joined on keys, not on position."""
-    return preds.join(truth, list(keys), "inner")
+    """Predictions, truth and locations matched on keys, not on position.
+
+    Inner-join semantics for inputs with unique keys per side.  When both
+    sides carry the pixel hash of one clustered cube, the match is a
+    co-group (union, then one aggregate on the keys): the aggregate runs on
+    the existing pixel partitioning, so no side is shuffled again.
+    Otherwise it is a plain equi join.
+    """
+    keys = list(keys)
+    if PIXEL_ID not in preds.columns or PIXEL_ID not in truth.columns:
+        return preds.join(truth, keys, "inner")
+    gk = [PIXEL_ID, *keys]
+    pc = [c for c in preds.columns if c not in gk]
+    tc = [c for c in truth.columns if c not in gk]
+    ptypes, ttypes = dict(preds.dtypes), dict(truth.dtypes)
+    a = preds.select(*gk, *pc, *[F.lit(None).cast(ttypes[c]).alias(c) for c in tc], F.lit(True).alias("__p"))
+    b = truth.select(*gk, *[F.lit(None).cast(ptypes[c]).alias(c) for c in pc], *tc, F.lit(False).alias("__p"))
+    g = a.unionByName(b).groupBy(*gk).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in pc + tc],
+        F.bool_or("__p").alias("__hp"), F.bool_or(~F.col("__p")).alias("__ht"))
+    return g.where(F.col("__hp") & F.col("__ht")).drop("__hp", "__ht")

@@ -89,3 +89,19 @@ def test_bilinear_broadcast_and_shuffle_paths_agree(spark):
     for x, y in zip(a, b):
         assert x[:3] == y[:3]
         assert (x.ndvi is None and y.ndvi is None) or x.ndvi == pytest.approx(y.ndvi, abs=1e-12)
+
+
+def test_align_predictions_cogroup_equals_join(spark):
+    from terracube.operators.clean import cluster_by_pixel
+    from terracube.operators.merge import align_predictions
+    from terracube.schema import PIXEL_ID
+    from terracube.sources.grid import load_grid
+    g = cluster_by_pixel(load_grid(spark, "/root/testdata/sf0.001"))
+    p = g.select(PIXEL_ID, "lat", "lon", "time", F.col("evi").alias("prediction")).where("lat > 0")
+    t = g.select(PIXEL_ID, "lat", "lon", "time", F.col("ndvi").alias("y")).where("lon > 1")
+    a = align_predictions(p, t, ["lat", "lon", "time"]).drop(PIXEL_ID)
+    b = align_predictions(p.drop(PIXEL_ID), t.drop(PIXEL_ID), ["lat", "lon", "time"])
+    cols = ["lat", "lon", "time", "prediction", "y"]
+    assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
