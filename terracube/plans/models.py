@@ -240,15 +240,18 @@ def score_network(examples: DataFrame, kind: str, n_features: int, seed: int = 4
         raise ValueError(kind)
     bw = spark.sparkContext.broadcast(weights)
 
+    steps = 11
+
     def run(batches):
         import pandas as pd
         w = bw.value
         for pdf in batches:
             if len(pdf) == 0:
                 continue
-            x = np.stack([np.stack(list(r)) for r in pdf["x"]]).astype(np.float64)
+            # one flat array per row (flattened JVM-side) -> one reshape per batch
+            x = np.concatenate(pdf["xf"].to_numpy()).reshape(len(pdf), steps, n_features)
             yield pd.DataFrame({"lat": pdf["lat"], "lon": pdf["lon"], "gb_year": pdf["gb_year"],
                                 "y": pdf["y"], "prediction": fwd(x, w)})
 
-    src = examples.select("lat", "lon", "gb_year", "y", "x")
+    src = examples.select("lat", "lon", "gb_year", "y", F.flatten("x").alias("xf"))
     return src.mapInPandas(run, "lat double, lon double, gb_year int, y double, prediction double")

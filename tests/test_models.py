@@ -52,3 +52,16 @@ def test_network_scores_shape(spark):
         out = ML.score_network(ex, kind, 7).collect()
         assert len(out) == ex.count()
         assert all(np.isfinite(r.prediction) for r in out)
+
+
+def test_network_scores_match_local_forward(spark):
+    from terracube.queries import _examples
+    ex, _ = _examples(spark, "/root/testdata/sf0.001")
+    rows = sorted(ex.select("lat", "lon", "gb_year", "x").collect())
+    x = np.array([[list(m) for m in r.x] for r in rows], dtype=float)
+    for kind, init, fwd in (("ffn", lambda: ML.init_ffn(77, 42), ML.ffn_forward),
+                            ("rnn", lambda: ML.init_rnn(7, seed=42), ML.rnn_forward)):
+        want = fwd(x, init())
+        got = {(r.lat, r.lon, r.gb_year): r.prediction for r in ML.score_network(ex, kind, 7).collect()}
+        have = np.array([got[(r.lat, r.lon, r.gb_year)] for r in rows])
+        assert np.allclose(have, want, rtol=1e-9, atol=1e-12)
