@@ -552,6 +552,29 @@ s AS (SELECT year, count(*) AS n,
 SELECT CAST(year AS INTEGER) AS year, n, floor(floor(l * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS smooth_l1 FROM s"""
 
 
+# Round trips read back exactly what the Spark side wrote; the oracles are
+# the same computations straight from the source tables.
+ORACLES["round_trip_csv"] = ORACLES["cube_clean"]
+ORACLES["round_trip_json"] = ORACLES["normalising_stats"]
+
+ORACLES["guarded_write"] = "WITH " + GRID + """
+SELECT *, 1999 AS first_write_year FROM grid WHERE year(time) = 2000"""
+
+ORACLES["examples_round_trip"] = "WITH " + EXAMPLES + """
+SELECT DISTINCT lat, lon, gb_year, split, y,
+       (SELECT count(*) FROM grid WHERE year(time) = 2001) AS cube_rows_2001
+FROM steps WHERE split = 'test'"""
+
+# Append mode with a 31-day watermark on the month key: a month is emitted
+# once the watermark (latest month - 31 days) has reached it.
+ORACLES["stream_monthly_first"] = "WITH " + DAILY + """,
+m AS (SELECT lat, lon, date_trunc('month', time) AS time,
+             arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value, count(value) AS n_obs
+      FROM dp GROUP BY 1, 2, 3)
+SELECT lat, lon, CAST(time AS TIMESTAMP) AS time, value, n_obs FROM m
+WHERE time <= (SELECT max(time) FROM m) - INTERVAL 31 DAY"""
+
+
 def _positive_zero(sql: str) -> str:
     """Wrap every ``round(x, 6)`` as ``(round(x, 6) + 0.0)``: DuckDB returns
     -0.0 for tiny negatives, Spark returns 0.0."""

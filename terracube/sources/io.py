@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terracube.schema import PIXEL_ID
 from terracube.session import checkpoint_dir
 
 STATS_SCHEMA = T.StructType([T.StructField("variable", T.StringType()),
@@ -24,6 +25,11 @@ STATS_SCHEMA = T.StructType([T.StructField("variable", T.StringType()),
                              T.StructField("std", T.DoubleType())])
 
 
+def public(df: DataFrame) -> DataFrame:
+    """Drop internal helper columns (the pixel hash) before anything is written."""
+    return df.drop(PIXEL_ID) if PIXEL_ID in df.columns else df
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/terracube-io/{name}-{uuid.uuid4().hex[:12]}"
@@ -44,6 +50,7 @@ def read_cube(spark: SparkSession, paths: str | Sequence[str], schema: T.StructT
 
 def write_cube(df: DataFrame, path: str, partition_by_year: bool = True) -> None:
     """Unconditional overwrite; partitioned by year so time slices prune."""
+    df = public(df)
     w = df.withColumn("year", F.year("time")) if partition_by_year else df
     w = w.write.mode("overwrite")
     (w.partitionBy("year") if partition_by_year else w).parquet(path)
@@ -51,12 +58,12 @@ def write_cube(df: DataFrame, path: str, partition_by_year: bool = True) -> None
 
 def guarded_write(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> None:
     """Write if absent; overwrite only when ``force``."""
-    df.write.mode("overwrite" if force else "ignore").format(fmt).save(path)
+    public(df).write.mode("overwrite" if force else "ignore").format(fmt).save(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
     """S3: header CSV (timestamps in ISO form)."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    public(df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -66,7 +73,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def write_stats(stats: DataFrame, path: str) -> None:
     """Normalising statistics as JSON lines (one small file)."""
-    stats.coalesce(1).write.mode("overwrite").json(path)
+    public(stats).coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_stats(spark: SparkSession, path: str) -> DataFrame:
@@ -75,7 +82,7 @@ def read_stats(spark: SparkSession, path: str) -> DataFrame:
 
 def write_examples(examples: DataFrame, path: str) -> None:
     """Example set partitioned by split."""
-    examples.write.mode("overwrite").partitionBy("split").parquet(path)
+    public(examples).write.mode("overwrite").partitionBy("split").parquet(path)
 
 
 def read_examples(spark: SparkSession, path: str, split: str) -> DataFrame:
@@ -87,7 +94,7 @@ def read_examples(spark: SparkSession, path: str, split: str) -> DataFrame:
 
 def write_predictions(preds: DataFrame, path: str) -> None:
     """Keyed predictions (no positional alignment needed on read)."""
-    preds.write.mode("overwrite").parquet(path)
+    public(preds).write.mode("overwrite").parquet(path)
 
 
 def save_model(model, path: str) -> None:
