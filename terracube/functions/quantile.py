@@ -36,9 +36,17 @@ SMALL_GROUP = 100_000
 def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
                     keys: Sequence[str] = (), accuracy: int = 100_000,
                     small: int = SMALL_GROUP) -> DataFrame:
-    """Long result ``(keys..., q, quantile)``; NULL values are ignored."""
+    """Long result ``(keys..., q, quantile)``; NULL values are ignored.
+
+    The second pass emits, per row, one "below" marker (the first bracket
+    the value lies under; brackets are ordered, so it is below every later
+    one too) plus one entry per bracket that contains it (usually none),
+    instead of pairing every row with every quantile.
+    """
     keys = list(keys)
-    qs = [float(q) for q in qs]
+    order = sorted(range(len(qs)), key=lambda i: float(qs[i]))
+    qs = [float(qs[i]) for i in order]
+    k = len(qs)
     margin = 3.0 / accuracy + 2.0 / small
     src = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
 
@@ -49,30 +57,41 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
     sketch = g.agg(F.count(F.lit(1)).alias("__n"),
                    F.percentile_approx("__v", pcts, accuracy).alias("__a"),
                    F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    qarr = F.array(*[F.struct(F.lit(q).alias("q"), F.lit(2 * i + 1).alias("i")) for i, q in enumerate(qs)])
     whole = F.col("__n") <= small
-    bands = (sketch.select(*keys, "__n", "__a", "__min", "__max", F.explode(qarr).alias("__qq"))
-             .select(*keys, "__n", F.col("__qq.q").alias("q"),
-                     F.when(whole | (F.col("__qq.q") - margin <= 0), F.col("__min"))
-                      .otherwise(F.element_at("__a", F.col("__qq.i"))).alias("__lo"),
-                     F.when(whole | (F.col("__qq.q") + margin >= 1), F.col("__max"))
-                      .otherwise(F.element_at("__a", F.col("__qq.i") + 1)).alias("__hi"))
-             .withColumn("__h", F.col("q") * (F.col("__n") - 1)))
-    bands = bands.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long")})
+    lo = [F.when(whole | F.lit(q - margin <= 0), F.col("__min")).otherwise(F.col("__a")[2 * i])
+          for i, q in enumerate(qs)]
+    hi = [F.when(whole | F.lit(q + margin >= 1), F.col("__max")).otherwise(F.col("__a")[2 * i + 1])
+          for i, q in enumerate(qs)]
+    # one row per group with the k brackets as arrays (k is fixed at plan time)
+    bands = sketch.select(*keys, "__n", F.array(*lo).alias("__lo"), F.array(*hi).alias("__hi"))
 
-    # global: one band row per quantile -> broadcast; grouped: shuffle join on keys
+    # global: a single band row -> broadcast; grouped: shuffle join on the keys
     j = src.crossJoin(F.broadcast(bands)) if not keys else src.join(bands, keys, "inner")
-    gk = [*keys, "q", "__h", "__rlo", "__rhi"]
-    is_below = F.col("__v") < F.col("__lo")
-    counted = (j.where(F.col("__v") <= F.col("__hi"))
-                .groupBy(*gk, is_below.alias("__isb"), F.when(~is_below, F.col("__v")).alias("__vb"))
+    idx = F.array(*[F.lit(i) for i in range(k)])
+    v = F.col("__v")
+    first_below = F.array_min(F.filter(idx, lambda i: v < F.col("__lo")[i]))
+    inside = F.transform(F.filter(idx, lambda i: (v >= F.col("__lo")[i]) & (v <= F.col("__hi")[i])),
+                         lambda i: F.struct(i.alias("i"), F.lit(False).alias("b")))
+    marker = F.when(first_below.isNotNull(),
+                    F.array(F.struct(first_below.alias("i"), F.lit(True).alias("b"))))
+    entries = F.concat(F.coalesce(marker, F.array().cast("array<struct<i:int,b:boolean>>")), inside)
+    e = j.select(*keys, "__n", v, F.explode(entries).alias("__e"))
+    counted = (e.groupBy(*keys, "__n", F.col("__e.i").alias("__i"), F.col("__e.b").alias("__isb"),
+                         F.when(~F.col("__e.b"), v).alias("__vb"))
                 .agg(F.count(F.lit(1)).alias("__c")))
-    part = Window.partitionBy(*keys, "q")
-    counted = counted.withColumn("__below", F.sum(F.when(F.col("__isb"), F.col("__c")).otherwise(0)).over(part))
-    band = counted.where(~F.col("__isb"))
-    band = band.withColumn("__cum", F.sum("__c").over(part.orderBy("__vb").rowsBetween(Window.unboundedPreceding, 0)))
+
+    # below(i) = markers at any index <= i (at most k rows per group)
+    markers = counted.where("__isb").select(*keys, F.explode(F.sequence("__i", F.lit(k - 1))).alias("__i"), "__c")
+    below = markers.groupBy(*keys, "__i").agg(F.sum("__c").alias("__below"))
+    band = counted.where(~F.col("__isb")).drop("__isb")
+    band = band.join(below, [*keys, "__i"], "left").withColumn("__below", F.coalesce("__below", F.lit(0)))
+    qcol = F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("__i") + 1)
+    band = band.withColumn("q", qcol).withColumn("__h", F.col("q") * (F.col("__n") - 1))
+    band = band.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long")})
+    part = Window.partitionBy(*keys, "__i").orderBy("__vb").rowsBetween(Window.unboundedPreceding, 0)
+    band = band.withColumn("__cum", F.sum("__c").over(part))
     last_rank = F.col("__below") + F.col("__cum") - 1
-    agg = band.groupBy(*gk, "__below").agg(
+    agg = band.groupBy(*keys, "q", "__h", "__rlo", "__rhi", "__below").agg(
         F.min(F.when(last_rank >= F.col("__rlo"), F.col("__vb"))).alias("__vlo"),
         F.min(F.when(last_rank >= F.col("__rhi"), F.col("__vb"))).alias("__vhi"))
     ok = (F.col("__below") <= F.col("__rlo")) & F.col("__vhi").isNotNull()
