@@ -80,11 +80,12 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
                          F.when(~F.col("__e.b"), v).alias("__vb"))
                 .agg(F.count(F.lit(1)).alias("__c")))
 
-    # below(i) = markers at any index <= i (at most k rows per group)
-    markers = counted.where("__isb").select(*keys, F.explode(F.sequence("__i", F.lit(k - 1))).alias("__i"), "__c")
-    below = markers.groupBy(*keys, "__i").agg(F.sum("__c").alias("__below"))
+    # below(i) = markers at any index <= i: a running sum in (index, marker
+    # first) order over the group's few rows; no join back, one exchange
+    run = (Window.partitionBy(*keys).orderBy("__i", F.col("__isb").desc(), "__vb")
+           .rowsBetween(Window.unboundedPreceding, 0))
+    counted = counted.withColumn("__below", F.sum(F.when(F.col("__isb"), F.col("__c")).otherwise(0)).over(run))
     band = counted.where(~F.col("__isb")).drop("__isb")
-    band = band.join(below, [*keys, "__i"], "left").withColumn("__below", F.coalesce("__below", F.lit(0)))
     qcol = F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("__i") + 1)
     band = band.withColumn("q", qcol).withColumn("__h", F.col("q") * (F.col("__n") - 1))
     band = band.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long")})
