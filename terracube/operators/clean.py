@@ -127,9 +127,9 @@ def zscore(df: DataFrame, cols: Iterable[str], stats: DataFrame | None = None) -
             aggs += [F.max(F.when(F.col("variable") == c, F.col("mean"))).alias(f"__m_{c}"),
                      F.max(F.when(F.col("variable") == c, F.col("std"))).alias(f"__s_{c}")]
         wide = stats.agg(*aggs)
-    j = df.crossJoin(F.broadcast(wide))
-    j = j.withColumns({c: F.try_divide(F.col(c) - F.col(f"__m_{c}"), F.col(f"__s_{c}")) for c in cols})
-    return j.drop(*[f"__m_{c}" for c in cols], *[f"__s_{c}" for c in cols])
+    from terracube.functions.time import scalars
+    s = scalars(wide)
+    return df.withColumns({c: F.try_divide(F.col(c) - s[f"__m_{c}"], s[f"__s_{c}"]) for c in cols})
 
 
 def denormalise(df: DataFrame, stats: DataFrame, value: str = "value",

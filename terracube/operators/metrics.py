@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terracube.functions.quantile import quantile_row
+from terracube.functions.time import scalars
 
 
 def metric_columns(y: str = "y", p: str = "prediction",
@@ -58,19 +59,17 @@ def error_map(df: DataFrame, y: str = "y", p: str = "prediction") -> DataFrame:
 def quantile_bands(df: DataFrame, y: str = "y") -> DataFrame:
     """Label rows by the truth's quantiles: low (< q.2), mid
     (q.4 < y < q.6), high (> q.8), strict; other rows get no band."""
-    q = quantile_row(df, y, [0.2, 0.4, 0.6, 0.8], ["__q20", "__q40", "__q60", "__q80"])
-    j = df.crossJoin(F.broadcast(q))
-    band = (F.when(F.col(y) < F.col("__q20"), "low")
-             .when(F.col(y) > F.col("__q80"), "high")
-             .when((F.col(y) > F.col("__q40")) & (F.col(y) < F.col("__q60")), "mid"))
-    return j.withColumn("band", band).drop("__q20", "__q40", "__q60", "__q80")
+    q = scalars(quantile_row(df, y, [0.2, 0.4, 0.6, 0.8], ["q20", "q40", "q60", "q80"]))
+    band = (F.when(F.col(y) < q["q20"], "low")
+             .when(F.col(y) > q["q80"], "high")
+             .when((F.col(y) > q["q40"]) & (F.col(y) < q["q60"]), "mid"))
+    return df.withColumn("band", band)
 
 
 def error_quantile_mask(df: DataFrame, q: float = 0.9, above: bool = True,
                         diff: str = "difference") -> DataFrame:
     """Cells whose ``abs(difference)`` is above (or below) its q-quantile."""
     a = df.withColumn("__abs", F.abs(F.col(diff)))
-    thr = quantile_row(a, "__abs", [q], ["__thr"])
-    j = a.crossJoin(F.broadcast(thr))
-    cond = F.col("__abs") > F.col("__thr") if above else F.col("__abs") < F.col("__thr")
-    return j.where(cond).drop("__abs", "__thr")
+    thr = quantile_row(a, "__abs", [q], ["thr"]).scalar()
+    cond = F.col("__abs") > thr if above else F.col("__abs") < thr
+    return a.where(cond).drop("__abs")

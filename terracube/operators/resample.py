@@ -63,10 +63,11 @@ def densify(df: DataFrame, keys: Sequence[str] = ("lat", "lon"), time: str = "ti
     calendar with ``sequence`` (a generator, not a join), then one equi
     join on (keys, time) attaches the observations.
     """
+    from terracube.functions.time import scalars
     keys = list(keys)
-    b = df.agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
-    cells = (df.select(*keys).distinct().crossJoin(F.broadcast(b))
-               .select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias(time)))
+    b = scalars(df.agg(F.min(time).alias("lo"), F.max(time).alias("hi")))
+    cells = (df.select(*keys).distinct()
+               .select(*keys, F.explode(F.sequence(b["lo"], b["hi"], F.expr("INTERVAL 1 MONTH"))).alias(time)))
     return cells.join(df, [*keys, time], "left")
 
 
@@ -78,10 +79,9 @@ def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time")
     one window and broadcasting the (old, new) map is bounded.
     """
     from pyspark.sql import Window
-    start = reference.agg(F.min(trunc_ntz("month", time)).alias("__t0"))
+    start = reference.agg(F.min(trunc_ntz("month", time))).scalar()
     axis = df.select(F.col(time).alias("__old")).distinct()
     axis = axis.select("__old", (F.row_number().over(Window.orderBy("__old")) - 1).alias("__i"))
-    m = axis.crossJoin(F.broadcast(start)).select(
-        "__old", F.add_months(F.col("__t0"), F.col("__i").cast("int")).cast("timestamp_ntz").alias("__new"))
+    m = axis.select("__old", F.add_months(start, F.col("__i").cast("int")).cast("timestamp_ntz").alias("__new"))
     j = df.join(F.broadcast(m), F.col(time) == F.col("__old"))
     return j.drop(time, "__old").withColumnRenamed("__new", time).select(*df.columns)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracube.functions.quantile import exact_quantiles, quantile_row
+from terracube.functions.time import scalars
 from terracube.schema import PIXEL
 
 
@@ -87,27 +88,22 @@ def histogram(df: DataFrame, var: str, bins: int = 40) -> DataFrame:
     partial aggregate over at most ``bins`` groups.
     """
     v = non_null_values(df, var)
-    b = v.agg(F.min(var).alias("__lo"), F.max(var).alias("__hi"))
-    j = v.crossJoin(F.broadcast(b))
-    raw = F.floor((F.col(var) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins) + 1
-    bucket = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
-    return (j.withColumn("bucket", bucket.cast("int"))
-             .groupBy("bucket").agg(F.count(F.lit(1)).alias("count"),
-                                    F.first("__lo").alias("lo"), F.first("__hi").alias("hi"))
-             .select("bucket", "count",
-                     (F.col("lo") + (F.col("bucket") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("edge_lo")))
+    b = scalars(v.agg(F.min(var).alias("lo"), F.max(var).alias("hi")))
+    lo, hi = b["lo"], b["hi"]
+    raw = F.floor((F.col(var) - lo) / (hi - lo) * bins) + 1
+    bucket = F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
+    return (v.withColumn("bucket", bucket.cast("int"))
+             .groupBy("bucket").agg(F.count(F.lit(1)).alias("count"))
+             .select("bucket", "count", (lo + (F.col("bucket") - 1) * (hi - lo) / bins).alias("edge_lo")))
 
 
 def percentile_normalise(df: DataFrame, var: str, pct: float = 95.0, out: str | None = None) -> DataFrame:
     """``(x - mean) / (p[50+pct/2] - p[50-pct/2])`` with exact percentiles."""
     out = out or f"{var}_pn"
     lo, hi = (100 - pct) / 200, (100 + pct) / 200
-    q = quantile_row(df, var, [lo, hi], ["__plo", "__phi"])
-    m = df.agg(F.avg(var).alias("__mean"))
-    stats = q.crossJoin(m)
-    j = df.crossJoin(F.broadcast(stats))
-    return j.withColumn(out, F.try_divide(F.col(var) - F.col("__mean"),
-                                          F.col("__phi") - F.col("__plo"))).drop("__plo", "__phi", "__mean")
+    q = scalars(quantile_row(df, var, [lo, hi], ["plo", "phi"]))
+    mean = df.agg(F.avg(var)).scalar()
+    return df.withColumn(out, F.try_divide(F.col(var) - mean, q["phi"] - q["plo"]))
 
 
 def quantiles(df: DataFrame, var: str, qs: Sequence[float] = (0.1, 0.2, 0.4, 0.6, 0.8, 0.9)) -> DataFrame:
