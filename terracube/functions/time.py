@@ -48,14 +48,3 @@ def month_name(time: Column | str) -> Column:
     """English month name."""
     t = F.col(time) if isinstance(time, str) else time
     return F.date_format(t, "MMMM")
-
-
-def scalars(one_row) -> dict:
-    """Columns of a one-row aggregate as scalar subqueries.
-
-    Spark runs a scalar subquery once and merges subqueries over the same
-    plan (MergeScalarSubqueries), so several statistics of one aggregate
-    cost one job; the consuming filter or projection stays in whole-stage
-    codegen instead of a nested-loop join with a broadcast row.
-    """
-    return {c: one_row.select(c).scalar() for c in one_row.columns}

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracube.functions.time import scalars
-
 # The East Africa box used by the reference pipeline.
 EAST_AFRICA = {"lon_min": 32.6, "lon_max": 51.8, "lat_min": -5.0, "lat_max": 15.2}
 
@@ -17,9 +15,12 @@ def bbox_from_reference(reference: DataFrame, df: DataFrame) -> DataFrame:
     The bounds are a one-row aggregate broadcast back; the filter is then a
     plain range predicate the optimizer can evaluate per row.
     """
-    b = scalars(reference.agg(F.min("lat").alias("la0"), F.max("lat").alias("la1"),
-                              F.min("lon").alias("lo0"), F.max("lon").alias("lo1")))
-    return df.where(F.col("lat").between(b["la0"], b["la1"]) & F.col("lon").between(b["lo0"], b["lo1"]))
+    b = reference.agg(F.min("lat").alias("__la0"), F.max("lat").alias("__la1"),
+                      F.min("lon").alias("__lo0"), F.max("lon").alias("__lo1"))
+    j = df.crossJoin(F.broadcast(b))
+    return (j.where(F.col("lat").between(F.col("__la0"), F.col("__la1"))
+                    & F.col("lon").between(F.col("__lo0"), F.col("__lo1")))
+             .drop("__la0", "__la1", "__lo0", "__lo1"))
 
 
 def bbox(df: DataFrame, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> DataFrame:
@@ -40,13 +41,15 @@ def time_slice(df: DataFrame, lo: str, hi: str, time: str = "time") -> DataFrame
 def time_slice_from_reference(reference: DataFrame, df: DataFrame, time: str = "time",
                               extra_months: int = 1) -> DataFrame:
     """``[min, max + 1 period]`` of the reference (monthly periods)."""
-    b = scalars(reference.agg(F.min(time).alias("t0"),
-                              (F.max(time) + F.make_interval(F.lit(0), F.lit(extra_months))).alias("t1")))
-    return df.where(F.col(time).between(b["t0"], b["t1"]))
+    b = reference.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
+    b = b.withColumn("__t1", F.col("__t1") + F.make_interval(F.lit(0), F.lit(extra_months)))
+    j = df.crossJoin(F.broadcast(b))
+    return j.where(F.col(time).between(F.col("__t0"), F.col("__t1"))).drop("__t0", "__t1")
 
 
 def drop_last_step(df: DataFrame, time: str = "time") -> DataFrame:
     """Remove the final time step (global max), one broadcast scalar."""
+    # one scalar referenced once: a scalar subquery keeps the filter in codegen
     return df.where(F.col(time) < df.agg(F.max(time)).scalar())
 
 
@@ -56,9 +59,8 @@ def time_index(df: DataFrame, time: str = "time", out: str = "t_idx") -> DataFra
     Uses month arithmetic against the global minimum, so no window over the
     whole table is needed.
     """
-    t0 = df.agg(F.min(time)).scalar()
-    idx = (F.year(time) * 12 + F.month(time)) - (F.year(t0) * 12 + F.month(t0))
-    return df.withColumn(out, idx.cast("int"))
+    first = df.agg(F.min(F.year(time) * 12 + F.month(time))).scalar()
+    return df.withColumn(out, ((F.year(time) * 12 + F.month(time)) - first).cast("int"))
 
 
 def isel_time(df: DataFrame, i: int, time: str = "time") -> DataFrame:
@@ -72,8 +74,8 @@ def time_slice_exact(reference: DataFrame, df: DataFrame, time: str = "time") ->
     [deviation] the lower bound is the reference's own minimum instead of a
     hard-coded date.  The step-count check compares two one-row aggregates.
     """
-    b = scalars(reference.agg(F.min(time).alias("t0"), F.max(time).alias("t1")))
-    out = df.where(F.col(time).between(b["t0"], b["t1"]))
+    b = reference.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
+    out = df.crossJoin(F.broadcast(b)).where(F.col(time).between(F.col("__t0"), F.col("__t1"))).drop("__t0", "__t1")
     n_ref = reference.agg(F.count_distinct(time)).collect()[0][0]
     n_out = out.agg(F.count_distinct(time)).collect()[0][0]
     if n_ref != n_out:
