@@ -60,14 +60,22 @@ def densify(df: DataFrame, keys: Sequence[str] = ("lat", "lon"), time: str = "ti
     """The full key x calendar product, missing cells as NULL rows.
 
     The calendar bounds are one broadcast row; each key expands its own
-    calendar with ``sequence`` (a generator, not a join), then one equi
-    join on (keys, time) attaches the observations.
+    calendar with ``sequence`` (a generator, not a join).  Observations are
+    attached by a co-group (union, then one aggregate on keys and time)
+    rather than a join, so the cube is shuffled once; only calendar cells
+    are kept, i.e. left-join semantics for unique (keys, time).
     """
     keys = list(keys)
+    values = [c for c in df.columns if c not in keys and c != time]
+    types = dict(df.dtypes)
     b = df.agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
     cells = (df.select(*keys).distinct().crossJoin(F.broadcast(b))
-               .select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias(time)))
-    return cells.join(df, [*keys, time], "left")
+               .select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias(time),
+                       *[F.lit(None).cast(types[c]).alias(c) for c in values], F.lit(True).alias("__cell")))
+    obs = df.select(*keys, time, *values, F.lit(False).alias("__cell"))
+    g = cells.unionByName(obs).groupBy(*keys, time).agg(
+        *[F.first(c, ignorenulls=True).alias(c) for c in values], F.bool_or("__cell").alias("__cell"))
+    return g.where("__cell").drop("__cell")
 
 
 def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time") -> DataFrame:

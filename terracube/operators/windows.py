@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.schema import PIXEL, PIXEL_ID, pixel_keys
+from terracube.schema import PIXEL_ID, pixel_keys
 
 EXAMPLE_KEYS = ["lat", "lon", "gb_year"]
 

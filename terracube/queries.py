@@ -12,11 +12,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.operators.clean import normalising_stats
+from terracube.functions.lookup import LANDCOVER
+from terracube.operators import masks as MK
+from terracube.operators import metrics as MT
+from terracube.operators import slicing as SL
+from terracube.operators import stats as S
+from terracube.operators.clean import climatology, mask_sentinel, normalising_stats, subtract_climatology
+from terracube.operators.lookup import bands_to_time, classify_landcover, clip_to_regions, time_axis
+from terracube.operators.masks import all_valid
+from terracube.operators.merge import merge_cubes
+from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest
+from terracube.operators.resample import densify, infer_freq, resample_first, resample_median
+from terracube.operators.windows import count_pixel_years, flip_lat, shift_time
+from terracube.plans import harmonise as HM
+from terracube.plans import models as ML
 from terracube.plans.clean import CleanParams, clean_and_scale, clean_cube
-from terracube.plans.engineer import engineer_steps, example_summary
-from terracube.schema import KEY_COLS, VALUE_COLS
-from terracube.sources.grid import load_grid
+from terracube.plans.engineer import engineer_arrays, engineer_steps, example_summary
+from terracube.plans.verify import verification_frame
+from terracube.schema import GRID_VARS, KEY_COLS, VALUE_COLS
+from terracube.sources import io as IO
+from terracube.sources.grid import daily_series, load_daily_product, load_grid
 
 PARAMS = CleanParams(pred_month=6, target="ndvi", clim_before_year=2001)
 TEST_YEAR = 2001
@@ -80,10 +95,6 @@ def q_pixel_year_examples(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- statistics
-from terracube.functions.lookup import LANDCOVER  # noqa: E402
-from terracube.operators import stats as S  # noqa: E402
-from terracube.operators.clean import climatology, mask_sentinel, subtract_climatology  # noqa: E402
-from terracube.schema import GRID_VARS  # noqa: E402
 
 CLIM_YEAR = 2001
 
@@ -153,9 +164,6 @@ def q_unit_convert(spark, sf_dir):
 
 
 # ----------------------------------------------------------------- resample
-from terracube.operators.resample import (densify, infer_freq, resample_first,  # noqa: E402
-                                          resample_median)
-from terracube.sources.grid import daily_series  # noqa: E402
 
 
 @register("resample_median")
@@ -186,7 +194,6 @@ def q_infer_freq(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- regrid
-from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest  # noqa: E402
 
 
 def _target_axes(g):
@@ -211,8 +218,6 @@ def q_regrid_bilinear(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- merge
-from terracube.operators.masks import all_valid  # noqa: E402
-from terracube.operators.merge import merge_cubes  # noqa: E402
 
 
 @register("merge_cubes")
@@ -225,7 +230,6 @@ def q_merge_cubes(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ slicing
-from terracube.operators import slicing as SL  # noqa: E402
 
 
 @register("bbox_slice")
@@ -253,7 +257,6 @@ def q_isel_time(spark, sf_dir):
 
 
 # -------------------------------------------------------------------- masks
-from terracube.operators import masks as MK  # noqa: E402
 
 
 @register("land_mask")
@@ -295,7 +298,6 @@ def q_drought_lags(spark, sf_dir):
 
 
 # ------------------------------------------------------------ shift and flip
-from terracube.operators.windows import flip_lat, shift_time  # noqa: E402
 
 
 @register("shift")
@@ -312,8 +314,6 @@ def q_flip_lat(spark, sf_dir):
 
 
 # ------------------------------------------------------------ bands, lookup
-from terracube.operators.lookup import (bands_to_time, classify_landcover,  # noqa: E402
-                                        clip_to_regions, time_axis)
 
 
 @register("band_unpivot")
@@ -357,8 +357,6 @@ def q_clip_polygon(spark, sf_dir):
 
 
 # ------------------------------------------------------------- verification
-from terracube.operators import metrics as MT  # noqa: E402
-from terracube.plans.verify import verification_frame  # noqa: E402
 
 METRICS = ["rmse", "explained_variance", "r2", "pct_bias"]
 
@@ -384,8 +382,6 @@ def q_error_mask(spark, sf_dir):
 
 # ------------------------------------------------------------------- models
 # Rows-only checks (no SQL oracle): fitted models are iterative.
-from terracube.plans import models as ML  # noqa: E402
-from terracube.plans.engineer import engineer_arrays  # noqa: E402
 
 
 def _examples(spark, sf_dir):
@@ -438,8 +434,6 @@ def q_rnn_score(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- harmonise
-from terracube.plans import harmonise as HM  # noqa: E402
-from terracube.sources.grid import load_daily_product  # noqa: E402
 
 
 @register("harmonise_script")
@@ -463,7 +457,6 @@ def q_harmonise_rainfall(spark, sf_dir):
 
 
 # ------------------------------------------------------- small report queries
-from terracube.operators.windows import count_pixel_years  # noqa: E402
 
 
 @register("pixel_year_counts")
@@ -524,7 +517,6 @@ def q_smooth_l1(spark, sf_dir):
 
 # ------------------------------------------------------- sinks and round trips
 # Rows-only: each writes to the shared checkpoint folder and reads back.
-from terracube.sources import io as IO  # noqa: E402
 
 
 @register("round_trip_csv")

@@ -9,7 +9,6 @@ session's checkpoint folder (never a machine-local temp dir).
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Sequence
 

@@ -63,3 +63,13 @@ def test_metrics(spark):
     assert r.r2 == pytest.approx(0.93, abs=1e-9)
     assert r.explained_variance == pytest.approx(0.936667, abs=1e-6)
     assert r.pct_bias == pytest.approx(3.333333, abs=1e-6)
+
+
+def test_densify_fills_calendar(spark):
+    from terracube.operators.resample import densify
+    rows = [(0.0, 0.0, dt.datetime(2000, 1, 1), 1.0), (0.0, 0.0, dt.datetime(2000, 3, 1), 3.0),
+            (1.0, 0.0, dt.datetime(2000, 2, 1), None)]
+    df = spark.createDataFrame(rows, "lat double, lon double, time timestamp, v double")
+    out = {(r.lat, r.time.month): r.v for r in densify(df).collect()}
+    assert out == {(0.0, 1): 1.0, (0.0, 2): None, (0.0, 3): 3.0,
+                   (1.0, 1): None, (1.0, 2): None, (1.0, 3): None}
