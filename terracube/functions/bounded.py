@@ -1,0 +1,28 @@
+"""Broadcast hints behind an explicit size bound.
+
+Axis tables (distinct coordinates of one dimension) and calendars (distinct
+time steps) are sized by the grid resolution and the time span, never by the
+data volume, so they are broadcast.  The bound is still checked: a lazy
+``assert_true`` on the table's row count raises if a grid is finer than the
+bound, and callers that can take such grids pass ``broadcast=False`` to let
+AQE measure the table at run time and keep a shuffle join beyond its
+threshold.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+# A 0.001-degree global grid has 360,000 longitudes; daily steps over a
+# century are 36,525.
+MAX_AXIS = 2_000_000
+
+
+def bounded_broadcast(table: DataFrame, max_rows: int = MAX_AXIS, broadcast: bool = True,
+                      what: str = "axis") -> DataFrame:
+    if not broadcast:
+        return table
+    guard = F.assert_true(F.count(F.lit(1)).over(Window.partitionBy()) <= max_rows,
+                          f"{what} larger than the broadcast bound ({max_rows} rows)")
+    return F.broadcast(table.withColumn("__guard", guard).drop("__guard"))

@@ -28,7 +28,8 @@ def bands_to_time(wide: DataFrame, times: DataFrame, keys: Sequence[str], var: s
     bands = [c for c in wide.columns if c.startswith(prefix)]
     long = wide.unpivot(list(keys), bands, "__band", var)
     long = long.withColumn("idx", F.regexp_extract("__band", r"(\d+)$", 1).cast("int")).drop("__band")
-    t = F.broadcast(times.select(F.col("idx").alias("__idx"), "time"))
+    from terracube.functions.bounded import bounded_broadcast
+    t = bounded_broadcast(times.select(F.col("idx").alias("__idx"), "time"), what="calendar")
     j = long.join(t, long["idx"] == t["__idx"], "left")
     j = j.withColumn("__chk", F.assert_true(F.col("time").isNotNull(), "band count differs from time count"))
     return j.select(*keys, "time", var)

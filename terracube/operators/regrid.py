@@ -15,9 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Upper bound on one axis for the broadcast path: a 0.001-degree global grid
-# has 360,000 longitudes; weight tables hold at most 2 rows per target.
-MAX_AXIS = 2_000_000
+from terracube.functions.bounded import MAX_AXIS, bounded_broadcast
 
 
 def axis(df: DataFrame, dim: str) -> DataFrame:
@@ -25,13 +23,9 @@ def axis(df: DataFrame, dim: str) -> DataFrame:
 
 
 def _side(table: DataFrame, broadcast_axes: bool) -> DataFrame:
-    """Broadcast a per-axis table behind a lazy size check, or leave the
-    choice to AQE's run-time size measurement (sort-merge beyond it)."""
-    if not broadcast_axes:
-        return table
-    guard = F.assert_true(F.count(F.lit(1)).over(Window.partitionBy()) <= MAX_AXIS,
-                          "axis larger than the broadcast bound; use broadcast_axes=False")
-    return F.broadcast(table.withColumn("__guard", guard).drop("__guard"))
+    """Per-axis weight table (at most 2 rows per target): broadcast behind the
+    size bound, or left to AQE's run-time measurement."""
+    return bounded_broadcast(table, 2 * MAX_AXIS, broadcast_axes, "regrid weight table")
 
 
 def _neighbours(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:

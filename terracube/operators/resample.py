@@ -90,5 +90,6 @@ def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time")
     axis = df.select(F.col(time).alias("__old")).distinct()
     axis = axis.select("__old", (F.row_number().over(Window.orderBy("__old")) - 1).alias("__i"))
     m = axis.select("__old", F.add_months(start, F.col("__i").cast("int")).cast("timestamp_ntz").alias("__new"))
-    j = df.join(F.broadcast(m), F.col(time) == F.col("__old"))
+    from terracube.functions.bounded import bounded_broadcast
+    j = df.join(bounded_broadcast(m, what="calendar"), F.col(time) == F.col("__old"))
     return j.drop(time, "__old").withColumnRenamed("__new", time).select(*df.columns)

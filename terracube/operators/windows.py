@@ -119,8 +119,9 @@ def flip_lat(df: DataFrame, cols: Sequence[str], time: str = "time") -> DataFram
         "lat",
         F.row_number().over(Window.orderBy("lat")).alias("r"),
         F.row_number().over(Window.orderBy(F.col("lat").desc())).alias("rr"))
-    mapping = F.broadcast(ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
-        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst")))
+    from terracube.functions.bounded import bounded_broadcast
+    mapping = bounded_broadcast(ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
+        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst")), what="latitude axis")
     moved = (df.select("lat", "lon", time, *cols)
                .join(mapping, F.col("lat") == F.col("__src"))
                .select(F.col("__dst").alias("lat"), "lon", time, *cols))

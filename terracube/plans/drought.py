@@ -47,7 +47,8 @@ def lat_pairs(df: DataFrame) -> DataFrame:
 def cluster_by_mirror_pair(grid: DataFrame, time: str = "time") -> DataFrame:
     """Attach rank columns, calendar index and the pair hash, partition once."""
     bounds = grid.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
-    g = grid.join(F.broadcast(lat_pairs(grid)), "lat").crossJoin(F.broadcast(bounds))
+    from terracube.functions.bounded import bounded_broadcast
+    g = grid.join(bounded_broadcast(lat_pairs(grid), what="latitude axis"), "lat").crossJoin(F.broadcast(bounds))
     g = g.withColumn("t_idx", ((F.year(time) * 12 + F.month(time))
                                - (F.year("__t0") * 12 + F.month("__t0"))).cast("int"))
     return g.withColumn(PIXEL_ID, F.xxhash64("lon", "__pair")).repartition(PIXEL_ID)
