@@ -35,6 +35,12 @@ def trunc_ntz(unit: str, time: Column | str) -> Column:
     return F.date_trunc(unit, t).cast("timestamp_ntz")
 
 
+def parse_time(col: Column | str, fmt: str | None = None) -> Column:
+    """text to a zone-less timestamp (ISO by default)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.to_timestamp_ntz(c, F.lit(fmt)) if fmt else F.to_timestamp_ntz(c)
+
+
 def month_start(time: Column | str) -> Column:
     return trunc_ntz("month", time)
 

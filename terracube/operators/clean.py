@@ -24,14 +24,15 @@ def cluster_by_pixel(df: DataFrame) -> DataFrame:
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Ingest rule: NaN becomes NULL once, NULL is the only missing marker after."""
+    """Ingest rule (F5): NaN becomes NULL once, NULL is the only missing marker after."""
     cols = [c for c, t in df.dtypes if t in ("double", "float")] if cols is None else list(cols)
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
 
 
 def mask_sentinel(df: DataFrame, cols: Iterable[str] | None = None,
                   sentinel: float = LST_SENTINEL) -> DataFrame:
-    """P5: values >= sentinel become NULL (strict ``< sentinel`` keeps)."""
+    """P5: values >= sentinel become NULL (strict ``< sentinel`` keeps, F13 ``when``).
+    Default columns: every variable whose name contains ``lst`` (F8)."""
     if cols is None:
         cols = [c for c in df.columns if "lst" in c]
     return df.withColumns({c: F.when(F.col(c) < sentinel, F.col(c)) for c in cols})

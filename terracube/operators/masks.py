@@ -63,12 +63,12 @@ def all_valid(df: DataFrame, cols: Sequence[str], value: str, out: str | None =
 
 
 def to_boolean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Numeric 0/1 masks to boolean; missing stays NULL."""
+    """Numeric 0/1 masks to boolean; missing stays NULL."""
     return df.withColumns({c: F.col(c).cast("boolean") for c in cols})
 
 
 def threshold_flag(col: str, limit: float = -1.0) -> F.Column:
-    """Strict ``col < limit``, missing -> False."""
+    """Strict ``col < limit``, missing -> False."""
     return F.coalesce(F.col(col) < F.lit(limit), F.lit(False))
 
 

@@ -1,4 +1,9 @@
-"""Cube merges (J1, J2) and prediction alignment."""
+"""Cube merges (J1, J2) and prediction alignment.
+
+J4 (subtracting the monthly climatology from every time step regardless of
+its month) is the form the reference shows as wrong; it pairs every time
+with every month per pixel, so it is not built.  J3 is the correct form.
+"""
 
 from __future__ import annotations
 

@@ -1,8 +1,9 @@
 """Forecast verification.
 
 All metrics are single-pass partial aggregates (sums of moments), so they
-cost one scan and a tiny final merge regardless of data size.  Arguments
-are always (truth, prediction).
+cost one scan and a tiny final merge regardless of data size (F4: abs,
+sqrt, pow, round are the built-in Column functions).  Arguments are always
+(truth, prediction).
 """
 
 from __future__ import annotations

@@ -17,7 +17,7 @@ def example_steps(df: DataFrame, features: Sequence[str], target: str = "target"
     """W8 + A5 in long form: one row per (pixel-year, input month).
 
     Keeps pixel-years with exactly ``months`` rows (the count rule, not
-    distinct months), orders them by ``gb_month``; the first ``months-1``
+    distinct months), orders them by ``gb_month`` (T1); the first ``months-1``
     rows are the inputs (``step`` 1..11), the last row's ``target`` is
     ``y``.  One hash exchange on (lat, lon, gb_year) feeds both the count
     and the ordered frame; nothing is collected, so a pixel-year of any
@@ -35,7 +35,8 @@ def example_steps(df: DataFrame, features: Sequence[str], target: str = "target"
 
 
 def example_arrays(steps: DataFrame, features: Sequence[str]) -> DataFrame:
-    """W8 nested form: ``x array<array<double>>`` (step-major), ``y`` double.
+    """W8 nested form: ``x array<array<double>>`` (step-major), ``y`` double;
+    F10 array slicing/indexing/reshape are ``array_sort``/``transform``/``flatten``.
 
     Groups hold exactly 11 rows after ``example_steps`` (bounded), so the
     ``collect_list`` here is safe at any data size.

@@ -575,6 +575,22 @@ SELECT lat, lon, CAST(time AS TIMESTAMP) AS time, value, n_obs FROM m
 WHERE time <= (SELECT max(time) FROM m) - INTERVAL 31 DAY"""
 
 
+ORACLES["harmonise_evaporation"] = "WITH " + GRID + "," + DAILY + """,
+fm AS (SELECT lat, lon, CAST(date_trunc('month', last_day(time)) AS TIMESTAMP) AS time,
+              arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value FROM dp GROUP BY 1, 2, 3),
+b AS (SELECT min(time) AS t0, max(time) AS t1 FROM grid WHERE time <= TIMESTAMP '2001-06-01'),
+sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 28.0 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
+    _nearest("sl0", "e", "value", "p") + """,
+t0 AS (SELECT min(time) AS t FROM grid),
+at0 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t0 WHERE grid.time = t0.t GROUP BY 1, 2),
+px AS (SELECT DISTINCT lat, lon FROM grid),
+m AS (SELECT px.lat, px.lon, NOT coalesce(at0.has, false) AS masked
+      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon)
+SELECT p.lat, p.lon, p.time,
+       floor(floor(CASE WHEN m.masked = false THEN p.value END * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evaporation
+FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
+
+
 def _positive_zero(sql: str) -> str:
     """Wrap every ``round(x, 6)`` as ``(round(x, 6) + 0.0)``: DuckDB returns
     -0.0 for tiny negatives, Spark returns 0.0."""

@@ -11,6 +11,9 @@ here the whole pipeline is one pass over a cube clustered once:
 * global scalars (first/last time step) and the latitude axis are one-row /
   axis-sized tables, broadcast;
 * both polarities live in one frame with an ``in_drought`` flag.
+
+J13 (cube x mask at t with lagged values) therefore needs no join at all:
+the mask and the lags are columns of the same clustered rows.
 """
 
 from __future__ import annotations

@@ -1,6 +1,11 @@
-"""Harmonisation pipelines (J7, C1, C2, C3): bring a product onto the
+"""Harmonisation pipelines (J7, C1, C2, C3, C4): bring a product onto the
 reference calendar and grid, then merge.
 
+C5 (the reference-product cleaner) starts with an external reprojection
+shell-out and its class cannot be imported in the reference, so it is not
+built; its remaining steps (P10 box, P27 units, P2 rename, A4 resample) are
+all available operators.
+
 Each stage is a DataFrame operator; the regrid weight tables come from
 the two axes only (grid-resolution sized, broadcast), so the cube is
 shuffled once for the resample and once for the regrid aggregate.
@@ -18,7 +23,7 @@ from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest
 from terracube.operators.resample import relabel_by_position, resample_first, resample_median
 from terracube.operators.slicing import (bbox_from_reference, time_slice, time_slice_exact,
                                          time_slice_from_reference)
-from terracube.operators.units import MM_MONTH_TO_MM_DAY, mean_of
+from terracube.operators.units import MM_MONTH_TO_MM_DAY, WM2_TO_MM_DAY, mean_of
 
 
 def to_reference_grid(reference: DataFrame, product: DataFrame, var: str, check: bool = True) -> DataFrame:
@@ -64,3 +69,17 @@ def rainfall_cleaner(reference: DataFrame, product: DataFrame, var: str = "value
     p = regrid_bilinear(p, axis(reference, "lat"), axis(reference, "lon"), [var])
     p = apply_mask(p, reference_mask(reference, mask_var, t_index=0), [var], "masked", keep_when=False)
     return rename_variables(p, {var: "precip"})
+
+
+def evaporation_cleaner(reference: DataFrame, product: DataFrame, var: str = "value",
+                        mask_var: str = "sm") -> DataFrame:
+    """C4: first per month -> exact slice -> W/m2 to mm/day -> nearest regrid
+    -> reference null mask -> rename to ``evaporation``."""
+    p = normalise_coordinate_names(product)
+    p = resample_first(p, ["lat", "lon"], var)
+    p = p.withColumn("time", F.date_trunc("month", "time").cast("timestamp_ntz"))  # month-end date -> month start
+    p = time_slice_exact(reference.where(F.col("time") <= F.lit("2001-06-01").cast("timestamp_ntz")), p)
+    p = p.withColumn(var, F.col(var) / F.lit(WM2_TO_MM_DAY))
+    p = regrid_nearest(p, axis(reference, "lat"), axis(reference, "lon"), [var])
+    p = apply_mask(p, reference_mask(reference, mask_var, t_index=0), [var], "masked", keep_when=False)
+    return rename_variables(p, {var: "evaporation"})

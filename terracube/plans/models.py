@@ -50,7 +50,8 @@ def prepare(examples: DataFrame, hide_vegetation: bool = False,
 
 
 def fit_linear(train: DataFrame):
-    """M1: ordinary least squares with intercept (kept, unlike the original)."""
+    """Ordinary least squares with intercept (kept, unlike the original).
+    C10 is prepare (S6, P25, W9) -> fit -> score (M2) -> evaluate (A15)."""
     lr = LinearRegression(featuresCol="features", labelCol="y", predictionCol="prediction",
                           regParam=0.0, elasticNetParam=0.0, solver="normal")
     return lr.fit(train)

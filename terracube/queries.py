@@ -449,6 +449,14 @@ def q_harmonise_bilinear(spark, sf_dir):
     return h.select("lat", "lon", "time", "ndvi", *r6("lst_mean"), fixed6("evap"))
 
 
+@register("harmonise_evaporation")
+def q_harmonise_evaporation(spark, sf_dir):
+    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
+    h = HM.evaporation_cleaner(ref, load_daily_product(spark, sf_dir))
+    # value / 28 of 5-decimal data can land exactly on a rounding tie
+    return h.select("lat", "lon", "time", fixed6("evaporation"))
+
+
 @register("harmonise_rainfall")
 def q_harmonise_rainfall(spark, sf_dir):
     ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
