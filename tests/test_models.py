@@ -35,13 +35,18 @@ def test_linear_matches_lstsq(spark):
 
 
 def test_linear_attribution_additive(spark):
+    """For a linear model, sum_j attribution_j = prediction - mean prediction
+    over the background, so (sum of attributions - prediction) is the same
+    constant for every test example."""
     from terracube.queries import _examples
     ex, _ = _examples(spark, "/root/testdata/sf0.01")
     att = ML.linear_attribution(ex, None, k_background=200)
     sums = att.groupBy("lat", "lon", "gb_year").agg(F.sum("attribution").alias("s"))
-    assert sums.count() == ex.where("split = 'test'").count()
-    # attributions sum to prediction - mean prediction over the background (linear model)
-    data, _ = ML.prepare(ex)
+    preds, _, _ = ML.linear_fit_score(ex)
+    j = sums.join(preds.where("split = 'test'"), ["lat", "lon", "gb_year"])
+    diffs = np.array([r.s - r.prediction for r in j.collect()])
+    assert len(diffs) == ex.where("split = 'test'").count() > 0
+    assert np.ptp(diffs) < 1e-6 * max(1.0, np.abs(diffs).max())
     assert att.where(F.col("attribution").isNull()).count() == 0
 
 
