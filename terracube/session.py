@@ -6,7 +6,6 @@ we only set one ourselves when the session has none (local tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,8 +22,9 @@ _DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # model-input checkpoints are removed once their DataFrame is collected
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    # Broadcast only what is provably small: the axis, mask and statistics
-    # tables are explicitly hinted; everything else goes through AQE.
+    # Broadcast only what is provably small: axis/calendar tables (behind a
+    # size guard) and one-row statistics are hinted; masks and other
+    # data-dependent tables are measured by AQE at run time against this.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
 }
 
@@ -66,6 +66,3 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
 
-
-def table_path(sf_dir: str, name: str) -> str:
-    return os.path.join(sf_dir, f"{name}.parquet")
