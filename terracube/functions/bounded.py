@@ -25,4 +25,7 @@ def bounded_broadcast(table: DataFrame, max_rows: int = MAX_AXIS, broadcast: boo
         return table
     guard = F.assert_true(F.count(F.lit(1)).over(Window.partitionBy()) <= max_rows,
                           f"{what} larger than the broadcast bound ({max_rows} rows)")
-    return F.broadcast(table.withColumn("__guard", guard).drop("__guard"))
+    # a predicate (assert_true yields NULL when the bound holds), so column
+    # pruning cannot drop the check the way it would drop an unused column
+    checked = table.withColumn("__guard", guard).where(F.col("__guard").isNull()).drop("__guard")
+    return F.broadcast(checked)
