@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from terracube.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -35,9 +36,9 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(E.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) & set(E.oracle_sql())))
 def test_query_matches_oracle(spark, con, name):
-    sdf = E.queries()[name](spark, SF)
+    sdf = QUERIES[name](spark, SF)
     cols = sorted(sdf.columns)
     srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
     rel = con.sql(E.oracle_sql()[name])
@@ -54,6 +55,6 @@ def test_entry_smoke(spark):
     assert df.columns == ["gb_year", "split", "n_examples", "mean_y"]
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(E.oracle_sql())))
 def test_rows_only_queries_run(spark, name):
-    assert E.queries()[name](spark, SF).count() >= 0
+    assert QUERIES[name](spark, SF).count() >= 0
