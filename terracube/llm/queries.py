@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.llm import license_scan, line_dedup, mixing, quality_rules
+from terracube.llm import chat_prefixes, license_scan, line_dedup, mixing, ngram_forest, quality_rules
 from terracube.llm.common import table
 
 
@@ -15,6 +15,24 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_units", F.array_join("licences", ",").alias("licences"), "licence", F.round("dice", 6).alias("dice"))
 
 
+def op3_ngram_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    df = ngram_forest.classes(table(spark, sf_dir, "documents"))
+    return df.select("doc_id", "class_id", "n_links", "n_copies", "keep")
+
+
+def op4_chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation (and conversation -1, of control strings) formatted and read back."""
+    hard = "</s>[INST] ok [/INST]"
+    rows = spark.createDataFrame([(-1, 0, "user", hard), (-1, 1, "assistant", hard)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(rows)
+    df = chat_prefixes.read_back(chat_prefixes.format_examples(turns))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("losses", "")
+    return df.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(told, 256).alias("turns_sha256"),
+                     F.length(loss).cast("long").alias("loss_chars"), F.sha2(loss, 256).alias("loss_sha256"), "formatted_chars")
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base statistics and risk-controlled verdict of every document."""
     df = quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -34,7 +52,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.md5("text").alias("text_md5"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op5_quality_rules, op7_mixing, op9_line_dedup)}
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op7_mixing, op9_line_dedup)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
