@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.llm import chat_prefixes, license_scan, line_dedup, mixing, ngram_forest, quality_rules
+from terracube.llm import chat_prefixes, license_scan, line_dedup, mixing, ngram_forest, quality_rules, suffix_pieces
 from terracube.llm.common import table
 
 
@@ -52,7 +52,14 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.md5("text").alias("text_md5"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op7_mixing, op9_line_dedup)}
+def op10_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every whole text (as a digest), and whether they decode to it."""
+    df = suffix_pieces.decode(suffix_pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return df.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"),
+                     (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
+QUERIES = {f.__name__: f for f in (op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op7_mixing, op9_line_dedup, op10_suffix_pieces)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
