@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.llm import chat_prefixes, license_scan, line_dedup, mixing, ngram_forest, quality_rules, suffix_pieces
+from terracube.llm import chat_prefixes, edit_counts, fm_toxicity, hilbert_ann, license_scan, line_dedup, mixing, ngram_forest, quality_rules, suffix_pieces
 from terracube.llm.common import table
 
 
+def op1_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fm_toxicity.classified(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence notices in every document."""
     df = license_scan.scan(table(spark, sf_dir, "documents"))
@@ -39,12 +45,27 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of every document before and after cleaning edits."""
+    docs = edit_counts.cleaning_edits(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    before = edit_counts.build_trees(docs).withColumn("tokens_before", F.col("n_tokens")).withColumn("n_pretokens", F.size("tree.lengths").cast("long"))
+    after = edit_counts.apply_edits(before)
+    return after.select("doc_id", F.size("edits").cast("long").alias("n_edits"), "n_pretokens", "n_reencoded", "tokens_before",
+                        F.col("n_tokens").alias("tokens_after"), F.md5("text").alias("text_md5"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document in the mixture."""
     df = mixing.repetitions(table(spark, sf_dir, "documents"))
     return df.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"))
 
 
+def op8_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest rows of every query vector."""
+    df = hilbert_ann.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return df.select(F.col("query").alias("query_id"), "rank", F.col("id").alias("vec_id"), "score")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text without cross-site lines (as a digest)."""
     df = line_dedup.cut_lines(table(spark, sf_dir, "documents"))
@@ -59,7 +80,9 @@ def op10_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
-QUERIES = {f.__name__: f for f in (op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op7_mixing, op9_line_dedup, op10_suffix_pieces)}
+QUERIES = {f.__name__: f for f in (
+    op1_fm_toxicity, op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op6_edit_counts, op7_mixing,
+    op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces)}
 
 #: DuckDB SQL of the queries that SQL can express over whole tables.
 ORACLES: dict[str, str] = {}
