@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from terracube.llm import chat_prefixes, edit_counts, fm_toxicity, hilbert_ann, license_scan, line_dedup, mixing, ngram_forest, quality_rules, suffix_pieces
 from terracube.llm.common import table
+from terracube.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_fm_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +84,3 @@ def op10_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_fm_toxicity, op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op6_edit_counts, op7_mixing,
     op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces)}
-
-#: DuckDB SQL of the queries that SQL can express over whole tables.
-ORACLES: dict[str, str] = {}
