@@ -29,7 +29,6 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: the pre-token pattern that goes with the ranks.
@@ -38,9 +37,6 @@ LEAF = 64
 LOOK = 2
 KEPT_WORDS = 300_000
 
-STATE = T.StructType([T.StructField("lengths", T.ArrayType(T.IntegerType())), T.StructField("tokens", T.ArrayType(T.IntegerType())),
-                      T.StructField("leaves", T.ArrayType(T.IntegerType()))])
-
 
 class Counts(dict):
     """Token counts of pre-tokens."""
@@ -159,66 +155,75 @@ def _sent(df: DataFrame, ranks_file: str):
         return df.sparkSession.sparkContext.broadcast(f.read())  # bounded by the vocabulary
 
 
-def _with(df: DataFrame, fields: list[T.StructField], run) -> DataFrame:
-    names = {f.name for f in fields}
-    rest = [f for f in df.schema.fields if f.name not in names]
-    return df.mapInPandas(run, T.StructType([*rest, *fields]))
+STATE = "lengths array<int>, tokens array<int>, leaves array<int>"
+
+
+def _frame(trees: list[Tree], **more) -> pd.DataFrame:
+    states = [t.state() for t in trees]
+    parts = {n: pd.Series([s[k] for s in states], dtype=object) for k, n in enumerate(("lengths", "tokens", "leaves"))}
+    return pd.DataFrame(parts | {n: pd.Series(list(v)) for n, v in more.items()})
 
 
-def build_trees(docs: DataFrame, ranks_file: str = RANKS, text_col: str = "text") -> DataFrame:
-    """The documents with their state: ``tree`` (lengths and tokens of the pre-tokens, sizes of the leaves) and ``n_tokens``."""
+def build_trees(docs: DataFrame, ranks_file: str = RANKS, text_col: str = "text", tree_col: str = "tree") -> DataFrame:
+    """The documents with their state ``tree``: lengths and tokens of the pre-tokens, sizes of the leaves, ``n_tokens``."""
     sent = _sent(docs, ranks_file)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"{STATE}, n_tokens long")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         counts = Counts(sent.value)
-        for pdf in batches:
-            trees = [Tree.of(t or "", counts) for t in pdf[text_col]]
-            yield pdf.assign(tree=[dict(zip(("lengths", "tokens", "leaves"), t.state(), strict=True)) for t in trees], n_tokens=[t.total for t in trees])
+        for texts in batches:
+            trees = [Tree.of(t or "", counts) for t in texts]
+            yield _frame(trees, n_tokens=[t.total for t in trees])
 
-    return _with(docs, [T.StructField("tree", STATE), T.StructField("n_tokens", T.LongType())], run)
+    return docs.withColumn(tree_col, run(F.col(text_col)))
 
 
-def apply_edits(state: DataFrame, ranks_file: str = RANKS, text_col: str = "text", edits_col: str = "edits") -> DataFrame:
-    """``state`` (of ``build_trees``) after its ``edits`` (array of ``start, end, new``): text, tree
-    and ``n_tokens`` are those of the edited text, ``n_reencoded`` is the number of pre-tokens encoded for it."""
+def apply_edits(state: DataFrame, ranks_file: str = RANKS, text_col: str = "text", edits_col: str = "edits", tree_col: str = "tree") -> DataFrame:
+    """``state`` (of ``build_trees``) after its ``edits`` (array of ``start, end, new``): text and tree
+    are those of the edited text; ``tree.n_reencoded`` is the number of pre-tokens encoded for it."""
     sent = _sent(state, ranks_file)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(f"text string, {STATE}, n_tokens long, n_reencoded long")
+    def run(batches: Iterator[tuple[pd.Series, pd.DataFrame, pd.Series]]) -> Iterator[pd.DataFrame]:
         counts = Counts(sent.value)
-        for pdf in batches:
+        for texts, tree, edits in batches:
             trees = []
-            for text, tree, edits in zip(pdf[text_col], pdf["tree"], pdf[edits_col], strict=True):
-                t = Tree(text or "", list(tree["lengths"]), list(tree["tokens"]), list(tree["leaves"]))
-                made = [(int(e["start"] or 0), int(e["end"] or 0), e["new"] or "") for e in (edits if edits is not None else ()) if e is not None]
+            for text, lengths, tokens, leaves, asked in zip(texts, tree["lengths"], tree["tokens"], tree["leaves"], edits, strict=True):
+                t = Tree(text or "", list(lengths), list(tokens), list(leaves))
+                made = [(int(e["start"] or 0), int(e["end"] or 0), e["new"] or "") for e in (asked if asked is not None else ()) if e is not None]
                 for e in sorted(made, key=lambda e: -e[0]):
                     t.edit(*e, counts)
                 trees.append(t)
-            yield pdf.assign(**{text_col: [t.text for t in trees], "tree": [dict(zip(("lengths", "tokens", "leaves"), t.state(), strict=True)) for t in trees],
-                                "n_tokens": [t.total for t in trees], "n_reencoded": [t.reencoded for t in trees]})
+            done = _frame(trees, n_tokens=[t.total for t in trees], n_reencoded=[t.reencoded for t in trees])
+            done.insert(0, "text", pd.Series([t.text for t in trees], dtype=object))
+            yield done
 
-    return _with(state, [T.StructField(text_col, T.StringType()), T.StructField("tree", STATE), T.StructField("n_tokens", T.LongType()),
-                         T.StructField("n_reencoded", T.LongType())], run)
+    tree = F.struct(*[F.col(tree_col)[n].alias(n) for n in ("lengths", "tokens", "leaves")])
+    keep, name = state.columns, "_".join(state.columns)  # a name that no column has
+    df = state.withColumn(name, run(F.col(text_col), tree, F.col(edits_col)))
+    after = {text_col: F.col(name)["text"].alias(text_col),
+             tree_col: F.struct(*[F.col(name)[n].alias(n) for n in ("lengths", "tokens", "leaves", "n_tokens", "n_reencoded")]).alias(tree_col)}
+    return df.select(*[after.get(c, F.col(f"`{c}`")) for c in keep])
 
 
-def cleaning_edits(docs: DataFrame, text_col: str = "text", source_col: str = "source") -> DataFrame:
+def cleaning_edits(docs: DataFrame, text_col: str = "text", source_col: str = "source", edits_col: str = "edits") -> DataFrame:
     """The documents with ``edits``: a source line in front, later copies of a line taken out,
     runs of four digits and more masked."""
     digits = regex.compile(r"[0-9]{4,}")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            every = []
-            for text, source in zip(pdf[text_col], pdf[source_col], strict=True):
-                edits, seen, at = [{"start": 0, "end": 0, "new": f"Source: {source}\n"}], set(), 0
-                for line in (text or "").split("\n"):
-                    if line.strip() and line in seen:
-                        edits.append({"start": at - 1, "end": at + len(line), "new": ""})
-                    else:
-                        edits += [{"start": at + m.start(), "end": at + m.end(), "new": "0000"} for m in digits.finditer(line)]
-                    seen.add(line)
-                    at += len(line) + 1
-                every.append(edits)
-            yield pdf.assign(edits=every)
-
-    edit = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("new", T.StringType())])
-    return _with(docs, [T.StructField("edits", T.ArrayType(edit))], run)
+    @F.pandas_udf("array<struct<start: long, end: long, new: string>>")
+    def run(texts: pd.Series, sources: pd.Series) -> pd.Series:
+        every = []
+        for text, source in zip(texts, sources, strict=True):
+            edits, seen, at = [{"start": 0, "end": 0, "new": f"Source: {source}\n"}], set(), 0
+            for line in (text or "").split("\n"):
+                if line.strip() and line in seen:
+                    edits.append({"start": at - 1, "end": at + len(line), "new": ""})
+                else:
+                    edits += [{"start": at + m.start(), "end": at + m.end(), "new": "0000"} for m in digits.finditer(line)]
+                seen.add(line)
+                at += len(line) + 1
+            every.append(edits)
+        return pd.Series(every, dtype=object)
+
+    return docs.withColumn(edits_col, run(F.col(text_col), F.col(source_col)))

@@ -28,7 +28,6 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 BUCKETS = 1 << 24
 FACTORS = 4

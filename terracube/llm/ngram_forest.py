@@ -91,16 +91,17 @@ def tree_prefixes(sh: np.ndarray, mult: np.ndarray, add: np.ndarray, length: int
 
 
 def _sketch(length: int, trees: int, words: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("key binary, paths array<long>")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         hashes = WordHashes()
         mult, add = _permutations(trees * length)
-        for pdf in batches:
+        for texts in batches:
             keys, paths = [], []
-            for text in pdf["text"]:
+            for text in texts:
                 w = text.encode("utf-8", "surrogatepass").split() if text else []
                 keys.append(hashlib.md5(b" ".join(w)).digest() if w else None)
                 paths.append(tree_prefixes(shingles(w, hashes, words), mult, add, length) if w else None)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "th": pdf["th"], "key": keys, "paths": paths}, columns=["doc_id", "th", "key", "paths"])
+            yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "paths": pd.Series(paths, dtype=object)})
 
     return run
 
@@ -222,9 +223,8 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, t
     its id and text carry the mark).
     """
     length = prefix_length(threshold, trees, depth, recall)
-    id_type = docs.schema[id_col].dataType.simpleString()
     plain = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
-    sketch = checkpointed(plain.mapInPandas(_sketch(length, trees, words), f"doc_id {id_type}, th long, key binary, paths array<long>"))
+    sketch = checkpointed(plain.select("doc_id", "th", _sketch(length, trees, words)("text").alias("s")).select("doc_id", "th", "s.*"))
     node = sketch.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("copies"),
                                                               F.max("paths").alias("paths"))
     node = checkpointed(node)

@@ -35,7 +35,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -359,10 +358,11 @@ def encode(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids
     """The documents with ``ids``, an array of piece ids, added."""
     tables = docs.sparkSession.sparkContext.broadcast(vars(Pieces(model_file)))  # bounded by the vocabulary
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf("array<int>")
+    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = Encoder(Pieces.of(tables.value))
-        for pdf in batches:
-            texts, ids, at = pdf[text_col].tolist(), [], 0
+        for series in batches:
+            texts, ids, at = series.tolist(), [], 0
             while at < len(texts):
                 end, size = at, 0
                 while end < len(texts) and (size < 8_000_000 or end == at):
@@ -370,10 +370,9 @@ def encode(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids
                     end += 1
                 ids += encoder.encode(texts[at:end])
                 at = end
-            yield pdf.assign(**{ids_col: pd.Series(ids, index=pdf.index, dtype=object)})
+            yield pd.Series(ids, dtype=object)
 
-    rest = [f for f in docs.schema.fields if f.name != ids_col]
-    return docs.select(*[F.col(f"`{f.name}`") for f in rest]).mapInPandas(run, T.StructType([*rest, T.StructField(ids_col, T.ArrayType(T.IntegerType()))]))
+    return docs.withColumn(ids_col, ids_of(F.col(text_col)))
 
 
 def decode(df: DataFrame, model_file: str = MODEL, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
