@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters indexed at a time, and segments kept per task before it starts anew.
-INDEXED = 1_000_000
-KEPT_SEGMENTS = 400_000
+INDEXED = 250_000
+KEPT_SEGMENTS = 300_000
+#: Characters of texts whose segments are looked up together.
+CUT = 4_000_000
 #: Slots of the table of piece pairs already judged (a power of two).
 SLOTS = 1 << 20
 
@@ -260,19 +262,20 @@ class Encoder:
         order, piece, length, lo, hi = self._ranges(ids, look)
         n = hi - lo
         shift = np.repeat(lo - (np.cumsum(n) - n), n)
-        start, which = order[shift + np.arange(len(shift))], np.repeat(piece, n)
-        end = start + np.repeat(length, n)
+        start, which = order[shift + np.arange(len(shift))].astype(np.int32), np.repeat(piece.astype(np.int32), n)
+        end = start + np.repeat(length.astype(np.int32), n)
         single = np.zeros(len(codes) + 1, bool)
         single[end[end == start + 1]] = True
-        bare = np.flatnonzero(inside & ~single[1:])  # characters without a piece
-        start, end, which = np.concatenate([start, bare]), np.concatenate([end, bare + 1]), np.concatenate([which, np.full(len(bare), p.size - 1)])
-        of = np.repeat(np.arange(len(segs)), seg_len + 1)[: len(codes)]
-        offset = end - seg_at[of[start]]
+        bare = np.flatnonzero(inside & ~single[1:]).astype(np.int32)  # characters without a piece
+        if len(bare):
+            start, end, which = np.concatenate([start, bare]), np.concatenate([end, bare + 1]), np.concatenate([which, np.full(len(bare), p.size - 1, np.int32)])
+        of = np.repeat(np.arange(len(segs), dtype=np.int32), seg_len + 1)[: len(codes)]
+        offset = end - seg_at.astype(np.int32)[of[start]]
         if len(offset) and offset.max() < 2**16:
             offset = offset.astype(np.uint16)
         by_end = np.argsort(offset, kind="stable")
         start, end, which, offset = start[by_end], end[by_end], which[by_end], offset[by_end]
-        last, back = np.full(len(codes) + 1, -1, np.int64), np.zeros(len(codes) + 1, np.int64)
+        last, back = np.full(len(codes) + 1, -1, np.int64), np.zeros(len(codes) + 1, np.int32)
         cuts = np.flatnonzero(np.diff(offset)) + 1
         root = np.zeros(len(codes) + 1, bool)
         root[seg_at] = True
@@ -354,25 +357,45 @@ class Encoder:
         return np.array([one if x == 1 else self.p.run_pieces[x][1] for x in part], np.int64)
 
 
-def encode(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
-    """The documents with ``ids``, an array of piece ids, added."""
+def decoded(ids, id_bytes: list[bytes]) -> str:
+    """The text of piece ids."""
+    text = b"".join(map(id_bytes.__getitem__, ids.tolist())).replace(MARK.encode(), b" ")
+    return text.removeprefix(b" ").decode("utf-8", "replace")
+
+
+def _encoder(docs: DataFrame, model_file: str, checked: bool):
     tables = docs.sparkSession.sparkContext.broadcast(vars(Pieces(model_file)))  # bounded by the vocabulary
 
-    @F.pandas_udf("array<int>")
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("ids array<int>, round_trip boolean")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder(Pieces.of(tables.value))
-        for series in batches:
-            texts, ids, at = series.tolist(), [], 0
+        for texts in batches:
+            ids, good, at = [], [], 0
             while at < len(texts):
-                end, size = at, 0
-                while end < len(texts) and (size < 8_000_000 or end == at):
-                    size += len(texts[end] or "")
-                    end += 1
-                ids += encoder.encode(texts[at:end])
-                at = end
-            yield pd.Series(ids, dtype=object)
+                part, size = [], 0
+                while at + len(part) < len(texts) and (size < CUT or not part):
+                    part.append(texts.iat[at + len(part)] or "")
+                    size += len(part[-1])
+                new = encoder.encode(part)
+                ids += new
+                good += [decoded(x, encoder.p.id_bytes) == t.replace(MARK, " ") if checked else None for x, t in zip(new, part, strict=True)]
+                at += len(part)
+            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(good, dtype=object)})
+
+    return run
+
+
+def encode(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
+    """The documents with ``ids``, an array of piece ids, added."""
+    return docs.withColumn(ids_col, _encoder(docs, model_file, False)(F.col(text_col))["ids"])
+
 
-    return docs.withColumn(ids_col, ids_of(F.col(text_col)))
+def encode_checked(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids_col: str = "ids", check_col: str = "round_trip") -> DataFrame:
+    """As ``encode``, with a flag that decoding the ids gives the text (space marks of the text
+    read as spaces). Encoder and decoder share a worker, so the ids stay where they are."""
+    name = "_".join([*docs.columns, check_col])  # a name that no column has
+    df = docs.withColumn(name, _encoder(docs, model_file, True)(F.col(text_col)))
+    return df.withColumn(ids_col, F.col(name)["ids"]).withColumn(check_col, F.col(name)["round_trip"]).drop(name)
 
 
 def decode(df: DataFrame, model_file: str = MODEL, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
@@ -380,9 +403,7 @@ def decode(df: DataFrame, model_file: str = MODEL, ids_col: str = "ids", text_co
     tables = df.sparkSession.sparkContext.broadcast(vars(Pieces(model_file)))
 
     @F.pandas_udf("string")
-    def text_of(ids: pd.Series) -> pd.Series:
-        piece, mark = tables.value["id_bytes"].__getitem__, MARK.encode()
-        whole = (b"".join(map(piece, x.tolist())).replace(mark, b" ") if x is not None else b"" for x in ids)
-        return pd.Series([(t[1:] if t.startswith(b" ") else t).decode("utf-8", "replace") for t in whole], dtype=object)
+    def text_of(every: pd.Series) -> pd.Series:
+        return pd.Series([decoded(ids, tables.value["id_bytes"]) if ids is not None else "" for ids in every], dtype=object)
 
     return df.withColumn(text_col, text_of(F.col(ids_col)))
