@@ -206,24 +206,43 @@ def apply_edits(state: DataFrame, ranks_file: str = RANKS, text_col: str = "text
     return df.select(*[after.get(c, F.col(f"`{c}`")) for c in keep])
 
 
-def cleaning_edits(docs: DataFrame, text_col: str = "text", source_col: str = "source", edits_col: str = "edits") -> DataFrame:
-    """The documents with ``edits``: a source line in front, later copies of a line taken out,
-    runs of four digits and more masked."""
-    digits = regex.compile(r"[0-9]{4,}")
-
-    @F.pandas_udf("array<struct<start: long, end: long, new: string>>")
-    def run(texts: pd.Series, sources: pd.Series) -> pd.Series:
-        every = []
-        for text, source in zip(texts, sources, strict=True):
-            edits, seen, at = [{"start": 0, "end": 0, "new": f"Source: {source}\n"}], set(), 0
-            for line in (text or "").split("\n"):
-                if line.strip() and line in seen:
-                    edits.append({"start": at - 1, "end": at + len(line), "new": ""})
-                else:
-                    edits += [{"start": at + m.start(), "end": at + m.end(), "new": "0000"} for m in digits.finditer(line)]
-                seen.add(line)
-                at += len(line) + 1
-            every.append(edits)
-        return pd.Series(every, dtype=object)
-
-    return docs.withColumn(edits_col, run(F.col(text_col), F.col(source_col)))
+def recount(docs: DataFrame, editor, ranks_file: str = RANKS, text_col: str = "text", editor_col: str = "source", result_col: str = "recount") -> DataFrame:
+    """The documents with the outcome of edits made where the text is: ``editor(text, value)``
+    gives a document's edits ``(start, end, new)``, ``value`` being its ``editor_col``.
+
+    ``recount`` holds the edited ``text``, ``n_edits``, ``n_pretokens``, ``n_reencoded``
+    and the token counts ``before`` and ``after``. Building and editing share a worker, so
+    no tree leaves it; ``build_trees`` and ``apply_edits`` keep trees between edits.
+    """
+    sent = _sent(docs, ranks_file)
+
+    @F.pandas_udf("text string, n_edits long, n_pretokens long, n_reencoded long, before long, after long")
+    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+        counts = Counts(sent.value)
+        for texts, values in batches:
+            rows = []
+            for text, value in zip(texts, values, strict=True):
+                tree = Tree.of(text or "", counts)
+                n, before, edits = tree.size(), tree.total, editor(text or "", value)
+                for e in sorted(edits, key=lambda e: -e[0]):
+                    tree.edit(*e, counts)
+                rows.append((tree.text, len(edits), n, tree.reencoded, before, tree.total))
+            yield pd.DataFrame(rows, columns=["text", "n_edits", "n_pretokens", "n_reencoded", "before", "after"])
+
+    return docs.withColumn(result_col, run(F.col(text_col), F.col(editor_col)))
+
+
+def cleaning_edits(text: str, source: str | None) -> list[tuple[int, int, str]]:
+    """A source line in front, later copies of a line taken out, runs of four digits and more masked."""
+    edits, seen, at = [(0, 0, f"Source: {source}\n")], set(), 0
+    for line in text.split("\n"):
+        if line.strip() and line in seen:
+            edits.append((at - 1, at + len(line), ""))
+        else:
+            edits += [(at + m.start(), at + m.end(), "0000") for m in _DIGITS.finditer(line)]
+        seen.add(line)
+        at += len(line) + 1
+    return edits
+
+
+_DIGITS = regex.compile(r"[0-9]{4,}")

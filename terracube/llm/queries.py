@@ -48,11 +48,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document before and after cleaning edits."""
-    docs = edit_counts.cleaning_edits(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
-    before = edit_counts.build_trees(docs).withColumn("tokens_before", F.col("tree.n_tokens")).withColumn("n_pretokens", F.size("tree.lengths").cast("long"))
-    after = edit_counts.apply_edits(before)
-    return after.select("doc_id", F.size("edits").cast("long").alias("n_edits"), "n_pretokens", F.col("tree.n_reencoded").alias("n_reencoded"),
-                        "tokens_before", F.col("tree.n_tokens").alias("tokens_after"), F.md5("text").alias("text_md5"))
+    docs = edit_counts.recount(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), edit_counts.cleaning_edits)
+    done = [F.col(f"recount.{c}").alias(n) for c, n in (("n_edits", "n_edits"), ("n_pretokens", "n_pretokens"), ("n_reencoded", "n_reencoded"),
+                                                       ("before", "tokens_before"), ("after", "tokens_after"))]
+    return docs.select("doc_id", *done, F.md5("recount.text").alias("text_md5"))
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -321,3 +321,14 @@ def test_pipeline_stages_match_brute_force(spark):
         docs = spark.createDataFrame(now[names], docs.schema)
     whole = corpus_pipeline.run(spark, SF)
     assert sorted(r.doc_id for r in whole.collect()) == sorted(now.doc_id)
+
+
+def test_recount_equals_building_and_applying(spark):
+    rows = [(1, "a\nb 12345\na\n\nc", None, "s"), (None, None, None, None), (2, "", None, "s"), (1, "a\nb 12345\na\n\nc", None, "s")]
+    d = spark.createDataFrame(rows, DOC).withColumn("recount", F.lit(1))
+    got = sorted(((r.doc_id, r.recount.text, r.recount.n_edits) for r in edit_counts.recount(d, edit_counts.cleaning_edits).collect()), key=repr)
+    assert got == sorted([(1, "Source: s\na\nb 0000\n\nc", 3), (None, "Source: None\n", 1), (2, "Source: s\n", 1), (1, "Source: s\na\nb 0000\n\nc", 3)], key=repr)
+    enc = counts().encode
+    for r in edit_counts.recount(d, edit_counts.cleaning_edits).collect():
+        assert (r.recount.before, r.recount.after) == (len(enc(r.text or "")), len(enc(r.recount.text)))
+    assert edit_counts.recount(d.limit(0), edit_counts.cleaning_edits).count() == 0
