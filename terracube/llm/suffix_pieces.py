@@ -33,16 +33,19 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 #: Characters indexed at a time, and segments kept per task before it starts anew.
-INDEXED = 250_000
-KEPT_SEGMENTS = 300_000
+INDEXED = 200_000
+KEPT_SEGMENTS = 200_000
 #: Characters of texts whose segments are looked up together.
-CUT = 4_000_000
+CUT = 2_000_000
 #: Slots of the table of piece pairs already judged (a power of two).
 SLOTS = 1 << 20
 
@@ -363,39 +366,40 @@ def decoded(ids, id_bytes: list[bytes]) -> str:
     return text.removeprefix(b" ").decode("utf-8", "replace")
 
 
-def _encoder(docs: DataFrame, model_file: str, checked: bool):
+def _encoded(docs: DataFrame, model_file: str, text_col: str, ids_col: str, check_col: str | None) -> DataFrame:
     tables = docs.sparkSession.sparkContext.broadcast(vars(Pieces(model_file)))  # bounded by the vocabulary
+    rest = [f for f in docs.schema.fields if f.name not in (ids_col, check_col)]
+    added = [T.StructField(ids_col, T.ArrayType(T.IntegerType()))] + ([T.StructField(check_col, T.BooleanType())] if check_col else [])
+    at = [f.name for f in rest].index(text_col)
 
-    @F.pandas_udf("ids array<int>, round_trip boolean")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(Pieces.of(tables.value))
-        for texts in batches:
-            ids, good, at = [], [], 0
-            while at < len(texts):
-                part, size = [], 0
-                while at + len(part) < len(texts) and (size < CUT or not part):
-                    part.append(texts.iat[at + len(part)] or "")
-                    size += len(part[-1])
-                new = encoder.encode(part)
-                ids += new
-                good += [decoded(x, encoder.p.id_bytes) == t.replace(MARK, " ") if checked else None for x, t in zip(new, part, strict=True)]
-                at += len(part)
-            yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "round_trip": pd.Series(good, dtype=object)})
-
-    return run
+        for batch in batches:  # in slices of about CUT characters, so only one slice is held as strings and ids
+            lengths = pc.fill_null(pc.utf8_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
+            part = np.cumsum(lengths, dtype=np.int64) // CUT
+            cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), batch.num_rows] if batch.num_rows else []
+            for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+                piece = batch.slice(a, b - a)
+                texts = [t or "" for t in piece.column(at).to_pylist()]
+                ids = encoder.encode(texts)
+                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))]
+                if check_col:
+                    columns.append(pa.array([decoded(x, encoder.p.id_bytes) == t.replace(MARK, " ") for x, t in zip(ids, texts, strict=True)], pa.bool_()))
+                yield pa.RecordBatch.from_arrays([*piece.columns, *columns], [f.name for f in [*rest, *added]])
+
+    return docs.select(*[F.col(f"`{f.name}`") for f in rest]).mapInArrow(run, T.StructType([*rest, *added]))
 
 
 def encode(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids_col: str = "ids") -> DataFrame:
     """The documents with ``ids``, an array of piece ids, added."""
-    return docs.withColumn(ids_col, _encoder(docs, model_file, False)(F.col(text_col))["ids"])
+    return _encoded(docs, model_file, text_col, ids_col, None)
 
 
 def encode_checked(docs: DataFrame, model_file: str = MODEL, text_col: str = "text", ids_col: str = "ids", check_col: str = "round_trip") -> DataFrame:
     """As ``encode``, with a flag that decoding the ids gives the text (space marks of the text
     read as spaces). Encoder and decoder share a worker, so the ids stay where they are."""
-    name = "_".join([*docs.columns, check_col])  # a name that no column has
-    df = docs.withColumn(name, _encoder(docs, model_file, True)(F.col(text_col)))
-    return df.withColumn(ids_col, F.col(name)["ids"]).withColumn(check_col, F.col(name)["round_trip"]).drop(name)
+    return _encoded(docs, model_file, text_col, ids_col, check_col)
 
 
 def decode(df: DataFrame, model_file: str = MODEL, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:

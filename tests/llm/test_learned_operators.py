@@ -332,3 +332,12 @@ def test_recount_equals_building_and_applying(spark):
     for r in edit_counts.recount(d, edit_counts.cleaning_edits).collect():
         assert (r.recount.before, r.recount.after) == (len(enc(r.text or "")), len(enc(r.recount.text)))
     assert edit_counts.recount(d.limit(0), edit_counts.cleaning_edits).count() == 0
+
+
+def test_encoding_in_slices_keeps_other_columns(spark, monkeypatch):
+    rows = [(None if i % 3 == 0 else 2**53 + i, None if i % 5 == 0 else f"text {i} " * (i % 7), None, None) for i in range(200)]
+    d = spark.createDataFrame(rows, DOC).coalesce(1)
+    monkeypatch.setattr(suffix_pieces, "CUT", 100)  # the function that runs in workers travels by value with this setting
+    out = suffix_pieces.encode_checked(d).collect()
+    assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(((r[0], r[1]) for r in rows), key=repr)
+    assert all(r.round_trip and (len(r.ids) > 0) == bool(r.text) for r in out)
