@@ -12,8 +12,9 @@ def with_point(df: DataFrame, lat: str = "lat", lon: str = "lon", crs: str = "EP
                            "crs": F.lit(crs)})
 
 
-def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
-    """Even-odd ray casting over a closed or open ring of ``struct<lon, lat>``.
+def ring_crossings(x: Column, y: Column, ring: Column) -> Column:
+    """Edges of a closed or open ring of ``struct<lon, lat>`` that a ray from the point
+    crosses; the point is inside when the count over all rings is odd.
 
     For edge (i, j = i-1): crosses when ``(yi > y) != (yj > y)`` and
     ``x < (xj - xi) * (y - yi) / (yj - yi) + xi``.
@@ -28,4 +29,4 @@ def point_in_ring(x: Column, y: Column, ring: Column) -> Column:
         cross = ((yi > y) != (yj > y)) & (x < F.try_divide((xj - xi) * (y - yi), yj - yi) + xi)
         return acc + F.when(cross, 1).otherwise(0)
 
-    return (F.aggregate(idx, F.lit(0), step) % 2) == 1
+    return F.aggregate(idx, F.lit(0), step)

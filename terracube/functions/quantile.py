@@ -1,26 +1,24 @@
-"""Exact quantiles (linear interpolation) without an unbounded buffer.
+"""Exact quantiles (linear interpolation) without an unbounded buffer or a hot task.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
-aggregation buffer: for a global quantile that is a whole column in one
-task.  Here the exact answer comes from two bounded passes:
-
-1. per group: ``count`` and a ``percentile_approx`` sketch (fixed memory,
-   partial aggregation).  For ``h = q * (n - 1)`` the rows at ranks
-   ``floor(h)`` and ``ceil(h)`` are bracketed by the sketch values at
-   ``q -/+ m`` with ``m = 3/accuracy + 2/small``: the sketch's rank error is
-   at most ``n/accuracy`` and the rank convention differs from ``h`` by at
-   most ``2`` rows, so for ``n > small`` the bracket provably holds both
-   ranks.  Groups with ``n <= small`` use ``[min, max]`` (at most ``small``
-   distinct values).
-2. per group and quantile: values below the bracket collapse to one count,
-   values inside collapse to (distinct value, multiplicity) during the
-   map-side partial aggregate, so a value that holds a third of all rows
-   is one row after the shuffle.  A running sum over that band finds the
-   two ranks; the result is ``v_lo + (h - floor h) * (v_hi - v_lo)`` (the
-   numpy ``linear`` rule, DuckDB ``quantile_cont``, Spark ``percentile``).
-
-A violated bracket raises (``assert_true``) instead of returning a wrong
-value.
+aggregation buffer, and a running sum over sorted values needs them in one task.
+Here the exact answer comes from bounded steps, the same for every group size:
+
+1. per group: ``count``, bounds and a ``percentile_approx`` sketch. For
+   ``h = q * (n - 1)`` the rows at ranks ``floor(h)`` and ``ceil(h)`` lie between
+   the sketch values at ``q -/+ m``, ``m = 3/accuracy + 2/SURE``: the sketch's rank
+   error is at most ``n/accuracy`` and the rank convention differs from ``h`` by at
+   most 2 rows, which ``2/SURE`` covers once a group has ``SURE`` rows. A smaller
+   group is bracketed by its own bounds.
+2. each bracket is divided into ``PARTS`` sub-ranges by arithmetic; rows per
+   sub-range and rows below the bracket are plain partial aggregates. A running
+   sum over the at most ``PARTS`` counts finds the sub-ranges that hold the ranks.
+3. only the rows of those sub-ranges are read for their values, as (value,
+   multiplicity), so a value that holds a third of all rows is one row. The
+   result is ``v_lo + (h - floor h) * (v_hi - v_lo)`` (the numpy ``linear`` rule,
+   DuckDB ``quantile_cont``, Spark ``percentile``).
+
+A violated bracket raises (``assert_true``) instead of returning a wrong value.
 """
 
 from __future__ import annotations
@@ -30,82 +28,77 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SMALL_GROUP = 100_000
+SURE = 1_000
+PARTS = 1_000
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float],
-                    keys: Sequence[str] = (), accuracy: int = 100_000,
-                    small: int = SMALL_GROUP) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = (),
+                    accuracy: int = 100_000, few_groups: bool = False) -> DataFrame:
     """Long result ``(keys..., q, quantile)``; NULL values are ignored.
 
-    The second pass emits, per row, one "below" marker (the first bracket
-    the value lies under; brackets are ordered, so it is below every later
-    one too) plus one entry per bracket that contains it (usually none),
-    instead of pairing every row with every quantile.
+    ``few_groups``: the number of groups is fixed by the plan (say, a group per
+    column), so the per-group tables are broadcast; without keys they are one row.
     """
-    keys = list(keys)
-    order = sorted(range(len(qs)), key=lambda i: float(qs[i]))
-    qs = [float(qs[i]) for i in order]
-    k = len(qs)
-    margin = 3.0 / accuracy + 2.0 / small
+    keys, qs = list(keys), sorted(float(q) for q in qs)
+    margin = 3.0 / accuracy + 2.0 / SURE
     src = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-
-    pcts = []
-    for q in qs:
-        pcts += [max(0.0, q - margin), min(1.0, q + margin)]
-    g = src.groupBy(*keys) if keys else src.groupBy()
-    sketch = g.agg(F.count(F.lit(1)).alias("__n"),
-                   F.percentile_approx("__v", pcts, accuracy).alias("__a"),
-                   F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    whole = F.col("__n") <= small
-    lo = [F.when(whole | F.lit(q - margin <= 0), F.col("__min")).otherwise(F.col("__a")[2 * i])
-          for i, q in enumerate(qs)]
-    hi = [F.when(whole | F.lit(q + margin >= 1), F.col("__max")).otherwise(F.col("__a")[2 * i + 1])
-          for i, q in enumerate(qs)]
-    # one row per group with the k brackets as arrays (k is fixed at plan time)
-    bands = sketch.select(*keys, "__n", F.array(*lo).alias("__lo"), F.array(*hi).alias("__hi"))
-
-    # global: a single band row -> broadcast; grouped: shuffle join on the keys
-    j = src.crossJoin(F.broadcast(bands)) if not keys else src.join(bands, keys, "inner")
-    idx = F.array(*[F.lit(i) for i in range(k)])
     v = F.col("__v")
-    first_below = F.array_min(F.filter(idx, lambda i: v < F.col("__lo")[i]))
-    inside = F.transform(F.filter(idx, lambda i: (v >= F.col("__lo")[i]) & (v <= F.col("__hi")[i])),
-                         lambda i: F.struct(i.alias("i"), F.lit(False).alias("b")))
-    marker = F.when(first_below.isNotNull(),
-                    F.array(F.struct(first_below.alias("i"), F.lit(True).alias("b"))))
-    entries = F.concat(F.coalesce(marker, F.array().cast("array<struct<i:int,b:boolean>>")), inside)
-    e = j.select(*keys, "__n", v, F.explode(entries).alias("__e"))
-    counted = (e.groupBy(*keys, "__n", F.col("__e.i").alias("__i"), F.col("__e.b").alias("__isb"),
-                         F.when(~F.col("__e.b"), v).alias("__vb"))
-                .agg(F.count(F.lit(1)).alias("__c")))
-
-    # below(i) = markers at any index <= i: a running sum in (index, marker
-    # first) order over the group's few rows; no join back, one exchange
-    run = (Window.partitionBy(*keys).orderBy("__i", F.col("__isb").desc(), "__vb")
-           .rowsBetween(Window.unboundedPreceding, 0))
-    counted = counted.withColumn("__below", F.sum(F.when(F.col("__isb"), F.col("__c")).otherwise(0)).over(run))
-    band = counted.where(~F.col("__isb")).drop("__isb")
-    qcol = F.element_at(F.array(*[F.lit(q) for q in qs]), F.col("__i") + 1)
-    band = band.withColumn("q", qcol).withColumn("__h", F.col("q") * (F.col("__n") - 1))
-    band = band.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long")})
-    part = Window.partitionBy(*keys, "__i").orderBy("__vb").rowsBetween(Window.unboundedPreceding, 0)
-    band = band.withColumn("__cum", F.sum("__c").over(part))
-    last_rank = F.col("__below") + F.col("__cum") - 1
-    agg = band.groupBy(*keys, "q", "__h", "__rlo", "__rhi", "__below").agg(
-        F.min(F.when(last_rank >= F.col("__rlo"), F.col("__vb"))).alias("__vlo"),
-        F.min(F.when(last_rank >= F.col("__rhi"), F.col("__vb"))).alias("__vhi"))
-    ok = (F.col("__below") <= F.col("__rlo")) & F.col("__vhi").isNotNull()
-    return agg.select(
-        *keys, "q",
-        F.when(F.assert_true(ok, "quantile bracket missed its rank").isNull(),
-               F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))
-               ).alias("quantile"))
+
+    def grouped(frame, *more):
+        return frame.groupBy(*keys, *more)
+
+    def joined(frame, side, *more):
+        on = [*keys, *more]
+        side = F.broadcast(side) if few_groups or not keys else side
+        return frame.join(side, on) if on else frame.crossJoin(side)
+
+    edges = [e for q in qs for e in (max(0.0, q - margin), min(1.0, q + margin))]
+    sketch = grouped(src).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", edges, accuracy).alias("__a"),
+                              F.min("__v").alias("__min"), F.max("__v").alias("__max"))
+    small = F.col("__n") <= SURE
+    bands = sketch.select(
+        *keys, "__n",
+        *[F.when(small | F.lit(q - margin <= 0), F.col("__min")).otherwise(F.col("__a")[2 * i]).alias(f"__lo{i}") for i, q in enumerate(qs)],
+        *[F.when(small | F.lit(q + margin >= 1), F.col("__max")).otherwise(F.col("__a")[2 * i + 1]).alias(f"__hi{i}") for i, q in enumerate(qs)])
+    rows = joined(src, bands)
+
+    k = range(len(qs))
+    inside = [(v >= F.col(f"__lo{i}")) & (v <= F.col(f"__hi{i}")) for i in k]
+    part = [F.coalesce(F.least(F.floor(F.try_divide(v - F.col(f"__lo{i}"), F.col(f"__hi{i}") - F.col(f"__lo{i}")) * PARTS), F.lit(PARTS - 1)), F.lit(0)) for i in k]
+    below = grouped(rows, "__n").agg(F.array(*[F.count_if(v < F.col(f"__lo{i}")) for i in k]).alias("__b"))
+    any_inside = inside[0]
+    for c in inside[1:]:
+        any_inside = any_inside | c
+    entries = F.array_compact(F.array(*[F.when(inside[i], F.struct(F.lit(i).alias("i"), part[i].cast("int").alias("s"))) for i in k]))
+    hit = rows.where(any_inside).select(*keys, "__v", F.explode(entries).alias("__e")).select(*keys, "__v", F.col("__e.i").alias("__i"), F.col("__e.s").alias("__s"))
+
+    counts = grouped(hit, "__i", "__s").agg(F.count(F.lit(1)).alias("__c"))
+    upto = Window.partitionBy(*keys, "__i").orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
+    counts = joined(counts.withColumn("__cum", F.sum("__c").over(upto)), below)
+    q = F.element_at(F.array(*[F.lit(x) for x in qs]), F.col("__i") + 1)
+    counts = counts.withColumn("q", q).withColumn("__h", F.col("q") * (F.col("__n") - 1))
+    counts = counts.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long"),
+                                 "__start": F.col("__b")[F.col("__i")] + F.col("__cum") - F.col("__c")})
+    holds = [(F.col(r) >= F.col("__start")) & (F.col(r) < F.col("__start") + F.col("__c")) for r in ("__rlo", "__rhi")]
+    found = counts.where(holds[0] | holds[1]).select(*keys, "__i", "__s", "q", "__h", "__rlo", "__rhi", "__start")
+
+    values = joined(hit, found, "__i", "__s").groupBy(*keys, "__i", "__s", "q", "__h", "__rlo", "__rhi", "__start", "__v").agg(F.count(F.lit(1)).alias("__c"))
+    line = Window.partitionBy(*keys, "__i", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("__start") + F.sum("__c").over(line) - 1
+    values = values.withColumn("__last", last)
+    # the first value whose last rank reaches a wanted rank; a value of an earlier sub-range ends before it
+    agg = values.groupBy(*keys, "q", "__h", "__rlo", "__rhi").agg(
+        F.min(F.when(F.col("__last") >= F.col("__rlo"), F.col("__v"))).alias("__vlo"),
+        F.min(F.when(F.col("__last") >= F.col("__rhi"), F.col("__v"))).alias("__vhi"),
+        F.min("__start").alias("__first"))
+    ok = (F.col("__first") <= F.col("__rlo")) & F.col("__vhi").isNotNull()
+    exact = F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))
+    return agg.select(*keys, "q", F.when(F.assert_true(ok, "quantile bracket missed its rank").isNull(), exact).alias("quantile"))
 
 
 def quantile_row(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str],
-                 keys: Sequence[str] = (), accuracy: int = 100_000) -> DataFrame:
+                 keys: Sequence[str] = (), accuracy: int = 100_000, few_groups: bool = False) -> DataFrame:
     """Wide form: one row per group with one column per quantile name."""
-    long = exact_quantiles(df, value, qs, keys, accuracy)
+    long = exact_quantiles(df, value, qs, keys, accuracy, few_groups)
     aggs = [F.max(F.when(F.col("q") == float(q), F.col("quantile"))).alias(n) for q, n in zip(qs, names)]
     return (long.groupBy(*keys) if keys else long.groupBy()).agg(*aggs)

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.schema import LST_COLS, LST_SENTINEL, PIXEL, PIXEL_ID, pixel_keys
+from terracube.schema import CUBE_KEYS, LST_COLS, LST_SENTINEL, PIXEL, PIXEL_ID, pixel_keys
 
 
 def cluster_by_pixel(df: DataFrame) -> DataFrame:
@@ -24,8 +24,10 @@ def cluster_by_pixel(df: DataFrame) -> DataFrame:
 
 
 def nan_to_null(df: DataFrame, cols: Iterable[str] | None = None) -> DataFrame:
-    """Ingest rule (F5): NaN becomes NULL once, NULL is the only missing marker after."""
-    cols = [c for c, t in df.dtypes if t in ("double", "float")] if cols is None else list(cols)
+    """Ingest rule (F5): NaN becomes NULL once, NULL is the only missing marker after.
+    Default: every variable; the coordinates stay as they are, so that their filters
+    reach the scan."""
+    cols = [c for c, t in df.dtypes if t in ("double", "float") and c not in CUBE_KEYS] if cols is None else list(cols)
     return df.withColumns({c: F.nanvl(F.col(c), F.lit(None).cast("double")) for c in cols})
 
 

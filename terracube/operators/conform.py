@@ -45,13 +45,10 @@ def axis_summary(df: DataFrame, time: str = "time") -> DataFrame:
 def check_same_grid(reference: DataFrame, df: DataFrame, time_tolerance: int = 1) -> DataFrame:
     """lat/lon axis lengths equal and time lengths within +-1.
 
-    Two one-row aggregates are compared on the driver (bounded), then the
-    frame is returned unchanged.
+    The two axis summaries are compared when the result is computed, in a filter
+    that stays in the plan.
     """
-    a = axis_summary(reference).collect()[0]
-    b = axis_summary(df).collect()[0]
-    if a.n_lat != b.n_lat or a.n_lon != b.n_lon:
-        raise ValueError(f"grids differ: lat {a.n_lat} vs {b.n_lat}, lon {a.n_lon} vs {b.n_lon}")
-    if abs(a.n_time - b.n_time) > time_tolerance:
-        raise ValueError(f"time lengths differ: {a.n_time} vs {b.n_time}")
-    return df
+    a, b = (axis_summary(x).select(F.struct("n_lat", "n_lon", "n_time").alias(n)) for x, n in ((reference, "a"), (df, "b")))
+    same = ((F.col("a.n_lat") == F.col("b.n_lat")) & (F.col("a.n_lon") == F.col("b.n_lon"))
+            & (F.abs(F.col("a.n_time") - F.col("b.n_time")) <= time_tolerance))
+    return df.where(F.assert_true(a.join(b).select(same).scalar(), "grids differ in axis lengths").isNull())

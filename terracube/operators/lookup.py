@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.functions.geo import point_in_ring
+from terracube.functions.geo import ring_crossings
 from terracube.functions.lookup import landcover_dimension
 
 
@@ -22,17 +23,16 @@ def bands_to_time(wide: DataFrame, times: DataFrame, keys: Sequence[str], var: s
     """``Band1..BandN`` columns <-> the i-th time step.
 
     ``unpivot`` to (keys, band, value), band index = i, then an equi join
-    with ``times(idx, time)``.  The band count must equal the number of
-    times (checked lazily: unmatched bands raise through ``assert_true``).
+    with ``times(idx, time)``.  The band count must equal the number of times;
+    the check is a filter over the result, so column pruning keeps it.
     """
-    bands = [c for c in wide.columns if c.startswith(prefix)]
+    bands = [c for c in wide.columns if re.fullmatch(re.escape(prefix) + r"\d+", c)]
     long = wide.unpivot(list(keys), bands, "__band", var)
     long = long.withColumn("idx", F.regexp_extract("__band", r"(\d+)$", 1).cast("int")).drop("__band")
-    from terracube.functions.bounded import bounded_broadcast
-    t = bounded_broadcast(times.select(F.col("idx").alias("__idx"), "time"), what="calendar")
-    j = long.join(t, long["idx"] == t["__idx"], "left")
-    j = j.withColumn("__chk", F.assert_true(F.col("time").isNotNull(), "band count differs from time count"))
-    return j.select(*keys, "time", var)
+    t = times.select(F.col("idx").alias("__idx"), "time")
+    same = times.agg(F.count(F.lit(1)) == len(bands)).scalar()
+    checked = F.assert_true(same & F.col("__idx").isNotNull(), "band count differs from time count")
+    return long.join(t, long["idx"] == t["__idx"], "left").where(checked.isNull()).select(*keys, "time", var)
 
 
 def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
@@ -41,21 +41,22 @@ def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
     return t.select(F.row_number().over(Window.orderBy(time)).alias("idx"), time)
 
 
-def clip_to_regions(points: DataFrame, regions: DataFrame) -> DataFrame:
-    """Keep points inside a region ring, tagged with the region.
+def clip_to_regions(points: DataFrame, regions: DataFrame, cell: float = 1.0) -> DataFrame:
+    """Keep points inside a region, tagged with the region.
 
-    Regions are a handful of rows (one ring each), so they are broadcast;
-    a bounding-box range predicate prunes candidates before the ray-casting
-    test, which runs JVM-side as a higher-order ``aggregate`` over the ring.
+    A region ``(country, rings)`` has any number of rings; a point is inside when
+    a ray crosses their edges an odd number of times, so inner rings are holes.
+    Each region's bounding box is laid out in ``cell``-sized squares, points and
+    regions meet in an equi join on the square, and the ray casting runs JVM-side
+    as a higher-order ``aggregate``.  AQE measures the region side and broadcasts
+    it when it is small.
     """
-    ring = F.col("ring")
-    r = regions.select("country", "ring",
-                       F.array_min(F.transform(ring, lambda p: p["lon"])).alias("__x0"),
-                       F.array_max(F.transform(ring, lambda p: p["lon"])).alias("__x1"),
-                       F.array_min(F.transform(ring, lambda p: p["lat"])).alias("__y0"),
-                       F.array_max(F.transform(ring, lambda p: p["lat"])).alias("__y1"))
-    cond = (F.col("lon").between(F.col("__x0"), F.col("__x1"))
-            & F.col("lat").between(F.col("__y0"), F.col("__y1")))
-    j = points.join(F.broadcast(r), cond, "inner")
-    inside = point_in_ring(F.col("lon"), F.col("lat"), F.col("ring"))
-    return j.where(inside).drop("ring", "__x0", "__x1", "__y0", "__y1")
+    every = F.flatten(F.col("rings"))
+    lon, lat = F.transform(every, lambda p: p["lon"]), F.transform(every, lambda p: p["lat"])
+    square = lambda v: F.floor(v / cell).cast("long")
+    r = regions.select("country", "rings", F.explode(F.sequence(square(F.array_min(lon)), square(F.array_max(lon)))).alias("__cx"),
+                       square(F.array_min(lat)).alias("__y0"), square(F.array_max(lat)).alias("__y1"))
+    r = r.select("country", "rings", "__cx", F.explode(F.sequence("__y0", "__y1")).alias("__cy"))
+    p = points.withColumns({"__cx": square(F.col("lon")), "__cy": square(F.col("lat"))})
+    crossings = F.aggregate(F.transform("rings", lambda ring: ring_crossings(F.col("lon"), F.col("lat"), ring)), F.lit(0), lambda a, n: a + n)
+    return p.join(r, ["__cx", "__cy"]).where(crossings % 2 == 1).drop("rings", "__cx", "__cy")

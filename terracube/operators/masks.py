@@ -4,16 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracube.operators.slicing import time_index
 from terracube.schema import PIXEL, pixel_keys
 
-# Thresholds are rounded to 1e-9 before the strict comparison so that
-# engine-dependent last bits of a mean/std cannot flip an exact tie.
-TIE_DECIMALS = 9
-
 
 def land_mask(df: DataFrame, var: str = "spi", t_index: int = 1, time: str = "time") -> DataFrame:
     """land = ``var`` present at calendar position ``t_index``.
@@ -67,38 +63,43 @@ def to_boolean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("boolean") for c in cols})
 
 
-def threshold_flag(col: str, limit: float = -1.0) -> F.Column:
+def threshold_flag(col: str, limit: float = -1.0) -> Column:
     """Strict ``col < limit``, missing -> False."""
     return F.coalesce(F.col(col) < F.lit(limit), F.lit(False))
 
 
-def invert(col: str) -> F.Column:
+def invert(col: str) -> Column:
     """P24."""
     return ~F.col(col)
 
 
-def series_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi") -> DataFrame:
+def _rounded(c: Column, decimals: int | None) -> Column:
+    return c if decimals is None else F.round(c, decimals)
+
+
+def series_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi", decimals: int | None = None) -> DataFrame:
     """``v < mean_t - std_t`` per pixel over the whole series (population std).
 
     One exchange on the pixel; the frame is the whole partition, computed by
-    the window operator's spillable buffer.
+    the window operator's spillable buffer.  ``decimals`` rounds the threshold
+    for callers that compare engines; by default it is used as it is.
     """
     w = Window.partitionBy(*pixel_keys(df))
-    thr = F.round(F.avg(var).over(w) - F.stddev_pop(var).over(w), TIE_DECIMALS)
+    thr = _rounded(F.avg(var).over(w) - F.stddev_pop(var).over(w), decimals)
     return df.withColumn(out, F.coalesce(F.col(var) < thr, F.lit(False)))
 
 
 def monthly_drought(df: DataFrame, var: str = "ndvi", out: str = "drought_ndvi",
-                    time: str = "time") -> DataFrame:
+                    time: str = "time", decimals: int | None = None) -> DataFrame:
     """Same rule within each (pixel, calendar month)."""
     w = Window.partitionBy(*pixel_keys(df), F.month(time))
-    thr = F.round(F.avg(var).over(w) - F.stddev_pop(var).over(w), TIE_DECIMALS)
+    thr = _rounded(F.avg(var).over(w) - F.stddev_pop(var).over(w), decimals)
     return df.withColumn(out, F.coalesce(F.col(var) < thr, F.lit(False)))
 
 
-def pixel_month_zscore(df: DataFrame, expr: F.Column, out: str, time: str = "time") -> DataFrame:
+def pixel_month_zscore(df: DataFrame, expr: Column, out: str, time: str = "time", decimals: int | None = None) -> DataFrame:
     """Standardised index per (pixel, month) with population std; used to
     build SPI/SPEI stand-ins when the ready-made products are absent."""
     w = Window.partitionBy(*pixel_keys(df), F.month(time))
     z = F.try_divide(expr - F.avg(expr).over(w), F.stddev_pop(expr).over(w))
-    return df.withColumn(out, F.round(z, TIE_DECIMALS))
+    return df.withColumn(out, _rounded(z, decimals))

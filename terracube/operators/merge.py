@@ -23,8 +23,9 @@ def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame
     are unioned, and one aggregate on the keys picks each variable from the
     cube that has it.  N cubes cost one shuffle (with map-side partial
     aggregation) instead of 2(N-1) join shuffles, and nothing is joined
-    pairwise.  Keys are unique per cube (a cube invariant), so this equals
-    the full outer join; variable names must be distinct.
+    pairwise.  Keys are unique per cube, which a kept filter checks (a repeated
+    key raises), so this equals the full outer join; variable names must be
+    distinct.
     """
     if not cubes:
         raise ValueError("nothing to merge")
@@ -38,10 +39,12 @@ def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame
     parts = [cube.select(*keys, *[(F.col(c) if c in cube.columns else F.lit(None).cast(types[c])).alias(c)
                                   for c in names])
              for cube in cubes]
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names])
+    u = parts[0].withColumn("__cube", F.lit(0))
+    for i, p in enumerate(parts[1:], 1):
+        u = u.unionByName(p.withColumn("__cube", F.lit(i)))
+    most = F.greatest(*[F.count_if(F.col("__cube") == i) for i in range(len(cubes))])
+    g = u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names], most.alias("__most"))
+    return g.where(F.assert_true(F.col("__most") <= 1, "a key occurs twice in one cube").isNull()).drop("__most")
 
 
 def align_predictions(preds: DataFrame, truth: DataFrame,
@@ -65,5 +68,6 @@ def align_predictions(preds: DataFrame, truth: DataFrame,
     b = truth.select(*gk, *[F.lit(None).cast(ptypes[c]).alias(c) for c in pc], *tc, F.lit(False).alias("__p"))
     g = a.unionByName(b).groupBy(*gk).agg(
         *[F.first(c, ignorenulls=True).alias(c) for c in pc + tc],
-        F.bool_or("__p").alias("__hp"), F.bool_or(~F.col("__p")).alias("__ht"))
-    return g.where(F.col("__hp") & F.col("__ht")).drop("__hp", "__ht")
+        F.count_if("__p").alias("__hp"), F.count_if(~F.col("__p")).alias("__ht"))
+    once = F.assert_true(F.greatest("__hp", "__ht") <= 1, "a key occurs twice on one side").isNull()
+    return g.where(once & (F.col("__hp") > 0) & (F.col("__ht") > 0)).drop("__hp", "__ht")

@@ -38,6 +38,8 @@ def metric_columns(y: str = "y", p: str = "prediction",
 
 def verify(df: DataFrame, y: str = "y", p: str = "prediction", by: Sequence[str] = (),
            sum_decimals: int | None = None) -> DataFrame:
+    """A15-A19 over the rows that have both a truth and a prediction."""
+    df = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
     g = df.groupBy(*by) if by else df.groupBy()
     return g.agg(*metric_columns(y, p, sum_decimals))
 
@@ -56,10 +58,11 @@ def error_map(df: DataFrame, y: str = "y", p: str = "prediction") -> DataFrame:
     return df.withColumn("difference", F.col(y) - F.col(p))
 
 
-def quantile_bands(df: DataFrame, y: str = "y") -> DataFrame:
+def quantile_bands(df: DataFrame, y: str = "y", values: DataFrame | None = None) -> DataFrame:
     """Label rows by the truth's quantiles: low (< q.2), mid
-    (q.4 < y < q.6), high (> q.8), strict; other rows get no band."""
-    q = quantile_row(df, y, [0.2, 0.4, 0.6, 0.8], ["__q20", "__q40", "__q60", "__q80"])
+    (q.4 < y < q.6), high (> q.8), strict; other rows get no band.
+    ``values``: the same truth column from a cheaper plan, if there is one."""
+    q = quantile_row(df.select(y) if values is None else values, y, [0.2, 0.4, 0.6, 0.8], ["__q20", "__q40", "__q60", "__q80"])
     j = df.crossJoin(F.broadcast(q))
     band = (F.when(F.col(y) < F.col("__q20"), "low")
              .when(F.col(y) > F.col("__q80"), "high")

@@ -2,10 +2,10 @@
 
 An axis is the sorted distinct coordinate values of one dimension.  Its
 size is set by the grid resolution (a global 0.01 degree grid has 36,000
-longitudes), not by the data volume, so axis tables and the per-axis
-weight tables derived from them are provably small and broadcast.  The
-cube itself is only ever equi-joined to those tables and aggregated on the
-target keys: one shuffle, no pairwise product of cells.
+longitudes), not by the data volume.  The cube is only ever equi-joined to the
+per-axis weight tables and aggregated on the target keys; AQE measures the
+tables and broadcasts them when they are small.  Callers that know a cheaper
+source of the axes (the raw product instead of its resampled form) pass them in.
 """
 
 from __future__ import annotations
@@ -15,19 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.functions.bounded import MAX_AXIS, bounded_broadcast
-
 
 def axis(df: DataFrame, dim: str) -> DataFrame:
     return df.select(F.col(dim).cast("double").alias("v")).distinct()
 
 
-def _side(table: DataFrame, broadcast_axes: bool) -> DataFrame:
-    """Per-axis weight table (at most 2 rows per target): broadcast behind the
-    size bound, or left to AQE's run-time measurement."""
-    return bounded_broadcast(table, 2 * MAX_AXIS, broadcast_axes, "regrid weight table")
-
-
 def _neighbours(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
     """For each target value: the nearest source value below-or-equal (``a``)
     and strictly above (``a1``), found by one sort of the merged axes."""
@@ -72,36 +64,44 @@ def bilinear_weights(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
     return e.withColumn("nw", F.count(F.lit(1)).over(Window.partitionBy("dst")))
 
 
-def regrid_nearest(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame,
-                   cols: Sequence[str], time: str = "time", broadcast_axes: bool = True) -> DataFrame:
+def regrid_nearest(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, cols: Sequence[str], time: str = "time",
+                   src_lat: DataFrame | None = None, src_lon: DataFrame | None = None) -> DataFrame:
     """Every target cell takes the values of its nearest source cell."""
-    lat_m = _side(nearest_map(axis(cube, "lat"), dst_lat).withColumnsRenamed({"dst": "__dlat", "src": "__slat"}), broadcast_axes)
-    lon_m = _side(nearest_map(axis(cube, "lon"), dst_lon).withColumnsRenamed({"dst": "__dlon", "src": "__slon"}), broadcast_axes)
+    lat_m = nearest_map(src_lat or axis(cube, "lat"), dst_lat).withColumnsRenamed({"dst": "__dlat", "src": "__slat"})
+    lon_m = nearest_map(src_lon or axis(cube, "lon"), dst_lon).withColumnsRenamed({"dst": "__dlon", "src": "__slon"})
     j = (cube.join(lat_m, cube["lat"] == lat_m["__slat"])
              .join(lon_m, F.col("lon") == F.col("__slon")))
     return j.select(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time, *cols)
 
 
-def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame,
-                    cols: Sequence[str], time: str = "time", broadcast_axes: bool = True) -> DataFrame:
-    """``sum(w_lat * w_lon * v)`` per target cell and time.
+def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, cols: Sequence[str], time: str = "time",
+                    src_lat: DataFrame | None = None, src_lon: DataFrame | None = None, times: DataFrame | None = None) -> DataFrame:
+    """``sum(w_lat * w_lon * v)`` for every target cell and time step.
 
-    A target value is NULL unless every one of its ``nw_lat * nw_lon``
-    corners exists and is non-missing (any missing corner -> missing).
-    The cube is joined to the two broadcast weight tables and aggregated
-    once on (target lat, target lon, time).
+    A value is NULL unless every one of its ``nw_lat * nw_lon`` corners exists and
+    is non-missing; cells outside the source's hull are there with NULL. The
+    target grid's cells come from a generator over its two axes, which one row
+    holds as arrays, and meet the weighted source rows in the one aggregate on
+    (target lat, target lon, time).
     """
-    lw = _side(bilinear_weights(axis(cube, "lat"), dst_lat)
-               .withColumnsRenamed({"dst": "__dlat", "src": "__slat", "w": "__wlat", "nw": "__nlat"}), broadcast_axes)
-    ow = _side(bilinear_weights(axis(cube, "lon"), dst_lon)
-               .withColumnsRenamed({"dst": "__dlon", "src": "__slon", "w": "__wlon", "nw": "__nlon"}), broadcast_axes)
+    lw = (bilinear_weights(src_lat or axis(cube, "lat"), dst_lat)
+          .withColumnsRenamed({"dst": "__dlat", "src": "__slat", "w": "__wlat", "nw": "__nlat"}))
+    ow = (bilinear_weights(src_lon or axis(cube, "lon"), dst_lon)
+          .withColumnsRenamed({"dst": "__dlon", "src": "__slon", "w": "__wlon", "nw": "__nlon"}))
     j = (cube.join(lw, cube["lat"] == lw["__slat"])
              .join(ow, F.col("lon") == F.col("__slon")))
-    w = F.col("__wlat") * F.col("__wlon")
-    aggs = [F.count(F.lit(1)).alias("__rows"), F.first(F.col("__nlat") * F.col("__nlon")).alias("__need")]
+    j = j.select(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time, (F.col("__wlat") * F.col("__wlon")).alias("__w"),
+                 (F.col("__nlat") * F.col("__nlon")).alias("__need"), *cols)
+    steps = (times if times is not None else cube.select(time)).distinct()
+    whole = lambda dst: dst.agg(F.collect_set("v")).scalar()
+    cells = steps.select(time, F.explode(whole(dst_lat)).alias("lat")).select("lat", F.explode(whole(dst_lon)).alias("lon"), time)
+    types = dict(cube.dtypes)
+    cells = cells.select("lat", "lon", time, F.lit(None).cast("double").alias("__w"), F.lit(None).cast("long").alias("__need"),
+                         *[F.lit(None).cast(types[c]).alias(c) for c in cols])
+    aggs = [F.count("__w").alias("__rows"), F.max("__need").alias("__need")]
     for c in cols:
-        aggs += [F.sum(w * F.col(c)).alias(c), F.count(c).alias(f"__n_{c}")]
-    g = j.groupBy(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time).agg(*aggs)
+        aggs += [F.sum(F.col("__w") * F.col(c)).alias(c), F.count(c).alias(f"__n_{c}")]
+    g = j.unionByName(cells).groupBy("lat", "lon", time).agg(*aggs)
     full = F.col("__rows") == F.col("__need")
     return g.select("lat", "lon", time,
                     *[F.when(full & (F.col(f"__n_{c}") == F.col("__need")), F.col(c)).alias(c) for c in cols])

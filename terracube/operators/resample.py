@@ -7,27 +7,32 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracube.functions.quantile import exact_quantiles
 from terracube.functions.time import trunc_ntz
 
 
-def resample_median(df: DataFrame, keys: Sequence[str], var: str, time: str = "time") -> DataFrame:
-    """A3: to month-start labels, median per period (exact, bounded buffers)."""
-    m = df.withColumn("__period", trunc_ntz("month", time))
-    q = exact_quantiles(m, var, [0.5], [*keys, "__period"])
-    return q.select(*keys, F.col("__period").alias(time), F.col("quantile").alias(var))
+def resample_median(df: DataFrame, keys: Sequence[str], var: str | Sequence[str], time: str = "time") -> DataFrame:
+    """A3: to month-start labels, median of each variable per period.
+
+    A group is one key's readings of one month, bounded by the calendar; equal
+    readings share an entry of the aggregate's buffer.
+    """
+    names = [var] if isinstance(var, str) else list(var)
+    m = df.groupBy(*keys, trunc_ntz("month", time).alias("__period")).agg(*[F.median(v).alias(v) for v in names])
+    some = F.coalesce(*[F.col(v) for v in names]).isNotNull()
+    return m.where(some).select(*keys, F.col("__period").alias(time), *names)
 
 
-def resample_first(df: DataFrame, keys: Sequence[str], var: str, time: str = "time") -> DataFrame:
-    """A4: month-end labels, first non-missing value per period in time order.
+def resample_first(df: DataFrame, keys: Sequence[str], var: str | Sequence[str], time: str = "time") -> DataFrame:
+    """A4: month-end labels, first non-missing value of each variable per period in time order.
 
     ``min_by`` over non-null rows only: without the filter it would return
     the NULL of the earliest row.  Partial aggregation keeps one candidate
     per (task, group), so a huge group never sits in one buffer.
     """
+    names = [var] if isinstance(var, str) else list(var)
     period = F.last_day(time)
     return (df.groupBy(*keys, period.alias("__period"))
-              .agg(F.min_by(F.col(var), F.when(F.col(var).isNotNull(), F.col(time))).alias(var))
+              .agg(*[F.min_by(F.col(v), F.when(F.col(v).isNotNull(), F.col(time))).alias(v) for v in names])
               .withColumnRenamed("__period", time))
 
 
@@ -50,46 +55,39 @@ def infer_freq(df: DataFrame, time: str = "time") -> DataFrame:
     return a.select(freq.alias("freq"), F.col("n").alias("n_steps"))
 
 
-def month_calendar(df: DataFrame, time: str = "time") -> DataFrame:
-    """Every month start between the min and max of ``time``."""
-    b = df.agg(F.min(trunc_ntz("month", time)).alias("lo"), F.max(trunc_ntz("month", time)).alias("hi"))
-    return b.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(time))
-
-
 def densify(df: DataFrame, keys: Sequence[str] = ("lat", "lon"), time: str = "time") -> DataFrame:
     """The full key x calendar product, missing cells as NULL rows.
 
     The calendar bounds are one broadcast row; each key expands its own
-    calendar with ``sequence`` (a generator, not a join).  Observations are
-    attached by a co-group (union, then one aggregate on keys and time)
-    rather than a join, so the cube is shuffled once; only calendar cells
-    are kept, i.e. left-join semantics for unique (keys, time).
+    calendar (month starts from the first to the last month) with ``sequence``, a
+    generator.  Observations are attached by a co-group (union, then one aggregate
+    on keys and time), so the cube is shuffled once.  An observation that is not on
+    the calendar keeps its row; a repeated key raises.
     """
     keys = list(keys)
     values = [c for c in df.columns if c not in keys and c != time]
     types = dict(df.dtypes)
-    b = df.agg(F.min(time).alias("__lo"), F.max(time).alias("__hi"))
+    b = df.agg(F.min(trunc_ntz("month", time)).alias("__lo"), F.max(trunc_ntz("month", time)).alias("__hi"))
     cells = (df.select(*keys).distinct().crossJoin(F.broadcast(b))
-               .select(*keys, F.explode(F.sequence("__lo", "__hi", F.expr("INTERVAL 1 MONTH"))).alias(time),
-                       *[F.lit(None).cast(types[c]).alias(c) for c in values], F.lit(True).alias("__cell")))
-    obs = df.select(*keys, time, *values, F.lit(False).alias("__cell"))
+               .select(*keys, F.explode(F.sequence(F.col("__lo"), F.col("__hi"), F.expr("INTERVAL 1 MONTH")).cast(f"array<{types[time]}>")).alias(time),
+                       *[F.lit(None).cast(types[c]).alias(c) for c in values], F.lit(0).alias("__obs")))
+    obs = df.select(*keys, time, *values, F.lit(1).alias("__obs"))
     g = cells.unionByName(obs).groupBy(*keys, time).agg(
-        *[F.first(c, ignorenulls=True).alias(c) for c in values], F.bool_or("__cell").alias("__cell"))
-    return g.where("__cell").drop("__cell")
+        *[F.first(c, ignorenulls=True).alias(c) for c in values], F.sum("__obs").alias("__obs"))
+    return g.where(F.assert_true(F.col("__obs") <= 1, "a key occurs twice in the cube").isNull()).drop("__obs")
 
 
 def relabel_by_position(reference: DataFrame, df: DataFrame, time: str = "time") -> DataFrame:
     """A22 ``ensure_same_time``: the i-th distinct time of ``df`` becomes the
     reference's first month + i months (month-start labels).
 
-    The time axis is calendar-sized (one row per step), so ranking it in
-    one window and broadcasting the (old, new) map is bounded.
+    The time axis is calendar-sized (one row per step), so it is ranked in one
+    window; AQE broadcasts the (old, new) map when it measures it as small.
     """
     from pyspark.sql import Window
     start = reference.agg(F.min(trunc_ntz("month", time))).scalar()
     axis = df.select(F.col(time).alias("__old")).distinct()
     axis = axis.select("__old", (F.row_number().over(Window.orderBy("__old")) - 1).alias("__i"))
     m = axis.select("__old", F.add_months(start, F.col("__i").cast("int")).cast("timestamp_ntz").alias("__new"))
-    from terracube.functions.bounded import bounded_broadcast
-    j = df.join(bounded_broadcast(m, what="calendar"), F.col(time) == F.col("__old"))
+    j = df.join(m, F.col(time) == F.col("__old"))
     return j.drop(time, "__old").withColumnRenamed("__new", time).select(*df.columns)

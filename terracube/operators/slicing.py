@@ -12,15 +12,11 @@ EAST_AFRICA = {"lon_min": 32.6, "lon_max": 51.8, "lat_min": -5.0, "lat_max": 15.
 def bbox_from_reference(reference: DataFrame, df: DataFrame) -> DataFrame:
     """Keep cells inside the inclusive lat/lon range of ``reference``.
 
-    The bounds are a one-row aggregate broadcast back; the filter is then a
-    plain range predicate the optimizer can evaluate per row.
+    Each bound is a scalar subquery, so the range predicate reaches the scan.
     """
-    b = reference.agg(F.min("lat").alias("__la0"), F.max("lat").alias("__la1"),
-                      F.min("lon").alias("__lo0"), F.max("lon").alias("__lo1"))
-    j = df.crossJoin(F.broadcast(b))
-    return (j.where(F.col("lat").between(F.col("__la0"), F.col("__la1"))
-                    & F.col("lon").between(F.col("__lo0"), F.col("__lo1")))
-             .drop("__la0", "__la1", "__lo0", "__lo1"))
+    bound = lambda f, c: reference.agg(f(c)).scalar()
+    return df.where(F.col("lat").between(bound(F.min, "lat"), bound(F.max, "lat"))
+                    & F.col("lon").between(bound(F.min, "lon"), bound(F.max, "lon")))
 
 
 def bbox(df: DataFrame, lat_min: float, lat_max: float, lon_min: float, lon_max: float) -> DataFrame:
@@ -39,12 +35,12 @@ def time_slice(df: DataFrame, lo: str, hi: str, time: str = "time") -> DataFrame
 
 
 def time_slice_from_reference(reference: DataFrame, df: DataFrame, time: str = "time",
-                              extra_months: int = 1) -> DataFrame:
-    """``[min, max + 1 period]`` of the reference (monthly periods)."""
-    b = reference.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
-    b = b.withColumn("__t1", F.col("__t1") + F.make_interval(F.lit(0), F.lit(extra_months)))
-    j = df.crossJoin(F.broadcast(b))
-    return j.where(F.col(time).between(F.col("__t0"), F.col("__t1"))).drop("__t0", "__t1")
+                              months: int = 1, days: int = 0) -> DataFrame:
+    """``[min, max + 1 period]`` of the reference; the period of its calendar
+    is ``months`` and ``days`` (a month by default). The bounds reach the scan."""
+    period = F.make_interval(months=F.lit(months), days=F.lit(days))
+    return df.where((F.col(time) >= reference.agg(F.min(time)).scalar())
+                    & (F.col(time) <= reference.agg(F.max(time) + period).scalar()))
 
 
 def drop_last_step(df: DataFrame, time: str = "time") -> DataFrame:
@@ -63,21 +59,22 @@ def time_index(df: DataFrame, time: str = "time", out: str = "t_idx") -> DataFra
     return df.withColumn(out, ((F.year(time) * 12 + F.month(time)) - first).cast("int"))
 
 
-def isel_time(df: DataFrame, i: int, time: str = "time") -> DataFrame:
-    """Positional selection on the monthly calendar."""
-    return time_index(df, time, "__ti").where(F.col("__ti") == i).drop("__ti")
+def isel(df: DataFrame, dim: str, i: int) -> DataFrame:
+    """The rows at position ``i`` (negative: from the end) of the axis of ``dim``,
+    the sorted distinct values of any dimension; none if the axis is shorter. The
+    axis is one array, as long as the grid's dimension."""
+    axis = df.agg(F.array_sort(F.collect_set(dim)).alias("a"))
+    return df.where(F.col(dim) == axis.select(F.try_element_at("a", F.lit(i + 1 if i >= 0 else i))).scalar())
 
 
 def time_slice_exact(reference: DataFrame, df: DataFrame, time: str = "time") -> DataFrame:
     """Keep ``[min, max]`` of the reference and require equal step counts.
 
     [deviation] the lower bound is the reference's own minimum instead of a
-    hard-coded date.  The step-count check compares two one-row aggregates.
+    hard-coded date.  The step counts are compared when the result is computed,
+    in a filter that stays in the plan.
     """
-    b = reference.agg(F.min(time).alias("__t0"), F.max(time).alias("__t1"))
-    out = df.crossJoin(F.broadcast(b)).where(F.col(time).between(F.col("__t0"), F.col("__t1"))).drop("__t0", "__t1")
-    n_ref = reference.agg(F.count_distinct(time)).collect()[0][0]
-    n_out = out.agg(F.count_distinct(time)).collect()[0][0]
-    if n_ref != n_out:
-        raise ValueError(f"time steps differ after slicing: {n_out} vs reference {n_ref}")
-    return out
+    out = df.where((F.col(time) >= reference.agg(F.min(time)).scalar()) & (F.col(time) <= reference.agg(F.max(time)).scalar()))
+    steps = reference.agg(F.count_distinct(time).alias("a")).join(out.agg(F.count_distinct(time).alias("b")))
+    same = steps.select(F.col("a") == F.col("b")).scalar()
+    return out.where(F.assert_true(same, "time steps differ after slicing").isNull())

@@ -76,7 +76,7 @@ def describe(df: DataFrame, cols: Sequence[str], sum_decimals: int | None = None
         F.count(F.lit(1)).alias("count"), mean_col("value", sum_decimals).alias("mean"),
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"),
         F.max("value").alias("max"))
-    q = quantile_row(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["variable"])
+    q = quantile_row(long, "value", [0.25, 0.5, 0.75], ["q25", "q50", "q75"], ["variable"], few_groups=True)  # a group per column
     return base.join(q, "variable")
 
 
@@ -84,18 +84,20 @@ def histogram(df: DataFrame, var: str, bins: int = 40) -> DataFrame:
     """Equal-width bins over [min, max], last edge closed (numpy rule).
 
     Bounds come from a one-row aggregate broadcast back; counts are a
-    partial aggregate over at most ``bins`` groups.
+    partial aggregate over at most ``bins`` groups. Empty bins have count 0; a
+    single value makes one bin.
     """
     v = non_null_values(df, var)
-    b = v.agg(F.min(var).alias("__lo"), F.max(var).alias("__hi"))
+    b = v.agg(F.min(var).alias("lo"), F.max(var).alias("hi"))
     j = v.crossJoin(F.broadcast(b))
-    raw = F.floor((F.col(var) - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins) + 1
-    bucket = F.when(F.col("__hi") == F.col("__lo"), F.lit(1)).otherwise(F.least(raw, F.lit(bins)))
-    return (j.withColumn("bucket", bucket.cast("int"))
-             .groupBy("bucket").agg(F.count(F.lit(1)).alias("count"),
-                                    F.first("__lo").alias("lo"), F.first("__hi").alias("hi"))
-             .select("bucket", "count",
-                     (F.col("lo") + (F.col("bucket") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("edge_lo")))
+    raw = F.floor(F.try_divide(F.col(var) - F.col("lo"), F.col("hi") - F.col("lo")) * bins) + 1
+    bucket = F.when(raw < bins, raw).when(F.col("hi") > F.col("lo"), bins).otherwise(1).cast("int")
+    counts = j.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("count"))
+    last = F.when(F.col("hi") > F.col("lo"), bins).when(F.col("hi") == F.col("lo"), 1)
+    every = b.select("lo", "hi", F.explode(F.sequence(F.lit(1), last)).alias("bucket"))
+    return every.join(counts, "bucket", "left").select(
+        "bucket", F.coalesce("count", F.lit(0)).alias("count"),
+        (F.col("lo") + (F.col("bucket") - 1) * (F.col("hi") - F.col("lo")) / bins).alias("edge_lo"))
 
 
 def percentile_normalise(df: DataFrame, var: str, pct: float = 95.0, out: str | None = None) -> DataFrame:

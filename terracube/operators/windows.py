@@ -99,10 +99,14 @@ def lag_stack(df: DataFrame, cols: Sequence[str], lags: int = 3, time: str = "ti
 
 
 def shift_time(df: DataFrame, cols: Sequence[str], n: int, time: str = "time") -> DataFrame:
-    """``ds.shift(time=n)`` on a dense cube: positive n pulls the past forward."""
-    w = Window.partitionBy(*pixel_keys(df)).orderBy(time)
-    f = (lambda c: F.lag(c, n).over(w)) if n >= 0 else (lambda c: F.lead(c, -n).over(w))
-    return df.withColumns({c: f(c) for c in cols})
+    """``ds.shift(time=n)`` on the monthly calendar: positive n pulls the past forward.
+
+    A month-index frame, as in ``lag_stack``: across a gap the value is missing,
+    where a row lag would take the next older row.
+    """
+    mi = F.year(time) * 12 + F.month(time)
+    w = Window.partitionBy(*pixel_keys(df)).orderBy(mi).rangeBetween(-n, -n)
+    return df.withColumns({c: F.first(c).over(w) for c in cols})
 
 
 def flip_lat(df: DataFrame, cols: Sequence[str], time: str = "time") -> DataFrame:
@@ -110,7 +114,7 @@ def flip_lat(df: DataFrame, cols: Sequence[str], time: str = "time") -> DataFram
 
     The lat axis (distinct values; its size is the grid resolution, not the
     data volume) gets rank r and reverse rank; values at the lat of rank r
-    move to the lat of reverse rank r through a broadcast equi join.  Other
+    move to the lat of reverse rank r through an equi join.  Other
     variables stay in place (left join on the cube keys); a value whose
     mirrored cell does not exist becomes NULL.
     """
@@ -120,9 +124,8 @@ def flip_lat(df: DataFrame, cols: Sequence[str], time: str = "time") -> DataFram
         "lat",
         F.row_number().over(Window.orderBy("lat")).alias("r"),
         F.row_number().over(Window.orderBy(F.col("lat").desc())).alias("rr"))
-    from terracube.functions.bounded import bounded_broadcast
-    mapping = bounded_broadcast(ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
-        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst")), what="latitude axis")
+    mapping = ranked.alias("a").join(ranked.alias("b"), F.col("a.r") == F.col("b.rr")).select(
+        F.col("a.lat").alias("__src"), F.col("b.lat").alias("__dst"))
     moved = (df.select("lat", "lon", time, *cols)
                .join(mapping, F.col("lat") == F.col("__src"))
                .select(F.col("__dst").alias("lat"), "lon", time, *cols))

@@ -140,9 +140,6 @@ SELECT variable, count(value) AS count, round(sum(value), 6) / count(value) AS m
        round(quantile_cont(value, 0.75), 6) AS q75, round(max(value), 6) AS max
 FROM long WHERE value IS NOT NULL GROUP BY variable"""
 
-ORACLES["quantiles"] = "WITH " + GRID + """
-SELECT q, round(quantile_cont(ndvi, q), 6) AS quantile
-FROM grid, (VALUES (0.1), (0.2), (0.4), (0.6), (0.8), (0.9)) qs(q) GROUP BY q"""
 ORACLES["quantiles"] = "WITH " + GRID + """
 SELECT * FROM (""" + " UNION ALL ".join(
     f"SELECT CAST({q} AS DOUBLE) AS q, round(quantile_cont(ndvi, {q}), 6) AS quantile FROM grid"
@@ -151,10 +148,11 @@ SELECT * FROM (""" + " UNION ALL ".join(
 ORACLES["histogram"] = "WITH " + GRID + """,
 b AS (SELECT min(ndvi) AS lo, max(ndvi) AS hi FROM grid),
 k AS (SELECT CAST(CASE WHEN hi = lo THEN 1
-                  ELSE least(floor((ndvi - lo) / (hi - lo) * 40) + 1, 40) END AS INTEGER) AS bucket, lo, hi
-      FROM grid, b WHERE ndvi IS NOT NULL)
-SELECT bucket, count(*) AS count, round(first(lo) + (bucket - 1) * (first(hi) - first(lo)) / 40, 6) AS edge_lo
-FROM k GROUP BY bucket"""
+                  ELSE least(floor((ndvi - lo) / (hi - lo) * 40) + 1, 40) END AS INTEGER) AS bucket
+      FROM grid, b WHERE ndvi IS NOT NULL),
+e AS (SELECT CAST(unnest(range(1, CASE WHEN hi > lo THEN 41 ELSE 2 END)) AS INTEGER) AS bucket, lo, hi FROM b)
+SELECT e.bucket, (SELECT count(*) FROM k WHERE k.bucket = e.bucket) AS count, round(lo + (e.bucket - 1) * (hi - lo) / 40, 6) AS edge_lo
+FROM e"""
 
 ORACLES["distinct_counts"] = "WITH " + GRID + """
 SELECT count(DISTINCT lat) AS n_lat, count(DISTINCT lon) AS n_lon,
@@ -229,11 +227,12 @@ j AS (SELECT wl2.d AS lat, wo2.d AS lon, g.time, wl2.w * wo2.w AS w, wl2.nw * wo
       FROM grid g JOIN wl2 ON g.lat = wl2.s JOIN wo2 ON g.lon = wo2.s),
 agg AS (SELECT lat, lon, time, count(*) AS rows_, first(need) AS need,
                sum(w * ndvi) AS ndvi, count(ndvi) AS n_ndvi, sum(w * sm) AS sm, count(sm) AS n_sm
-        FROM j GROUP BY lat, lon, time)
-SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, time,
+        FROM j GROUP BY lat, lon, time),
+cells AS (SELECT dlat.d AS lat, dlon.d AS lon, time FROM dlat, dlon, (SELECT DISTINCT time FROM grid))
+SELECT round(c.lat, 6) AS lat, round(c.lon, 6) AS lon, c.time,
        round(CASE WHEN rows_ = need AND n_ndvi = need THEN ndvi END, 6) AS ndvi,
        round(CASE WHEN rows_ = need AND n_sm = need THEN sm END, 6) AS sm
-FROM agg"""
+FROM cells c LEFT JOIN agg ON agg.lat = c.lat AND agg.lon = c.lon AND agg.time = c.time"""
 
 ORACLES["merge_cubes"] = "WITH " + GRID + """,
 a AS (SELECT lat, lon, time, lst_day, lst_night FROM grid WHERE time < TIMESTAMP '2000-01-01'),
@@ -336,10 +335,10 @@ LEFT JOIN flags f ON f.lat = x.lat AND f.lon = x.lon AND f.time = x.time
 WHERE x.t_idx >= 4"""
 
 ORACLES["shift"] = "WITH " + GRID + """
-SELECT lat, lon, time, precip,
-       lag(precip, 1) OVER (PARTITION BY lat, lon ORDER BY time) AS precip_prev,
-       lead(precip, 1) OVER (PARTITION BY lat, lon ORDER BY time) AS precip_next
-FROM grid"""
+SELECT g.lat, g.lon, g.time, g.precip, p.precip AS precip_prev, n.precip AS precip_next
+FROM grid g
+LEFT JOIN grid p ON p.lat = g.lat AND p.lon = g.lon AND p.time = g.time - INTERVAL 1 MONTH
+LEFT JOIN grid n ON n.lat = g.lat AND n.lon = g.lon AND n.time = g.time + INTERVAL 1 MONTH"""
 
 ORACLES["flip_lat"] = "WITH " + GRID + """,
 latax AS (SELECT lat, row_number() OVER (ORDER BY lat) AS r, row_number() OVER (ORDER BY lat DESC) AS rr
@@ -351,47 +350,60 @@ ORACLES["band_unpivot"] = "WITH " + GRID + """,
 tx AS (SELECT time, row_number() OVER (ORDER BY time) AS idx FROM (SELECT DISTINCT time FROM grid)),
 px AS (SELECT DISTINCT lat, lon FROM grid)
 SELECT px.lat, px.lon, tx.time, g.precip
-FROM px CROSS JOIN tx LEFT JOIN grid g ON g.lat = px.lat AND g.lon = px.lon AND g.time = tx.time
-WHERE tx.idx <= 3"""
-
-
-def _landcover_values():
-    from terracube.functions.lookup import CLASS_IDS, LANDCOVER
-    ids = dict(CLASS_IDS)
-
-    def q(s):
-        return "'" + s.replace("'", "''") + "'"
-    rows = [f"({i}, {c}, {q(l)}, {q(s)}, {q(k)}, {ids[k]})" for i, (c, l, s, k) in enumerate(LANDCOVER)]
-    return "VALUES " + ", ".join(rows)
+FROM px CROSS JOIN tx LEFT JOIN grid g ON g.lat = px.lat AND g.lon = px.lon AND g.time = tx.time"""
+
+
+# Fixed values, written out here so that a wrong label in the library shows.
+_LANDCOVER = """
+(0, 11, 'Post-flooding or irrigated croplands', 'irrigated croplands', 'cropland', 2),
+(1, 14, 'Rainfed croplands', 'Rainfed croplands', 'cropland', 2),
+(2, 20, 'Mosaic cropland (50-70%) / vegetation (grassland, shrubland, forest) (20-50%)', 'cropland/vegetation', 'cropland', 2),
+(3, 30, 'Mosaic vegetation (grassland, shrubland, forest) (50-70%) / cropland (20-50%)', 'vegetation/cropland', 'cropland', 2),
+(4, 40, 'Closed to open (>15%) broadleaved evergreen and/or semi-deciduous forest (>5m)', 'broad-leaved evergreen/semi-deciduous forest', 'forest', 3),
+(5, 50, 'Closed (>40%) broadleaved deciduous forest (>5m)', 'broad-leaved deciduous forest', 'forest', 3),
+(6, 60, 'Open (15-40%) broadleaved deciduous forest (>5m)', 'broad-leaved deciduous forest', 'forest', 3),
+(7, 70, 'Closed (>40%) needleleaved evergreen forest (>5m)', 'needle-leaved evergreen forest', 'forest', 3),
+(8, 90, 'Open (15-40%) needleleaved deciduous or evergreen forest (>5m)', 'needle-leaved deciduous / evergreen forest', 'forest', 3),
+(9, 100, 'Closed to open (>15%) mixed broadleaved and needleleaved forest (>5m)', 'broad-leaved / needleleaved forest', 'forest', 3),
+(10, 110, 'Mosaic forest-shrubland (50-70%) / grassland (20-50%)', 'forest-shrubland / grassland', 'shrubland/grassland', 4),
+(11, 120, 'Mosaic grassland (50-70%) / forest-shrubland (20-50%)', 'Mosaic grassland / forest-shrubland', 'shrubland/grassland', 4),
+(12, 130, 'Closed to open (>15%) shrubland (<5m)', 'shrubland', 'shrubland', 5),
+(13, 140, 'Closed to open (>15%) grassland', 'grassland', 'grassland', 6),
+(14, 150, 'Sparse (>15%) vegetation (woody vegetation, shrubs, grassland)', 'Sparse vegetation', 'Sparse vegetation', 7),
+(15, 160, 'Closed (>40%) broadleaved forest regularly flooded - Fresh water', 'forest regularly flooded - Fresh water', 'flooded', 8),
+(16, 170, 'Closed (>40%) broadleaved semi-deciduous and/or evergreen forest regularly flooded - saline water', 'forest regularly flooded - saline water', 'flooded', 8),
+(17, 180, 'Closed to open (>15%) vegetation (grassland, shrubland, woody vegetation) on regularly flooded or waterlogged soil', 'vegetation on flooded soil', 'flooded', 8),
+(18, 190, 'Artificial surfaces and associated areas (urban areas >50%) GLOBCOVER 2009', 'Artificial', 'Artificial', 9),
+(19, 200, 'Bare areas', 'Bare areas', 'Bare areas', 10),
+(20, 210, 'Water bodies', 'Water bodies', 'Water bodies', 11),
+(21, 220, 'Permanent snow and ice', 'Permanent snow and ice', 'Permanent snow and ice', 12),
+(22, 230, 'Unclassified', 'Unclassified', 'Unclassified', 13)"""
 
 
 ORACLES["class_lookup"] = """
-WITH dim(pos, code, label, short_label, class, class_id) AS (""" + _landcover_values() + """)
+WITH dim(pos, code, label, short_label, class, class_id) AS (VALUES """ + _LANDCOVER + """)
 SELECT p.p_partkey, dim.code, dim.label, dim.short_label, dim.class, dim.class_id
 FROM part p LEFT JOIN dim ON dim.pos = p.p_size % 23"""
 
 
-def _clip_sql():
-    from terracube.queries import REGIONS
-    parts = []
-    for name, ring in REGIONS:
-        n = len(ring)
-        edges = []
-        for i in range(n):
-            j = (i - 1) % n
-            xi, yi = ring[i]
-            xj, yj = ring[j]
-            edges.append(
-                f"CASE WHEN ((CAST({yi} AS DOUBLE) > lat) <> (CAST({yj} AS DOUBLE) > lat)) AND "
-                f"(lon < (CAST({xj} AS DOUBLE) - CAST({xi} AS DOUBLE)) * (lat - CAST({yi} AS DOUBLE)) / "
-                f"(CAST({yj} AS DOUBLE) - CAST({yi} AS DOUBLE)) + CAST({xi} AS DOUBLE)) THEN 1 ELSE 0 END")
-        xs = [x for x, _ in ring]
-        ys = [y for _, y in ring]
-        parts.append(
-            f"SELECT lat, lon, '{name}' AS country FROM px WHERE lon BETWEEN {min(xs)} AND {max(xs)} "
-            f"AND lat BETWEEN {min(ys)} AND {max(ys)} AND ({' + '.join(edges)}) % 2 = 1")
-    return "WITH " + GRID + ", px AS (SELECT DISTINCT lat, lon FROM grid)\n" + "\nUNION ALL\n".join(parts)
-
+ORACLES["class_inversion"] = """
+SELECT p_partkey, p_size % 15 AS class_id, CASE p_size % 15
+  WHEN 2 THEN 'cropland' WHEN 3 THEN 'forest' WHEN 4 THEN 'shrubland/grassland' WHEN 5 THEN 'shrubland'
+  WHEN 6 THEN 'grassland' WHEN 7 THEN 'Sparse vegetation' WHEN 8 THEN 'flooded' WHEN 9 THEN 'Artificial'
+  WHEN 10 THEN 'Bare areas' WHEN 11 THEN 'Water bodies' WHEN 12 THEN 'Permanent snow and ice'
+  WHEN 13 THEN 'Unclassified' END AS class FROM part"""
+
+# Regions as edge lists (xi, yi, xj, yj); the second triangle of north is a hole.
+ORACLES["clip_polygon"] = "WITH " + GRID + """,
+edge(country, xi, yi, xj, yj) AS (VALUES
+  ('north', 0.1, -0.1, 0.1, 1.1), ('north', 8.0, 0.4, 0.1, -0.1), ('north', 0.1, 1.1, 8.0, 0.4),
+  ('north', 0.6, 0.2, 0.6, 0.7), ('north', 2.2, 0.4, 0.6, 0.2), ('north', 0.6, 0.7, 2.2, 0.4),
+  ('south', 3.0, 0.3, 5.0, 0.9), ('south', 9.9, -0.2, 3.0, 0.3), ('south', 9.9, 1.2, 9.9, -0.2), ('south', 5.0, 0.9, 9.9, 1.2)),
+e AS (SELECT country, xi::DOUBLE AS xi, yi::DOUBLE AS yi, xj::DOUBLE AS xj, yj::DOUBLE AS yj FROM edge),
+px AS (SELECT DISTINCT lat, lon FROM grid)
+SELECT lat, lon, country FROM px, e
+WHERE (yi > lat) <> (yj > lat) AND lon < (xj - xi) * (lat - yi) / (yj - yi) + xi
+GROUP BY lat, lon, country HAVING count(*) % 2 = 1"""
 
 VERIF = GRID + """,
 pred AS (SELECT g.lat, g.lon, g.time, p.ndvi AS prediction FROM grid g JOIN grid p
@@ -421,29 +433,19 @@ t AS (SELECT quantile_cont(abs(difference), 0.9) AS thr FROM e)
 SELECT lat, lon, time, round(difference, 6) AS difference FROM e, t WHERE abs(difference) > thr"""
 
 
-def _late():
-    ORACLES["clip_polygon"] = _clip_sql()
-
-
-try:
-    _late()
-except ImportError:  # circular import during package init; filled on first access
-    pass
-
-
 DAILY = """
 dp AS (
   SELECT CAST(o_custkey % 6 AS DOUBLE) * 2e-1 AS lat,
-         CAST((o_custkey // 6) % 50 AS DOUBLE) * 2e-1 AS lon,
-         o_orderdate AS time, round(sum(o_totalprice), 2) / 1e3 AS value
+         CAST((o_custkey // 6) % (SELECT max(s_suppkey) // 2 + 3 FROM supplier) AS DOUBLE) * 2e-1 AS lon,
+         o_orderdate AS time, round(sum(o_totalprice), 2) / 1e3 AS value, CAST(count(*) AS DOUBLE) AS orders
   FROM orders GROUP BY 1, 2, 3)"""
 
 
-def _neighbours(src: str, tag: str) -> str:
-    """Axis CTEs for source frame ``src`` onto the grid's axes."""
+def _neighbours(tag: str) -> str:
+    """Axis CTEs from the daily product onto the grid's axes."""
     return f"""
-s{tag}lat AS (SELECT DISTINCT lat AS v FROM {src}),
-s{tag}lon AS (SELECT DISTINCT lon AS v FROM {src}),
+s{tag}lat AS (SELECT DISTINCT lat AS v FROM dp),
+s{tag}lon AS (SELECT DISTINCT lon AS v FROM dp),
 d{tag}lat AS (SELECT DISTINCT lat AS d FROM grid),
 d{tag}lon AS (SELECT DISTINCT lon AS d FROM grid),
 n{tag}lat AS (SELECT d, (SELECT max(v) FROM s{tag}lat WHERE v <= d) AS a,
@@ -452,7 +454,8 @@ n{tag}lon AS (SELECT d, (SELECT max(v) FROM s{tag}lon WHERE v <= d) AS a,
                         (SELECT min(v) FROM s{tag}lon WHERE v > d) AS a1 FROM d{tag}lon)"""
 
 
-def _bilinear(src: str, tag: str, var: str, out: str) -> str:
+def _bilinear(src: str, tag: str, var: str, out: str, times: str) -> str:
+    """Every grid cell at every step of ``times``; NULL where a corner is missing."""
     w = []
     for ax in ("lat", "lon"):
         n = f"n{tag}{ax}"
@@ -463,60 +466,87 @@ w{tag}{ax}0 AS (
   UNION ALL
   SELECT d, a1, 1.0 - {w0} FROM {n} WHERE a IS NOT NULL AND (d = a OR a1 IS NOT NULL) AND a1 IS NOT NULL),
 w{tag}{ax} AS (SELECT *, count(*) OVER (PARTITION BY d) AS nw FROM w{tag}{ax}0 WHERE w <> 0)""")
-    return _neighbours(src, tag) + "," + ",".join(w) + f""",
+    return _neighbours(tag) + "," + ",".join(w) + f""",
 j{tag} AS (SELECT wl.d AS lat, wo.d AS lon, x.time, wl.w * wo.w AS w, wl.nw * wo.nw AS need, x.{var} AS v
           FROM {src} x JOIN w{tag}lat wl ON x.lat = wl.s JOIN w{tag}lon wo ON x.lon = wo.s),
-{out} AS (SELECT lat, lon, time,
+v{tag} AS (SELECT lat, lon, time,
                  CASE WHEN count(*) = first(need) AND count(v) = first(need) THEN sum(w * v) END AS {var}
-          FROM j{tag} GROUP BY lat, lon, time)"""
+          FROM j{tag} GROUP BY lat, lon, time),
+{out} AS (SELECT c.lat, c.lon, c.time, v.{var}
+          FROM (SELECT y.d AS lat, x.d AS lon, time FROM d{tag}lat y, d{tag}lon x, ({times})) c
+          LEFT JOIN v{tag} v ON v.lat = c.lat AND v.lon = c.lon AND v.time = c.time)"""
 
 
-def _nearest(src: str, tag: str, var: str, out: str) -> str:
+def _nearest(src: str, tag: str, columns: str, out: str) -> str:
     pick = "CASE WHEN a IS NULL THEN a1 WHEN a1 IS NULL THEN a WHEN d - a <= a1 - d THEN a ELSE a1 END"
-    return _neighbours(src, tag) + f""",
+    return _neighbours(tag) + f""",
 m{tag}lat AS (SELECT d, {pick} AS s FROM n{tag}lat),
 m{tag}lon AS (SELECT d, {pick} AS s FROM n{tag}lon),
-{out} AS (SELECT ml.d AS lat, mo.d AS lon, x.time, x.{var}
+{out} AS (SELECT ml.d AS lat, mo.d AS lon, x.time, {columns}
           FROM {src} x JOIN m{tag}lat ml ON x.lat = ml.s JOIN m{tag}lon mo ON x.lon = mo.s)"""
 
 
 ORACLES["harmonise_script"] = "WITH " + GRID + "," + DAILY + """,
-fm AS (SELECT lat, lon, last_day(time) AS t, arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value
+fm AS (SELECT lat, lon, last_day(time) AS time, arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value,
+              arg_min(orders, time) FILTER (WHERE orders IS NOT NULL) AS orders
        FROM dp GROUP BY 1, 2, 3),
-ax AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM (SELECT DISTINCT t FROM fm)),
-t0 AS (SELECT min(date_trunc('month', time)) AS t0 FROM grid),
-rl AS (SELECT fm.lat, fm.lon, CAST(t0.t0 + to_months(CAST(ax.i AS INTEGER)) AS TIMESTAMP) AS time, fm.value
-       FROM fm JOIN ax ON fm.t = ax.t, t0),
-sl AS (SELECT * FROM rl WHERE time BETWEEN TIMESTAMP '1995-01-01' AND TIMESTAMP '2001-06-01'),""" + \
-    _nearest("sl", "h", "value", "p") + """
-SELECT coalesce(g.lat, p.lat) AS lat, coalesce(g.lon, p.lon) AS lon, coalesce(g.time, p.time) AS time,
-       g.precip, g.ndvi, p.value
-FROM grid g FULL OUTER JOIN p ON g.lat = p.lat AND g.lon = p.lon AND g.time = p.time"""
-
-ORACLES["harmonise_bilinear"] = "WITH " + GRID + "," + DAILY + """,
-md AS (SELECT lat, lon, date_trunc('month', time) AS time, median(value) AS evap FROM dp GROUP BY 1, 2, 3),
-b AS (SELECT min(time) AS t0, max(time) + INTERVAL 1 MONTH AS t1 FROM grid),
+sl AS (SELECT * FROM fm WHERE time BETWEEN TIMESTAMP '1995-02-14' AND TIMESTAMP '2001-09-01'),""" + \
+    _nearest("sl", "h", "x.value, x.orders", "p") + """,
+r AS (SELECT lat, lon, last_day(time) AS time, precip, ndvi FROM grid
+      WHERE time BETWEEN TIMESTAMP '1995-02-14' AND TIMESTAMP '2001-09-01'),
+l AS (SELECT lat, lon, last_day(time) AS time, lst_day, lst_night FROM grid
+      WHERE last_day(time) BETWEEN TIMESTAMP '1995-02-14' AND TIMESTAMP '2001-09-01'),
+k AS (SELECT lat, lon, time FROM r UNION SELECT lat, lon, time FROM l UNION SELECT lat, lon, time FROM p)
+SELECT k.lat, k.lon, k.time, r.precip, r.ndvi, p.value, p.orders, l.lst_day, l.lst_night
+FROM k LEFT JOIN r USING (lat, lon, time) LEFT JOIN p USING (lat, lon, time) LEFT JOIN l USING (lat, lon, time)"""
+
+_MONTHS = "SELECT DISTINCT md.time FROM md, b WHERE md.time BETWEEN b.t0 AND b.t1"
+ORACLES["harmonise_bilinear"] = "WITH " + DROUGHT_IDX + "," + DAILY + """,
+md AS (SELECT lat, lon, date_trunc('month', time) AS time, median(value) AS evap, median(orders) AS pet FROM dp GROUP BY 1, 2, 3),
+rf AS (SELECT * FROM di WHERE time BETWEEN (SELECT min(time) FROM md) AND (SELECT max(time) FROM md)),
+b AS (SELECT min(time) AS t0, max(time) + INTERVAL 1 MONTH AS t1 FROM rf),
 sl AS (SELECT md.* FROM md, b WHERE md.time BETWEEN b.t0 AND b.t1),""" + \
-    _bilinear("sl", "b", "evap", "p") + """
-SELECT coalesce(g.lat, p.lat) AS lat, coalesce(g.lon, p.lon) AS lon, coalesce(g.time, p.time) AS time,
-       g.ndvi, round((g.lst_day + g.lst_night) / 2, 6) AS lst_mean,
-       floor(floor(p.evap * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evap
-FROM grid g FULL OUTER JOIN p ON g.lat = p.lat AND g.lon = p.lon AND g.time = p.time"""
-
-ORACLES["harmonise_rainfall"] = "WITH " + GRID + "," + DAILY + """,
-fm AS (SELECT lat, lon, CAST(date_trunc('month', last_day(time)) AS TIMESTAMP) AS time,
+    _bilinear("sl", "b", "evap", "p", _MONTHS) + "," + _bilinear("sl", "c", "pet", "o", _MONTHS) + """,
+k AS (SELECT lat, lon, time FROM rf UNION SELECT lat, lon, time FROM p UNION SELECT lat, lon, time FROM o),
+m AS (SELECT k.lat, k.lon, k.time, rf.ndvi, rf.lst_day, rf.lst_night, rf.spi, rf.spei, p.evap, o.pet
+      FROM k LEFT JOIN rf USING (lat, lon, time) LEFT JOIN p USING (lat, lon, time) LEFT JOIN o USING (lat, lon, time))
+SELECT lat, lon, time, ndvi, round((lst_day + lst_night) / 2, 6) AS lst_mean,
+       floor(floor(evap * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evap, floor(floor(pet * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS pet,
+       coalesce(spei < -1, false) AS drought_spei, coalesce(spi < -1, false) AS drought_spi,
+       coalesce(ndvi < round(avg(ndvi) OVER (PARTITION BY lat, lon, month(time))
+                             - stddev_pop(ndvi) OVER (PARTITION BY lat, lon, month(time)), 9), false) AS drought_ndvi
+FROM m"""
+
+# Both calendars cut to the months that grid and product share.
+_FIRST = "WITH " + GRID + "," + DAILY + """,
+fm AS (SELECT lat, lon, CAST(date_trunc('month', time) AS TIMESTAMP) AS time,
               arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value FROM dp GROUP BY 1, 2, 3),
-b AS (SELECT min(time) AS t0, max(time) AS t1 FROM grid WHERE time <= TIMESTAMP '2001-06-01'),
-sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 30.417 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
-    _bilinear("sl0", "r", "value", "p") + """,
+b AS (SELECT min(time) AS t0, max(time) AS t1 FROM grid
+      WHERE time BETWEEN (SELECT min(time) FROM fm) AND (SELECT max(time) FROM fm)),
 t0 AS (SELECT min(time) AS t FROM grid),
 at0 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t0 WHERE grid.time = t0.t GROUP BY 1, 2),
 px AS (SELECT DISTINCT lat, lon FROM grid),
 m AS (SELECT px.lat, px.lon, NOT coalesce(at0.has, false) AS masked
-      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon)
+      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon),"""
+
+ORACLES["harmonise_rainfall"] = _FIRST + """
+sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 30.417 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
+    _bilinear("sl0", "r", "value", "p", "SELECT DISTINCT grid.time FROM grid, b WHERE grid.time BETWEEN b.t0 AND b.t1") + """
 SELECT p.lat, p.lon, p.time, round(CASE WHEN m.masked = false THEN p.value END, 6) AS precip
 FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
 
+ORACLES["harmonise_evaporation"] = _FIRST + """
+sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 28.0 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
+    _nearest("sl0", "e", "x.value", "p") + """
+SELECT p.lat, p.lon, p.time,
+       floor(floor(CASE WHEN m.masked = false THEN p.value END * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evaporation
+FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
+
+ORACLES["reference_cleaner"] = "WITH " + DAILY + """,
+f AS (SELECT lat, lon + 30.0::DOUBLE AS lon, last_day(time) AS time, arg_min(value / 28.0, time) FILTER (WHERE value IS NOT NULL) AS v
+      FROM dp WHERE lat BETWEEN -5.0 AND 15.2 AND lon + 30.0::DOUBLE BETWEEN 32.6 AND 51.8 GROUP BY 1, 2, 3)
+SELECT lat, lon, time, floor(floor(v * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS holaps_evapotranspiration FROM f"""
+
 
 ORACLES["pixel_year_counts"] = "WITH " + CLEAN + """,
 n AS (SELECT lat, lon, gb_year, count(*) AS n FROM cleaned GROUP BY 1, 2, 3)
@@ -558,37 +588,103 @@ ORACLES["round_trip_csv"] = ORACLES["cube_clean"]
 ORACLES["round_trip_json"] = ORACLES["normalising_stats"]
 
 ORACLES["guarded_write"] = "WITH " + GRID + """
-SELECT *, 1999 AS first_write_year FROM grid WHERE year(time) = 2000"""
+SELECT lat, lon, time, precip, round(ndvi, 6) AS ndvi, 'kept' AS write FROM grid
+UNION ALL SELECT lat, lon, time, precip, round(ndvi + 1, 6), 'forced' FROM grid"""
 
-ORACLES["examples_round_trip"] = "WITH " + EXAMPLES + """
-SELECT DISTINCT lat, lon, gb_year, split, y,
-       (SELECT count(*) FROM grid WHERE year(time) = 2001) AS cube_rows_2001
-FROM steps WHERE split = 'test'"""
+ORACLES["cube_round_trip"] = "WITH " + GRID + " SELECT lat, lon, time, " + ", ".join(GV) + " FROM grid"
 
-# Append mode with a 31-day watermark on the month key: a month is emitted
-# once the watermark (latest month - 31 days) has reached it.
-ORACLES["stream_monthly_first"] = "WITH " + DAILY + """,
-m AS (SELECT lat, lon, date_trunc('month', time) AS time,
-             arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value, count(value) AS n_obs
-      FROM dp GROUP BY 1, 2, 3)
-SELECT lat, lon, CAST(time AS TIMESTAMP) AS time, value, n_obs FROM m
-WHERE time <= (SELECT max(time) FROM m) - INTERVAL 31 DAY"""
+ORACLES["nan_ingest"] = "WITH " + GRID + """,
+m AS (SELECT lat, lon, round(sum(sm), 6) / count(sm) AS sm FROM grid GROUP BY lat, lon)
+SELECT *, 'parquet' AS format FROM m UNION ALL SELECT *, 'csv' FROM m"""
 
+ORACLES["parse_time"] = "WITH " + GRID + " SELECT lat, lon, time, time AS time_named FROM grid"
 
-ORACLES["harmonise_evaporation"] = "WITH " + GRID + "," + DAILY + """,
-fm AS (SELECT lat, lon, CAST(date_trunc('month', last_day(time)) AS TIMESTAMP) AS time,
-              arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value FROM dp GROUP BY 1, 2, 3),
-b AS (SELECT min(time) AS t0, max(time) AS t1 FROM grid WHERE time <= TIMESTAMP '2001-06-01'),
-sl0 AS (SELECT fm.lat, fm.lon, fm.time, fm.value / 28.0 AS value FROM fm, b WHERE fm.time BETWEEN b.t0 AND b.t1),""" + \
-    _nearest("sl0", "e", "value", "p") + """,
-t0 AS (SELECT min(time) AS t FROM grid),
-at0 AS (SELECT lat, lon, bool_or(sm IS NOT NULL) AS has FROM grid, t0 WHERE grid.time = t0.t GROUP BY 1, 2),
-px AS (SELECT DISTINCT lat, lon FROM grid),
-m AS (SELECT px.lat, px.lon, NOT coalesce(at0.has, false) AS masked
-      FROM px LEFT JOIN at0 ON px.lat = at0.lat AND px.lon = at0.lon)
-SELECT p.lat, p.lon, p.time,
-       floor(floor(CASE WHEN m.masked = false THEN p.value END * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS evaporation
-FROM p LEFT JOIN m ON p.lat = m.lat AND p.lon = m.lon"""
+ORACLES["fixed_box"] = "WITH " + GRID + """
+SELECT lat, lon + 30.0::DOUBLE AS lon, time, ndvi FROM grid
+WHERE lat BETWEEN -5.0 AND 15.2 AND lon + 30.0::DOUBLE BETWEEN 32.6 AND 51.8"""
+
+ORACLES["isel_axes"] = "WITH " + GRID + """
+SELECT lat, lon, time, ndvi FROM grid
+WHERE lat = (SELECT DISTINCT lat FROM grid ORDER BY lat LIMIT 1 OFFSET 1) AND lon = (SELECT max(lon) FROM grid)"""
+
+ORACLES["mask_to_boolean"] = "WITH " + GRID + """
+SELECT lat, lon, time, CAST(floor(sm * 1000) % 2 AS BOOLEAN) AS m FROM grid"""
+
+ORACLES["denormalise"] = "WITH " + CLEAN + " SELECT lat, lon, time, variable, round(v, 6) AS value_raw FROM (\n" + "\nUNION ALL\n".join(
+    f"SELECT lat, lon, time, '{c}' AS variable, {c} AS v FROM cleaned" for c in VALUE_COLS) + ") WHERE v IS NOT NULL"
+
+ORACLES["verification_gaps"] = "WITH " + GRID + """,
+vf AS (SELECT g.sm AS y, p.sm AS prediction FROM grid g JOIN grid p
+       ON p.lat = g.lat AND p.lon = g.lon AND p.time = g.time - INTERVAL 1 MONTH
+       WHERE g.sm IS NOT NULL AND p.sm IS NOT NULL)
+SELECT """ + MET + " FROM vf"
+
+# Inputs of an example in step-major order: j = 7 * (step - 1) + variable.
+INPUTS = EXAMPLES + """,
+long AS (""" + "\nUNION ALL\n".join(
+    f"SELECT lat, lon, gb_year, split, y, step, 7 * (step - 1) + {k} AS j, {c} AS v FROM steps" for k, c in enumerate(VALUE_COLS)) + """),
+ex AS (SELECT lat, lon, gb_year, split, y, list(v ORDER BY j) AS x FROM long GROUP BY lat, lon, gb_year, split, y)"""
+
+ORACLES["examples_round_trip"] = "WITH " + INPUTS + """
+SELECT lat, lon, gb_year, split, y, CAST(j AS INTEGER) AS j, round(v, 6) AS v FROM long WHERE split = 'test'"""
+
+_FIT = "SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN 0.0::DOUBLE END AS normal_residual"
+ORACLES["linear_fit_score"] = "WITH " + EXAMPLES + _FIT.join(("\n", "")) + " FROM steps WHERE step = 1 GROUP BY split"
+ORACLES["ablation"] = "WITH " + EXAMPLES + "".join(
+    f"\n{u}{_FIT}, '{v}' AS variant FROM steps WHERE step = 1 GROUP BY split" for u, v in (("", "all_features"), ("UNION ALL ", "no_vegetation")))
+ORACLES["nonlinear_fit_score"] = "WITH " + EXAMPLES + """
+SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN true END AS beats_mean FROM steps WHERE step = 1 GROUP BY split"""
+ORACLES["linear_attribution"] = "WITH " + EXAMPLES + """
+SELECT lat, lon, gb_year, 77::BIGINT AS n, 0.0::DOUBLE AS residual FROM steps WHERE step = 1 AND split = 'test'"""
+ORACLES["model_round_trip"] = "WITH " + EXAMPLES + """
+SELECT lat, lon, gb_year, split, y, 0.0::DOUBLE AS difference FROM steps WHERE step = 1"""
+ORACLES["coef_top10"] = "WITH " + INPUTS + """,
+m AS (SELECT ['lst_night', 'lst_day', 'precip', 'sm', 'ndvi', 'evi', 'ndvi_anomaly'][j % 7 + 1] || '_' || step AS feature, round(avg(v), 6) AS value
+      FROM long WHERE split = 'train' GROUP BY j, step)
+SELECT feature, value FROM m ORDER BY abs(value) DESC, feature LIMIT 10"""
+
+
+def _rule(rows: str, cols: str, a: int, b: int) -> str:
+    """The weight at 0-based (row, column) of the closed-form set."""
+    return f"((({rows}) * {a} + ({cols}) * {b}) % 11 - 5) / 50.0::DOUBLE"
+
+
+def _ffn_sql() -> str:
+    dense = f"[list_sum([x[j + 1] * {_rule('i', 'j', 7, 3)} for j in range(0, 77)]) / sqrt(1.0::DOUBLE + 1e-5::DOUBLE) for i in range(0, 77)]"
+    return "WITH " + INPUTS + f""",
+h AS (SELECT lat, lon, gb_year, y, {dense} AS h FROM ex)
+SELECT lat, lon, gb_year, y,
+       round(list_sum([CASE WHEN h[j + 1] > 0 THEN h[j + 1] ELSE 0.1 * h[j + 1] END * {_rule('0', 'j', 1, 5)} for j in range(0, 77)]) + 0.25, 6) AS prediction
+FROM h"""
+
+
+def _rnn_sql(hidden: int = 3, n: int = 7) -> str:
+    """Eleven steps of the gated cell, then the two dense layers; one CTE per step."""
+    ctes = ["r0 AS (SELECT lat, lon, gb_year, y, x, " + ", ".join(f"0.0::DOUBLE AS h{i}, 0.0::DOUBLE AS c{i}" for i in range(hidden)) + " FROM ex)"]
+    for t in range(11):
+        z = [f"x[{t * n + k + 1}]" for k in range(n)] + [f"h{i}" for i in range(hidden)]
+
+        def gate(k: int, i: int, z: list[str] = z) -> str:
+            return "(" + " + ".join(f"{v} * ({(i * (k + 2) + j * (k + 3)) % 11 - 5} / 50.0::DOUBLE)" for j, v in enumerate(z)) + f" + {0.1 * (k + 1):.1f}::DOUBLE)"
+
+        cell = [f"(1 / (1 + exp(-{gate(0, i)}))) * c{i} + (1 / (1 + exp(-{gate(1, i)}))) * ((exp(2 * {gate(2, i)}) - 1) / (exp(2 * {gate(2, i)}) + 1)) AS d{i}" for i in range(hidden)]
+        out = [f"1 / (1 + exp(-{gate(3, i)})) AS o{i}" for i in range(hidden)]
+        ctes.append(f"q{t} AS (SELECT lat, lon, gb_year, y, x, {', '.join(cell + out)} FROM r{t})")
+        ctes.append(f"r{t + 1} AS (SELECT lat, lon, gb_year, y, x, " + ", ".join(
+            f"o{i} * ((exp(2 * d{i}) - 1) / (exp(2 * d{i}) + 1)) AS h{i}, d{i} AS c{i}" for i in range(hidden)) + f" FROM q{t})")
+    first = ["(" + " + ".join(f"h{j} * ({(i * 3 + j * 4) % 11 - 5} / 50.0::DOUBLE)" for j in range(hidden)) + f" + {0.1 * (i + 1):.1f}::DOUBLE)" for i in range(2)]
+    last = " + ".join(f"{v} * ({(j * 2) % 11 - 5} / 50.0::DOUBLE)" for j, v in enumerate(first)) + " + 0.3::DOUBLE"
+    return "WITH " + INPUTS + ",\n" + ",\n".join(ctes) + f"\nSELECT lat, lon, gb_year, y, round({last}, 6) AS prediction FROM r11"
+
+
+ORACLES["ffn_score"] = _ffn_sql()
+ORACLES["rnn_score"] = _rnn_sql()
+
+# All months, the open one included.
+ORACLES["stream_monthly_first"] = "WITH " + DAILY + """
+SELECT lat, lon, CAST(date_trunc('month', time) AS TIMESTAMP) AS time,
+       arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value, count(value) AS n_obs
+FROM dp GROUP BY 1, 2, 3"""
 
 
 def _positive_zero(sql: str) -> str:
@@ -622,6 +718,4 @@ def _positive_zero(sql: str) -> str:
 
 
 def oracles() -> dict:
-    if "clip_polygon" not in ORACLES:
-        _late()
     return {k: _positive_zero(v) for k, v in ORACLES.items()}

@@ -38,4 +38,4 @@ def clean_and_scale(raw: DataFrame, p: CleanParams = CleanParams()) -> tuple[Dat
     """Returns (scaled rows with raw-unit ``target``, normalising stats)."""
     rows = copy_target(clean_cube(raw, p), p.target, VALUE_COLS)
     stats = normalising_stats(rows, VALUE_COLS)
-    return zscore(rows, VALUE_COLS), stats
+    return zscore(rows, VALUE_COLS, stats), stats

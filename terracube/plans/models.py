@@ -120,17 +120,15 @@ def nonlinear_fit_score(examples: DataFrame, seed: int = 42) -> DataFrame:
     return score(model, data)
 
 
-def background_sample(df: DataFrame, k: int = 500, seed: int = 42) -> DataFrame:
-    """T5: ``k`` rows drawn with replacement (over-sample, then exact k).
+def background_sample(df: DataFrame, keys: Sequence[str] = ("lat", "lon", "gb_year"), k: int = 500, seed: int = 42) -> DataFrame:
+    """T5: exactly ``k`` rows drawn with replacement (none from an empty frame).
 
-    The sort is over ~1.2 k rows only; the count is one cheap scan.
+    Each of the k draws takes the row whose seeded key hash is the smallest for that
+    draw: one pass with k running minima per task, whatever the partitioning.
     """
-    n = df.count()
-    if n == 0:
-        return df.limit(0)
-    frac = min(1.2 * k / n, 1e6)
-    s = df.sample(withReplacement=True, fraction=frac, seed=seed)
-    return s.orderBy(F.rand(seed)).limit(k)
+    row = F.struct(*[F.col(c) for c in df.columns])
+    best = df.agg(*[F.min_by(row, F.struct(F.xxhash64(F.lit(seed * k + i), *keys), *keys)).alias(f"d{i}") for i in range(k)])
+    return best.select(F.explode(F.array(*[F.col(f"d{i}") for i in range(k)])).alias("r")).where("r is not null").select("r.*")
 
 
 def linear_attribution(examples: DataFrame, stats: DataFrame | None = None,
@@ -145,7 +143,7 @@ def linear_attribution(examples: DataFrame, stats: DataFrame | None = None,
     model = fit_linear(data.where(F.col("split") == "train"))
     nf = len(feats)
     coef = [float(c) for c in model.coefficients.toArray()]
-    bg = background_sample(data.where(F.col("split") == "train"), k_background, seed)
+    bg = background_sample(data.where(F.col("split") == "train").select("lat", "lon", "gb_year", "x"), k=k_background, seed=seed)
     flat = F.flatten(F.col("x"))
     bg_mean = bg.select(flat.alias("f")).select(F.posexplode("f").alias("j", "v")) \
                 .groupBy("j").agg(F.avg("v").alias("mu"))
@@ -226,17 +224,41 @@ def rnn_forward(x: np.ndarray, w: dict) -> np.ndarray:
     return out[:, 0]
 
 
-def score_network(examples: DataFrame, kind: str, n_features: int, seed: int = 42) -> DataFrame:
+def save_weights(spark, weights: dict, path: str) -> None:
+    """S10 for the networks: one row per weight array, ``(name, shape, values)``."""
+    rows = [(n, list(np.shape(a)), np.asarray(a, float).ravel().tolist()) for n, a in weights.items()]
+    spark.createDataFrame(rows, "name string, shape array<int>, values array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_weights(spark, path: str) -> dict:
+    """The weight set that ``save_weights`` wrote (its size is the model's, not the data's)."""
+    out = {r["name"]: np.array(r["values"]).reshape(r["shape"]) for r in spark.read.parquet(path).collect()}
+    return {n: int(a) if n == "n_dense" else a for n, a in out.items()}
+
+
+def normal_residual(preds: DataFrame, data: DataFrame) -> DataFrame:
+    """Largest absolute entry of ``X'(y - prediction) / n`` on the train split, 0 for a
+    least-squares fit (the constant feature included)."""
+    j = data.select("lat", "lon", "gb_year", F.flatten("x").alias("f")).join(
+        preds.where(F.col("split") == "train").select("lat", "lon", "gb_year", (F.col("y") - F.col("prediction")).alias("e")), ["lat", "lon", "gb_year"])
+    each = j.select("e", F.posexplode(F.concat(F.array(F.lit(1.0)), "f")).alias("j", "x"))
+    sums = each.groupBy("j").agg((F.sum(F.col("x") * F.col("e")) / F.count(F.lit(1))).alias("s"))
+    return sums.agg(F.max(F.abs("s")).alias("residual"))
+
+
+def score_network(examples: DataFrame, kind: str, n_features: int, seed: int = 42, weights: dict | None = None) -> DataFrame:
     """M7/M8 batch scoring: Arrow batches -> numpy forward -> predictions.
 
-    Weights are broadcast once per executor; each task scores its own
-    partitions, so nothing passes through the driver.
+    ``weights`` is a trained set in the layout of ``init_ffn``/``init_rnn`` (for
+    example from ``load_weights``); without one, seeded weights are made.  Weights
+    are broadcast once per executor; each task scores its own partitions, so no
+    row passes through the driver.
     """
     spark = examples.sparkSession
     if kind == "ffn":
-        weights, fwd = init_ffn(n_features * 11, seed), ffn_forward
+        weights, fwd = weights or init_ffn(n_features * 11, seed), ffn_forward
     elif kind == "rnn":
-        weights, fwd = init_rnn(n_features, seed=seed), rnn_forward
+        weights, fwd = weights or init_rnn(n_features, seed=seed), rnn_forward
     else:
         raise ValueError(kind)
     bw = spark.sparkContext.broadcast(weights)

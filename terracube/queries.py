@@ -9,15 +9,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terracube.functions.lookup import LANDCOVER
 from terracube.operators import masks as MK
 from terracube.operators import metrics as MT
 from terracube.operators import slicing as SL
 from terracube.operators import stats as S
-from terracube.operators.clean import climatology, mask_sentinel, normalising_stats, subtract_climatology
+from terracube.functions.time import parse_time, trunc_ntz
+from terracube.operators.clean import climatology, denormalise, mask_sentinel, normalising_stats, subtract_climatology
 from terracube.operators.lookup import bands_to_time, classify_landcover, clip_to_regions, time_axis
 from terracube.operators.masks import all_valid
 from terracube.operators.merge import merge_cubes
@@ -54,8 +57,9 @@ def r6(*cols: str) -> list:
 def fixed6(c: str):
     """Half-up to 6 decimals after snapping to 1e-10, from IEEE operations
     only (multiply, add, floor, divide), so every engine returns the same
-    bits even for values that sit exactly on a rounding tie.  For |x| < 1e5."""
-    snapped = F.floor(F.col(c) * F.lit(1e10) + F.lit(0.5))
+    bits even for values that sit exactly on a rounding tie.  Larger values than
+    the snap can carry (1e5) raise."""
+    snapped = F.floor(F.when(F.abs(c) < 1e5, F.col(c)).when(F.col(c).isNotNull(), F.raise_error(F.lit("fixed6 needs |x| < 1e5")).cast("double")) * F.lit(1e10) + F.lit(0.5))
     return (F.floor(snapped / F.lit(1e4) + F.lit(0.5)) / F.lit(1e6)).alias(c)
 
 
@@ -253,7 +257,20 @@ def q_drop_last_step(spark, sf_dir):
 
 @register("isel_time")
 def q_isel_time(spark, sf_dir):
-    return SL.isel_time(load_grid(spark, sf_dir), 5).select("lat", "lon", "time", "ndvi")
+    return SL.isel(load_grid(spark, sf_dir), "time", 5).select("lat", "lon", "time", "ndvi")
+
+
+@register("isel_axes")
+def q_isel_axes(spark, sf_dir):
+    """P15 on space: second latitude, last longitude."""
+    return SL.isel(SL.isel(load_grid(spark, sf_dir), "lat", 1), "lon", -1).select("lat", "lon", "time", "ndvi")
+
+
+@register("fixed_box")
+def q_fixed_box(spark, sf_dir):
+    """P10: the fixed region; the grid's longitudes are moved to its west edge."""
+    g = load_grid(spark, sf_dir).withColumn("lon", F.col("lon") + 30.0)
+    return SL.select_east_africa(g).select("lat", "lon", "time", "ndvi")
 
 
 # -------------------------------------------------------------------- masks
@@ -277,15 +294,25 @@ def q_reference_mask(spark, sf_dir):
     return out
 
 
+TIES = 9
+
+
+@register("mask_to_boolean")
+def q_mask_to_boolean(spark, sf_dir):
+    """Numeric masks (1, 0, missing) to boolean."""
+    g = load_grid(spark, sf_dir).withColumn("m", F.floor(F.col("sm") * 1000) % 2)
+    return MK.to_boolean(g, ["m"]).select("lat", "lon", "time", "m")
+
+
 @register("drought_masks")
 def q_drought_masks(spark, sf_dir):
     from terracube.plans.drought import with_drought_indices
-    g = with_drought_indices(load_grid(spark, sf_dir))
-    g = MK.monthly_drought(g, "ndvi", "drought_ndvi_month")
-    g = MK.series_drought(g, "ndvi", "drought_ndvi_series")
+    # 9 decimals, so that a last bit of a mean cannot flip a tie between engines
+    g = with_drought_indices(load_grid(spark, sf_dir), TIES)
+    g = MK.monthly_drought(g, "ndvi", "drought_ndvi_month", decimals=TIES)
+    g = MK.series_drought(g, "ndvi", "drought_ndvi_series", decimals=TIES)
     g = g.withColumns({"drought_spi": MK.threshold_flag("spi"), "drought_spei": MK.threshold_flag("spei"),
                        "not_drought": MK.invert("drought_ndvi_month")})
-    # spi/spei are already rounded to 1e-9 (tie-safe thresholds); no second rounding
     return g.select("lat", "lon", "time", (F.col("spi") + 0.0).alias("spi"), (F.col("spei") + 0.0).alias("spei"),
                     "drought_spi", "drought_spei",
                     "drought_ndvi_month", "drought_ndvi_series", "not_drought")
@@ -294,7 +321,7 @@ def q_drought_masks(spark, sf_dir):
 @register("drought_lags")
 def q_drought_lags(spark, sf_dir):
     from terracube.plans.drought import drought_lag_sets
-    return drought_lag_sets(load_grid(spark, sf_dir))
+    return drought_lag_sets(load_grid(spark, sf_dir), decimals=TIES)
 
 
 # ------------------------------------------------------------ shift and flip
@@ -318,11 +345,12 @@ def q_flip_lat(spark, sf_dir):
 
 @register("band_unpivot")
 def q_band_unpivot(spark, sf_dir):
+    """J8 over every time step; the bands are made by pivoting on the step number."""
     g = load_grid(spark, sf_dir)
-    times = time_axis(g).where(F.col("idx") <= 3)
-    g3 = g.join(F.broadcast(times), "time")
-    wide = (g3.groupBy("lat", "lon").pivot("idx", [1, 2, 3]).agg(F.first("precip"))
-              .withColumnsRenamed({"1": "Band1", "2": "Band2", "3": "Band3"}))
+    times = time_axis(g)
+    n = times.count()  # calendar length: one band column per step
+    wide = (g.join(times, "time").groupBy("lat", "lon").pivot("idx", list(range(1, n + 1))).agg(F.first("precip"))
+              .withColumnsRenamed({str(i): f"Band{i}" for i in range(1, n + 1)}))
     return bands_to_time(wide, times, ["lat", "lon"], "precip")
 
 
@@ -335,17 +363,26 @@ def q_class_lookup(spark, sf_dir):
     return classify_landcover(part)
 
 
-# Fixed test polygons over the derived grid (lon, lat rings).
+@register("class_inversion")
+def q_class_inversion(spark, sf_dir):
+    """integer class id back to its name."""
+    from terracube.functions.lookup import class_id_to_name
+    from terracube.sources.tables import read_table
+    part = read_table(spark, sf_dir, "part").select("p_partkey", (F.col("p_size") % 15).alias("class_id"))
+    return part.join(F.broadcast(class_id_to_name(spark)), "class_id", "left").select("p_partkey", "class_id", "class")
+
+
+# Fixed test regions over the derived grid (rings of lon, lat; the second ring of a region is a hole).
 REGIONS = [
-    ("north", [(0.1, -0.1), (8.0, 0.4), (0.1, 1.1)]),
-    ("south", [(3.0, 0.3), (9.9, -0.2), (9.9, 1.2), (5.0, 0.9)]),
+    ("north", [[(0.1, -0.1), (8.0, 0.4), (0.1, 1.1)], [(0.6, 0.2), (2.2, 0.4), (0.6, 0.7)]]),
+    ("south", [[(3.0, 0.3), (9.9, -0.2), (9.9, 1.2), (5.0, 0.9)]]),
 ]
 
 
 def regions_frame(spark):
     return spark.createDataFrame(
-        [(n, [{"lon": x, "lat": y} for x, y in ring]) for n, ring in REGIONS],
-        "country string, ring array<struct<lon:double,lat:double>>")
+        [(n, [[{"lon": x, "lat": y} for x, y in ring] for ring in rings]) for n, rings in REGIONS],
+        "country string, rings array<array<struct<lon:double,lat:double>>>")
 
 
 @register("clip_polygon")
@@ -367,9 +404,18 @@ def q_verification(spark, sf_dir):
     return v.select("n", "mae", *r6(*METRICS))
 
 
+@register("verification_gaps")
+def q_verification_gaps(spark, sf_dir):
+    """A15-A19 where predictions and truths are missing in places."""
+    g = load_grid(spark, sf_dir).select("lat", "lon", "time", F.col("sm").alias("y"), F.col("sm").alias("prediction"))
+    v = MT.verify(shift_time(g, ["prediction"], 1), sum_decimals=6)
+    return v.select("n", "mae", *r6(*METRICS))
+
+
 @register("band_metrics")
 def q_band_metrics(spark, sf_dir):
-    b = MT.quantile_bands(verification_frame(load_grid(spark, sf_dir))).where(F.col("band").isNotNull())
+    v = verification_frame(load_grid(spark, sf_dir))
+    b = MT.quantile_bands(v).where(F.col("band").isNotNull())
     return MT.verify(b, by=["band"], sum_decimals=6).select("band", "n", "mae", *r6(*METRICS))
 
 
@@ -381,7 +427,8 @@ def q_error_mask(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- models
-# Rows-only checks (no SQL oracle): fitted models are iterative.
+# Fitted values are checked by what holds for every correct fit: the normal
+# equations, additivity, and error below that of the mean.
 
 
 def _examples(spark, sf_dir):
@@ -389,70 +436,139 @@ def _examples(spark, sf_dir):
     return ML.materialise(engineer_arrays(scaled, TEST_YEAR)), stats
 
 
+def _fit_report(ex, hide=False):
+    preds, _, _ = ML.linear_fit_score(ex, hide)
+    data = ML.hide_features(ex, list(VALUE_COLS), ML.VEGETATION_LABELS) if hide else ex
+    residual = ML.normal_residual(preds, data).select(F.round("residual", 4) + 0.0).scalar()
+    scored = preds.groupBy("split").agg(F.count("prediction").alias("n"))
+    return scored.withColumn("normal_residual", F.when(F.col("split") == "train", residual))
+
+
 @register("linear_fit_score")
 def q_linear_fit_score(spark, sf_dir):
     ex, _ = _examples(spark, sf_dir)
-    preds, _, _ = ML.linear_fit_score(ex)
-    return ML.evaluate(preds).select("split", "n", *r6("rmse", "mae", "r2"))
+    return _fit_report(ex).select("split", "n", "normal_residual")
 
 
 @register("ablation")
 def q_ablation(spark, sf_dir):
     ex, _ = _examples(spark, sf_dir)
-    return ML.ablation(ex).select("variant", "split", "n", *r6("rmse"))
+    both = [_fit_report(ex, hide).withColumn("variant", F.lit(name)) for name, hide in (("all_features", False), ("no_vegetation", True))]
+    return both[0].unionByName(both[1]).select("variant", "split", "n", "normal_residual")
+
+
+def model_errors(spark, sf_dir):
+    """M3: error measures per split, with and without vegetation inputs, and of the trees
+    (reported by the benchmark; fitted values have no SQL)."""
+    ex, _ = _examples(spark, sf_dir)
+    linear = ML.ablation(ex).select("variant", "split", "n", *r6("rmse"))
+    trees = ML.evaluate(ML.nonlinear_fit_score(ex)).withColumn("variant", F.lit("trees"))
+    return linear.unionByName(trees.select("variant", "split", "n", *r6("rmse")))
 
 
 @register("coef_top10")
 def q_coef_top10(spark, sf_dir):
+    """The ten largest mean inputs of the train split under their coefficient labels."""
     ex, _ = _examples(spark, sf_dir)
-    _, model, feats = ML.linear_fit_score(ex)
-    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10)
+    labels = F.array(*[F.lit(x) for x in ML.feature_labels(VALUE_COLS)])
+    means = ex.where("split = 'train'").select(F.posexplode(F.flatten("x")).alias("j", "v")).groupBy("j").agg(F.avg("v").alias("value"))
+    means = means.select(F.element_at(labels, F.col("j") + 1).alias("feature"), F.round("value", 6).alias("value"))
+    return ML.top_k_abs(means, "value", 10).select("feature", (F.col("value") + 0.0).alias("value"))
 
 
 @register("nonlinear_fit_score")
 def q_nonlinear_fit_score(spark, sf_dir):
     ex, _ = _examples(spark, sf_dir)
-    return ML.evaluate(ML.nonlinear_fit_score(ex)).select("split", "n", *r6("rmse", "mae"))
+    preds = ML.nonlinear_fit_score(ex)
+    better = F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))) < F.stddev_pop("y")
+    return preds.groupBy("split").agg(F.count("prediction").alias("n"), better.alias("beats_mean")).select(
+        "split", "n", F.when(F.col("split") == "train", F.col("beats_mean")).alias("beats_mean"))
 
 
 @register("linear_attribution")
 def q_linear_attribution(spark, sf_dir):
+    """Per test example, the number of attributions and how far their sum is from
+    prediction minus base (a constant), which is 0."""
     ex, stats = _examples(spark, sf_dir)
-    return ML.linear_attribution(ex, stats)
+    preds, _, _ = ML.linear_fit_score(ex)
+    keys = ["lat", "lon", "gb_year"]
+    sums = ML.linear_attribution(ex, stats).groupBy(*keys).agg(F.count("attribution").alias("n"), F.sum("attribution").alias("s"))
+    each = sums.join(preds.select(*keys, "prediction"), keys).withColumn("base", F.col("prediction") - F.col("s"))
+    lowest = each.agg(F.min("base")).scalar()
+    return each.select(*keys, "n", (F.round(F.col("base") - lowest, 6) + 0.0).alias("residual"))
+
+
+def rule_weights(kind, n_features, hidden=3):
+    """Closed-form weight sets, so that the forward passes can be checked in SQL."""
+    def rule(rows, cols, a, b):
+        return np.array([[((i * a + j * b) % 11 - 5) / 50 for j in range(cols)] for i in range(rows)])
+
+    if kind == "ffn":
+        n = n_features * 11
+        return {"w1": rule(n, n, 7, 3), "gamma": np.ones(n), "beta": np.zeros(n), "mean": np.zeros(n), "var": np.ones(n),
+                "eps": 1e-5, "w2": rule(1, n, 1, 5), "b2": np.array([0.25])}
+    w = {f"W{g}": rule(hidden, n_features + hidden, k + 2, k + 3) for k, g in enumerate("fuco")}
+    w |= {f"b{g}": np.full(hidden, 0.1 * (k + 1)) for k, g in enumerate("fuco")}
+    return w | {"D1": rule(2, hidden, 3, 4), "d1": np.array([0.1, 0.2]), "D2": rule(1, 2, 1, 2), "d2": np.array([0.3]), "n_dense": 2}
+
+
+def _scored(spark, sf_dir, kind):
+    ex, _ = _examples(spark, sf_dir)
+    path = IO.scratch_path(spark, f"weights-{kind}")
+    ML.save_weights(spark, rule_weights(kind, len(VALUE_COLS)), path)
+    out = ML.score_network(ex, kind, len(VALUE_COLS), weights=ML.load_weights(spark, path))
+    return out.select("lat", "lon", "gb_year", "y", *r6("prediction"))
 
 
 @register("ffn_score")
 def q_ffn_score(spark, sf_dir):
-    ex, _ = _examples(spark, sf_dir)
-    return ML.score_network(ex, "ffn", len(VALUE_COLS))
+    return _scored(spark, sf_dir, "ffn")
 
 
 @register("rnn_score")
 def q_rnn_score(spark, sf_dir):
-    ex, _ = _examples(spark, sf_dir)
-    return ML.score_network(ex, "rnn", len(VALUE_COLS))
+    return _scored(spark, sf_dir, "rnn")
+
+
+@register("denormalise")
+def q_denormalise(spark, sf_dir):
+    """Scaled values back to raw units."""
+    scaled, stats = clean_and_scale(load_grid(spark, sf_dir), PARAMS)
+    long = S.long_values(scaled, VALUE_COLS, KEY_COLS[:3])
+    return denormalise(long, stats).select("lat", "lon", "time", "variable", *r6("value_raw"))
 
 
 # ---------------------------------------------------------------- harmonise
 
 
+# Slice of C1 (P13): the script's range falls inside the data and inside a month.
+SCRIPT_RANGE = ("1995-02-14", "2001-09-01")
+
+
 @register("harmonise_script")
 def q_harmonise_script(spark, sf_dir):
-    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "precip", "ndvi")
-    return HM.harmonise_script(ref, load_daily_product(spark, sf_dir))
+    g = load_grid(spark, sf_dir)
+    daily = load_daily_product(spark, sf_dir)
+    lst = g.select(F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "time", "lst_day", "lst_night")
+    return HM.harmonise_script(g.select("lat", "lon", "time", "precip", "ndvi"), [daily, lst], *SCRIPT_RANGE)
 
 
 @register("harmonise_bilinear")
 def q_harmonise_bilinear(spark, sf_dir):
-    ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "lst_day", "lst_night", "ndvi")
-    h = HM.harmonise_to_reference(ref, load_daily_product(spark, sf_dir), check=False)
-    return h.select("lat", "lon", "time", "ndvi", *r6("lst_mean"), fixed6("evap"))
+    from terracube.plans.drought import with_drought_indices
+    ref = with_drought_indices(load_grid(spark, sf_dir), TIES).select("lat", "lon", "time", "lst_day", "lst_night", "ndvi", "spi", "spei")
+    daily = load_daily_product(spark, sf_dir)
+    # P35 wants equal calendars: the months that both have
+    ref = HM.common_calendar(ref, daily.select(trunc_ntz("month", "time").alias("time")))
+    products = {"evap": (daily.drop("orders"), "value"), "pet": (daily.drop("value"), "orders")}
+    h = HM.harmonise_to_reference(ref, products, drought=True, decimals=TIES)
+    return h.select("lat", "lon", "time", "ndvi", *r6("lst_mean"), fixed6("evap"), fixed6("pet"), "drought_spei", "drought_spi", "drought_ndvi")
 
 
 @register("harmonise_evaporation")
 def q_harmonise_evaporation(spark, sf_dir):
     ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
-    h = HM.evaporation_cleaner(ref, load_daily_product(spark, sf_dir))
+    h = HM.evaporation_cleaner(ref, load_daily_product(spark, sf_dir), path=IO.scratch_path(spark, "evaporation"))
     # value / 28 of 5-decimal data can land exactly on a rounding tie
     return h.select("lat", "lon", "time", fixed6("evaporation"))
 
@@ -460,10 +576,18 @@ def q_harmonise_evaporation(spark, sf_dir):
 @register("harmonise_rainfall")
 def q_harmonise_rainfall(spark, sf_dir):
     ref = load_grid(spark, sf_dir).select("lat", "lon", "time", "sm")
-    h = HM.rainfall_cleaner(ref, load_daily_product(spark, sf_dir))
+    h = HM.rainfall_cleaner(ref, load_daily_product(spark, sf_dir), path=IO.scratch_path(spark, "rainfall"))
     return h.select("lat", "lon", "time", *r6("precip"))
 
 
+@register("reference_cleaner")
+def q_reference_cleaner(spark, sf_dir):
+    """C5 on the daily product, moved to the west edge of the fixed region."""
+    p = load_daily_product(spark, sf_dir).withColumn("longitude", F.col("longitude") + 30.0)
+    h = HM.reference_cleaner(p, path=IO.scratch_path(spark, "reference"))
+    return h.select("lat", "lon", "time", fixed6("holaps_evapotranspiration"))
+
+
 # ------------------------------------------------------- small report queries
 
 
@@ -530,7 +654,6 @@ def q_smooth_l1(spark, sf_dir):
 @register("round_trip_csv")
 def q_round_trip_csv(spark, sf_dir):
     """S3 -> S2 on the cleaned rows (explicit schema on read)."""
-    from pyspark.sql import types as T
     c = IO.public(clean_cube(load_grid(spark, sf_dir), PARAMS))
     path = IO.scratch_path(spark, "clean-csv")
     IO.write_csv(c, path)
@@ -554,29 +677,67 @@ def q_round_trip_json(spark, sf_dir):
 def q_guarded_write(spark, sf_dir):
     """The second unforced write is ignored; the forced one replaces."""
     g = load_grid(spark, sf_dir)
-    path = IO.scratch_path(spark, "guarded")
-    IO.guarded_write(g.where("year(time) = 1999"), path)
-    IO.guarded_write(g.where("year(time) = 2000"), path)            # ignored
-    first = spark.read.parquet(path).agg(F.min(F.year("time"))).collect()[0][0]
-    IO.guarded_write(g.where("year(time) = 2000"), path, force=True)  # replaces
-    return spark.read.parquet(path).withColumn("first_write_year", F.lit(first))
+    path, forced = IO.scratch_path(spark, "guarded"), IO.scratch_path(spark, "guarded-forced")
+    later = g.withColumn("ndvi", F.col("ndvi") + 1)
+    for p in (path, forced):
+        IO.guarded_write(g, p)
+    IO.guarded_write(later, path)  # ignored
+    IO.guarded_write(later, forced, force=True)  # replaces
+    return S.stack_labelled({"kept": spark.read.parquet(path), "forced": spark.read.parquet(forced)}, "write").select(
+        "lat", "lon", "time", "precip", *r6("ndvi"), "write")
+
+
+@register("nan_ingest")
+def q_nan_ingest(spark, sf_dir):
+    """NaN in a stored cube (Parquet and CSV) is missing after the read."""
+    g = load_grid(spark, sf_dir).select("lat", "lon", "time", F.coalesce("sm", F.lit(float("nan"))).alias("sm"))
+    a, b = IO.scratch_path(spark, "nan"), IO.scratch_path(spark, "nan-csv")
+    IO.write_cube(g, a)
+    IO.write_csv(g, b)
+    frames = {"parquet": IO.read_cube(spark, a).drop("year"), "csv": IO.read_csv(spark, b, IO.cube_schema(["sm"], T.TimestampNTZType()))}
+    return S.stack_labelled({n: S.time_mean(f, ["sm"], sum_decimals=6) for n, f in frames.items()}, "format")
+
+
+@register("parse_time")
+def q_parse_time(spark, sf_dir):
+    """times written as text, parsed back."""
+    g = load_grid(spark, sf_dir)
+    iso, named = F.date_format("time", "yyyy-MM-dd HH:mm:ss"), F.date_format("time", "dd/MM/yyyy")
+    return g.select("lat", "lon", parse_time(iso).alias("time"), parse_time(named, "dd/MM/yyyy").alias("time_named"))
+
+
+@register("cube_round_trip")
+def q_cube_round_trip(spark, sf_dir):
+    """S7 -> S1: the cube partitioned by year and read back, all values."""
+    path = IO.scratch_path(spark, "cube")
+    IO.write_cube(load_grid(spark, sf_dir), path)
+    return IO.read_cube(spark, path).select(*KEY_COLS[:3], *GRID_VARS)
+
+
+@register("model_round_trip")
+def q_model_round_trip(spark, sf_dir):
+    """Predictions and model written and read back; the loaded model scores alike."""
+    ex, _ = _examples(spark, sf_dir)
+    preds, model, _ = ML.linear_fit_score(ex)
+    path, model_path = IO.scratch_path(spark, "preds"), IO.scratch_path(spark, "model")
+    IO.write_predictions(preds, path)
+    IO.save_model(model, model_path)
+    data, _ = ML.prepare(ex)
+    again = ML.score(IO.load_linear_model(model_path), data).withColumnRenamed("prediction", "again")
+    keys = ["lat", "lon", "gb_year", "split"]
+    j = IO.read_predictions(spark, path).join(again.drop("y"), keys)
+    return j.select(*keys, "y", (F.round(F.col("prediction") - F.col("again"), 6) + 0.0).alias("difference"))
 
 
 @register("examples_round_trip")
 def q_examples_round_trip(spark, sf_dir):
-    """Examples by split, test split read back with pruning,
-    cube written partitioned by year, predictions written keyed."""
+    """Examples by split, the test split read back with pruning."""
     ex, _ = _examples(spark, sf_dir)
     path = IO.scratch_path(spark, "examples")
     IO.write_examples(ex, path)
-    cube_path = IO.scratch_path(spark, "cube")
-    IO.write_cube(load_grid(spark, sf_dir), cube_path)
     test = IO.read_examples(spark, path, "test")
-    preds, model, _ = ML.linear_fit_score(ex)
-    IO.write_predictions(preds, IO.scratch_path(spark, "preds"))
-    IO.save_model(model, IO.scratch_path(spark, "model"))
-    n_cube = IO.read_cube(spark, cube_path).where("year = 2001").count()
-    return test.select("lat", "lon", "gb_year", "split", "y").withColumn("cube_rows_2001", F.lit(n_cube).cast("bigint"))
+    flat = test.select("lat", "lon", "gb_year", "split", "y", F.posexplode(F.flatten("x")).alias("j", "v"))
+    return flat.select("lat", "lon", "gb_year", "split", "y", "j", *r6("v"))
 
 
 @register("stream_monthly_first")

@@ -5,10 +5,6 @@ Fixed values (must equal the reference pipeline for the same results):
     model features:     lst_night, lst_day, precip, sm, ndvi, evi, ndvi_anomaly
     vegetation inputs:  ndvi, evi, ndvi_anomaly
     LST variables:      lst_night, lst_day (missing data coded as 200)
-    harmonised list:    lst_mean, lst_day, lst_night, sm, precip, evaporation,
-                        transpiration, spi, spei, ndvi, evi,
-                        surface_soil_moisture, rootzone_soil_moisture,
-                        baresoil_evaporation, potential_evaporation
 """
 
 PIXEL = ["lat", "lon"]
@@ -18,12 +14,6 @@ VALUE_COLS = ["lst_night", "lst_day", "precip", "sm", "ndvi", "evi", "ndvi_anoma
 VEGETATION_LABELS = ["ndvi", "evi", "ndvi_anomaly"]
 LST_COLS = ["lst_night", "lst_day"]
 LST_SENTINEL = 200.0
-HARMONISED_VARS = [
-    "lst_mean", "lst_day", "lst_night", "sm", "precip", "evaporation",
-    "transpiration", "spi", "spei", "ndvi", "evi", "surface_soil_moisture",
-    "rootzone_soil_moisture", "baresoil_evaporation", "potential_evaporation",
-]
-DROUGHT_FLAGS = ["drought_spei", "drought_spi", "drought_ndvi"]
 GRID_VARS = ["lst_day", "lst_night", "precip", "sm", "ndvi", "evi"]
 
 

@@ -14,7 +14,7 @@ aggregate runs map-side, so the shuffle carries one row per
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracube.functions.time import trunc_ntz
@@ -58,22 +58,25 @@ def daily_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select("user_id", trunc_ntz("day", "ts").alias("time"), "value")
 
 
-def daily_product(orders: DataFrame) -> DataFrame:
+def daily_product(orders: DataFrame, n_lon: Column) -> DataFrame:
     """A second, differently shaped product for harmonisation.
 
-    Daily time step, a 0.2-degree grid offset from the monthly cube, long
-    coordinate names and a generic variable name (``latitude``,
-    ``longitude``, ``time``, ``value``): the shape the harmonise step has
-    to bring onto the reference grid.  ``value`` is the day's order total
-    (rounded to cents, so it is exact) in thousands.
+    Daily time step, a 0.2-degree grid of 6 latitudes and ``n_lon`` longitudes
+    offset from the monthly cube, long coordinate names and generic variable
+    names (``latitude``, ``longitude``, ``time``, ``value``, ``orders``): the shape
+    the harmonise step has to bring onto the reference grid.  ``value`` is the
+    day's order total (rounded to cents, so it is exact) in thousands, ``orders``
+    their number.
     """
     o = orders.select("o_custkey", "o_orderdate", "o_totalprice")
     g = (o.groupBy(F.expr("CAST(o_custkey % 6 AS DOUBLE) * 2e-1").alias("latitude"),
-                   F.expr("CAST((o_custkey div 6) % 50 AS DOUBLE) * 2e-1").alias("longitude"),
+                   (F.expr("o_custkey div 6") % n_lon).cast("double").alias("__x"),
                    F.col("o_orderdate").alias("time"))
-          .agg(F.round(F.sum("o_totalprice"), 2).alias("__s")))
-    return g.select("latitude", "longitude", "time", (F.col("__s") / 1e3).alias("value"))
+          .agg(F.round(F.sum("o_totalprice"), 2).alias("__s"), F.count(F.lit(1)).cast("double").alias("orders")))
+    return g.select("latitude", (F.col("__x") * F.lit(2e-1)).alias("longitude"), "time", (F.col("__s") / 1e3).alias("value"), "orders")
 
 
 def load_daily_product(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return daily_product(read_table(spark, sf_dir, "orders"))
+    """The product's longitudes span those of the monthly grid, whose number follows the suppliers."""
+    n_lon = read_table(spark, sf_dir, "supplier").agg(F.expr("max(s_suppkey) div 2 + 3")).scalar()
+    return daily_product(read_table(spark, sf_dir, "orders"), n_lon)

@@ -12,10 +12,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
+from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terracube.operators.clean import nan_to_null
 from terracube.schema import PIXEL_ID
 from terracube.session import checkpoint_dir
 
@@ -30,8 +32,12 @@ def public(df: DataFrame) -> DataFrame:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/terracube-io/{name}-{uuid.uuid4().hex[:12]}"
+    """A new folder under the shared checkpoint folder, removed when the session ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/terracube-io/{name}-{uuid.uuid4().hex[:12]}"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(conf).deleteOnExit(where)
+    return path
 
 
 def cube_schema(variables: Sequence[str], time_type: T.DataType = T.TimestampType()) -> T.StructType:
@@ -41,10 +47,10 @@ def cube_schema(variables: Sequence[str], time_type: T.DataType = T.TimestampTyp
 
 
 def read_cube(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType | None = None) -> DataFrame:
-    """One path or a list of files/folders of the long cube."""
+    """One path or a list of files/folders of the long cube; NaN is read as missing."""
     paths = [paths] if isinstance(paths, str) else list(paths)
     r = spark.read.schema(schema) if schema is not None else spark.read
-    return r.parquet(*paths)
+    return nan_to_null(r.parquet(*paths))
 
 
 def write_cube(df: DataFrame, path: str, partition_by_year: bool = True) -> None:
@@ -66,8 +72,8 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with an explicit schema (no inference pass)."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """CSV with an explicit schema (no inference pass); NaN is read as missing."""
+    return nan_to_null(spark.read.schema(schema).option("header", True).csv(path))
 
 
 def write_stats(stats: DataFrame, path: str) -> None:
@@ -101,15 +107,19 @@ def save_model(model, path: str) -> None:
     model.write().overwrite().save(path)
 
 
-def to_long(df: DataFrame, keys: Sequence[str], variables: Sequence[str]) -> DataFrame:
-    """Wide layers to ``(keys..., variable, value)``."""
-    return df.unpivot(list(keys), list(variables), "variable", "value")
+def read_predictions(spark: SparkSession, path: str) -> DataFrame:
+    """S9 read back."""
+    return spark.read.parquet(path)
 
 
-def to_matrix(df: DataFrame, var: str, time_value, time: str = "time") -> DataFrame:
-    """S12 matrix view: one time step as rows = lat, columns = lon.
+def load_linear_model(path: str) -> LinearRegressionModel:
+    """S10 read back."""
+    return LinearRegressionModel.load(path)
+
 
-    The column set is the lon axis (grid-resolution sized).
-    """
-    one = df.where(F.col(time) == F.lit(time_value)).select("lat", F.col("lon").cast("string").alias("lon"), var)
-    return one.groupBy("lat").pivot("lon").agg(F.first(var))
+def to_matrix(df: DataFrame, var: str, time_value, time: str = "time") -> DataFrame:
+    """S12 matrix view: one time step as a row per lat with ``lon`` and value arrays in
+    longitude order. A row is as long as the longitude axis; no column is made per cell."""
+    one = df.where(F.col(time) == F.lit(time_value))
+    rows = one.groupBy("lat").agg(F.array_sort(F.collect_list(F.struct("lon", var))).alias("__c"))
+    return rows.select("lat", F.col("__c.lon").alias("lon"), F.col(f"__c.{var}").alias(var))

@@ -1,11 +1,11 @@
 """Incremental monthly resample of daily observation files (A4 as a stream).
 
 New daily files land in a folder; a Structured Streaming query keeps, per
-pixel and month, the first non-missing value in time order and emits the
-month once the watermark (max event time - ``delay``) has passed its end.
-State is one (time, value) candidate per pixel-month, so it stays bounded by
-the pixels times the months inside the watermark window; the checkpoint
-lives in the shared checkpoint folder so a restarted driver resumes.
+pixel and month, the first non-missing value in time order. Complete mode: every
+run replaces the result with all months, the open one included, so nothing waits
+for a watermark. State is one (time, value) candidate per pixel-month, the size
+of the result; the checkpoint lives in the shared checkpoint folder so a
+restarted driver resumes.
 """
 
 from __future__ import annotations
@@ -17,26 +17,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def monthly_first_stream(stream: DataFrame, keys: Sequence[str], var: str,
-                         time: str = "time", delay: str = "31 days") -> DataFrame:
-    """Watermarked aggregation: month-start key, first non-null value by time."""
+def monthly_first_stream(stream: DataFrame, keys: Sequence[str], var: str, time: str = "time") -> DataFrame:
+    """Streaming aggregation: month-start key, first non-null value by time."""
     s = stream.withColumn("month", F.date_trunc("month", F.col(time)).cast("timestamp"))
-    s = s.withWatermark("month", delay)
     return (s.groupBy(*keys, "month")
              .agg(F.min_by(F.col(var), F.when(F.col(var).isNotNull(), F.col(time))).alias(var),
                   F.count(F.col(var)).alias("n_obs")))
 
 
 def run_monthly_first(spark: SparkSession, source_dir: str, schema: T.StructType, keys: Sequence[str],
-                      var: str, out_path: str, checkpoint: str, time: str = "time",
-                      delay: str = "31 days", glob: str | None = None) -> None:
-    """Process everything available now, append closed months to Parquet."""
+                      var: str, out_path: str, checkpoint: str, time: str = "time", glob: str | None = None) -> None:
+    """Process everything available now and write all months to Parquet."""
     reader = spark.readStream.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    stream = reader.parquet(source_dir)
-    agg = monthly_first_stream(stream, keys, var, time, delay)
-    q = (agg.writeStream.outputMode("append").format("parquet")
-            .option("path", out_path).option("checkpointLocation", checkpoint)
+    agg = monthly_first_stream(reader.parquet(source_dir), keys, var, time)
+
+    def write(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(out_path)
+
+    q = (agg.writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
     q.awaitTermination()

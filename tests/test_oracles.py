@@ -55,6 +55,5 @@ def test_entry_smoke(spark):
     assert df.columns == ["gb_year", "split", "n_examples", "mean_y"]
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(E.oracle_sql())))
-def test_rows_only_queries_run(spark, name):
-    assert QUERIES[name](spark, SF).count() >= 0
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) <= set(E.oracle_sql())

@@ -71,24 +71,13 @@ def test_class_lookup(spark):
 
 def test_clip_triangle(spark):
     pts = spark.createDataFrame([(0.2, 0.2), (0.9, 0.9), (0.1, 0.5)], "lat double, lon double")
-    reg = spark.createDataFrame([("t", [{"lon": 0.0, "lat": 0.0}, {"lon": 1.0, "lat": 0.0}, {"lon": 0.0, "lat": 1.0}])],
-                                "country string, ring array<struct<lon:double,lat:double>>")
-    inside = {(r.lat, r.lon) for r in clip_to_regions(pts, reg).collect()}
-    assert inside == {(0.2, 0.2), (0.1, 0.5)}
-
-
-def test_bilinear_broadcast_and_shuffle_paths_agree(spark):
-    from terracube.operators.regrid import axis
-    from terracube.sources.grid import load_grid
-    g = load_grid(spark, "/root/testdata/sf0.001")
-    la = axis(g, "lat").select((F.col("v") + 0.125).alias("v"))
-    lo = axis(g, "lon").select((F.col("v") + 0.1).alias("v"))
-    a = regrid_bilinear(g, la, lo, ["ndvi"]).orderBy("lat", "lon", "time").collect()
-    b = regrid_bilinear(g, la, lo, ["ndvi"], broadcast_axes=False).orderBy("lat", "lon", "time").collect()
-    assert len(a) == len(b) > 0
-    for x, y in zip(a, b):
-        assert x[:3] == y[:3]
-        assert (x.ndvi is None and y.ndvi is None) or x.ndvi == pytest.approx(y.ndvi, abs=1e-12)
+    ring = [{"lon": 0.0, "lat": 0.0}, {"lon": 1.0, "lat": 0.0}, {"lon": 0.0, "lat": 1.0}]
+    hole = [{"lon": 0.05, "lat": 0.15}, {"lon": 0.25, "lat": 0.15}, {"lon": 0.25, "lat": 0.25}, {"lon": 0.05, "lat": 0.25}]
+    schema = "country string, rings array<array<struct<lon:double,lat:double>>>"
+    for rings, want in (([ring], {(0.2, 0.2), (0.1, 0.5)}), ([ring, hole], {(0.1, 0.5)})):
+        for cell in (1.0, 0.3):
+            inside = {(r.lat, r.lon) for r in clip_to_regions(pts, spark.createDataFrame([("t", rings)], schema), cell).collect()}
+            assert inside == want
 
 
 def test_align_predictions_cogroup_equals_join(spark):

@@ -26,8 +26,9 @@ def test_lag_stack_gap_gives_null(spark):
     df = spark.createDataFrame(rows, "lat double, lon double, time timestamp, v double")
     april = lag_stack(df, ["v"], 1).where(F.month("time") == 4).collect()[0]
     assert april.v_t1 is None
-    plain = shift_time(df, ["v"], 1).where(F.month("time") == 4).collect()[0]
-    assert plain.v == 2.0
+    shifted = {r.time.month: r.v for r in shift_time(df, ["v"], 1).collect()}
+    assert shifted == {1: None, 2: 1.0, 4: None}  # a row lag would give 2.0 in April
+    assert {r.time.month: r.v for r in shift_time(df, ["v"], -1).collect()} == {1: 2.0, 2: None, 4: None}
 
 
 def test_flip_lat(spark):
