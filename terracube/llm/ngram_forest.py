@@ -264,8 +264,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, t
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents in their own columns, one of each class and all without words."""
     gone = classes(docs, id_col=id_col, text_col=text_col, **options)
-    stay = gone.where("keep").groupBy("doc_id", "th").agg(F.max(F.col("class_key").isNull().cast("int")).alias("alone"))
+    stay = gone.where("keep").groupBy("doc_id", "th").agg(F.max(F.col("class_key").isNull()).alias("alone"), F.count(F.lit(1)).alias("times"))
     df = packed(docs, F.col(id_col).alias("id"), F.xxhash64(text_col).alias("hash"))
-    df = df.join(stay, df["id"].eqNullSafe(stay["doc_id"]) & (df["hash"] == stay["th"])).select("row", "id", "hash", "alone")
-    once = df.where("alone = 0").dropDuplicates(["id", "hash"]).unionByName(df.where("alone = 1"))
+    df = df.join(stay, df["id"].eqNullSafe(stay["doc_id"]) & (df["hash"] == stay["th"])).select("row", "id", "hash", "alone", "times")
+    again = ~F.col("alone") & (F.col("times") > 1)  # rows that repeat a representative's id and text
+    once = df.where(~again).unionByName(df.where(again).dropDuplicates(["id", "hash"]))
     return once.select(*[F.col("row")[c].alias(c) for c in docs.columns])
