@@ -42,6 +42,13 @@ def join_counted(df: DataFrame, side: DataFrame, on: str, how: str = "left") ->
     return df.join(F.broadcast(side) if small else side, on, how)
 
 
+def dealt_join(df: DataFrame, side: DataFrame, on: str, by: list[str], how: str = "inner", parts: int = 16) -> DataFrame:
+    """Join a table of one row per ``on`` part by part: ``df`` is dealt by a hash of the columns
+    ``by`` and ``side`` repeated for each part, so a hot value is not in one task."""
+    dealt = side.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    return df.withColumn("__part", F.pmod(F.xxhash64(*by), F.lit(parts).cast("long"))).join(dealt, [on, "__part"], how).drop("__part")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the folder that the cluster names (``spark.checkpoint.dir``)."""
     return cut_lineage(df)

@@ -5,30 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from terracube.llm.common import checkpointed
-
-
-#: Parts into which a node's neighbours are dealt, so that a hub's are not in one task.
-SALT = 16
-
-
-def _with_least(e: DataFrame, least: DataFrame) -> DataFrame:
-    """The edges with ``m`` of their node ``a``, joined part by part."""
-    parts = least.select("a", "m", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))).alias("part"))
-    return e.withColumn("part", F.pmod(F.xxhash64("b"), F.lit(SALT).cast("long"))).join(parts, ["a", "part"]).drop("part")
+from terracube.llm.common import checkpointed, dealt_join
 
 
 def _large_star(e: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the node's smallest neighbour (or itself)."""
     both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return _with_least(both, least).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return dealt_join(both, least, "a", ["b"]).where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the smallest of them."""
     least = e.groupBy("a").agg(F.min("b").alias("m"))
-    rest = _with_least(e, least).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    rest = dealt_join(e, least, "a", ["b"]).where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return rest.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 

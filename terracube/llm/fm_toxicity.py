@@ -136,7 +136,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
     lab = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("label"))
     there = docs.select(F.col(id_col).alias("id")).distinct()
     chosen = lab.join(there, "id", "left_semi").orderBy(F.xxhash64("id"), "id").limit(max_rows)
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, "id").dropDuplicates(["id"])
+    # at most max_rows ids and labels: the texts stay where they are
+    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id").dropDuplicates(["id"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pdf = pd.concat([pd.DataFrame({"id": [], "text": [], "label": []}), *batches])

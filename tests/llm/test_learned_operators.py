@@ -341,3 +341,20 @@ def test_encoding_in_slices_keeps_other_columns(spark, monkeypatch):
     out = suffix_pieces.encode_checked(d).collect()
     assert sorted(((r.doc_id, r.text) for r in out), key=repr) == sorted(((r[0], r[1]) for r in rows), key=repr)
     assert all(r.round_trip and (len(r.ids) > 0) == bool(r.text) for r in out)
+
+
+def test_pipeline_stages_on_odd_rows(spark):
+    t = " ".join(f"w{i}" for i in range(60))
+    schema = "doc_id long, text string, lang string, source string, n_chars long, row string, key int, score double"
+    rows = [(None, None, None, None, None, None, None, None), (1, "", None, "a", 0, "r", 1, 0.5), (2, t, "en", None, 5, None, None, None), (2, t, "en", None, 5, None, None, None),
+            (3, t + " end", None, "b", 9, "q", 2, 1.0), (4, "x " * 50_000, "en", "a", 1, "z", 3, 0.1), (None, t, "en", "c", 1, None, 1, None)]
+    for frame in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        docs, empty = frame, frame.count() == 0
+        for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            out = spark.createDataFrame(out.collect(), out.schema)
+            assert out.columns[: len(frame.columns)] == frame.columns
+            assert (out.count() == 0) == empty
+            if k == 2 and not empty:  # the copies of t and t + " end" are one class; two texts without words
+                assert out.count() == 4 and out.where("text is null").count() == 1
+            docs = out
