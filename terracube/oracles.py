@@ -500,6 +500,12 @@ k AS (SELECT lat, lon, time FROM r UNION SELECT lat, lon, time FROM l UNION SELE
 SELECT k.lat, k.lon, k.time, r.precip, r.ndvi, p.value, p.orders, l.lst_day, l.lst_night
 FROM k LEFT JOIN r USING (lat, lon, time) LEFT JOIN p USING (lat, lon, time) LEFT JOIN l USING (lat, lon, time)"""
 
+ORACLES["relabel_calendar"] = "WITH " + GRID + "," + DAILY + """,
+fm AS (SELECT lat, lon, last_day(time) AS t, arg_min(value, time) FILTER (WHERE value IS NOT NULL) AS value FROM dp GROUP BY 1, 2, 3),
+ax AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS i FROM (SELECT DISTINCT t FROM fm)),
+t0 AS (SELECT min(date_trunc('month', time)) AS t0 FROM grid)
+SELECT fm.lat, fm.lon, CAST(t0.t0 + to_months(CAST(ax.i AS INTEGER)) AS TIMESTAMP) AS time, fm.value FROM fm JOIN ax USING (t), t0"""
+
 _MONTHS = "SELECT DISTINCT md.time FROM md, b WHERE md.time BETWEEN b.t0 AND b.t1"
 ORACLES["harmonise_bilinear"] = "WITH " + DROUGHT_IDX + "," + DAILY + """,
 md AS (SELECT lat, lon, date_trunc('month', time) AS time, median(value) AS evap, median(orders) AS pet FROM dp GROUP BY 1, 2, 3),

@@ -20,12 +20,13 @@ from terracube.operators import metrics as MT
 from terracube.operators import slicing as SL
 from terracube.operators import stats as S
 from terracube.functions.time import parse_time, trunc_ntz
+from terracube.operators.conform import normalise_coordinate_names
 from terracube.operators.clean import climatology, denormalise, mask_sentinel, normalising_stats, subtract_climatology
 from terracube.operators.lookup import bands_to_time, classify_landcover, clip_to_regions, time_axis
 from terracube.operators.masks import all_valid
 from terracube.operators.merge import merge_cubes
 from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest
-from terracube.operators.resample import densify, infer_freq, resample_first, resample_median
+from terracube.operators.resample import densify, infer_freq, relabel_by_position, resample_first, resample_median
 from terracube.operators.windows import count_pixel_years, flip_lat, shift_time
 from terracube.plans import harmonise as HM
 from terracube.plans import models as ML
@@ -188,6 +189,14 @@ def q_calendar_densify(spark, sf_dir):
     return densify(load_grid(spark, sf_dir).select("lat", "lon", "time", "ndvi"))
 
 
+@register("relabel_calendar")
+def q_relabel_calendar(spark, sf_dir):
+    """A22 ``ensure_same_time``: month ends of the product take the grid's month starts by position."""
+    p = normalise_coordinate_names(load_daily_product(spark, sf_dir))
+    p = resample_first(p, ["lat", "lon"], "value")
+    return relabel_by_position(load_grid(spark, sf_dir), p)
+
+
 @register("infer_freq")
 def q_infer_freq(spark, sf_dir):
     g = load_grid(spark, sf_dir)
@@ -745,7 +754,6 @@ def q_stream_monthly_first(spark, sf_dir):
     """A4 as Structured Streaming over the daily product written as files."""
     from terracube.sources.grid import load_daily_product
     from terracube.streaming import run_monthly_first
-    from terracube.operators.conform import normalise_coordinate_names
     daily = normalise_coordinate_names(load_daily_product(spark, sf_dir))
     src = IO.scratch_path(spark, "daily")
     daily.write.mode("overwrite").parquet(src)
