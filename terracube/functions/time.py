@@ -41,15 +41,6 @@ def parse_time(col: Column | str, fmt: str | None = None) -> Column:
     return F.to_timestamp_ntz(c, F.lit(fmt)) if fmt else F.to_timestamp_ntz(c)
 
 
-def month_start(time: Column | str) -> Column:
-    return trunc_ntz("month", time)
-
-
-def month_end(time: Column | str) -> Column:
-    t = F.col(time) if isinstance(time, str) else time
-    return F.last_day(t)
-
-
 def month_name(time: Column | str) -> Column:
     """English month name."""
     t = F.col(time) if isinstance(time, str) else time
