@@ -15,17 +15,17 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 def main():
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    import __spark_entry__ as E
     from terracube.session import get_spark
-    spark = get_spark("local[8]", 8)
+    spark = get_spark(os.environ.get("TC_MASTER", "local[8]"), 8)
     print("# Executed plan shapes\n")
-    print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (local[8], AQE on). Counts are "
+    print(f"Generated by `tools/plan_report.py` on `{sf_dir}` (AQE on). Counts are "
           "operators in the final adaptive plan, subqueries included. *Shuffles* are hash or "
           "range exchanges; *reused* are exchanges AQE served from an identical stage. "
           "Model queries (fit eagerly) and file round trips show only their returned frame.\n")
     print("| query | shuffles | reused | broadcasts | SMJ | BHJ | BNLJ | windows | aggregates | scans |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- | --- | --- |")
-    for name, fn in E.queries().items():
+    from terracube.queries import QUERIES
+    for name, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         df.collect()  # runs through this frame's own execution -> final AQE plan
         p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
