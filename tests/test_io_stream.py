@@ -46,7 +46,6 @@ def test_guarded_write(spark):
 
 
 def test_csv_round_trip_schema(spark):
-    from pyspark.sql import types as T
     df = spark.createDataFrame([(0.25, 1.5, dt.datetime(2000, 1, 1), 3.0)],
                                "lat double, lon double, time timestamp, v double")
     path = IO.scratch_path(spark, "t-csv")

@@ -1,7 +1,6 @@
 """Models: M1 against numpy least squares, M8 closed form, M10 additivity."""
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from terracube.plans import models as ML

@@ -4,7 +4,6 @@ import datetime as dt
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from terracube.functions.quantile import exact_quantiles
 from terracube.operators.masks import series_drought, threshold_flag
