@@ -7,8 +7,8 @@ next stage's input, so a lost executor never sends a run back further than a sta
 
 1. toxicity: the factorization machine learns from ``labels`` (rows of the held-out
    fifth excepted); documents it rejects go.
-2. line dedup: lines on many sites go, but for their first occurrence; a document
-   that is left without a word goes.
+2. line dedup: lines on many sites go, but for their first occurrence, whatever share
+   of a document they are; a document that is left without a word goes.
 3. near duplicates: one document of each class stays.
 4. mixing: documents are repeated (or left out) to the sources' target weights.
 5. encoding: piece ids of every whole text.
@@ -33,7 +33,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cut = line_dedup.cut_lines(docs).where((F.col("n_removed") == 0) | (F.size(words(F.col("text"))) > 0))
+    cut = line_dedup.cut_lines(docs, max_share=1.0).where((F.col("n_removed") == 0) | (F.size(words(F.col("text"))) > 0))
     changed = {"text": F.col("text"), "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length("text")).cast("long")}
     return cut.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
