@@ -8,6 +8,12 @@ a template of b bigrams can reach the threshold t only for sizes from
 b t / (2 - t) to b (2 - t) / t. The templates are literals of the plan: there is
 no join and no shuffle.
 
+A notice may also stand amid other words or be wrapped in a comment. So a template
+that no unit matches is compared with the word windows of the whole text, across
+lines, that its size bounds allow. Only windows from one of the template's bigrams to
+another are tried, as any other has a better one inside, and only in texts that hold
+enough of its bigrams. The best window counts as one matched unit.
+
 Defined results: null, blank and one-word units match nothing; equal units of a
 document count once; ties go to the template that comes first by name; repeated
 rows are judged alike; an empty table gives an empty result; other input columns
@@ -16,6 +22,7 @@ are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Mapping
@@ -81,19 +88,52 @@ def dice_scores(units: Column, templates: Mapping[str, str], threshold: float) -
     return F.flatten(F.transform(units, lambda u: F.filter(F.array(*[score(u, n, g) for n, g in grams.items()]), lambda x: x.isNotNull())))
 
 
+def bigrams(words: Column) -> Column:
+    """Pairs of neighbouring words of an array of words."""
+    pairs = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+    return F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))
+
+
+def window_hits(grams: Column, held: Column, found: Column, templates: Mapping[str, str], threshold: float) -> Column:
+    """``(dice, licence)`` of the best window in ``grams`` for each template that is not in ``found``.
+
+    ``held`` are the distinct bigrams of the text that stand in some template.
+    """
+    def best(name: str, text: str) -> Column:
+        own = template_bigrams(text)
+        size, distinct = sum(own.values()), F.array(*[F.lit(g) for g in own])
+        least, most = math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
+        counts = F.create_map(*[F.lit(x) for pair in own.items() for x in pair])
+        enough = F.aggregate(F.array_intersect(held, distinct), F.lit(0), lambda n, g: n + counts[g]) >= least  # a match shares at least that many
+        places = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(distinct, g), i)), lambda i: i.isNotNull())
+
+        def from_place(at: Column, a: Column, i: Column) -> Column:
+            ends = F.filter(F.slice(at, i + 1, F.lit(most)), lambda b: (b - a + 1).between(least, most))
+            return F.array_max(dice_scores(F.transform(ends, lambda b: F.slice(grams, a + 1, b - a + 1)), {name: text}, threshold))
+
+        top = F.transform(F.array(places), lambda at: F.array_max(F.transform(at, lambda a, i: from_place(at, a, i))))[0]  # places are found once
+        return F.when(enough & ~F.array_contains(found, name), top)
+
+    each = [best(n, t) for n, t in sorted(templates.items()) if template_bigrams(t)]
+    return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+
 def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: float = THRESHOLD,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_units`` (matched), ``licences`` (all, sorted), ``licence, dice`` (best) per document."""
     sizes = [sum(template_bigrams(t).values()) for t in templates.values()]
     least, most = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
     text = F.coalesce(F.col(text_col), F.lit(""))
-    df = docs.select(F.col(id_col).alias("doc_id"), F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\t\r]*\n"), F.split(text, "\n"))).alias("units"))
-    df = df.select("doc_id", F.array_distinct(F.transform("units", normalised)).alias("units"))
+    known = F.array(*[F.lit(g) for g in sorted(set().union(*map(template_bigrams, templates.values())))])
+    df = docs.select(F.col(id_col).alias("doc_id"), bigrams(F.split(normalised(text), " ")).alias("grams"), F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\t\r]*\n"), F.split(text, "\n"))).alias("units"))
+    df = df.select("doc_id", "grams", F.array_distinct(F.transform("units", normalised)).alias("units"))
     n_grams = lambda u: F.length(u) - F.length(F.replace(u, F.lit(" "), F.lit("")))
-    df = df.select("doc_id", F.filter("units", lambda u: (n_grams(u) >= least) & (n_grams(u) <= most) & (u != "")).alias("units"))
+    df = df.select("doc_id", "grams", F.filter("units", lambda u: (n_grams(u) >= least) & (n_grams(u) <= most) & (u != "")).alias("units"))
     grams = lambda u: F.zip_with(F.split(u, " "), F.slice(F.split(u, " "), 2, F.length(u)), lambda a, b: F.concat_ws(" ", a, b))
-    df = df.select("doc_id", F.transform("units", lambda u: F.slice(grams(u), 1, F.greatest(n_grams(u), F.lit(1)))).alias("units"))
-    df = df.select("doc_id", dice_scores(F.col("units"), templates, threshold).alias("hits"))
+    df = df.select("doc_id", "grams", F.transform("units", lambda u: F.slice(grams(u), 1, F.greatest(n_grams(u), F.lit(1)))).alias("units"))
+    df = df.select("doc_id", "grams", F.array_intersect("grams", known).alias("held"), dice_scores(F.col("units"), templates, threshold).alias("hits"))
+    found = F.transform("hits", lambda h: h["licence"])
+    df = df.select("doc_id", F.concat("hits", window_hits(F.col("grams"), F.col("held"), found, templates, threshold)).alias("hits"))
     best = F.array_max(F.transform("hits", lambda h: h["dice"]))
     df = df.withColumn("dice", best).withColumn("licence", F.array_min(F.transform(F.filter("hits", lambda h: h["dice"] == F.col("dice")), lambda h: h["licence"])))
     return df.select("doc_id", F.size("hits").cast("long").alias("n_units"),
