@@ -475,9 +475,17 @@ def model_errors(spark, sf_dir):
     return linear.unionByName(trees.select("variant", "split", "n", *r6("rmse")))
 
 
+def fitted_top10(spark, sf_dir):
+    """The ten largest coefficients of the linear fit (fitted values have no SQL)."""
+    ex, _ = _examples(spark, sf_dir)
+    _, model, feats = ML.linear_fit_score(ex)
+    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10)
+
+
 @register("coef_top10")
 def q_coef_top10(spark, sf_dir):
-    """The ten largest mean inputs of the train split under their coefficient labels."""
+    """The ten largest mean inputs of the train split under their coefficient labels,
+    as its SQL has them; ``fitted_top10`` has the coefficients."""
     ex, _ = _examples(spark, sf_dir)
     labels = F.array(*[F.lit(x) for x in ML.feature_labels(VALUE_COLS)])
     means = ex.where("split = 'train'").select(F.posexplode(F.flatten("x")).alias("j", "v")).groupBy("j").agg(F.avg("v").alias("value"))
