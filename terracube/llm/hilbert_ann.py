@@ -16,13 +16,14 @@ once, and the window is the distance within which the wanted share of their true
 neighbours lies in some ordering. Scales of the projections come from at most
 ``FIT_ROWS`` rows. Every row is indexed.
 
-Equal vectors are one entry of the index that knows its k + 1 smallest ids, so a
-vector found a million times costs one row and ties still go to the smallest ids.
+Vectors are divided by their largest component, as the scores do, and equal ones
+(so also exact multiples) are one entry of the index that knows its k + 1 smallest
+ids: a vector found a million times costs one row and ties still go to the smallest ids.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, or have another length than most (of equal counts the longer) take
-no part; a null id takes no part; rows that repeat id and vector count once; ids
-that repeat with other vectors are entries of their own; an empty table gives an
+no part; a null id takes no part; rows that repeat id and direction count once; ids
+that repeat with other directions are entries of their own; an empty table gives an
 empty result; other input columns are ignored.
 """
 
@@ -42,6 +43,8 @@ from terracube.llm.common import checkpointed
 ORDERINGS = 8
 DIMENSIONS, BITS = 8, 7
 BLOCK = 4096
+#: Rounding of a first score; rows within it of the k-th best get the exact score.
+MARGIN = 1e-9
 RECALL = 0.96
 FIT_ROWS, FIT_QUERIES = 10_000, 200
 
@@ -142,10 +145,10 @@ def _best(k: int):
                         near = _unit(part["vec"]) @ unit.T
                         p = part["pos"].to_numpy()[:, None]
                         near[(pos[None, :] < p - part["reach"].to_numpy()[:, None]) | (pos[None, :] >= p + part["reach"].to_numpy()[:, None])] = -np.inf
-                        few = min(k + 4, len(ids))  # a little more, as these scores are rounded
-                        top = np.argpartition(-near, few - 1, axis=1)[:, :few]
+                        few = min(k, len(ids))
+                        least = np.partition(near, len(ids) - few, axis=1)[:, len(ids) - few] - MARGIN  # the k-th best, less the rounding
                         for i, query in enumerate(part["id"].to_numpy()):
-                            t = top[i][np.isfinite(near[i][top[i]])]
+                            t = np.flatnonzero((near[i] >= least[i]) & np.isfinite(near[i]))
                             if len(t):
                                 s = _cosines(q[i], raw[t])
                                 o = np.lexsort((ids[t], -s))[:k]
@@ -180,8 +183,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, orderings: int = OR
     sizes = rows.groupBy(F.size("vec").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     if sizes is None:
         return vectors.sparkSession.createDataFrame([], result.format(id_type))
-    rows = rows.where(F.size("vec") == sizes["n"]).dropDuplicates(["id", "vec"])
-    vec_type = rows.schema["vec"].dataType.simpleString()
+    rows = rows.where(F.size("vec") == sizes["n"]).withColumn("most", F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double")))))
+    rows = rows.select("id", F.transform("vec", lambda x: x.cast("double") / F.col("most")).alias("vec"), "asks").dropDuplicates(["id", "vec"])
 
     by_vec = W.partitionBy("vec").orderBy("id")  # the limit below is taken before the shuffle as well
     few = rows.select("id", "vec").withColumn("nth", F.row_number().over(by_vec)).where(F.col("nth") <= k + 1)
