@@ -1,10 +1,13 @@
-"""N-gram Jaccard join by a MinHash LSH forest.
+"""N-gram Jaccard join by MinHash banding with the prefix length of an LSH forest.
 
-Texts are sets of five-word shingles. A forest of trees keeps, for each text, a
-path of MinHash values per tree; texts that share a path prefix are candidates.
-Matching starts at the full depth and the prefix is shortened until a pair at the
-similarity threshold shares one in some tree with the target probability
-(``prefix_length``). Candidates are then verified exactly on their shingles.
+Texts are sets of five-word shingles. Each text has a path of MinHash values per
+tree; texts that share a path are candidates. The length of the paths is fixed before
+any data is read: the longest, from ``DEPTH`` down, at which a pair at the similarity
+threshold shares one in some tree with the target probability (``prefix_length``).
+Texts that share a longer prefix share this one too, so matching in rounds of
+falling length would find no other pairs and no tries are kept. Where not even
+length 1 reaches the target, trees are added (``trees_needed``). Candidates are then
+verified exactly on their shingles.
 
 Equal word sequences are one node from the start, so a text found a million times
 is matched once. Nodes of a trie node (a bucket) are compared block against block:
@@ -24,6 +27,7 @@ result; clashing column names are kept apart.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,6 +57,16 @@ def prefix_length(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return m
 
 
+def trees_needed(length: int, threshold: float = THRESHOLD, trees: int = TREES, recall: float = RECALL) -> int:
+    """``trees``, or as many more as a pair at the threshold needs to be found with probability ``recall``."""
+    meet = threshold**length
+    if 1 - (1 - meet) ** trees >= recall:
+        return trees
+    if meet <= 0 or recall >= 1:
+        raise ValueError(f"no number of trees finds pairs at {threshold} with probability {recall}")
+    return max(trees, math.ceil(math.log(1 - recall) / math.log1p(-meet)))
+
+
 class WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
         if len(self) >= KEPT_WORDS:
@@ -223,6 +237,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, t
     its id and text carry the mark).
     """
     length = prefix_length(threshold, trees, depth, recall)
+    trees = trees_needed(length, threshold, trees, recall)
     plain = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
     sketch = checkpointed(plain.select("doc_id", "th", _sketch(length, trees, words)("text").alias("s")).select("doc_id", "th", "s.*"))
     node = sketch.where("key is not null").groupBy("key").agg(F.min(F.struct("doc_id", "th")).alias("rep"), F.count("*").alias("copies"),
