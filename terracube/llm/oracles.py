@@ -136,4 +136,36 @@ done AS (SELECT d.doc_id, len(l) AS n_lines, coalesce(cut.n, 0) AS n_removed, CA
 SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, n_removed::BIGINT AS n_removed, length(text)::BIGINT AS chars_left, md5(text) AS text_md5 FROM done
 """
 
-ORACLES = {"op2_license_scan": OP2, "op4_chat_prefixes": OP4, "op5_quality_rules": OP5, "op7_mixing": OP7, "op9_line_dedup": OP9}
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^{SP}]+') AS w FROM documents),
+lab AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+least AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+fails AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         [len(w) < 100, 100 * list_unique(w) < 80 * len(w), 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+          regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > least, false)] AS f
+  FROM d JOIN least USING (text) LEFT JOIN lab USING (doc_id)),
+cell AS (SELECT part, f, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM fails GROUP BY part, f),
+letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT row_number() OVER () AS o, [a.i, b.i, c.i, d.i, e.i] AS p FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5),
+step AS (SELECT o, list_aggregate(list_transform(p, lambda x: chr(64 + x::INT)), 'string_agg', '') AS filter_order, p, unnest(range(1, 6)) AS step FROM orders),
+each AS (
+  SELECT part, filter_order, step, p[step] AS x, n, good, toxic, f,
+         len(list_filter(p[:step - 1], lambda i: f[i])) > 0 AS gone FROM cell, step),
+counts AS (
+  SELECT part, filter_order, step, any_value(x) AS x,
+         coalesce(sum(n) FILTER (NOT gone AND NOT f[x]), 0) AS kept, coalesce(sum(n) FILTER (NOT gone AND f[x]), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND f[x]), 0) AS redundant,
+         coalesce(sum(n) FILTER (f[x] AND len(list_filter(f, lambda b: b)) = 1), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT gone AND f[x]), 0) AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND f[x]), 0) AS toxic_lost
+  FROM each GROUP BY part, filter_order, step)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+       good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, x))::BIGINT AS shapley
+FROM counts
+"""
+
+ORACLES = {"op2_license_scan": OP2, "op4_chat_prefixes": OP4, "op5_quality_rules": OP5, "op7_mixing": OP7, "op9_line_dedup": OP9,
+           "op11_filter_audit": OP11}

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.llm import chat_prefixes, edit_counts, fm_toxicity, hilbert_ann, license_scan, line_dedup, mixing, ngram_forest, quality_rules, suffix_pieces
+from terracube.llm import (chat_prefixes, edit_counts, filter_audit, fm_toxicity, hilbert_ann, license_scan, line_dedup, mixing,
+                           ngram_forest, quality_rules, suffix_pieces)
 from terracube.llm.common import table
 from terracube.llm.oracles import ORACLES  # noqa: F401
 
@@ -79,6 +80,12 @@ def op10_suffix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select("doc_id", F.size("ids").cast("long").alias("n_ids"), F.xxhash64("ids").alias("ids_hash"), "round_trip")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of five filters in all their orders, per language."""
+    cells = filter_audit.counters(spark, f"{sf_dir.rstrip('/')}/documents.parquet", table(spark, sf_dir, "labels"))
+    return filter_audit.interactions(cells, "ABCDE").drop("filter")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fm_toxicity, op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op6_edit_counts, op7_mixing,
-    op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces)}
+    op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces, op11_filter_audit)}
