@@ -167,5 +167,35 @@ SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIG
 FROM counts
 """
 
+OP12 = """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e,
+         coalesce(len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0, false) AS ok
+  FROM embeddings),
+link AS (
+  SELECT a.r AS a, b.r AS b, a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.r <> b.r AND a.ok AND b.ok
+  WHERE list_inner_product(a.e, b.e) / sqrt(list_inner_product(a.e, a.e) * list_inner_product(b.e, b.e)) >= 0.95),
+reach(a, b) AS (SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+least AS (SELECT reach.a AS r, min(v.vec_id) AS least FROM reach JOIN v ON v.r = reach.b GROUP BY reach.a),
+n AS (SELECT a AS r, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id, vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM v LEFT JOIN least USING (r) LEFT JOIN n USING (r)
+"""
+
+OP13 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS anchor, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+positive AS (SELECT anchor, id, score FROM pair WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, id) <= 5),
+fit AS (
+  SELECT p.anchor AS anchor_id, p.id AS positive_id, row_number() OVER (PARTITION BY p.anchor, p.id ORDER BY n.score DESC, n.id) AS nth,
+         n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+  FROM positive p JOIN pair n ON n.anchor = p.anchor AND NOT n.same AND 80 * p.score <= 100 * n.score AND n.score <= p.score)
+SELECT anchor_id, positive_id, nth::INT AS rank, negative_id, positive_score, negative_score FROM fit WHERE nth <= 5
+"""
+
 ORACLES = {"op2_license_scan": OP2, "op4_chat_prefixes": OP4, "op5_quality_rules": OP5, "op7_mixing": OP7, "op9_line_dedup": OP9,
-           "op11_filter_audit": OP11}
+           "op11_filter_audit": OP11, "op12_neighbour_descent": OP12, "op13_hard_negatives": OP13}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terracube.llm import (chat_prefixes, edit_counts, filter_audit, fm_toxicity, hilbert_ann, license_scan, line_dedup, mixing,
+from terracube.llm import (chat_prefixes, edit_counts, filter_audit, fm_toxicity, hard_negatives, hilbert_ann, license_scan, line_dedup, mixing, neighbour_descent,
                            ngram_forest, quality_rules, suffix_pieces)
 from terracube.llm.common import table
 from terracube.llm.oracles import ORACLES  # noqa: F401
@@ -86,6 +86,20 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.interactions(cells, "ABCDE").drop("filter")
 
 
+def op12_neighbour_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component and number of links of every vector."""
+    df = neighbour_descent.components_of(table(spark, sf_dir, "embeddings"))
+    return df.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hard negatives of every anchor's positives."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    df = hard_negatives.mine(rows.select("vec_id", "embedding", label.alias("label")), F.col("vec_id") % 100 == 0)
+    return df.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_fm_toxicity, op2_license_scan, op3_ngram_forest, op4_chat_prefixes, op5_quality_rules, op6_edit_counts, op7_mixing,
-    op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces, op11_filter_audit)}
+    op8_hilbert_ann, op9_line_dedup, op10_suffix_pieces, op11_filter_audit, op12_neighbour_descent, op13_hard_negatives)}
