@@ -15,7 +15,9 @@ counted again with the bit. The stream appends these signed counts; their sums a
 the part counters, right after every micro-batch and independent of the order of
 files. Progress and state lie in the shared checkpoint folder, so a lost executor or
 driver resumes with the last finished batch; with a ``state_dir`` of its own, a later
-call adds new files only.
+call adds new files only. The session's state store is used as it is set; one that
+keeps state on disk (``spark.sql.streaming.stateStore.providerClass``) is for states
+beyond the executors' memory, some 50 bytes a text.
 
 A text that holds a third of all rows does not meet in one task: each Arrow batch
 first combines its rows of a text, and only its smallest id competes; the others are
@@ -46,8 +48,6 @@ from terracube.sources.io import scratch_path
 #: Micro-batches that the files are dealt to (at most; a file is not divided).
 BATCHES = 4
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-          "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true"}
 _ROW, _SURE, _NAMELESS = 0, 1, 2
 _HELD = ["key", "id", "part", "bits", "n"]
 #: Texts that share an entry of the state store (in the mean).
@@ -135,15 +135,8 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, filters=text_fil
     rows = rows.mapInPandas(_combined, f"id {id_type}, key binary, part string, bits int, kind int, n long")
     rows = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     signed = rows.groupBy("bucket").applyInPandasWithState(_retraction(1 << bits), "part string, bits int, n long", "held binary", "append", "NoTimeout")
-    kept = {k: spark.conf.get(k, None) for k in _STORE}
-    try:
-        for k, v in _STORE.items():
-            spark.conf.set(k, v)
-        run = signed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start(f"{base}/counts")
-        run.awaitTermination()
-    finally:
-        for k, v in kept.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    run = signed.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{base}/progress").trigger(availableNow=True).start(f"{base}/counts")
+    run.awaitTermination()
     signed = spark.read.schema("part string, bits int, n long").parquet(f"{base}/counts")
     per = checkpointed(signed.groupBy("part", "bits").agg(F.sum("n").alias("n")).where("n <> 0"))
     flag = lambda k: F.getbit("bits", F.lit(k)).cast("int")
