@@ -19,11 +19,14 @@ neighbours lies in some ordering. Scales of the projections come from at most
 Vectors are divided by their largest component, as the scores do, and equal ones
 (so also exact multiples) are one entry of the index that knows its k + 1 smallest
 ids: a vector found a million times costs one row and ties still go to the smallest ids.
+Scores are at most 1. A tie is an equal score in that computation: multiples by powers
+of two always tie, others may differ in the last bit.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components, or have another length than most (of equal counts the longer) take
 no part; a null id takes no part; rows that repeat id and direction count once; ids
-that repeat with other directions are entries of their own; an empty table gives an
+that repeat with other directions are entries of their own (as queries, too: each has
+its list), and no row is a neighbour of a query with its id; an empty table gives an
 empty result; other input columns are ignored.
 """
 
@@ -92,7 +95,7 @@ def _cosines(q: np.ndarray, m: np.ndarray) -> np.ndarray:
     """Exact scores of one vector with rows, in a fixed summing order."""
     q, m = q.astype(np.float64), m.astype(np.float64)
     q, m = q / np.abs(q).max(), m / np.abs(m).max(axis=1, keepdims=True)
-    return (m * q).sum(axis=1) / (np.sqrt((q * q).sum()) * np.sqrt((m * m).sum(axis=1)))
+    return np.minimum(1.0, (m * q).sum(axis=1) / (np.sqrt((q * q).sum()) * np.sqrt((m * m).sum(axis=1))))
 
 
 def _keys(directions: np.ndarray, middle: np.ndarray, spread: np.ndarray, shift: np.ndarray, bits: int):
@@ -104,7 +107,7 @@ def _keys(directions: np.ndarray, middle: np.ndarray, spread: np.ndarray, shift:
             unit = _unit(pdf["vec"])
             for g in range(len(directions)):
                 at = np.clip(((unit @ directions[g] - middle[g]) / spread[g] + 4) / 16 + shift[g] / 2, 0, 1 - 1e-9)
-                yield pd.DataFrame({"ordering": g, "key": hilbert((at * (1 << bits)).astype(np.int64), bits), "id": pdf["id"].to_numpy(), "kind": pdf["kind"].to_numpy()})
+                yield pd.DataFrame({"ordering": g, "key": hilbert((at * (1 << bits)).astype(np.int64), bits), "entry": pdf["entry"].to_numpy(), "id": pdf["id"].to_numpy(), "kind": pdf["kind"].to_numpy()})
 
     return run
 
@@ -121,22 +124,22 @@ def _numbered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 ordering, base = g[a], 0
             within[a:b] = base + np.cumsum(entry[a:b]) - entry[a:b]
             base += int(entry[a:b].sum())
-        yield pd.DataFrame({"ordering": g, "id": pdf["id"], "kind": pdf["kind"], "part": part, "within": within})
+        yield pd.DataFrame({"ordering": g, "entry": pdf["entry"], "kind": pdf["kind"], "part": part, "within": within})
 
 
 def _best(k: int):
     """Of each block's queries the k best rows within their windows."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        where, ids, pos, raw, unit = None, None, None, None, None
+        where, names, ids, pos, raw, unit = None, None, None, None, None, None
         for pdf in batches:
             out = []
             for (g, block, kind), rows in pdf.groupby(["ordering", "block", "kind"], sort=True):
                 if kind == 0:
                     same = where == (g, block)  # a block's rows may span batches
-                    where, old = (g, block), (ids, pos, raw)
-                    ids, pos, raw = rows["id"].to_numpy(), rows["pos"].to_numpy(), np.stack(rows["vec"].to_numpy())
+                    where, old = (g, block), (names, ids, pos, raw)
+                    names, ids, pos, raw = rows["entry"].to_numpy(), rows["id"].to_numpy(), rows["pos"].to_numpy(), np.stack(rows["vec"].to_numpy())
                     if same:
-                        ids, pos, raw = (np.concatenate([a, b]) for a, b in zip(old, (ids, pos, raw), strict=True))
+                        names, ids, pos, raw = (np.concatenate([a, b]) for a, b in zip(old, (names, ids, pos, raw), strict=True))
                     unit = _unit(pd.Series(list(raw)))
                 elif where == (g, block):
                     for at in range(0, len(rows), 256):
@@ -147,12 +150,12 @@ def _best(k: int):
                         near[(pos[None, :] < p - part["reach"].to_numpy()[:, None]) | (pos[None, :] >= p + part["reach"].to_numpy()[:, None])] = -np.inf
                         few = min(k, len(ids))
                         least = np.partition(near, len(ids) - few, axis=1)[:, len(ids) - few] - MARGIN  # the k-th best, less the rounding
-                        for i, query in enumerate(part["id"].to_numpy()):
+                        for i, query in enumerate(part["entry"].to_numpy()):
                             t = np.flatnonzero((near[i] >= least[i]) & np.isfinite(near[i]))
                             if len(t):
                                 s = _cosines(q[i], raw[t])
                                 o = np.lexsort((ids[t], -s))[:k]
-                                out.append(pd.DataFrame({"query": query, "id": ids[t][o], "score": s[o]}))
+                                out.append(pd.DataFrame({"query": query, "entry": names[t][o], "id": ids[t][o], "score": s[o]}))
             if out:
                 yield pd.concat(out, ignore_index=True)
 
@@ -168,7 +171,7 @@ def _scan(queries: np.ndarray, names: np.ndarray, k: int):
                 near[near > 1 - 1e-9] = -np.inf
                 top = np.argsort(-near, axis=1)[:, :k]
                 best = np.take_along_axis(near, top, 1)
-                frame = pd.DataFrame({"query": np.repeat(names, top.shape[1]), "id": pdf["id"].to_numpy()[top.ravel()], "score": best.ravel()})
+                frame = pd.DataFrame({"query": np.repeat(names, top.shape[1]), "entry": pdf["entry"].to_numpy()[top.ravel()], "score": best.ravel()})
                 yield frame[np.isfinite(frame["score"])]
 
     return run
@@ -188,8 +191,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, orderings: int = OR
 
     by_vec = W.partitionBy("vec").orderBy("id")  # the limit below is taken before the shuffle as well
     few = rows.select("id", "vec").withColumn("nth", F.row_number().over(by_vec)).where(F.col("nth") <= k + 1)
-    entry = checkpointed(few.groupBy("vec").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids")))
-    asked = checkpointed(rows.where("asks").select("id", "vec"))
+    entry = few.groupBy("vec").agg(F.min("id").alias("id"), F.array_sort(F.collect_list("id")).alias("ids"))
+    entry, asked = (checkpointed(x.withColumn("entry", F.monotonically_increasing_id())) for x in (entry, rows.where("asks").select("id", "vec")))
 
     sample = np.stack(_fit_rows(entry))
     rng = np.random.default_rng(seed)
@@ -198,46 +201,45 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, orderings: int = OR
     flat = [_unit(pd.Series(list(sample))) @ x for x in directions]
     middle, spread = np.stack([f.mean(axis=0) for f in flat]), np.stack([f.std(axis=0) + 1e-12 for f in flat])
     shift = rng.uniform(0, 1, (orderings, d))
-    both = entry.select("id", "vec", F.lit(0).alias("kind")).unionByName(asked.select("id", "vec", F.lit(1).alias("kind")))
-    keyed = both.mapInPandas(_keys(np.stack(directions), middle, spread, shift, bits), f"ordering int, key long, id {id_type}, kind int")
-    line = ["ordering", "key", "kind", "id"]
-    spaced = keyed.repartitionByRange(*line).sortWithinPartitions(*line).mapInPandas(_numbered, f"ordering int, id {id_type}, kind int, part int, within long")
+    both = entry.select("entry", "id", "vec", F.lit(0).alias("kind")).unionByName(asked.select("entry", "id", "vec", F.lit(1).alias("kind")))
+    keyed = both.mapInPandas(_keys(np.stack(directions), middle, spread, shift, bits), f"ordering int, key long, entry long, id {id_type}, kind int")
+    line = ["ordering", "key", "kind", "id", "entry"]
+    spaced = keyed.repartitionByRange(*line).sortWithinPartitions(*line).mapInPandas(_numbered, "ordering int, entry long, kind int, part int, within long")
     spaced = checkpointed(spaced)
     parts = spaced.groupBy("ordering", "part").agg(F.sum((F.col("kind") == 0).cast("long")).alias("n"))
     offset = parts.select("ordering", "part", (F.sum("n").over(W.partitionBy("ordering").orderBy("part")) - F.col("n")).alias("offset"))
-    placed = spaced.join(offset, ["ordering", "part"]).select("ordering", "id", "kind", (F.col("offset") + F.col("within")).alias("pos"))
+    placed = spaced.join(offset, ["ordering", "part"]).select("ordering", "entry", "kind", (F.col("offset") + F.col("within")).alias("pos"))
 
     reach = _fitted_reach(entry, asked, placed, k, recall)
-    kept = placed.where("kind = 0").join(entry.select("id", "vec"), "id").select(
-        "ordering", F.floor(F.col("pos") / block).alias("block"), F.lit(0).alias("kind"), "id", "pos", F.lit(0).cast("long").alias("reach"), "vec")
+    kept = placed.where("kind = 0").join(entry.select("entry", "id", "vec"), "entry").select(
+        "ordering", F.floor(F.col("pos") / block).alias("block"), F.lit(0).alias("kind"), "entry", "id", "pos", F.lit(0).cast("long").alias("reach"), "vec")
     touched = F.sequence(F.floor(F.greatest(F.col("pos") - reach, F.lit(0)) / block), F.floor((F.col("pos") + reach - 1) / block))
-    asking = placed.where("kind = 1").join(asked, "id").select(
-        "ordering", F.explode(touched).alias("block"), F.lit(1).alias("kind"), "id", "pos", F.lit(reach).cast("long").alias("reach"), "vec")
+    asking = placed.where("kind = 1").join(asked, "entry").select(
+        "ordering", F.explode(touched).alias("block"), F.lit(1).alias("kind"), "entry", "id", "pos", F.lit(reach).cast("long").alias("reach"), "vec")
     dealt = kept.unionByName(asking).repartition("ordering", "block").sortWithinPartitions("ordering", "block", "kind")
-    found = dealt.mapInPandas(_best(k + 1), f"query {id_type}, id {id_type}, score double")
+    found = dealt.mapInPandas(_best(k + 1), f"query long, entry long, id {id_type}, score double")
 
-    found = found.groupBy("query", "id").agg(F.max("score").alias("score"))
+    found = found.groupBy("query", "entry").agg(F.max("score").alias("score"), F.min("id").alias("id"))
+    found = found.withColumn("rank", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id", "entry"))).where(F.col("rank") <= k + 1)
+    each = found.join(entry.select("entry", "ids"), "entry").join(asked.select(F.col("entry").alias("query"), F.col("id").alias("asks")), "query")
+    each = each.select("query", "asks", F.explode("ids").alias("id"), "score").where("id <> asks")
     top = W.partitionBy("query").orderBy(F.desc("score"), "id")
-    found = found.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k + 1)
-    each = found.join(entry.select("id", "ids"), "id").select("query", F.explode("ids").alias("id"), "score").where("id <> query")
-    return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).select("query", F.col("rank").cast("int").alias("rank"), "id", "score")
+    return each.withColumn("rank", F.row_number().over(top)).where(F.col("rank") <= k).select(F.col("asks").alias("query"), F.col("rank").cast("int").alias("rank"), "id", "score")
 
 
 def _fit_rows(entry: DataFrame) -> list:
     """At most FIT_ROWS vectors, those with the smallest hash of their id."""
-    return [r["vec"] for r in entry.select("id", "vec").orderBy(F.xxhash64("id"), "id").limit(FIT_ROWS).collect()]
+    return [r["vec"] for r in entry.select("id", "vec", "entry").orderBy(F.xxhash64("id"), "id", "entry").limit(FIT_ROWS).collect()]
 
 
 def _fitted_reach(entry: DataFrame, asked: DataFrame, placed: DataFrame, k: int, recall: float) -> int:
     """The half window within which ``recall`` of the sampled queries' true neighbours lie in some ordering."""
-    few = asked.orderBy(F.xxhash64("id"), "id").limit(FIT_QUERIES).toPandas()
+    few = asked.orderBy(F.xxhash64("id"), "id", "entry").limit(FIT_QUERIES).toPandas()
     if not len(few):
         return 1
-    id_type = asked.schema["id"].dataType.simpleString()
-    near = entry.mapInPandas(_scan(_unit(few["vec"]), few["id"].to_numpy(), k), f"query {id_type}, id {id_type}, score double")
-    near = near.withColumn("nth", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))).where(F.col("nth") <= k)
-    at = placed.select("ordering", "kind", F.col("id").alias("at"), "pos")
-    there = near.join(at.where("kind = 0").select(F.col("at").alias("id"), "ordering", "pos"), "id")
-    here = at.where("kind = 1").select(F.col("at").alias("query"), "ordering", F.col("pos").alias("own"))
-    apart = there.join(here, ["query", "ordering"]).groupBy("query", "id").agg(F.min(F.abs(F.col("pos") - F.col("own"))).alias("apart")).toPandas()  # at most k * FIT_QUERIES rows
+    near = entry.mapInPandas(_scan(_unit(few["vec"]), few["entry"].to_numpy(), k), "query long, entry long, score double")
+    near = near.withColumn("nth", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "entry"))).where(F.col("nth") <= k)
+    there = near.join(placed.where("kind = 0").select("entry", "ordering", "pos"), "entry")
+    here = placed.where("kind = 1").select(F.col("entry").alias("query"), "ordering", F.col("pos").alias("own"))
+    apart = there.join(here, ["query", "ordering"]).groupBy("query", "entry").agg(F.min(F.abs(F.col("pos") - F.col("own"))).alias("apart")).toPandas()  # at most k * FIT_QUERIES rows
     return 1 + int(np.quantile(apart["apart"], recall, method="higher")) if len(apart) else 1
