@@ -127,9 +127,8 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce('=' || source, 'nu
 ln AS (SELECT r, doc_id, site, i, l[i] AS raw, trim(l[i], chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS line
        FROM (SELECT r, doc_id, site, l, unnest(range(1, len(l) + 1)) AS i FROM d WHERE text IS NOT NULL)),
 wide AS (SELECT line, min((doc_id, i)) AS first FROM ln WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 10),
-hit AS (SELECT r, i, length(line) AS chars FROM ln JOIN wide USING (line) WHERE (doc_id, i) <> first),
-lost AS (SELECT r, sum(chars) AS chars, count(*) AS n FROM hit GROUP BY r),
-cut AS (SELECT lost.r, lost.n FROM lost JOIN d USING (r) WHERE lost.chars <= 0.5 * length(text)),
+hit AS (SELECT r, i FROM ln JOIN wide USING (line) WHERE (doc_id, i) <> first),
+cut AS (SELECT r, count(*) AS n FROM hit GROUP BY r),
 rest AS (SELECT ln.r, string_agg(raw, chr(10) ORDER BY i) AS text FROM ln JOIN cut USING (r) WHERE (ln.r, i) NOT IN (SELECT (r, i) FROM hit) GROUP BY ln.r),
 done AS (SELECT d.doc_id, len(l) AS n_lines, coalesce(cut.n, 0) AS n_removed, CASE WHEN cut.r IS NULL THEN d.text ELSE coalesce(rest.text, '') END AS text
          FROM d LEFT JOIN cut USING (r) LEFT JOIN rest USING (r))

@@ -180,7 +180,8 @@ def test_lines_on_many_sites_go(spark):
     want = {r[0]: r[1] for r in rows}
     for i in range(12):  # the null id comes first and keeps its line
         want[i] = want[i].replace("menu item\n", "")
-    assert got == want  # nine sites stay, copies stay whole
+    want |= {60 + i: "" for i in range(1, 10)}  # whatever share of a document a line is
+    assert got == want  # lines on nine sites stay
     assert line_dedup.dedup_lines(d.limit(0)).count() == 0
 
 
