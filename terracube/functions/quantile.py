@@ -1,104 +1,86 @@
-"""Exact quantiles (linear interpolation) without an unbounded buffer or a hot task.
+"""Exact quantiles (linear interpolation) by radix selection.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one
 aggregation buffer, and a running sum over sorted values needs them in one task.
-Here the exact answer comes from bounded steps, the same for every group size:
-
-1. per group: ``count``, bounds and a ``percentile_approx`` sketch. For
-   ``h = q * (n - 1)`` the rows at ranks ``floor(h)`` and ``ceil(h)`` lie between
-   the sketch values at ``q -/+ m``, ``m = 3/accuracy + 2/SURE``: the sketch's rank
-   error is at most ``n/accuracy`` and the rank convention differs from ``h`` by at
-   most 2 rows, which ``2/SURE`` covers once a group has ``SURE`` rows. A smaller
-   group is bracketed by its own bounds.
-2. each bracket is divided into ``PARTS`` sub-ranges by arithmetic; rows per
-   sub-range and rows below the bracket are plain partial aggregates. A running
-   sum over the at most ``PARTS`` counts finds the sub-ranges that hold the ranks.
-3. only the rows of those sub-ranges are read for their values, as (value,
-   multiplicity), so a value that holds a third of all rows is one row. The
-   result is ``v_lo + (h - floor h) * (v_hi - v_lo)`` (the numpy ``linear`` rule,
-   DuckDB ``quantile_cont``, Spark ``percentile``).
-
-A violated bracket raises (``assert_true``) instead of returning a wrong value.
+Here a rank is found digit by digit, whatever the values are distributed like:
+
+1. every double has an order-preserving 64-bit image (its IEEE bits, those of
+   negative values inverted), computed by exact column arithmetic;
+2. a round counts rows per 16-bit digit of the image, among the rows whose higher
+   digits are those of a wanted rank. The counts are partial aggregates of at most
+   65,536 rows per group and prefix, and a running sum over them finds the digit
+   that holds the rank. After four rounds the image, and so the value, is known.
+
+No round orders values or keeps rows, so neither a long tail nor a value that holds
+a third of all rows makes a large task. For ``h = q * (n - 1)`` the ranks are
+``floor(h)`` and ``ceil(h)``, and the result is ``v_lo + (h - floor h) * (v_hi - v_lo)``
+(the numpy ``linear`` rule, DuckDB ``quantile_cont``, Spark ``percentile``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SURE = 1_000
-PARTS = 1_000
+DIGIT = 16
+_LEAST_NORMAL = 2.0**-1022
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = (),
-                    accuracy: int = 100_000, few_groups: bool = False) -> DataFrame:
+def ordered_bits(x: Column) -> Column:
+    """A long that orders as the double ``x`` does (-0.0 as 0.0, NaN last): equal doubles, equal longs."""
+    a = F.abs(x)
+    near = F.floor(F.log2(a))  # the exponent, or one beside it
+    at = F.pow(F.lit(2.0), near)
+    exponent = near + F.when(a >= at * 2, 1).when(a < at, -1).otherwise(0)
+    normal = (exponent + 1023) * (1 << 52) + ((a / F.pow(F.lit(2.0), exponent) - 1) * 2.0**52).cast("long")
+    bits = (F.when(F.isnan(x), F.lit(0x7FF8 << 48)).when(a == float("inf"), F.lit(0x7FF0 << 48)).when(a == 0, F.lit(0))
+            .when(a < _LEAST_NORMAL, (a * 2.0**537 * 2.0**537).cast("long")).otherwise(normal))
+    return F.when((x >= 0) | F.isnan(x), bits).otherwise(-bits - 1).cast("long")
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Long result ``(keys..., q, quantile)``; NULL values are ignored.
 
     ``few_groups``: the number of groups is fixed by the plan (say, a group per
     column), so the per-group tables are broadcast; without keys they are one row.
     """
     keys, qs = list(keys), sorted(float(q) for q in qs)
-    margin = 3.0 / accuracy + 2.0 / SURE
-    src = df.select(*keys, F.col(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
-    v = F.col("__v")
-
-    def grouped(frame, *more):
-        return frame.groupBy(*keys, *more)
-
-    def joined(frame, side, *more):
-        on = [*keys, *more]
-        side = F.broadcast(side) if few_groups or not keys else side
-        return frame.join(side, on) if on else frame.crossJoin(side)
-
-    edges = [e for q in qs for e in (max(0.0, q - margin), min(1.0, q + margin))]
-    sketch = grouped(src).agg(F.count(F.lit(1)).alias("__n"), F.percentile_approx("__v", edges, accuracy).alias("__a"),
-                              F.min("__v").alias("__min"), F.max("__v").alias("__max"))
-    small = F.col("__n") <= SURE
-    bands = sketch.select(
-        *keys, "__n",
-        *[F.when(small | F.lit(q - margin <= 0), F.col("__min")).otherwise(F.col("__a")[2 * i]).alias(f"__lo{i}") for i, q in enumerate(qs)],
-        *[F.when(small | F.lit(q + margin >= 1), F.col("__max")).otherwise(F.col("__a")[2 * i + 1]).alias(f"__hi{i}") for i, q in enumerate(qs)])
-    rows = joined(src, bands)
-
-    k = range(len(qs))
-    inside = [(v >= F.col(f"__lo{i}")) & (v <= F.col(f"__hi{i}")) for i in k]
-    part = [F.coalesce(F.least(F.floor(F.try_divide(v - F.col(f"__lo{i}"), F.col(f"__hi{i}") - F.col(f"__lo{i}")) * PARTS), F.lit(PARTS - 1)), F.lit(0)) for i in k]
-    below = grouped(rows, "__n").agg(F.array(*[F.count_if(v < F.col(f"__lo{i}")) for i in k]).alias("__b"))
-    any_inside = inside[0]
-    for c in inside[1:]:
-        any_inside = any_inside | c
-    entries = F.array_compact(F.array(*[F.when(inside[i], F.struct(F.lit(i).alias("i"), part[i].cast("int").alias("s"))) for i in k]))
-    hit = rows.where(any_inside).select(*keys, "__v", F.explode(entries).alias("__e")).select(*keys, "__v", F.col("__e.i").alias("__i"), F.col("__e.s").alias("__s"))
-
-    counts = grouped(hit, "__i", "__s").agg(F.count(F.lit(1)).alias("__c"))
-    upto = Window.partitionBy(*keys, "__i").orderBy("__s").rowsBetween(Window.unboundedPreceding, 0)
-    counts = joined(counts.withColumn("__cum", F.sum("__c").over(upto)), below)
-    q = F.element_at(F.array(*[F.lit(x) for x in qs]), F.col("__i") + 1)
-    counts = counts.withColumn("q", q).withColumn("__h", F.col("q") * (F.col("__n") - 1))
-    counts = counts.withColumns({"__rlo": F.floor("__h").cast("long"), "__rhi": F.ceil("__h").cast("long"),
-                                 "__start": F.col("__b")[F.col("__i")] + F.col("__cum") - F.col("__c")})
-    holds = [(F.col(r) >= F.col("__start")) & (F.col(r) < F.col("__start") + F.col("__c")) for r in ("__rlo", "__rhi")]
-    found = counts.where(holds[0] | holds[1]).select(*keys, "__i", "__s", "q", "__h", "__rlo", "__rhi", "__start")
-
-    values = joined(hit, found, "__i", "__s").groupBy(*keys, "__i", "__s", "q", "__h", "__rlo", "__rhi", "__start", "__v").agg(F.count(F.lit(1)).alias("__c"))
-    line = Window.partitionBy(*keys, "__i", "__s").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.col("__start") + F.sum("__c").over(line) - 1
-    values = values.withColumn("__last", last)
-    # the first value whose last rank reaches a wanted rank; a value of an earlier sub-range ends before it
-    agg = values.groupBy(*keys, "q", "__h", "__rlo", "__rhi").agg(
-        F.min(F.when(F.col("__last") >= F.col("__rlo"), F.col("__v"))).alias("__vlo"),
-        F.min(F.when(F.col("__last") >= F.col("__rhi"), F.col("__v"))).alias("__vhi"),
-        F.min("__start").alias("__first"))
-    ok = (F.col("__first") <= F.col("__rlo")) & F.col("__vhi").isNotNull()
-    exact = F.col("__vlo") + (F.col("__h") - F.col("__rlo")) * (F.col("__vhi") - F.col("__vlo"))
-    return agg.select(*keys, "q", F.when(F.assert_true(ok, "quantile bracket missed its rank").isNull(), exact).alias("quantile"))
-
-
-def quantile_row(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str],
-                 keys: Sequence[str] = (), accuracy: int = 100_000, few_groups: bool = False) -> DataFrame:
+    v = F.col(value).cast("double")
+    rows = df.select(*keys, v.alias("__v"), ordered_bits(v).alias("__i")).where(F.col("__v").isNotNull())
+
+    def joined(frame: DataFrame, side: DataFrame, *more: str) -> DataFrame:
+        return frame.join(F.broadcast(side) if few_groups or not keys else side, [*keys, *more])
+
+    found = None  # a row per prefix that holds wanted ranks: those ranks (their number, and place among the prefix's rows)
+    for bits in range(64 - DIGIT, -1, -DIGIT):
+        part = rows.withColumn("__d", F.shiftright("__i", bits))
+        above = [] if found is None else ["__p"]
+        if above:  # the wanted ranks travel with the few rows of the prefixes, so each round is planned once
+            part = joined(part.withColumn("__p", F.shiftright("__i", bits + DIGIT)), found.select(*keys, F.col("__d").alias("__p"), "__t", "__n"), "__p")
+        more = [F.first(c).alias(c) for c in ("__t", "__n")] if above else []
+        counts = part.groupBy(*keys, *above, "__d").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"), *more)
+        mine = Window.partitionBy(*keys, *above)
+        counts = counts.withColumn("__b", F.sum("__c").over(mine.orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c"))
+        if not above:
+            counts = counts.withColumn("__n", F.sum("__c").over(mine))
+            wanted = [F.struct(F.lit(2 * k + up).alias("t"), f(F.lit(q) * (F.col("__n") - 1)).cast("long").alias("r"))
+                      for k, q in enumerate(qs) for up, f in enumerate((F.floor, F.ceil))]
+            counts = counts.withColumn("__t", F.array(*wanted))
+        here = F.filter("__t", lambda t: (t["r"] >= F.col("__b")) & (t["r"] < F.col("__b") + F.col("__c")))
+        here = F.transform(here, lambda t: F.struct(t["t"].alias("t"), (t["r"] - F.col("__b")).alias("r")))
+        found = counts.withColumn("__t", here).where(F.size("__t") > 0).select(*keys, "__d", "__v", "__n", "__t")
+    targets = found.select(*keys, "__v", "__n", F.explode("__t.t").alias("__t"))
+    side = lambda up: F.max(F.when(F.col("__t") % 2 == up, F.col("__v")))
+    q = F.element_at(F.array(*[F.lit(x) for x in qs]), F.floor(F.col("__t") / 2).cast("int") + 1)
+    ends = targets.withColumn("q", q).groupBy(*keys, "q").agg(side(0).alias("__lo"), side(1).alias("__hi"), F.max(F.col("q") * (F.col("__n") - 1)).alias("__h"))
+    part = F.col("__h") - F.floor("__h")
+    return ends.select(*keys, "q", (F.col("__lo") + F.when(part > 0, part * (F.col("__hi") - F.col("__lo"))).otherwise(0.0)).alias("quantile"))
+
+
+def quantile_row(df: DataFrame, value: str, qs: Sequence[float], names: Sequence[str], keys: Sequence[str] = (), few_groups: bool = False) -> DataFrame:
     """Wide form: one row per group with one column per quantile name."""
-    long = exact_quantiles(df, value, qs, keys, accuracy, few_groups)
+    long = exact_quantiles(df, value, qs, keys, few_groups)
     aggs = [F.max(F.when(F.col("q") == float(q), F.col("quantile"))).alias(n) for q, n in zip(qs, names)]
     return (long.groupBy(*keys) if keys else long.groupBy()).agg(*aggs)

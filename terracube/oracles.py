@@ -636,17 +636,42 @@ SELECT lat, lon, gb_year, split, y, CAST(j AS INTEGER) AS j, round(v, 6) AS v FR
 
 _FIT = "SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN 0.0::DOUBLE END AS normal_residual"
 ORACLES["linear_fit_score"] = "WITH " + EXAMPLES + _FIT.join(("\n", "")) + " FROM steps WHERE step = 1 GROUP BY split"
-ORACLES["ablation"] = "WITH " + EXAMPLES + "".join(
-    f"\n{u}{_FIT}, '{v}' AS variant FROM steps WHERE step = 1 GROUP BY split" for u, v in (("", "all_features"), ("UNION ALL ", "no_vegetation")))
+
+
+def _least_squares(tag: str, inputs: str) -> str:
+    """``fit_{tag}(b)``: intercept and coefficients by Gauss-Jordan elimination of the normal equations
+    (one elimination per recursive step), and ``in_{tag}`` with the chosen inputs behind a 1."""
+    return f"""
+in_{tag} AS (SELECT split, y, list_prepend(1.0::DOUBLE, {inputs}) AS a FROM ex),
+cell_{tag} AS (
+  SELECT i, j, sum(a[i] * c[j]) AS s
+  FROM (SELECT a, c, i, unnest(range(1, len(c) + 1)) AS j FROM (
+    SELECT a, list_append(a, y) AS c, unnest(range(1, len(a) + 1)) AS i FROM in_{tag} WHERE split = 'train')) GROUP BY i, j),
+solve_{tag}(k, m) AS (
+  SELECT 0::BIGINT, list(row ORDER BY i) FROM (SELECT i, list(s ORDER BY j) AS row FROM cell_{tag} GROUP BY i)
+  UNION ALL
+  SELECT k + 1, [CASE WHEN i = k + 1 THEN [v / m[k + 1][k + 1] for v in m[k + 1]]
+                      ELSE [m[i][j] - m[i][k + 1] / m[k + 1][k + 1] * m[k + 1][j] for j in range(1, len(m) + 2)] END for i in range(1, len(m) + 1)]
+  FROM solve_{tag} WHERE k < len(m)),
+fit_{tag} AS (SELECT [r[len(m) + 1] for r in m] AS b FROM solve_{tag} WHERE k = len(m))"""
+
+
+_VARIANTS = {"all_features": "x", "no_vegetation": "[x[j] for j in range(1, 78) if (j - 1) % 7 < 4]"}
+ORACLES["ablation"] = "WITH RECURSIVE " + INPUTS + "," + ",".join(_least_squares(t, x) for t, x in _VARIANTS.items()) + "\nUNION ALL".join(f"""
+SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN 0.0::DOUBLE END AS normal_residual, '{t}' AS variant,
+       round(sqrt(avg(power(y - list_inner_product(a, (SELECT b FROM fit_{t})), 2))), 6) AS rmse FROM in_{t} GROUP BY split""" for t in _VARIANTS)
 ORACLES["nonlinear_fit_score"] = "WITH " + EXAMPLES + """
 SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN true END AS beats_mean FROM steps WHERE step = 1 GROUP BY split"""
 ORACLES["linear_attribution"] = "WITH " + EXAMPLES + """
 SELECT lat, lon, gb_year, 77::BIGINT AS n, 0.0::DOUBLE AS residual FROM steps WHERE step = 1 AND split = 'test'"""
 ORACLES["model_round_trip"] = "WITH " + EXAMPLES + """
 SELECT lat, lon, gb_year, split, y, 0.0::DOUBLE AS difference FROM steps WHERE step = 1"""
-ORACLES["coef_top10"] = "WITH " + INPUTS + """,
-m AS (SELECT ['lst_night', 'lst_day', 'precip', 'sm', 'ndvi', 'evi', 'ndvi_anomaly'][j % 7 + 1] || '_' || step AS feature, round(avg(v), 6) AS value
-      FROM long WHERE split = 'train' GROUP BY j, step)
+_LABEL = "['lst_night', 'lst_day', 'precip', 'sm', 'ndvi', 'evi', 'ndvi_anomaly'][j % 7 + 1] || '_' || (j // 7 + 1)"
+ORACLES["coef_top10"] = "WITH RECURSIVE " + INPUTS + "," + _least_squares("all_features", "x") + f""",
+c AS (SELECT unnest(range(0, 77)) AS j, unnest(b[2:]) AS value FROM fit_all_features)
+SELECT {_LABEL} AS feature, round(value, 4) AS value FROM c ORDER BY abs(value) DESC, feature LIMIT 10"""
+ORACLES["mean_input_top10"] = "WITH " + INPUTS + f""",
+m AS (SELECT {_LABEL} AS feature, round(avg(v), 6) AS value FROM long WHERE split = 'train' GROUP BY j)
 SELECT feature, value FROM m ORDER BY abs(value) DESC, feature LIMIT 10"""
 
 

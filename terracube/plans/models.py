@@ -14,7 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from terracube.operators.metrics import verify
@@ -121,18 +121,30 @@ def nonlinear_fit_score(examples: DataFrame, seed: int = 42) -> DataFrame:
 
 
 def background_sample(df: DataFrame, keys: Sequence[str] = ("lat", "lon", "gb_year"), k: int = 500, seed: int = 42) -> DataFrame:
-    """T5: exactly ``k`` rows drawn with replacement (none from an empty frame).
+    """T5: exactly ``k`` rows drawn with replacement (none from an empty frame); ``keys`` name a row.
 
-    Each of the k draws takes the row whose seeded key hash is the smallest for that
-    draw: one pass with k running minima per task, whatever the partitioning.
+    Keys are numbered in the order of their seeded hash: sorted ranges, whose row counts
+    give each range its first number. ``k`` seeded ordinals below the number of rows are
+    joined to the numbers. Only keys are sorted; the ``k`` drawn keys then fetch their rows.
+    The draw depends on keys and seed, not on the partitioning.
     """
-    row = F.struct(*[F.col(c) for c in df.columns])
-    best = df.agg(*[F.min_by(row, F.struct(F.xxhash64(F.lit(seed * k + i), *keys), *keys)).alias(f"d{i}") for i in range(k)])
-    return best.select(F.explode(F.array(*[F.col(f"d{i}") for i in range(k)])).alias("r")).where("r is not null").select("r.*")
+    from terracube.session import cut_lineage
+    line = ["__h", *keys]
+    spread = df.select(*keys, F.xxhash64(F.lit(seed), *keys).alias("__h")).repartitionByRange(*line).sortWithinPartitions(*line)
+    # the id is the partition's number and the row's place in it, fixed by the checkpoint
+    placed = cut_lineage(spread.select(*keys, F.monotonically_increasing_id().alias("__m")))
+    part, place = F.shiftright("__m", 33), F.col("__m").bitwiseAND((1 << 33) - 1)
+    counts = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))  # a row per partition
+    first = counts.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__first"))
+    n = counts.agg(F.sum("__n")).scalar()
+    draws = df.sparkSession.range(k).select(F.floor(F.pmod(F.xxhash64(F.lit(seed), F.lit("draw"), "id"), F.lit(1 << 53)) / F.lit(2.0**53) * n).alias("__at"))
+    numbered = placed.withColumn("__part", part).join(F.broadcast(first), "__part").withColumn("__at", F.col("__first") + place)
+    chosen = numbered.join(F.broadcast(draws), "__at").select(*keys)  # k rows
+    return df.join(F.broadcast(chosen), list(keys)).select(*df.columns)
 
 
 def linear_attribution(examples: DataFrame, stats: DataFrame | None = None,
-                       k_background: int = 500, seed: int = 42) -> DataFrame:
+                       k_background: int = 500, seed: int = 42, model=None) -> DataFrame:
     """Linear SHAP ``coef_j * (x_j - mean_bg_j)`` in long form.
 
     Output ``(lat, lon, gb_year, month, variable, value, attribution)``
@@ -140,7 +152,7 @@ def linear_attribution(examples: DataFrame, stats: DataFrame | None = None,
     the attributions sum to prediction - mean prediction over the background.
     """
     data, feats = prepare(examples)
-    model = fit_linear(data.where(F.col("split") == "train"))
+    model = model or fit_linear(data.where(F.col("split") == "train"))
     nf = len(feats)
     coef = [float(c) for c in model.coefficients.toArray()]
     bg = background_sample(data.where(F.col("split") == "train").select("lat", "lon", "gb_year", "x"), k=k_background, seed=seed)

@@ -449,7 +449,7 @@ def _fit_report(ex, hide=False):
     preds, _, _ = ML.linear_fit_score(ex, hide)
     data = ML.hide_features(ex, list(VALUE_COLS), ML.VEGETATION_LABELS) if hide else ex
     residual = ML.normal_residual(preds, data).select(F.round("residual", 4) + 0.0).scalar()
-    scored = preds.groupBy("split").agg(F.count("prediction").alias("n"))
+    scored = ML.evaluate(preds).select("split", "n", *r6("rmse"))
     return scored.withColumn("normal_residual", F.when(F.col("split") == "train", residual))
 
 
@@ -461,31 +461,32 @@ def q_linear_fit_score(spark, sf_dir):
 
 @register("ablation")
 def q_ablation(spark, sf_dir):
+    """M3/M4: error of the linear fit per split, with and without vegetation inputs."""
     ex, _ = _examples(spark, sf_dir)
     both = [_fit_report(ex, hide).withColumn("variant", F.lit(name)) for name, hide in (("all_features", False), ("no_vegetation", True))]
-    return both[0].unionByName(both[1]).select("variant", "split", "n", "normal_residual")
+    return both[0].unionByName(both[1]).select("variant", "split", "n", "rmse", "normal_residual")
 
 
 def model_errors(spark, sf_dir):
     """M3: error measures per split, with and without vegetation inputs, and of the trees
-    (reported by the benchmark; fitted values have no SQL)."""
+    (reported by the benchmark)."""
     ex, _ = _examples(spark, sf_dir)
     linear = ML.ablation(ex).select("variant", "split", "n", *r6("rmse"))
     trees = ML.evaluate(ML.nonlinear_fit_score(ex)).withColumn("variant", F.lit("trees"))
     return linear.unionByName(trees.select("variant", "split", "n", *r6("rmse")))
 
 
-def fitted_top10(spark, sf_dir):
-    """The ten largest coefficients of the linear fit (fitted values have no SQL)."""
+@register("coef_top10")
+def q_coef_top10(spark, sf_dir):
+    """The ten largest coefficients of the linear fit."""
     ex, _ = _examples(spark, sf_dir)
     _, model, feats = ML.linear_fit_score(ex)
-    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10)
+    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10).select("feature", (F.round("value", 4) + 0.0).alias("value"))
 
 
-@register("coef_top10")
-def q_coef_top10(spark, sf_dir):
-    """The ten largest mean inputs of the train split under their coefficient labels,
-    as its SQL has them; ``fitted_top10`` has the coefficients."""
+@register("mean_input_top10")
+def q_mean_input_top10(spark, sf_dir):
+    """The ten largest mean inputs of the train split under their coefficient labels."""
     ex, _ = _examples(spark, sf_dir)
     labels = F.array(*[F.lit(x) for x in ML.feature_labels(VALUE_COLS)])
     means = ex.where("split = 'train'").select(F.posexplode(F.flatten("x")).alias("j", "v")).groupBy("j").agg(F.avg("v").alias("value"))
@@ -507,9 +508,9 @@ def q_linear_attribution(spark, sf_dir):
     """Per test example, the number of attributions and how far their sum is from
     prediction minus base (a constant), which is 0."""
     ex, stats = _examples(spark, sf_dir)
-    preds, _, _ = ML.linear_fit_score(ex)
+    preds, model, _ = ML.linear_fit_score(ex)
     keys = ["lat", "lon", "gb_year"]
-    sums = ML.linear_attribution(ex, stats).groupBy(*keys).agg(F.count("attribution").alias("n"), F.sum("attribution").alias("s"))
+    sums = ML.linear_attribution(ex, stats, model=model).groupBy(*keys).agg(F.count("attribution").alias("n"), F.sum("attribution").alias("s"))
     each = sums.join(preds.select(*keys, "prediction"), keys).withColumn("base", F.col("prediction") - F.col("s"))
     lowest = each.agg(F.min("base")).scalar()
     return each.select(*keys, "n", (F.round(F.col("base") - lowest, 6) + 0.0).alias("residual"))

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 from terracube.queries import QUERIES
 
-SF = "/root/testdata/sf0.001"
+SF, SF_FITTED = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
@@ -26,19 +26,28 @@ def _norm(v):
     return v
 
 
-@pytest.fixture(scope="module")
-def con():
+#: A fit is unique where it has more examples than inputs.
+FITTED = {"ablation", "coef_top10"}
+
+
+def connect(sf):
     c = duckdb.connect()
     for t in TABLES:
-        p = os.path.join(SF, f"{t}.parquet")
+        p = os.path.join(sf, f"{t}.parquet")
         if os.path.exists(p):
             c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
     return c
 
 
+@pytest.fixture(scope="module")
+def cons():
+    return {sf: connect(sf) for sf in (SF, SF_FITTED)}
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) & set(E.oracle_sql())))
-def test_query_matches_oracle(spark, con, name):
-    sdf = QUERIES[name](spark, SF)
+def test_query_matches_oracle(spark, cons, name):
+    sf = SF_FITTED if name in FITTED else SF
+    con, sdf = cons[sf], QUERIES[name](spark, sf)
     cols = sorted(sdf.columns)
     srows = sorted((tuple(_norm(r[c]) for c in cols) for r in sdf.collect()), key=repr)
     rel = con.sql(E.oracle_sql()[name])

@@ -3,9 +3,10 @@
 import datetime as dt
 
 import numpy as np
+import pandas as pd
 import pytest
 
-from terracube.functions.quantile import exact_quantiles
+from terracube.functions.quantile import exact_quantiles, ordered_bits
 from terracube.operators.masks import series_drought, threshold_flag
 from terracube.operators.metrics import verify
 from terracube.operators.resample import resample_first
@@ -42,12 +43,32 @@ def test_exact_quantiles_ties_and_groups(spark):
     g = rng.integers(0, 3, size=vals.size)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(g, vals)], "g int, v double")
     qs = [0.01, 0.33, 0.5, 0.9]
-    got = {(r.g, r.q): r.quantile for r in exact_quantiles(df, "v", qs, ["g"], accuracy=500).collect()}
+    got = {(r.g, r.q): r.quantile for r in exact_quantiles(df, "v", qs, ["g"]).collect()}
     for k in range(3):
         for q in qs:
             assert got[(k, q)] == pytest.approx(np.quantile(vals[g == k], q), abs=1e-12)
 
 
+@pytest.mark.parametrize("draw", [lambda r, n: r.pareto(1.05, n), lambda r, n: np.exp(3 * r.standard_normal(n)), lambda r, n: -np.exp(40 * r.standard_normal(n))])
+def test_quantiles_of_heavy_tails(spark, draw):
+    x = draw(np.random.default_rng(3), 60_000)
+    df = spark.createDataFrame(pd.DataFrame({"v": x})).repartition(6)
+    qs = [0.001, 0.5, 0.999, 0.9999, 1.0]
+    got = {r.q: r.quantile for r in exact_quantiles(df, "v", qs).collect()}
+    assert got == {q: pytest.approx(float(np.quantile(x, q)), rel=1e-13) for q in qs}
+
+
+def test_ordered_bits_are_the_ieee_bits(spark):
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.standard_normal(300), rng.standard_cauchy(300) * 1e300, [0.0, 5e-324, -5e-324, 2.0**-1022, np.nextafter(2.0**-1022, 0), np.finfo(float).max, -np.finfo(float).max, np.inf, -np.inf],
+                        2.0 ** rng.integers(-1074, 1023, 300).astype(float), np.nextafter(2.0 ** rng.integers(-1000, 1000, 300).astype(float), 0)])
+    got = spark.createDataFrame(pd.DataFrame({"x": x})).select("x", ordered_bits(F.col("x")).alias("b")).toPandas()
+    bits = np.abs(got["x"].to_numpy()).view(np.int64)
+    assert (got["b"].to_numpy() == np.where(got["x"] >= 0, bits, -bits - 1)).all()
+    row = spark.sql("SELECT double('-0.0') AS a, double('NaN') AS b, double(NULL) AS c").select(*[ordered_bits(F.col(c)) for c in "abc"]).first()
+    assert row[0] == 0 and row[1] > got["b"].max() and row[2] is None
+
+
 def test_histogram_last_edge_closed(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 2, 3, 4]], "v double")
     out = {r.bucket: r["count"] for r in histogram(df, "v", 4).collect()}
