@@ -554,6 +554,42 @@ f AS (SELECT lat, lon + 30.0::DOUBLE AS lon, last_day(time) AS time, arg_min(val
 SELECT lat, lon, time, floor(floor(v * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS holaps_evapotranspiration FROM f"""
 
 
+
+
+def _reprojected(x0: float, y0: float, step: float, ctes: str, res: float) -> str:
+    """Sixteen points per pixel (``px, py``, metres), their places (``ctes`` end in ``place`` with ``lat, lon``
+    in degrees), and the mean per cell of side ``res``."""
+    return f"""
+pix AS (SELECT DISTINCT round(lon / 0.2) * {step}::DOUBLE + {x0}::DOUBLE AS x, round(lat / 0.2) * {step}::DOUBLE + {y0}::DOUBLE AS y FROM dp),
+pt AS (SELECT x, y, x + ((a + 0.5) / 4 - 0.5) * {step}::DOUBLE AS px, y + ((b + 0.5) / 4 - 0.5) * {step}::DOUBLE AS py
+       FROM (SELECT x, y, a::DOUBLE AS a, unnest(range(0, 4))::DOUBLE AS b FROM (SELECT x, y, unnest(range(0, 4)) AS a FROM pix))),
+{ctes},
+w AS (SELECT x, y, (floor(lat / {res}::DOUBLE) + 0.5) * {res}::DOUBLE AS lat, (floor(lon / {res}::DOUBLE) + 0.5) * {res}::DOUBLE AS lon, count(*) AS w FROM place GROUP BY ALL),
+cell AS (
+  SELECT w.lat, w.lon, dp.time, round(sum(dp.value * w), 5) / sum(w) AS value
+  FROM dp JOIN w ON round(dp.lon / 0.2) * {step}::DOUBLE + {x0}::DOUBLE = w.x AND round(dp.lat / 0.2) * {step}::DOUBLE + {y0}::DOUBLE = w.y GROUP BY ALL)"""
+
+
+ORACLES["reference_cleaner_sinusoidal"] = "WITH " + DAILY + "," + _reprojected(3611000.0, -187000.0, 23000.0, """
+place AS (
+  SELECT x, y, degrees(la) AS lat, degrees(lo) AS lon FROM (
+    SELECT x, y, py / 6371007.181::DOUBLE AS la, px / (6371007.181::DOUBLE * cos(py / 6371007.181::DOUBLE)) AS lo FROM pt)
+  WHERE abs(la) < pi() / 2 AND abs(lo) <= pi())""", 0.25) + """,
+f AS (SELECT lat, lon, last_day(time) AS time, arg_min(value / 28.0, time) FILTER (WHERE value IS NOT NULL) AS v
+      FROM cell WHERE lat BETWEEN -5.0 AND 15.2 AND lon BETWEEN 32.6 AND 51.8 GROUP BY 1, 2, 3)
+SELECT lat, lon, time, floor(floor(v * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS holaps_evapotranspiration FROM f"""
+
+ORACLES["reproject_geostationary"] = "WITH " + DAILY + "," + _reprojected(2010000.0, 4503000.0, 151000.0, """
+ang AS (SELECT x, y, px / 35785831.0::DOUBLE AS a, py / 35785831.0::DOUBLE AS b, power(6378169.0::DOUBLE / 6356583.8::DOUBLE, 2) AS q FROM pt),
+ray AS (SELECT *, cos(b) * cos(b) + q * sin(b) * sin(b) AS bulge, 42164000.0::DOUBLE * cos(a) * cos(b) AS ahead FROM ang),
+hit AS (SELECT *, ahead * ahead - bulge * (power(42164000.0::DOUBLE, 2) - power(6378169.0::DOUBLE, 2)) AS inside FROM ray),
+far AS (SELECT *, (ahead - sqrt(inside)) / bulge AS d FROM hit WHERE inside >= 0),
+place AS (
+  SELECT x, y, degrees(atan(q * d * sin(b) / sqrt(power(42164000.0 - d * cos(a) * cos(b), 2) + power(d * sin(a) * cos(b), 2)))) AS lat,
+         degrees(atan(d * sin(a) * cos(b) / (42164000.0 - d * cos(a) * cos(b)))) + 9.5 AS lon FROM far)""", 1.5) + """
+SELECT round(lat, 6) AS lat, round(lon, 6) AS lon, time, floor(floor(value * 1e10 + 0.5) / 1e4 + 0.5) / 1e6 AS value FROM cell"""
+
+
 ORACLES["pixel_year_counts"] = "WITH " + CLEAN + """,
 n AS (SELECT lat, lon, gb_year, count(*) AS n FROM cleaned GROUP BY 1, 2, 3)
 SELECT gb_year, CAST(count_if(n = 12) AS BIGINT) AS processed, CAST(count_if(n <> 12) AS BIGINT) AS skipped

@@ -3,8 +3,7 @@ calendar and grid, then merge.
 
 Each stage is a DataFrame operator. The regrid weight tables come from the raw
 product's axes and the reference's, so the resampled cube is planned once, and
-all checks are filters of the lazy plan. C5, the reference-product cleaner, is
-built without its external reprojection.
+all checks are filters of the lazy plan.
 """
 
 from __future__ import annotations
@@ -19,6 +18,7 @@ from terracube.operators.conform import check_same_grid, normalise_coordinate_na
 from terracube.operators.masks import apply_mask, monthly_drought, reference_mask, threshold_flag
 from terracube.operators.merge import merge_cubes
 from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest
+from terracube.operators.reproject import Projection, reproject
 from terracube.operators.resample import resample_first, resample_median
 from terracube.operators.slicing import (bbox_from_reference, select_east_africa, time_slice, time_slice_exact,
                                          time_slice_from_reference)
@@ -111,11 +111,12 @@ def evaporation_cleaner(reference: DataFrame, product: DataFrame, var: str = "va
     return _sunk(rename_variables(p, {var: "evaporation"}), path, force)
 
 
-def reference_cleaner(product: DataFrame, var: str = "value", name: str = "holaps_evapotranspiration",
-                      path: str | None = None, force: bool = True) -> DataFrame:
-    """C5 without the reprojection: fixed box (P10) -> W/m2 to mm/day (P27) -> rename
-    (P2) -> first per month (A4) -> forced sink (S8)."""
-    p = select_east_africa(normalise_coordinate_names(product).select("lat", "lon", "time", var))
+def reference_cleaner(product: DataFrame, var: str = "value", name: str = "holaps_evapotranspiration", path: str | None = None, force: bool = True,
+                      projection: Projection | None = None, resolution: float = 0.25, sum_decimals: int | None = None) -> DataFrame:
+    """Reprojection of a product with ``x, y`` in metres (with ``projection``) -> fixed box (P10)
+    -> W/m2 to mm/day (P27) -> rename (P2) -> first per month (A4) -> forced sink (S8)."""
+    p = product if projection is None else reproject(product, projection, resolution, [var], sum_decimals=sum_decimals)
+    p = select_east_africa(normalise_coordinate_names(p).select("lat", "lon", "time", var))
     p = rename_variables(p.withColumn(var, F.col(var) / F.lit(WM2_TO_MM_DAY)), {var: name})
     return _sunk(resample_first(p, ["lat", "lon"], name), path, force)
 

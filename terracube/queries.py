@@ -26,6 +26,7 @@ from terracube.operators.lookup import bands_to_time, classify_landcover, clip_t
 from terracube.operators.masks import all_valid
 from terracube.operators.merge import merge_cubes
 from terracube.operators.regrid import axis, regrid_bilinear, regrid_nearest
+from terracube.operators.reproject import geostationary, reproject, sinusoidal
 from terracube.operators.resample import densify, infer_freq, relabel_by_position, resample_first, resample_median
 from terracube.operators.windows import count_pixel_years, flip_lat, shift_time
 from terracube.plans import harmonise as HM
@@ -606,6 +607,28 @@ def q_reference_cleaner(spark, sf_dir):
     return h.select("lat", "lon", "time", fixed6("holaps_evapotranspiration"))
 
 
+def _projected(spark, sf_dir, x0, y0, step):
+    """The daily product's columns and rows as pixels of a projected map, ``step`` metres wide."""
+    at = lambda c, first: F.round(F.col(c) / 0.2) * F.lit(step) + F.lit(first)
+    return load_daily_product(spark, sf_dir).select(at("longitude", x0).alias("x"), at("latitude", y0).alias("y"), "time", "value")
+
+
+@register("reference_cleaner_sinusoidal")
+def q_reference_cleaner_sinusoidal(spark, sf_dir):
+    """C5 from the sinusoidal map on: reprojection by area, box, units, first value per month."""
+    p = _projected(spark, sf_dir, 3_611_000.0, -187_000.0, 23_000.0)
+    h = HM.reference_cleaner(p, path=IO.scratch_path(spark, "sinusoidal"), projection=sinusoidal(23_000.0, 23_000.0), sum_decimals=5)
+    return h.select("lat", "lon", "time", fixed6("holaps_evapotranspiration"))
+
+
+@register("reproject_geostationary")
+def q_reproject_geostationary(spark, sf_dir):
+    """The reprojection alone, of pixels that reach beyond the disc (those have no place)."""
+    p = _projected(spark, sf_dir, 2_010_000.0, 4_503_000.0, 151_000.0)
+    r = reproject(p, geostationary(151_000.0, 151_000.0, lon_0=9.5), 1.5, ["value"], sum_decimals=5)
+    return r.select(*r6("lat", "lon"), "time", fixed6("value"))
+
+
 # ------------------------------------------------------- small report queries
 
 
