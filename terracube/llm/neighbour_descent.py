@@ -55,7 +55,7 @@ ORDERINGS = 4
 #: Members joined at once, and candidates that each of them sends from one join.
 PIECE, SENT = 32, 5
 #: Rounds at most, and the share of new list entries below which they end.
-ROUNDS, QUIET = 8, 0.05
+ROUNDS, QUIET = 4, 0.2
 RECALL, LEAST_RECALL, AUDITED, PASSES = 0.99, 0.9, 1_000, 4
 #: Neighbours of a node that one task takes, and members of a block of a group.
 HUB, BLOCK = 4_096, 1_024
@@ -290,8 +290,8 @@ def components_of(vectors: DataFrame, threshold: float = THRESHOLD, size: int =
     keyed = every.select("id", "vec", F.when(F.col("vec").isNotNull(), _digest(F.col("vec"))).alias("key"))
     nodes = keyed.where("key is not null").groupBy("key").agg(F.first("vec").alias("vec"), F.count("*").alias("copies"), F.min("id").alias("least"))
     nodes = checkpointed(nodes.withColumn("node", F.monotonically_increasing_id()))
-    count = nodes.count()
     halves = checkpointed(nodes.select("node", "vec").mapInPandas(_packed, "node long, half binary"))
+    count = halves.count()
     lists, edges, share = None, None, 0.0
     for turn in range(PASSES if count > 1 else 0):
         lists, met = _descent(halves, count, sizes["n"], threshold, size, largest, orderings, rounds, seed + 100 * turn, lists)
