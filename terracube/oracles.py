@@ -700,6 +700,12 @@ ORACLES["nonlinear_fit_score"] = "WITH " + EXAMPLES + """
 SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN true END AS beats_mean FROM steps WHERE step = 1 GROUP BY split"""
 ORACLES["linear_attribution"] = "WITH " + EXAMPLES + """
 SELECT lat, lon, gb_year, 77::BIGINT AS n, 0.0::DOUBLE AS residual FROM steps WHERE step = 1 AND split = 'test'"""
+for _name in ("tree_attribution", "network_attribution"):
+    ORACLES[_name] = ORACLES["linear_attribution"]
+ORACLES["early_stop"] = "WITH " + EXAMPLES + """
+SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN true END AS beats_mean, true AS best_is_least, true AS waited FROM steps WHERE step = 1 GROUP BY split"""
+ORACLES["network_fit_score"] = "WITH " + EXAMPLES + """
+SELECT split, count(*) AS n, CASE WHEN split = 'train' THEN true END AS beats_mean, true AS learned FROM steps WHERE step = 1 GROUP BY split"""
 ORACLES["model_round_trip"] = "WITH " + EXAMPLES + """
 SELECT lat, lon, gb_year, split, y, 0.0::DOUBLE AS difference FROM steps WHERE step = 1"""
 _LABEL = "['lst_night', 'lst_day', 'precip', 'sm', 'ndvi', 'evi', 'ndvi_anomaly'][j % 7 + 1] || '_' || (j // 7 + 1)"

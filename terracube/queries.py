@@ -31,6 +31,8 @@ from terracube.operators.resample import densify, infer_freq, relabel_by_positio
 from terracube.operators.windows import count_pixel_years, flip_lat, shift_time
 from terracube.plans import harmonise as HM
 from terracube.plans import models as ML
+from terracube.plans import networks as NN
+from terracube.plans import trees as TR
 from terracube.plans.clean import CleanParams, clean_and_scale, clean_cube
 from terracube.plans.engineer import engineer_arrays, engineer_steps, example_summary
 from terracube.plans.verify import verification_frame
@@ -517,6 +519,57 @@ def q_linear_attribution(spark, sf_dir):
     return each.select(*keys, "n", (F.round(F.col("base") - lowest, 6) + 0.0).alias("residual"))
 
 
+@register("early_stop")
+def q_early_stop(spark, sf_dir):
+    """M6: trees validated after every tree; what was kept is the best of all stages that were looked at."""
+    ex, _ = _examples(spark, sf_dir)
+    kept, errors, _ = TR.fit_boosted(ex, IO.scratch_path(spark, "trees"))
+    n = len(kept.trees)
+    seen = errors[: n + 3]  # until three stages without a gain
+    better = F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))) < F.stddev_pop("y")
+    report = TR.score_trees(ex, kept).groupBy("split").agg(F.count("prediction").alias("n"), better.alias("beats_mean"))
+    return report.select("split", "n", F.when(F.col("split") == "train", F.col("beats_mean")).alias("beats_mean"), F.lit(errors[n - 1] == min(seen)).alias("best_is_least"),
+                         F.lit(len(seen) - n == min(3, len(errors) - n)).alias("waited"))
+
+
+def _additive(attributions, predictions):
+    """Per example: the number of attributions, and prediction minus base minus their sum, which is 0."""
+    keys = ["lat", "lon", "gb_year"]
+    sums = attributions.groupBy(*keys).agg(F.count("attribution").alias("n"), F.sum("attribution").alias("s"), F.max("base").alias("base"))
+    each = sums.join(predictions.select(*keys, "prediction"), keys)
+    return each.select(*keys, "n", (F.round(F.col("prediction") - F.col("base") - F.col("s"), 6) + 0.0).alias("residual"))
+
+
+@register("tree_attribution")
+def q_tree_attribution(spark, sf_dir):
+    """Shapley values of the boosted trees, against the predictions of the fitted model itself."""
+    ex, stats = _examples(spark, sf_dir)
+    path = IO.scratch_path(spark, "trees")
+    _, _, model = TR.fit_boosted(ex, path)
+    test = ex.where("split = 'test'")
+    return _additive(TR.tree_attribution(test, TR.load_ensemble(spark, path, model.treeWeights), stats), ML.score(model, ML.prepare(test)[0]))
+
+
+@register("network_attribution")
+def q_network_attribution(spark, sf_dir):
+    """Gradients of the network integrated against 500 background rows."""
+    ex, stats = _examples(spark, sf_dir)
+    weights, test = rule_weights("ffn", len(VALUE_COLS)), ex.where("split = 'test'")
+    background = ML.background_sample(ex.where("split = 'train'").select("lat", "lon", "gb_year", "x"))
+    return _additive(NN.network_attribution(test, weights, background, stats), ML.score_network(test, "ffn", len(VALUE_COLS), weights=weights))
+
+
+@register("network_fit_score")
+def q_network_fit_score(spark, sf_dir):
+    """M5: the network trained on the train split, scored on both."""
+    ex, _ = _examples(spark, sf_dir)
+    weights, errors = NN.train_network(ex, IO.scratch_path(spark, "network"), epochs=12, rate=0.05, steps=8)
+    preds = ML.score_network(ex, "ffn", len(VALUE_COLS), weights=weights).join(ex.select("lat", "lon", "gb_year", "split"), ["lat", "lon", "gb_year"])
+    better = F.sqrt(F.avg(F.pow(F.col("y") - F.col("prediction"), 2))) < F.stddev_pop("y")
+    return preds.groupBy("split").agg(F.count("prediction").alias("n"), better.alias("beats_mean")).select(
+        "split", "n", F.when(F.col("split") == "train", F.col("beats_mean")).alias("beats_mean"), F.lit(min(errors) < errors[0]).alias("learned"))
+
+
 def rule_weights(kind, n_features, hidden=3):
     """Closed-form weight sets, so that the forward passes can be checked in SQL."""
     def rule(rows, cols, a, b):
