@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from terracube.functions.geo import ring_crossings
+from terracube.functions.geo import DEPTH, FEW, path_parity, point_cells, quadtree_cover
 from terracube.functions.lookup import landcover_dimension
 
 
@@ -41,22 +41,18 @@ def time_axis(df: DataFrame, time: str = "time") -> DataFrame:
     return t.select(F.row_number().over(Window.orderBy(time)).alias("idx"), time)
 
 
-def clip_to_regions(points: DataFrame, regions: DataFrame, cell: float = 1.0) -> DataFrame:
+def clip_to_regions(points: DataFrame, regions: DataFrame, depth: int = DEPTH, few: int = FEW) -> DataFrame:
     """Keep points inside a region, tagged with the region.
 
     A region ``(country, rings)`` has any number of rings; a point is inside when
     a ray crosses their edges an odd number of times, so inner rings are holes.
-    Each region's bounding box is laid out in ``cell``-sized squares, points and
-    regions meet in an equi join on the square, and the ray casting runs JVM-side
-    as a higher-order ``aggregate``.  AQE measures the region side and broadcasts
-    it when it is small.
+    Regions become quadtree leaves (``quadtree_cover``) and points the cells of all
+    levels that hold them; both meet in an equi join. A point in a leaf without
+    edges is inside; any other is compared with its leaf's few edges. AQE measures
+    the cover and broadcasts it when it is small.
     """
-    every = F.flatten(F.col("rings"))
-    lon, lat = F.transform(every, lambda p: p["lon"]), F.transform(every, lambda p: p["lat"])
-    square = lambda v: F.floor(v / cell).cast("long")
-    r = regions.select("country", "rings", F.explode(F.sequence(square(F.array_min(lon)), square(F.array_max(lon)))).alias("__cx"),
-                       square(F.array_min(lat)).alias("__y0"), square(F.array_max(lat)).alias("__y1"))
-    r = r.select("country", "rings", "__cx", F.explode(F.sequence("__y0", "__y1")).alias("__cy"))
-    p = points.withColumns({"__cx": square(F.col("lon")), "__cy": square(F.col("lat"))})
-    crossings = F.aggregate(F.transform("rings", lambda ring: ring_crossings(F.col("lon"), F.col("lat"), ring)), F.lit(0), lambda a, n: a + n)
-    return p.join(r, ["__cx", "__cy"]).where(crossings % 2 == 1).drop("rings", "__cx", "__cy")
+    cover = quadtree_cover(regions, depth, few).withColumnsRenamed({"key": "__key", "ax": "__ax", "ay": "__ay", "parity": "__parity", "edges": "__edges"})
+    p = points.withColumn("__key", F.explode(point_cells(F.col("lon"), F.col("lat"), depth)))
+    off = path_parity(F.col("__edges"), F.col("lon"), F.col("lat"), F.col("__ax"), F.col("__ay"))
+    inside = F.when(F.size("__edges") == 0, F.lit(True)).otherwise((F.col("__parity") + off) % 2 == 1)
+    return p.join(cover, "__key").where(inside).drop("__key", "__ax", "__ay", "__parity", "__edges")
