@@ -88,20 +88,19 @@ def quadtree_cover(regions: DataFrame, depth: int = DEPTH, few: int = FEW) -> Da
     zero = F.lit(0).cast("long")
     cells = regions.select("country", F.struct(F.lit(0).alias("level"), zero.alias("cx"), zero.alias("cy"), F.lit(0).alias("parity"), ends.alias("edges")).alias("cell"))
     corner = lambda n, side: F.col("cell")[n] * side + F.lit(CORNER)
+    side = F.lit(SPAN) / F.pow(F.lit(2.0), c("level"))
+    half, ax, ay = side / 2, corner("cx", side), corner("cy", side)
 
-    def quarter(k: Column, level: int) -> Column:
-        side = SPAN / 2**level
-        px, py = corner("cx", 2 * side), corner("cy", 2 * side)
+    def quarter(k: Column) -> Column:
         cx, cy = c("cx") * 2 + k % 2, c("cy") * 2 + F.floor(k / 2)
-        x0, y0 = cx * side + F.lit(CORNER), cy * side + F.lit(CORNER)
-        parity = (c("parity") + path_parity(c("edges"), x0, y0, px, py)) % 2
-        return F.struct(F.lit(level).alias("level"), cx.cast("long").alias("cx"), cy.cast("long").alias("cy"), parity.cast("int").alias("parity"),
-                        F.filter(c("edges"), lambda e: _touches(e, x0, y0, F.lit(side))).alias("edges"))
-
-    for level in range(1, depth + 1):
-        whole = (c("level") < level - 1) | ((F.size(c("edges")) <= few) & (c("level") > 0))  # a leaf already, or now
-        parts = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda k: quarter(k, level))  # noqa: B023
-        cells = cells.select("country", F.explode(F.when(whole, F.array("cell")).otherwise(parts)).alias("cell")).where("size(cell.edges) > 0 OR cell.parity = 1")
-    side = F.lit(SPAN) / F.pow(F.lit(2.0), c("level"))
-    return cells.select("country", cell_key(c("level"), c("cx"), c("cy")).alias("key"), corner("cx", side).alias("ax"), corner("cy", side).alias("ay"),
+        x0, y0 = cx * half + F.lit(CORNER), cy * half + F.lit(CORNER)
+        parity = (c("parity") + path_parity(c("edges"), x0, y0, ax, ay)) % 2
+        return F.struct((c("level") + 1).alias("level"), cx.cast("long").alias("cx"), cy.cast("long").alias("cy"), parity.cast("int").alias("parity"),
+                        F.filter(c("edges"), lambda e: _touches(e, x0, y0, half)).alias("edges"))
+
+    whole = (F.size(c("edges")) <= few) & (c("level") > 0)  # a leaf, then and in all later rounds
+    divided = F.explode(F.when(whole, F.array("cell")).otherwise(F.transform(F.sequence(F.lit(0), F.lit(3)), quarter))).alias("cell")
+    for _ in range(depth):
+        cells = cells.select("country", divided).where("size(cell.edges) > 0 OR cell.parity = 1")
+    return cells.select("country", cell_key(c("level"), c("cx"), c("cy")).alias("key"), ax.alias("ax"), ay.alias("ay"),
                         c("parity").alias("parity"), c("edges").alias("edges"))
