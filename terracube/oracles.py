@@ -635,6 +635,13 @@ UNION ALL SELECT lat, lon, time, precip, round(ndvi + 1, 6), 'forced' FROM grid"
 
 ORACLES["cube_round_trip"] = "WITH " + GRID + " SELECT lat, lon, time, " + ", ".join(GV) + " FROM grid"
 
+ORACLES["cube_blocks_box"] = "WITH " + GRID + " SELECT lat, lon, time, " + ", ".join(GV) + """ FROM grid
+WHERE lat BETWEEN 0.25 AND 0.75 AND lon BETWEEN 1.0 AND 3.0 AND time BETWEEN TIMESTAMP '1998-03-01' AND TIMESTAMP '1999-06-01'"""
+ORACLES["tiles_round_trip"] = "WITH " + GRID + " SELECT lat, lon, time, sm FROM grid WHERE sm IS NOT NULL"
+ORACLES["tile_slice"] = "WITH " + GRID + """,
+placed AS (SELECT lat, lon, time, precip, dense_rank() OVER (ORDER BY lat) - 1 AS i, dense_rank() OVER (ORDER BY lon) - 1 AS j,
+              dense_rank() OVER (ORDER BY time) - 1 AS k FROM grid)
+SELECT lat, lon, time, precip FROM placed WHERE i BETWEEN 1 AND 3 AND j BETWEEN 2 AND 8 AND k BETWEEN 10 AND 29 AND precip IS NOT NULL"""
 ORACLES["nan_ingest"] = "WITH " + GRID + """,
 m AS (SELECT lat, lon, round(sum(sm), 6) / count(sm) AS sm FROM grid GROUP BY lat, lon)
 SELECT *, 'parquet' AS format FROM m UNION ALL SELECT *, 'csv' FROM m"""

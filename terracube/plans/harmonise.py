@@ -24,7 +24,7 @@ from terracube.operators.slicing import (bbox_from_reference, select_east_africa
                                          time_slice_from_reference)
 from terracube.operators.units import MM_MONTH_TO_MM_DAY, WM2_TO_MM_DAY, mean_of
 from terracube.schema import value_columns
-from terracube.sources.io import guarded_write
+from terracube.sources.layout import guarded_write, read_guarded
 
 
 def _axes(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -126,4 +126,4 @@ def _sunk(df: DataFrame, path: str | None, force: bool) -> DataFrame:
     if path is None:
         return df
     guarded_write(df, path, force)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return read_guarded(df.sparkSession, path, df.columns)

@@ -38,6 +38,8 @@ from terracube.plans.engineer import engineer_arrays, engineer_steps, example_su
 from terracube.plans.verify import verification_frame
 from terracube.schema import GRID_VARS, KEY_COLS, VALUE_COLS
 from terracube.sources import io as IO
+from terracube.sources import layout as LY
+from terracube.sources import tiles as TL
 from terracube.sources.grid import daily_series, load_daily_product, load_grid
 
 PARAMS = CleanParams(pred_month=6, target="ndvi", clim_before_year=2001)
@@ -774,13 +776,36 @@ def q_guarded_write(spark, sf_dir):
     path, forced = IO.scratch_path(spark, "guarded"), IO.scratch_path(spark, "guarded-forced")
     later = g.withColumn("ndvi", F.col("ndvi") + 1)
     for p in (path, forced):
-        IO.guarded_write(g, p)
-    IO.guarded_write(later, path)  # ignored
-    IO.guarded_write(later, forced, force=True)  # replaces
-    return S.stack_labelled({"kept": spark.read.parquet(path), "forced": spark.read.parquet(forced)}, "write").select(
+        LY.guarded_write(g, p)
+    LY.guarded_write(later, path)  # ignored
+    LY.guarded_write(later, forced, force=True)  # replaces
+    return S.stack_labelled({"kept": LY.read_guarded(spark, path), "forced": LY.read_guarded(spark, forced)}, "write").select(
         "lat", "lon", "time", "precip", *r6("ndvi"), "write")
 
 
+@register("cube_blocks_box")
+def q_cube_blocks_box(spark, sf_dir):
+    """S7/S1 by space and time: a box of the cube from the files that it meets."""
+    path = IO.scratch_path(spark, "blocks")
+    LY.write_cube_blocks(load_grid(spark, sf_dir), path, files=16)
+    return LY.read_cube_blocks(spark, path, lat=(0.25, 0.75), lon=(1.0, 3.0), time=("1998-03-01", "1999-06-01"))
+
+
+@register("tiles_round_trip")
+def q_tiles_round_trip(spark, sf_dir):
+    """One variable as dense tiles, and back."""
+    g = load_grid(spark, sf_dir)
+    return TL.from_tiles(TL.to_tiles(g, "sm"), TL.axes(g), "sm")
+
+
+@register("tile_slice")
+def q_tile_slice(spark, sf_dir):
+    """A box of positions cut from the tiles."""
+    g = load_grid(spark, sf_dir)
+    on = TL.axes(g)
+    return TL.from_tiles(TL.cut_tiles(TL.to_tiles(g, "precip", (2, 4, 12), on), (1, 4), (2, 9), (10, 30)), on, "precip")
+
+
 @register("nan_ingest")
 def q_nan_ingest(spark, sf_dir):
     """NaN in a stored cube (Parquet and CSV) is missing after the read."""

@@ -61,11 +61,6 @@ def write_cube(df: DataFrame, path: str, partition_by_year: bool = True) -> None
     (w.partitionBy("year") if partition_by_year else w).parquet(path)
 
 
-def guarded_write(df: DataFrame, path: str, force: bool = False, fmt: str = "parquet") -> None:
-    """Write if absent; overwrite only when ``force``."""
-    public(df).write.mode("overwrite" if force else "ignore").format(fmt).save(path)
-
-
 def write_csv(df: DataFrame, path: str) -> None:
     """S3: header CSV (timestamps in ISO form)."""
     public(df).write.mode("overwrite").option("header", True).csv(path)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from terracube.operators.conform import check_same_grid, normalise_coordinate_names
 from terracube.operators.resample import relabel_by_position, resample_first
 from terracube.sources import io as IO
+from terracube.sources import layout as LY
 from terracube.sources.grid import load_daily_product, load_grid
 
 SF = "/root/testdata/sf0.001"
@@ -35,14 +36,31 @@ def test_stats_json_round_trip(spark):
 
 
 def test_guarded_write(spark):
-    a = spark.createDataFrame([(1,)], "x int")
-    b = spark.createDataFrame([(2,)], "x int")
+    a = spark.createDataFrame([(1.0,)], "v double")
+    b = spark.createDataFrame([(2.0,)], "v double")
     path = IO.scratch_path(spark, "t-guard")
-    IO.guarded_write(a, path)
-    IO.guarded_write(b, path)
-    assert [r.x for r in spark.read.parquet(path).collect()] == [1]
-    IO.guarded_write(b, path, force=True)
-    assert [r.x for r in spark.read.parquet(path).collect()] == [2]
+    assert LY.guarded_write(a, path) and not LY.guarded_write(b, path)
+    assert [r.v for r in LY.read_guarded(spark, path).collect()] == [1.0]
+    assert LY.guarded_write(b, path, force=True)
+    assert [r.v for r in LY.read_guarded(spark, path).collect()] == [2.0]
+    assert LY.manifest(spark, path)["rows"] == 1
+
+
+def test_what_a_failed_write_leaves_does_not_count(spark):
+    path = IO.scratch_path(spark, "t-half")
+    good = spark.createDataFrame([(1.0,)], "v double")
+    bad = good.select(F.raise_error(F.lit("lost")).cast("double").alias("v")).unionByName(good)
+    with pytest.raises(Exception, match="lost"):
+        LY.guarded_write(bad, path)
+    good.write.parquet(f"{path}/version-half")  # a whole folder that was never published
+    assert LY.manifest(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        LY.read_guarded(spark, path)
+    assert LY.guarded_write(good, path)
+    assert LY.read_guarded(spark, path).count() == 1
+    with pytest.raises(Exception, match="lost"):
+        LY.guarded_write(bad, path, force=True)
+    assert LY.read_guarded(spark, path).count() == 1  # the former data stay
 
 
 def test_csv_round_trip_schema(spark):
