@@ -6,8 +6,12 @@ can weigh more (or less) than its parts. Terms are lower-cased words hashed into
 2^24 buckets; a term counts once per document.
 
 Fitting uses at most ``max_rows`` labelled documents, those with the smallest
-hash of their id, in one task: FTRL with L1 keeps only weights that earn their
-place, and a term gets factors only once it has a weight. The fitted terms are
+hash of their id, in one task. Every term found in ``MIN_DOCS`` of them has a weight
+and factors from the start, so a pair can be learned whose terms say nothing alone.
+FTRL with L1 keeps only weights that earn their place. The factors of a term without a
+weight shrink as a group, a little every ``OFTEN`` documents, so they vanish for good
+unless its pairs make them grow faster; a weight that appears later brings factors back.
+A term is kept if its weight or its factors survive. The fitted terms are
 bounded by that sample; scoring covers all documents in whole, in Arrow batches.
 
 Only the text enters a score. Defined results: a null or empty text gets the
@@ -35,6 +39,9 @@ FACTORS = 4
 MAX_ROWS = 20_000
 MIN_DOCS = 5
 EPOCHS = 4
+#: Size of the first factors (and of those of a term with a weight), their learning rate, and what
+#: those of a term without a weight lose in length every so many documents.
+FIRST, ALIVE, FACTOR_RATE, SHRINK, OFTEN = 0.01, 0.05, 0.05, 0.005, 250
 KEPT_WORDS = 300_000
 
 _TERMS = re.compile(r"\w+").findall
@@ -54,7 +61,7 @@ def raw_score(model: dict, on: np.ndarray) -> float:
 
 
 def fit(texts: list[str | None], labels: np.ndarray, alpha: float = 1.0, l1: float = 0.3, seed: int = 7) -> dict:
-    """``bias``, ``terms`` (sorted buckets), ``weights`` and ``factors`` of the terms with a weight.
+    """``bias``, ``terms`` (sorted buckets), ``weights`` and ``factors`` of the terms that are kept.
 
     Learns from four fifths of the sample. The L1 strength is ``l1`` times the
     square root of the number of toxic rows, the scale of a term's chance gradient.
@@ -69,32 +76,38 @@ def fit(texts: list[str | None], labels: np.ndarray, alpha: float = 1.0, l1: flo
     seen = seen[counts >= MIN_DOCS]
     docs = [np.searchsorted(seen, d[np.isin(d, seen, assume_unique=True)]) for d in docs]
     z, n, w = (np.zeros(len(seen)) for _ in range(3))
-    v, nv = rng.normal(0, 0.05, (len(seen), FACTORS)), np.zeros((len(seen), FACTORS))
+    v, nv = rng.normal(0, FIRST, (len(seen), FACTORS)), np.zeros((len(seen), FACTORS))
     share = labels[learn].mean() if len(learn) else 0.0
     bias, nb = float(np.log(share / (1 - share))) if 0 < share < 1 else 0.0, 0.0
-    for _ in range(EPOCHS):
-        for i in rng.permutation(learn):
-            x = docs[i]
-            on = x[w[x] != 0]
-            s = v[on].sum(axis=0)
-            score = bias + w[on].sum() + 0.5 * float((s * s - (v[on] ** 2).sum(axis=0)).sum())
-            g = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[i]
-            nb += g * g
-            bias -= alpha * g / (1 + np.sqrt(nb))
-            if abs(g) < 0.01:
-                continue
-            old = n[x]
-            n[x] = old + g * g
-            z[x] += g - (np.sqrt(n[x]) - np.sqrt(old)) / alpha * w[x]
-            zx = z[x]
-            w[x] = np.where(np.abs(zx) > l1, -(zx - np.sign(zx) * l1) / ((1 + np.sqrt(n[x])) / alpha), 0.0)
-            if len(on) > 1:
-                gv = g * (s - v[on]) + 1e-3 * v[on]
-                nv[on] += gv * gv
-                v[on] -= 0.05 * gv / (1 + np.sqrt(nv[on]))
-    keep = np.flatnonzero(w)
+    given = v * (ALIVE / FIRST)
+    for step, i in enumerate(np.concatenate([rng.permutation(learn) for _ in range(EPOCHS)])):
+        if step % OFTEN == 0:
+            size = np.sqrt((v * v).sum(axis=1))
+            v[w == 0] *= np.maximum(0, 1 - SHRINK / np.maximum(size[w == 0], 1e-12))[:, None]
+            back = (w != 0) & (size < SHRINK)
+            v[back] = given[back]
+        x = docs[i]
+        vx = v[x]
+        s = vx.sum(axis=0)
+        score = bias + w[x].sum() + 0.5 * float((s * s).sum() - (vx * vx).sum())
+        g = 1 / (1 + np.exp(-np.clip(score, -30, 30))) - labels[i]
+        nb += g * g
+        bias -= alpha * g / (1 + np.sqrt(nb))
+        if abs(g) < 0.01:
+            continue
+        old = n[x]
+        n[x] = old + g * g
+        z[x] += g - (np.sqrt(n[x]) - np.sqrt(old)) / alpha * w[x]
+        zx = z[x]
+        w[x] = np.where(np.abs(zx) > l1, -(zx - np.sign(zx) * l1) / ((1 + np.sqrt(n[x])) / alpha), 0.0)
+        live = vx.any(axis=1)  # factors that have vanished stay away until the term has a weight
+        if live.any():
+            on, gv = x[live], g * (s - vx[live])
+            nv[on] += gv * gv
+            v[on] = vx[live] - FACTOR_RATE * gv / (1 + np.sqrt(nv[on]))
+    keep = np.flatnonzero((w != 0) | (v != 0).any(axis=1))
     whole = {"bias": bias, "weights": w, "factors": v}
-    got = np.array([raw_score(whole, docs[i][w[docs[i]] != 0]) for i in check])
+    got = np.array([raw_score(whole, docs[i]) for i in check])
     return {"bias": bias - best_cut(got, labels[check]), "terms": seen[keep], "weights": w[keep], "factors": v[keep]}
 
 
