@@ -16,14 +16,12 @@ next stage's input, so a lost executor never sends a run back further than a sta
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terracube.llm import fm_toxicity, line_dedup, mixing, ngram_forest, suffix_pieces
 from terracube.llm.common import table, words
-from terracube.session import checkpoint_dir
+from terracube.sources.io import scratch_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    base = f"{checkpoint_dir(spark).rstrip('/')}/corpus-pipeline-{uuid.uuid4().hex[:12]}"
+    base = scratch_path(spark, "corpus-pipeline")  # removed when the session ends
     docs = table(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{k}")

@@ -61,8 +61,13 @@ def harmonise_script(reference: DataFrame, products: Sequence[DataFrame], lo: st
 def harmonise_to_reference(reference: DataFrame, products: Mapping[str, tuple[DataFrame, str]], drought: bool = False,
                            decimals: int | None = None) -> DataFrame:
     """J7 on every product (``name: (cube, variable)``), merge with the reference,
-    derived ``lst_mean`` (P26) and, with ``drought``, the three drought flags (P23, A9)."""
-    cubes = [to_reference_grid(reference, rename_variables(cube, {var: name}), [name]) for name, (cube, var) in products.items()]
+    derived ``lst_mean`` (P26) and, with ``drought``, the three drought flags (P23, A9).
+
+    Variables that come from one cube are resampled and regridded together."""
+    shared: dict[int, tuple[DataFrame, dict]] = {}
+    for name, (cube, var) in products.items():
+        shared.setdefault(id(cube), (cube, {}))[1][var] = name
+    cubes = [to_reference_grid(reference, rename_variables(cube, names), list(names.values())) for cube, names in shared.values()]
     m = mean_of(merge_cubes(reference, *cubes), "lst_mean", "lst_day", "lst_night")
     if not drought:
         return m

@@ -634,7 +634,7 @@ def q_harmonise_bilinear(spark, sf_dir):
     daily = load_daily_product(spark, sf_dir)
     # P35 wants equal calendars: the months that both have
     ref = HM.common_calendar(ref, daily.select(trunc_ntz("month", "time").alias("time")))
-    products = {"evap": (daily.drop("orders"), "value"), "pet": (daily.drop("value"), "orders")}
+    products = {"evap": (daily, "value"), "pet": (daily, "orders")}
     h = HM.harmonise_to_reference(ref, products, drought=True, decimals=TIES)
     return h.select("lat", "lon", "time", "ndvi", *r6("lst_mean"), fixed6("evap"), fixed6("pet"), "drought_spei", "drought_spi", "drought_ndvi")
 
