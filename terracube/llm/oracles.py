@@ -7,8 +7,6 @@ from a sorted closed form. Fixed values are written out.
 
 from __future__ import annotations
 
-from terracube.llm.license_scan import TEMPLATES
-
 SP = r"\x20\x09-\x0D"
 
 
@@ -16,7 +14,32 @@ def _text(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-_TEMPLATE_ROWS = ", ".join(f"({_text(n)}, {_text(t)})" for n, t in TEMPLATES.items())
+# Notices of public licences, by SPDX identifier (variants end in -2, -3).
+_NOTICES = [
+    ('Apache-2.0', 'Licensed under the Apache License, Version 2.0.'),
+    ('Apache-2.0-2', 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at'),
+    ('BSD-3-Clause', 'Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:'),
+    ('BSD-3-Clause-2', 'Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.'),
+    ('CC-BY-4.0', 'This work is licensed under a Creative Commons Attribution 4.0 International License.'),
+    ('CC-BY-4.0-2', 'Licensed under CC BY 4.0.'),
+    ('CC-BY-NC-4.0', 'This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.'),
+    ('CC-BY-NC-4.0-2', 'Licensed under CC BY-NC 4.0.'),
+    ('CC-BY-SA-4.0', 'This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.'),
+    ('CC-BY-SA-4.0-2', 'Licensed under CC BY-SA 4.0.'),
+    ('CC0-1.0', 'To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.'),
+    ('GPL-2.0', 'This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.'),
+    ('GPL-2.0-2', 'This work is licensed under the GNU General Public License, version 2.'),
+    ('GPL-3.0', 'This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.'),
+    ('GPL-3.0-2', 'This work is licensed under the GNU General Public License, version 3.'),
+    ('ISC', 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.'),
+    ('LGPL-3.0', 'This work is licensed under the GNU Lesser General Public License, version 3.'),
+    ('MIT', 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:'),
+    ('MIT-2', 'Released under the MIT License.'),
+    ('MIT-3', 'This project is licensed under the MIT License.'),
+    ('MPL-2.0', 'This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.'),
+    ('Unlicense', 'This is free and unencumbered software released into the public domain.'),
+]
+_TEMPLATE_ROWS = ", ".join(f"({_text(n)}, {_text(t)})" for n, t in _NOTICES)
 
 OP2 = f"""
 WITH raw AS (SELECT rowid AS r, doc_id, coalesce(text, '') AS text FROM (SELECT row_number() OVER () AS rowid, * FROM documents)),
