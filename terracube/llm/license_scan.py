@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
+#: Size bounds are whole numbers of bigrams that a double may miss by its last bit.
+ROUNDING = 1e-9
 
 #: Notices of public licences, by SPDX identifier (variants end in -2, -3).
 TEMPLATES = {
@@ -80,7 +82,7 @@ def dice_scores(units: Column, templates: Mapping[str, str], threshold: float) -
         for g in twice:
             both = both + F.greatest(F.lit(0), F.least(F.lit(grams[g]), F.size(unit) - F.size(F.array_remove(unit, g))) - 1)
         dice = 2.0 * both / (F.size(unit) + size)
-        fits = (F.size(unit) >= lo * size) & (F.size(unit) <= hi * size)
+        fits = (F.size(unit) >= lo * size - ROUNDING) & (F.size(unit) <= hi * size + ROUNDING)
         return F.when(fits & F.arrays_overlap(unit, distinct),
                       F.when(dice >= threshold, F.struct(dice.alias("dice"), F.lit(name).alias("licence"))))
 
@@ -102,7 +104,7 @@ def window_hits(grams: Column, held: Column, found: Column, templates: Mapping[s
     def best(name: str, text: str) -> Column:
         own = template_bigrams(text)
         size, distinct = sum(own.values()), F.array(*[F.lit(g) for g in own])
-        least, most = math.ceil(size * threshold / (2 - threshold) - 1e-9), math.floor(size * (2 - threshold) / threshold + 1e-9)
+        least, most = math.ceil(size * threshold / (2 - threshold) - ROUNDING), math.floor(size * (2 - threshold) / threshold + ROUNDING)
         counts = F.create_map(*[F.lit(x) for pair in own.items() for x in pair])
         enough = F.aggregate(F.array_intersect(held, distinct), F.lit(0), lambda n, g: n + counts[g]) >= least  # a match shares at least that many
         places = F.filter(F.transform(grams, lambda g, i: F.when(F.array_contains(distinct, g), i)), lambda i: i.isNotNull())
@@ -122,7 +124,7 @@ def scan(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, threshold: f
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_units`` (matched), ``licences`` (all, sorted), ``licence, dice`` (best) per document."""
     sizes = [sum(template_bigrams(t).values()) for t in templates.values()]
-    least, most = min(sizes) * threshold / (2 - threshold), max(sizes) * (2 - threshold) / threshold
+    least, most = min(sizes) * threshold / (2 - threshold) - ROUNDING, max(sizes) * (2 - threshold) / threshold + ROUNDING
     text = F.coalesce(F.col(text_col), F.lit(""))
     known = F.array(*[F.lit(g) for g in sorted(set().union(*map(template_bigrams, templates.values())))])
     df = docs.select(F.col(id_col).alias("doc_id"), bigrams(F.split(normalised(text), " ")).alias("grams"), F.array_distinct(F.concat(F.array(text), F.split(text, r"\n[\x20\t\r]*\n"), F.split(text, "\n"))).alias("units"))
