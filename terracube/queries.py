@@ -481,12 +481,16 @@ def model_errors(spark, sf_dir):
     return linear.unionByName(trees.select("variant", "split", "n", *r6("rmse")))
 
 
-@register("coef_top10")
-def q_coef_top10(spark, sf_dir):
+def fitted_top10(spark, sf_dir):
     """The ten largest coefficients of the linear fit."""
     ex, _ = _examples(spark, sf_dir)
     _, model, feats = ML.linear_fit_score(ex)
-    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10).select("feature", (F.round("value", 4) + 0.0).alias("value"))
+    return ML.top_k_abs(ML.coefficients(model, feats, spark), "value", 10)
+
+
+@register("coef_top10")
+def q_coef_top10(spark, sf_dir):
+    return fitted_top10(spark, sf_dir).select("feature", (F.round("value", 4) + 0.0).alias("value"))
 
 
 @register("mean_input_top10")
