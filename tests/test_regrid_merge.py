@@ -75,8 +75,8 @@ def test_clip_triangle(spark):
     hole = [{"lon": 0.05, "lat": 0.15}, {"lon": 0.25, "lat": 0.15}, {"lon": 0.25, "lat": 0.25}, {"lon": 0.05, "lat": 0.25}]
     schema = "country string, rings array<array<struct<lon:double,lat:double>>>"
     for rings, want in (([ring], {(0.2, 0.2), (0.1, 0.5)}), ([ring, hole], {(0.1, 0.5)})):
-        for cell in (1.0, 0.3):
-            inside = {(r.lat, r.lon) for r in clip_to_regions(pts, spark.createDataFrame([("t", rings)], schema), cell).collect()}
+        for depth in (13, 9):  # cells of a sixteenth of a degree and of one degree
+            inside = {(r.lat, r.lon) for r in clip_to_regions(pts, spark.createDataFrame([("t", rings)], schema), depth).collect()}
             assert inside == want
 
 
