@@ -5,7 +5,7 @@ tree. Per tree the paths are sorted (ranges dealt so that no trie node at the sh
 is divided), so texts that share a prefix stand together, and one sorted table serves every
 prefix length: the trie nodes of a length are its runs.
 
-Matching begins with long prefixes and shortens them in rounds (``lengths``). A round compares
+Matching begins with whole paths and halves the prefix in rounds (``lengths``). A round compares
 the pairs of a trie node that met in no longer one, where at least one text is still searching.
 A text stops searching once its measured recall reaches the target: a neighbour of similarity
 s meets it at length m in some tree with probability p = 1 - (1 - s^m)^trees, so each verified
@@ -50,7 +50,6 @@ TREES = 16
 DEPTH = 8
 RECALL = 0.999
 BLOCK, BLOCKS = 512, 32
-STEP = 2
 #: Word hashes that a worker keeps before it starts anew.
 KEPT_WORDS = 200_000
 
@@ -100,9 +99,12 @@ def _permutations(count: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def lengths(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> list[int]:
-    """The prefix lengths of the rounds, from the whole path to the shortest one needed."""
-    last = prefix_length(threshold, trees, depth, recall)
-    return [*range(depth, last, -STEP), last]
+    """The prefix lengths of the rounds: halved from the whole path on, down to the shortest one needed."""
+    last, out = prefix_length(threshold, trees, depth, recall), []
+    while depth > last:
+        out.append(depth)
+        depth //= 2
+    return [*out, last]
 
 
 def tree_paths(sh: np.ndarray, mult: np.ndarray, add: np.ndarray) -> bytes:
