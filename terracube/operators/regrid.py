@@ -22,15 +22,16 @@ def axis(df: DataFrame, dim: str) -> DataFrame:
 
 def _neighbours(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
     """For each target value: the nearest source value below-or-equal (``a``)
-    and strictly above (``a1``), found by one sort of the merged axes."""
+    and strictly above (``a1``), found by a sort of the merged axes in each direction."""
     marked = (src_axis.select(F.col("v"), F.lit(0).alias("is_dst"))
               .unionByName(dst_axis.select(F.col("v"), F.lit(1).alias("is_dst"))))
     w_prev = Window.orderBy("v", "is_dst").rowsBetween(Window.unboundedPreceding, 0)
-    w_next = Window.orderBy("v", "is_dst").rowsBetween(1, Window.unboundedFollowing)
+    w_next = Window.orderBy(F.col("v").desc(), F.col("is_dst").desc()).rowsBetween(Window.unboundedPreceding, -1)
     src_v = F.when(F.col("is_dst") == 0, F.col("v"))
     n = marked.select("v", "is_dst",
                       F.last(src_v, ignorenulls=True).over(w_prev).alias("a"),
-                      F.first(F.when((F.col("is_dst") == 0), F.col("v")), ignorenulls=True).over(w_next).alias("a1"))
+    # both frames run forward, one over each order: a frame that ends with the partition is evaluated anew for every row
+                      F.last(src_v, ignorenulls=True).over(w_next).alias("a1"))
     # a1 must be strictly above v: a source equal to v sorts before the target
     return n.where(F.col("is_dst") == 1).select(F.col("v").alias("dst"), "a", "a1")
 

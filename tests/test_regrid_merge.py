@@ -94,3 +94,12 @@ def test_align_predictions_cogroup_equals_join(spark):
     assert sorted(a.select(cols).collect()) == sorted(b.select(cols).collect())
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_axis_windows_run_forward_only(spark):
+    src, dst = _axis(spark, [0, 0.5, 1]), _axis(spark, [0.25, 0.5, 0.9])
+    plan = nearest_map(src, dst)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedfollowing" not in plan  # such a frame is evaluated anew for every row
+    n = 3000
+    got = {r.dst: r.src for r in nearest_map(spark.range(n).selectExpr("double(id) v"), spark.range(n).selectExpr("id + 0.7D v")).collect()}
+    assert got == {i + 0.7: float(min(i + 1, n - 1)) for i in range(n)}
