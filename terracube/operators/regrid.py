@@ -15,6 +15,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terracube.session import dealt
+
+#: Target longitudes of one row before the cells of a block are generated.
+BLOCK = 1024
+
 
 def axis(df: DataFrame, dim: str) -> DataFrame:
     return df.select(F.col(dim).cast("double").alias("v")).distinct()
@@ -25,12 +30,12 @@ def _neighbours(src_axis: DataFrame, dst_axis: DataFrame) -> DataFrame:
     and strictly above (``a1``), found by a sort of the merged axes in each direction."""
     marked = (src_axis.select(F.col("v"), F.lit(0).alias("is_dst"))
               .unionByName(dst_axis.select(F.col("v"), F.lit(1).alias("is_dst"))))
+    # both frames run forward, one over each order: a frame that ends with the partition is evaluated anew for every row
     w_prev = Window.orderBy("v", "is_dst").rowsBetween(Window.unboundedPreceding, 0)
     w_next = Window.orderBy(F.col("v").desc(), F.col("is_dst").desc()).rowsBetween(Window.unboundedPreceding, -1)
     src_v = F.when(F.col("is_dst") == 0, F.col("v"))
     n = marked.select("v", "is_dst",
                       F.last(src_v, ignorenulls=True).over(w_prev).alias("a"),
-    # both frames run forward, one over each order: a frame that ends with the partition is evaluated anew for every row
                       F.last(src_v, ignorenulls=True).over(w_next).alias("a1"))
     # a1 must be strictly above v: a source equal to v sorts before the target
     return n.where(F.col("is_dst") == 1).select(F.col("v").alias("dst"), "a", "a1")
@@ -75,6 +80,15 @@ def regrid_nearest(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, cols
     return j.select(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time, *cols)
 
 
+def _cells(steps: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, time: str) -> DataFrame:
+    """``lat, lon, time`` of every target cell and step. The narrow rows before the last
+    generator are dealt by number, as few bytes would else be read by one task."""
+    lats, lons = (dst.agg(F.array_sort(F.collect_set("v"))).scalar() for dst in (dst_lat, dst_lon))  # sorted: slices need one order
+    blocks = F.sequence(F.lit(0), F.floor(F.greatest(F.size(lons) - 1, F.lit(0)) / BLOCK).cast("int"))
+    rows = steps.select(time, F.explode(lats).alias("lat")).select(time, "lat", F.explode(blocks).alias("__block"))
+    return dealt(rows, time, "lat", "__block").select("lat", F.explode(F.slice(lons, F.col("__block") * BLOCK + 1, BLOCK)).alias("lon"), time)
+
+
 def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, cols: Sequence[str], time: str = "time",
                     src_lat: DataFrame | None = None, src_lon: DataFrame | None = None, times: DataFrame | None = None) -> DataFrame:
     """``sum(w_lat * w_lon * v)`` for every target cell and time step.
@@ -82,7 +96,8 @@ def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, col
     A value is NULL unless every one of its ``nw_lat * nw_lon`` corners exists and
     is non-missing; cells outside the source's hull are there with NULL. The
     target grid's cells come from a generator over its two axes, which one row
-    holds as arrays, and meet the weighted source rows in the one aggregate on
+    holds as arrays; blocks of ``BLOCK`` longitudes are dealt over the shuffle
+    partitions. They meet the weighted source rows in the one aggregate on
     (target lat, target lon, time).
     """
     lw = (bilinear_weights(src_lat or axis(cube, "lat"), dst_lat)
@@ -94,15 +109,14 @@ def regrid_bilinear(cube: DataFrame, dst_lat: DataFrame, dst_lon: DataFrame, col
     j = j.select(F.col("__dlat").alias("lat"), F.col("__dlon").alias("lon"), time, (F.col("__wlat") * F.col("__wlon")).alias("__w"),
                  (F.col("__nlat") * F.col("__nlon")).alias("__need"), *cols)
     steps = (times if times is not None else cube.select(time)).distinct()
-    whole = lambda dst: dst.agg(F.collect_set("v")).scalar()
-    cells = steps.select(time, F.explode(whole(dst_lat)).alias("lat")).select("lat", F.explode(whole(dst_lon)).alias("lon"), time)
     types = dict(cube.dtypes)
-    cells = cells.select("lat", "lon", time, F.lit(None).cast("double").alias("__w"), F.lit(None).cast("long").alias("__need"),
+    cells = _cells(steps, dst_lat, dst_lon, time).select("lat", "lon", time, F.lit(None).cast("double").alias("__w"), F.lit(None).cast("long").alias("__need"),
                          *[F.lit(None).cast(types[c]).alias(c) for c in cols])
     aggs = [F.count("__w").alias("__rows"), F.max("__need").alias("__need")]
     for c in cols:
         aggs += [F.sum(F.col("__w") * F.col(c)).alias(c), F.count(c).alias(f"__n_{c}")]
-    g = j.unionByName(cells).groupBy("lat", "lon", time).agg(*aggs)
+    # at most four corners and the cell itself: nothing for a partial aggregate to combine
+    g = dealt(j.unionByName(cells), "lat", "lon", time).groupBy("lat", "lon", time).agg(*aggs)
     full = F.col("__rows") == F.col("__need")
     return g.select("lat", "lon", time,
                     *[F.when(full & (F.col(f"__n_{c}") == F.col("__need")), F.col(c)).alias(c) for c in cols])

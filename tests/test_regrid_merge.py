@@ -103,3 +103,23 @@ def test_axis_windows_run_forward_only(spark):
     n = 3000
     got = {r.dst: r.src for r in nearest_map(spark.range(n).selectExpr("double(id) v"), spark.range(n).selectExpr("id + 0.7D v")).collect()}
     assert got == {i + 0.7: float(min(i + 1, n - 1)) for i in range(n)}
+
+
+def test_bilinear_cells_are_dealt(spark):
+    """The cells of a few steps come from many tasks, and each is there once."""
+    from terracube.operators.regrid import _cells
+    n = 3000  # more than a block of longitudes
+    lat, lon = _axis(spark, [0.5, 1.5]), spark.range(n).selectExpr("id + 0.5D v")
+    steps = spark.sql("SELECT timestamp_ntz'2000-01-01' AS time UNION ALL SELECT timestamp_ntz'2000-02-01'")
+    per = _cells(steps, lat, lon, "time").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per) == 4 * n and max(r["count"] for r in per) < 4 * n / 2
+    cube = spark.range(3).crossJoin(spark.range(n)).toDF("i", "k").selectExpr("double(i) lat", "double(k) lon", "timestamp_ntz'2000-01-01' time", "double(2 * i + k) v")
+    got = {(r.lat, r.lon, r.time.month): r.v for r in regrid_bilinear(cube, lat, lon, ["v"], times=steps).collect()}
+    assert got == {(a, k + 0.5, m): pytest.approx(2 * a + k + 0.5) if m == 1 and k < n - 1 else None for a in (0.5, 1.5) for k in range(n) for m in (1, 2)}
+    none = regrid_bilinear(cube, lat, lon.limit(0), ["v"], times=steps)
+    assert none.count() == 0
+
+
+def test_bilinear_has_no_partial_aggregate(spark):
+    out = regrid_bilinear(_cell(spark, [0.0, 1.0, 2.0, 3.0]), _axis(spark, [0.5]), _axis(spark, [0.5]), ["v"])
+    assert "hashpartitioning(lat" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "REPARTITION_BY_NUM" in plan
