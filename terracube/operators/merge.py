@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terracube.schema import CUBE_KEYS, PIXEL_ID
+from terracube.session import dealt
 
 
 def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame:
@@ -21,9 +22,10 @@ def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame
     A co-group instead of a chain of full outer joins: every cube is
     widened to the union of variables (NULL where it has none), the cubes
     are unioned, and one aggregate on the keys picks each variable from the
-    cube that has it.  N cubes cost one shuffle (with map-side partial
-    aggregation) instead of 2(N-1) join shuffles, and nothing is joined
-    pairwise.  Keys are unique per cube, which a kept filter checks (a repeated
+    cube that has it.  N cubes cost one shuffle instead of 2(N-1) join
+    shuffles, and nothing is joined pairwise.  Rows are dealt by the keys first: a
+    key occurs once per cube, so a map-side aggregate would hold every row of its
+    task and combine none.  Keys are unique per cube, which a kept filter checks (a repeated
     key raises), so this equals the full outer join; variable names must be
     distinct.
     """
@@ -43,7 +45,7 @@ def merge_cubes(*cubes: DataFrame, keys: Sequence[str] = CUBE_KEYS) -> DataFrame
     for i, p in enumerate(parts[1:], 1):
         u = u.unionByName(p.withColumn("__cube", F.lit(i)))
     most = F.greatest(*[F.count_if(F.col("__cube") == i) for i in range(len(cubes))])
-    g = u.groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names], most.alias("__most"))
+    g = dealt(u, *keys).groupBy(*keys).agg(*[F.first(c, ignorenulls=True).alias(c) for c in names], most.alias("__most"))
     return g.where(F.assert_true(F.col("__most") <= 1, "a key occurs twice in one cube").isNull()).drop("__most")
 
 

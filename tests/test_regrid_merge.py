@@ -123,3 +123,11 @@ def test_bilinear_cells_are_dealt(spark):
 def test_bilinear_has_no_partial_aggregate(spark):
     out = regrid_bilinear(_cell(spark, [0.0, 1.0, 2.0, 3.0]), _axis(spark, [0.5]), _axis(spark, [0.5]), ["v"])
     assert "hashpartitioning(lat" in (plan := out._jdf.queryExecution().executedPlan().toString()) and "REPARTITION_BY_NUM" in plan
+
+def test_merge_deals_rows_before_its_aggregate(spark):
+    """Keys are unique per cube: a map-side aggregate would hold all rows of a task and combine none."""
+    t = dt.datetime(2000, 1, 1)
+    a = spark.createDataFrame([(0.0, 0.0, t, 1.0)], "lat double, lon double, time timestamp, a double")
+    m = merge_cubes(a, a.withColumnRenamed("a", "b"))
+    assert "REPARTITION_BY_NUM" in m._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r)[3:] for r in m.collect()] == [(1.0, 1.0)]
