@@ -59,8 +59,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], keys: Sequen
         above = [] if found is None else ["__p"]
         if above:  # the wanted ranks travel with the few rows of the prefixes, so each round is planned once
             part = joined(part.withColumn("__p", F.shiftright("__i", bits + DIGIT)), found.select(*keys, F.col("__d").alias("__p"), "__t", "__n"), "__p")
-        more = [F.first(c).alias(c) for c in ("__t", "__n")] if above else []
-        counts = part.groupBy(*keys, *above, "__d").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"), *more)
+        more = ["__t", "__n"] if above else []  # fixed by the prefix; as keys, since an array in the buffer makes the aggregate sort all rows
+        counts = part.groupBy(*keys, *above, *more, "__d").agg(F.count(F.lit(1)).alias("__c"), F.min("__v").alias("__v"))
         mine = Window.partitionBy(*keys, *above)
         counts = counts.withColumn("__b", F.sum("__c").over(mine.orderBy("__d").rowsBetween(Window.unboundedPreceding, 0)) - F.col("__c"))
         if not above:
